@@ -40,9 +40,9 @@ def tag_name(token: Column) -> Column:
 
 
 def attribute(token: Column, name: str) -> Column:
-    """Attribute value with entities decoded, NULL where the tag lacks it."""
+    """Attribute value as written, NULL where the tag lacks it."""
     found = F.regexp_extract(token, rf"""(?i)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
-    return decode_entities(F.btrim(F.nullif(found, F.lit("")), F.lit("\"'")))
+    return F.btrim(F.nullif(found, F.lit("")), F.lit("\"'"))
 
 
 def self_closed(token: Column) -> Column:
@@ -66,28 +66,43 @@ def decode_entities(text: Column) -> Column:
     """Replace named and numeric character references, each exactly once.
 
     The text is cut at '&', so what one reference decodes to is never read as
-    the start of another.  References nobody knows stay as they are.
+    the start of another.  References nobody knows stay as they are.  ``text``
+    is read several times, so pass a column rather than a long expression.
     """
-    names = F.create_map(
-        *[F.lit(x) for name, point in sorted(name2codepoint.items()) for x in (name, chr(point))]
-    )
+    found = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+    def cut(part: Column, i: Column) -> Column:
+        # What stands before the first '&' holds no reference.
+        ref = F.when(i == 0, "").otherwise(F.regexp_extract(part, found, 1))
+        return F.struct(part.alias("part"), ref.alias("ref"), (i == 0).alias("head"))
 
-    def decoded(part: Column) -> Column:
-        ref = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
-        digits = (
-            F.when(ref.rlike("^#[xX]"), F.substring(ref, 3, 6))
-            .when(ref.startswith("#"), F.hex(F.substring(ref, 2, 7).try_cast("bigint")))
-        )
-        point = F.conv(digits, 16, 10).try_cast("bigint")
-        usable = point.between(1, 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
-        char = F.when(usable, F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32"))
-        known = F.when(ref.startswith("#"), char).when(ref != "", F.try_element_at(names, ref))
+    def decoded(x: Column) -> Column:
+        part, ref = x["part"], x["ref"]
         rest = F.substring(part, F.length(ref) + 2, F.length(part))
-        return F.coalesce(F.concat(known, rest), F.concat(F.lit("&"), part))
+        known = F.when(ref.startswith("#"), _numbered(ref)).otherwise(F.try_element_at(_names(), ref))
+        kept = F.concat(F.when(x["head"], "").otherwise("&"), part)
+        return F.when(ref == "", kept).otherwise(F.coalesce(F.concat(known, rest), kept))
+
+    parts = F.transform(F.transform(F.split(text, "&"), cut), decoded)
+    return F.when(text.contains("&"), F.array_join(parts, "")).otherwise(text)
+
+
+def _names() -> Column:
+    """Named references as a map, the common ones first since maps are scanned in order.
+
+    Given as one constant text, which Spark turns into a constant map.
+    """
+    common = ["amp", "quot", "lt", "gt", "nbsp"]
+    names = common + sorted(set(name2codepoint) - set(common))
+    pairs = "\x02".join(f"{n}\x01{chr(name2codepoint[n])}" for n in names)
+    return F.str_to_map(F.lit(pairs), F.lit("\x02"), F.lit("\x01"))
+
 
-    parts = F.split(text, "&")
-    joined = F.concat(
-        F.get(parts, F.lit(0)),
-        F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), decoded), ""),
+def _numbered(ref: Column) -> Column:
+    """Character of ``#12354`` or ``#x3042``, NULL where there is no such character."""
+    digits = F.when(ref.rlike("^#[xX]"), F.substring(ref, 3, 6)).otherwise(
+        F.hex(F.substring(ref, 2, 7).try_cast("bigint"))
     )
-    return F.when(text.contains("&"), joined).otherwise(text)
+    point = F.conv(digits, 16, 10).try_cast("bigint")
+    usable = point.between(1, 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+    return F.when(usable, F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32"))

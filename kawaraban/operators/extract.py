@@ -20,6 +20,7 @@ from kawaraban.operators.html import (
     markup_pieces,
     nodes,
     scope,
+    scopes,
 )
 from kawaraban.operators.rows import complete_only, require, title_contains_any
 from kawaraban.sources import profiles as P
@@ -57,7 +58,8 @@ def paragraph_text(pages: DataFrame, container: P.Selector, key: str = "url") ->
     n = nodes(html_tokens(pages, key), [container.tag, "p"], pieces=("text",))
     n = scope(n, "box", container.match())
     n = scope(n, "p", is_element("p"), parent="box")
-    return n.groupBy("page_id").agg(decode_entities(_joined("p")).alias("text"))
+    joined = n.groupBy("page_id").agg(_joined("p").alias("text"))
+    return joined.withColumn("text", decode_entities(F.col("text")))
 
 
 def english_body(pages: DataFrame, key: str = "url") -> DataFrame:
@@ -68,7 +70,7 @@ def english_body(pages: DataFrame, key: str = "url") -> DataFrame:
     """
     n = nodes(markup_pieces(html_tokens(pages, key)), [P.EN_BODY.tag, "p"], pieces=MARKUP)
     n = scope(n, "box", P.EN_BODY.match())
-    n = scope(n, "p", is_element("p"), parent="box", how="left")
+    n = scopes(n, "box", p=is_element("p"))
     boxes = n.groupBy("page_id", "box").agg(
         F.coalesce(_field("p"), _joined("box")).alias("markup")
     )
@@ -95,8 +97,7 @@ def headline_items(pages: DataFrame, key: str = "url") -> DataFrame:
     """
     n = nodes(html_tokens(pages, key), [P.JA_LIST.tag, "time", "p", "a"], pieces=("text",))
     n = scope(n, "box", P.JA_LIST.match())
-    for tag in ("time", "p", "a"):
-        n = scope(n, f"in_{tag}", is_element(tag), parent="box", how="left")
+    n = scopes(n, "box", **{f"in_{t}": is_element(t) for t in ("time", "p", "a")})
     # A piece may lie in two fields at once, such as a link inside a paragraph.
     fields = F.array_compact(
         F.array(
@@ -141,20 +142,19 @@ def archive_items(pages: DataFrame, key: str = "url") -> DataFrame:
     n = scope(n, "main", P.TECH_MAIN.match(), first=True)
     # The main element's class is never an item's, so items are looked for inside it.
     n = scope(n, "item", P.TECH_ITEM.match(), parent="main")
-    n = scope(n, "in_title", P.TECH_TITLE.match(), parent="item", first=True, how="left")
-    n = scope(n, "in_p", is_element("p"), parent="item", first=True, how="left")
-    n = scope(n, "in_a", is_element("a"), parent="item", first=True, how="left")
+    fields = {"in_title": P.TECH_TITLE.match(), "in_p": is_element("p"), "in_a": is_element("a")}
+    n = scopes(n, "item", first=fields, **fields)
     items = n.groupBy("page_id", F.col("item").alias("pos")).agg(
-        reserialised(_field("in_title")).alias("title"),
-        reserialised(_field("in_p")).alias("snippet"),
+        _field("in_title").alias("title"),
+        _field("in_p").alias("snippet"),
         _href("in_a").alias("href"),
     )
     plain = lambda c: T.strip_tags(T.drop_chars(c, "\n"))
     return complete_only(require(items, "title"), ["snippet", "href"]).select(
         "page_id",
         "pos",
-        plain(F.col("title")).alias("title"),
-        plain(T.clean_snippet(F.col("snippet"))).alias("snippet"),
+        plain(reserialised(F.col("title"))).alias("title"),
+        plain(T.clean_snippet(reserialised(F.col("snippet")))).alias("snippet"),
         "href",
     )
 
@@ -163,18 +163,18 @@ def archive_details(pages: DataFrame, key: str = "url") -> DataFrame:
     """Tech articles: page_id, time, text.  Time loses its ' (...)' suffix."""
     tags = [P.TECH_TIME.tag, P.TECH_BODY.tag, "p"]
     n = nodes(html_tokens(pages, key), tags, pieces=("text",))
-    n = scope(n, "in_time", P.TECH_TIME.match(), first=True, how="left")
-    n = scope(n, "box", P.TECH_BODY.match(), first=True, how="left")
-    n = scope(n, "in_p", is_element("p"), parent="box", how="left")
+    fields = {"in_time": P.TECH_TIME.match(), "box": P.TECH_BODY.match()}
+    n = scopes(n, first=fields, **fields)
+    n = scopes(n, "box", in_p=is_element("p"))
     found = n.groupBy("page_id").agg(
-        F.when(F.count("in_time") > 0, decode_entities(_joined("in_time"))).alias("time"),
-        F.when(F.count("box") > 0, decode_entities(_joined("in_p"))).alias("text"),
+        _field("in_time").alias("time"),
+        F.when(F.count("box") > 0, _joined("in_p")).alias("text"),
     )
     plain = lambda c: T.strip_tags(T.drop_chars(c, "\n"))
     return complete_only(found, ["time", "text"]).select(
         "page_id",
-        plain(T.drop_paren_suffix(F.col("time"))).alias("time"),
-        plain(T.drop_chars(F.col("text"), T.IDEOGRAPHIC_SPACE)).alias("text"),
+        plain(T.drop_paren_suffix(decode_entities(F.col("time")))).alias("time"),
+        plain(T.drop_chars(decode_entities(F.col("text")), T.IDEOGRAPHIC_SPACE)).alias("text"),
     )
 
 
@@ -189,14 +189,19 @@ def property_items(pages: DataFrame, key: str = "url") -> DataFrame:
     n = nodes(html_tokens(pages, key), tags, pieces=("text",))
     n = scope(n, "main", P.PROPERTY_MAIN.match(), first=True)
     n = scope(n, "sec", P.PROPERTY_SECTION.match(), parent="main")
-    n = scope(n, "in_h2", is_element("h2"), parent="sec", first=True, how="left")
-    n = scope(n, "pickup", P.PROPERTY_PICKUP.match(), parent="sec", how="left")
-    n = scope(n, "list", P.PROPERTY_LIST.match(), parent="sec", first=True, how="left")
-    n = scope(n, "item", is_element("li"), parent="list", how="left")
+    n = scopes(
+        n,
+        "sec",
+        first=["in_h2", "list"],
+        in_h2=is_element("h2"),
+        pickup=P.PROPERTY_PICKUP.match(),
+        list=P.PROPERTY_LIST.match(),
+    )
+    n = scopes(n, "list", item=is_element("li"))
     listed = F.col("pickup").isNotNull() | F.col("item").isNotNull()
-    n = scope(n, "in_a", is_element("a") & listed, how="left")
-    n = scope(n, "in_h3", is_element("h3"), parent="in_a", first=True, how="left")
-    n = scope(n, "in_summary", P.PROPERTY_SUMMARY.match(), parent="in_a", first=True, how="left")
+    n = scopes(n, in_a=is_element("a") & listed)
+    fields = {"in_h3": is_element("h3"), "in_summary": P.PROPERTY_SUMMARY.match()}
+    n = scopes(n, "in_a", first=fields, **fields)
 
     heading_piece = F.when(
         F.col("in_h2").isNotNull(), F.struct("start", F.when(F.col("tag") == PIECE, F.col("text")).alias("text"))
@@ -204,8 +209,8 @@ def property_items(pages: DataFrame, key: str = "url") -> DataFrame:
     links = n.groupBy("page_id", "sec", F.col("in_a").alias("pos")).agg(
         F.collect_list(heading_piece).alias("heading"),
         F.when(F.max("pickup").isNotNull(), 0).otherwise(1).alias("kind"),
-        decode_entities(_field("in_h3")).alias("title"),
-        decode_entities(_field("in_summary")).alias("summary"),
+        _field("in_h3").alias("title"),
+        _field("in_summary").alias("summary"),
         _href("in_a").alias("href"),
     )
     # A section's heading, onto all of its links.
@@ -218,7 +223,7 @@ def property_items(pages: DataFrame, key: str = "url") -> DataFrame:
         ),
     )
     links = title_contains_any(require(links, "heading"), [DAY_HEADING, NEW_ARRIVALS], "heading")
-    plain = lambda c: T.strip_tags(F.col(c))
+    plain = lambda c: T.strip_tags(decode_entities(F.col(c)))
     return complete_only(links.where("pos IS NOT NULL"), ["title", "summary", "href"]).select(
         "page_id",
         "sec",
@@ -226,6 +231,6 @@ def property_items(pages: DataFrame, key: str = "url") -> DataFrame:
         "pos",
         "heading",
         T.drop_chars(plain("title"), "\n").alias("title"),
-        T.drop_chars(T.to_fullwidth(plain("summary")), "\n").alias("summary"),
+        plain("summary").alias("summary"),
         "href",
-    )
+    ).withColumn("summary", T.drop_chars(T.to_fullwidth(F.col("summary")), "\n"))

@@ -30,26 +30,37 @@ END_OF_PAGE = 2**31 - 1
 def html_tokens(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """One row per token: page_id, pos, kind, tag, is_close, el_id, class, href, text.
 
-    ``key`` must identify a page; it is renamed to ``page_id``.
+    ``key`` must identify a page; it is renamed to ``page_id``.  The number of
+    partitions is given, so AQE keeps all of them: a page grows many times once
+    it is spread, and its compressed size says little about the work.
     """
-    return (
+    is_tag = F.col("kind") == "tag"
+    tok = (
         pages.select(F.col(key).alias("page_id"), F.col(html).alias("html"))
-        .repartition("page_id")
+        .repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), "page_id")
         .select("page_id", F.posexplode(H.tokens(F.col("html"))).alias("pos", "text"))
         .withColumn("kind", H.kind(F.col("text")))
-        .withColumn("is_tag", F.col("kind") == "tag")
         .select(
             "page_id",
             "pos",
             "kind",
-            F.when(F.col("is_tag"), H.tag_name(F.col("text"))).alias("tag"),
-            F.coalesce(F.col("is_tag") & F.col("text").startswith("</"), F.lit(False)).alias("is_close"),
-            F.when(F.col("is_tag"), H.attribute(F.col("text"), "id")).alias("el_id"),
-            F.when(F.col("is_tag"), H.attribute(F.col("text"), "class")).alias("class"),
-            F.when(F.col("is_tag"), H.attribute(F.col("text"), "href")).alias("href"),
+            F.when(is_tag, H.tag_name(F.col("text"))).alias("tag"),
+            F.coalesce(is_tag & F.col("text").startswith("</"), F.lit(False)).alias("is_close"),
+            *[F.when(is_tag, H.attribute(F.col("text"), a)).alias(a) for a in ("id", "class", "href")],
             "text",
         )
     )
+    return tok.select(
+        "page_id",
+        "pos",
+        "kind",
+        "tag",
+        "is_close",
+        H.decode_entities(F.col("id")).alias("el_id"),
+        H.decode_entities(F.col("class")).alias("class"),
+        H.decode_entities(F.col("href")).alias("href"),
+        "text",
+    )
 
 
 def nodes(tok: DataFrame, tags: Iterable[str], pieces: Iterable[str] = ()) -> DataFrame:
@@ -141,55 +152,53 @@ def elements(tok: DataFrame, tag: str, **selector: str) -> DataFrame:
     return nodes(tok, [tag]).where(is_element(tag, **selector)).drop("rank", "text")
 
 
-def scope(
-    df: DataFrame,
-    name: str,
-    match: Column,
-    parent: str | None = None,
-    first: bool = False,
-    how: str = "inner",
+def scopes(
+    df: DataFrame, parent: str | None = None, how: str = "left", first: Iterable[str] = (), **matches: Column
 ) -> DataFrame:
-    """Add column ``name``: start of the matching element a node lies in.
+    """Add a column per match: start of the matching element a node lies in, or NULL.
 
     The element's own row gets its own start.  ``how='inner'`` keeps only nodes
-    inside a match, ``'left'`` keeps all.  A match inside another match counts
-    as part of the outer one.  ``first`` keeps only the first match of each
-    ``parent`` (a column an earlier scope added), or of each page.  Scopes
-    share one sort by page and position.
+    inside every match.  A match inside another match counts as part of the
+    outer one.  Names in ``first`` keep only the first match of each ``parent``
+    (a column an earlier scope added), or of each page.
+
+    All matches share one window, and later calls share its sort.  Among the
+    matches that started so far, the outermost one around a node is the one
+    that reaches furthest, and of those the earliest; matches already over
+    reach less far than the node.
     """
-    w = Window.partitionBy("page_id").orderBy("start", "rank")
-    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    group = F.col(parent) if parent else F.lit(0)
-
-    out = df.withColumn("_hit", match)
-    if parent:
-        out = out.withColumn("_hit", F.col("_hit") & F.col(parent).isNotNull())
-    out = out.withColumn("_reach", F.max(F.when(F.col("_hit"), F.col("stop"))).over(before))
-    out = out.withColumn(
-        "_top", F.col("_hit") & F.coalesce(F.col("_reach") <= F.col("start"), F.lit(True))
-    )
-    owner = F.struct("start", "stop", group.alias("group"))
-    out = out.withColumn(
-        "_own", F.last(F.when(F.col("_top"), owner), ignorenulls=True).over(so_far)
+    so_far = (
+        Window.partitionBy("page_id")
+        .orderBy("start", "rank")
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
-    inside = F.coalesce(F.col("start") < F.col("_own.stop"), F.lit(False))
-    if first:
-        out = out.withColumn(
-            "_prev", F.last(F.when(F.col("_top"), group), ignorenulls=True).over(before)
-        ).withColumn("_lead", F.col("_top") & F.coalesce(F.col("_prev") != group, F.lit(True)))
-        out = out.withColumn(
-            "_lead", F.last(F.when(F.col("_top"), F.col("_lead")), ignorenulls=True).over(so_far)
-        )
-        inside &= F.coalesce(F.col("_lead"), F.lit(False))
-    out = out.withColumn(name, F.when(inside, F.col("_own.start")))
-    # An element never closed ends at the latest where its container does.
-    out = out.withColumn(
-        "stop",
-        F.when(inside, F.least("stop", F.col("_own.stop"))).otherwise(F.col("stop")),
+    group = F.col(parent) if parent else F.lit(0)
+    owners, names, stop = [], [], F.col("stop")
+    for name, match in matches.items():
+        hit = match & F.col(parent).isNotNull() if parent else match
+        fields = [F.col("stop").alias("stop"), (-F.col("start")).alias("from")]
+        # Groups follow each other on the page, so the latest group has the largest number.
+        fields = [group.alias("group"), *reversed(fields)] if name in first else fields
+        owners.append(F.max(F.when(hit, F.struct(*fields))).over(so_far).alias(f"_{name}"))
+        own = F.col(f"_{name}")
+        inside = F.col("start") < own["stop"]
+        if name in first:
+            inside &= own["group"] == group
+        inside = F.coalesce(inside, F.lit(False))
+        names.append(F.when(inside, -own["from"]).alias(name))
+        # An element never closed ends at the latest where its container does.
+        stop = F.when(inside, F.least(stop, own["stop"])).otherwise(stop)
+    out = df.select("*", *owners).select(
+        *[stop.alias("stop") if c == "stop" else c for c in df.columns], *names
     )
-    out = out.drop("_hit", "_reach", "_top", "_own", "_prev", "_lead")
-    return out.where(F.col(name).isNotNull()) if how == "inner" else out
+    return out.dropna(subset=list(matches)) if how == "inner" else out
+
+
+def scope(
+    df: DataFrame, name: str, match: Column, parent: str | None = None, first: bool = False, how: str = "inner"
+) -> DataFrame:
+    """One ``scopes`` match; by default only nodes inside it are kept."""
+    return scopes(df, parent, how, [name] if first else [], **{name: match})
 
 
 def within(
@@ -295,7 +304,8 @@ def text_of(el: DataFrame, tok: DataFrame) -> DataFrame:
     return (
         _pieces(el, tok.where(F.col("kind") == "text"))
         .groupBy("page_id", F.col("outer").alias("start"))
-        .agg(H.decode_entities(concat_in_order(F.col("start"), F.col("text"))).alias("text"))
+        .agg(concat_in_order(F.col("start"), F.col("text")).alias("text"))
+        .withColumn("text", H.decode_entities(F.col("text")))
     )
 
 

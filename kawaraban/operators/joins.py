@@ -29,6 +29,7 @@ def salted_lookup(
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
+    counted: DataFrame | None = None,
     share: float = HOT_SHARE,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -37,10 +38,13 @@ def salted_lookup(
     Rows of a hot key are spread over ``salts`` sub-keys by a hash of their
     content and input partition (the same on a rerun), and only the hot rows of
     the right side are repeated.  The hot keys are broadcast: their number is
-    bounded by ``1 / share``.
+    bounded by ``1 / share``.  They are counted on ``counted``, a stored table
+    with the left side's keys, or on ``left``, which is then read once more.
     """
     on = list(on)
-    hot = F.broadcast(hot_keys(left, on, share).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(
+        hot_keys(left if counted is None else counted, on, share).withColumn("_hot", F.lit(True))
+    )
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in left.columns]), F.lit(salts))
     salted = left.join(hot, on, "left").withColumn(
         "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0)).cast("int")
@@ -84,6 +88,7 @@ def unseen(new: DataFrame, stored: DataFrame, rule: str = "pair", date: str = "d
 
     ``pair`` drops a row whose (date, title) is stored.  ``independent`` drops
     it when its date and its title are each stored, even on different rows.
+    ``new`` should be a stored table: its keys are also read to find hot ones.
     """
     if rule == "pair":
         keys = stored.select(date, title).distinct()
@@ -92,7 +97,9 @@ def unseen(new: DataFrame, stored: DataFrame, rule: str = "pair", date: str = "d
         raise ValueError(f"unknown rule: {rule}")
     dates = stored.select(date).distinct().withColumn("_date_seen", F.lit(True))
     titles = stored.select(title).distinct().withColumn("_title_seen", F.lit(True))
-    both = salted_lookup(salted_lookup(new, dates, [date]), titles, [title])
+    both = salted_lookup(
+        salted_lookup(new, dates, [date]), titles, [title], counted=new.select(title)
+    )
     seen = F.coalesce(F.col("_date_seen") & F.col("_title_seen"), F.lit(False))
     return both.where(~seen).select(*new.columns)
 
@@ -111,13 +118,15 @@ def zip_lists(df: DataFrame, cols: Sequence[str], names: Sequence[str] | None =
     return zipped.select(*keep, "ord", *[F.col("_z")[n].alias(n) for n in names])
 
 
-def with_roles(articles: DataFrame, roles: DataFrame, key: str = "sent_id") -> DataFrame:
+def with_roles(
+    articles: DataFrame, roles: DataFrame, key: str = "sent_id", counted: DataFrame | None = None
+) -> DataFrame:
     """Articles with the roles of their sentence, by content key.
 
     Many articles may carry the same sentence, so the article side is split
     where one sentence is hot.
     """
-    return salted_lookup(articles, roles, [key], "left")
+    return salted_lookup(articles, roles, [key], "left", counted)
 
 
 def listing_counts(links: DataFrame, video_mark: str = VIDEO_PREFIX) -> DataFrame:

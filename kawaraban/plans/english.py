@@ -9,6 +9,7 @@ from kawaraban.functions.links import absolutise
 from kawaraban.operators.extract import english_body, links_in
 from kawaraban.operators.joins import attach_detail, days_to_refresh, listing_counts
 from kawaraban.operators.rows import drop_matching_urls, exclude_links, non_empty
+from kawaraban.session import staged
 from kawaraban.sources import profiles as P
 
 
@@ -41,9 +42,11 @@ def daily_corpus(
 
     ``years(url)`` are the archive pages to start from, ``stored(day,
     stored_lines)`` says what is there.  Only pages of incomplete days are
-    parsed.
+    parsed.  Days and their links are staged: they are small next to the pages
+    and steer all that follows.
     """
-    listing = day_listing(pages, day_pages(pages, years))
+    days = staged(day_pages(pages, years), "days")
+    listing = staged(day_listing(pages, days), "listing")
     due = days_to_refresh(listing_counts(listing), stored, slack).select("day")
     wanted = drop_matching_urls(listing.withColumnRenamed("href", "url").join(due, "day", "left_semi"))
     bodies = english_body(pages_behind(pages, wanted.select("url"))).withColumnRenamed("page_id", "url")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -20,6 +21,7 @@ from kawaraban.operators.joins import attach_detail, unseen, with_roles
 from kawaraban.operators.rows import append_new
 from kawaraban.plans.english import pages_behind
 from kawaraban.plans.roles import ROLE_COLUMNS
+from kawaraban.session import staged
 from kawaraban.sources import profiles as P
 from kawaraban.sources.tables import PROPERTY_ROLE_COLUMNS
 
@@ -29,6 +31,7 @@ def headline_table(pages: DataFrame, listing_urls: DataFrame) -> DataFrame:
     items = headline_items(pages_behind(pages, listing_urls)).withColumn(
         "url", absolutise(F.col("href"), P.JA_BASE)
     )
+    items = staged(items, "headlines")
     bodies = japanese_body(pages_behind(pages, items.select("url"))).withColumnRenamed("page_id", "url")
     return attach_detail(items, bodies).select(
         F.col("time").alias("Date"),
@@ -43,6 +46,7 @@ def archive_table(pages: DataFrame, listing_urls: DataFrame) -> DataFrame:
     items = archive_items(pages_behind(pages, listing_urls)).withColumn(
         "url", absolutise(F.col("href"), P.TECH_BASE)
     )
+    items = staged(items, "archive")
     details = archive_details(pages_behind(pages, items.select("url"))).withColumnRenamed("page_id", "url")
     return attach_detail(items, details).where(F.col("time").isNotNull()).select(
         F.col("time").alias("Date"),
@@ -82,18 +86,17 @@ def sentence_key(text: Column) -> Column:
     return F.md5(text)
 
 
-def sentences_of(articles: DataFrame, text: Column) -> DataFrame:
-    """The distinct sentences to send to the parser: sent_id, sentence."""
-    return articles.select(sentence_key(text).alias("sent_id"), text.alias("sentence")).distinct()
+def with_sentences(articles: DataFrame, text: Column) -> DataFrame:
+    """Articles with the sentence to analyse and its key."""
+    return articles.withColumn("sentence", text).withColumn("sent_id", sentence_key(F.col("sentence")))
 
 
-def property_rows(articles: DataFrame, text: Column, roles: DataFrame) -> DataFrame:
-    """Articles with the five role columns of their sentence."""
-    keyed = articles.withColumn("sent_id", sentence_key(text))
+def property_rows(keyed: DataFrame, roles: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """Keyed articles as stored rows, with the five role columns of their sentence."""
     named = roles.select(
         "sent_id", *[F.col(a).alias(b) for a, b in zip(ROLE_COLUMNS, PROPERTY_ROLE_COLUMNS)]
     )
-    joined = with_roles(keyed, named)
+    joined = with_roles(keyed.drop("sentence"), named, counted=counted)
     return joined.select(
         F.col("date_raw").alias("Date"),
         F.col("title").alias("Title"),
@@ -103,22 +106,34 @@ def property_rows(articles: DataFrame, text: Column, roles: DataFrame) -> DataFr
     )
 
 
-def incremental_table(listing: DataFrame, stored: DataFrame, roles: DataFrame, rule: str = "pair") -> DataFrame:
+def incremental_table(
+    listing: DataFrame,
+    stored: DataFrame,
+    roles_of: Callable[[DataFrame], DataFrame],
+    rule: str = "pair",
+) -> DataFrame:
     """New listing rows with roles, before the stored rows.
 
-    ``stored`` has the stored columns; only rows not in it are given roles.
+    ``stored`` has the stored columns.  ``roles_of`` turns sentences(sent_id,
+    sentence) into roles; it is given the distinct sentences of unseen rows
+    only.  The listing and the unseen rows are staged, since several steps read
+    them.
     """
+    listing = staged(listing, "listing")
     keys = stored.select(F.col("Date").alias("date_raw"), F.col("Title").alias("title"))
-    new = property_rows(unseen(listing, keys, rule), sentence(F.col("summary")), roles)
-    return append_new(new, stored)
+    fresh = staged(with_sentences(unseen(listing, keys, rule), sentence(F.col("summary"))), "fresh")
+    roles = roles_of(fresh.select("sent_id", "sentence").distinct())
+    return append_new(property_rows(fresh, roles), stored)
 
 
-def reanalysed(stored: DataFrame, roles: DataFrame) -> DataFrame:
-    """All stored rows with their roles made anew."""
+def reanalysed(stored: DataFrame, roles_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """All stored rows with their roles made anew from their sentences."""
     articles = stored.select(
         F.col("Date").alias("date_raw"),
         F.col("Title").alias("title"),
         F.col("Summary").alias("summary"),
         F.col("Link").alias("url"),
     )
-    return property_rows(articles, stored_sentence(F.col("summary")), roles)
+    keyed = with_sentences(articles, stored_sentence(F.col("summary")))
+    roles = roles_of(keyed.select("sent_id", "sentence").distinct())
+    return property_rows(keyed, roles, counted=keyed.select("sent_id"))

@@ -13,6 +13,7 @@ from kawaraban.queries import fixtures as X
 from kawaraban.queries.base import q, query, with_
 from kawaraban.queries.markup import _PAGES
 from kawaraban.queries.strings import _EN, _SQL_HEADING_DATE, _STRIP, _wide_sql
+from kawaraban.session import staged
 from kawaraban.sources import profiles as P
 from kawaraban.sources.pages import archive_urls
 
@@ -58,7 +59,8 @@ def daily_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         X._day_key(F.col("day_no")).alias("day"),
         F.when(F.col("day_no") % 3 == 1, F.col("n")).otherwise(1).alias("stored_lines"),
     )
-    corpus = english.daily_corpus(X.d_hops(spark, sf_dir), X.year_seeds(spark, sf_dir), stored)
+    pages = staged(X.d_hops(spark, sf_dir), "pages")
+    corpus = english.daily_corpus(pages, X.year_seeds(spark, sf_dir), stored)
     return corpus.select("day", "url", "text")
 
 
@@ -79,7 +81,7 @@ def daily_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def headline_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = X.ja_listing(spark, sf_dir).unionByName(X.ja_articles(spark, sf_dir))
+    pages = staged(X.ja_listing(spark, sf_dir).unionByName(X.ja_articles(spark, sf_dir)), "pages")
     return J.headline_table(pages, _archive(spark, sf_dir, P.JA_ARCHIVE))
 
 
@@ -94,14 +96,13 @@ def headline_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def archive_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = X.tech_listing(spark, sf_dir).unionByName(X.d_detail(spark, sf_dir))
+    pages = staged(X.tech_listing(spark, sf_dir).unionByName(X.d_detail(spark, sf_dir)), "pages")
     return J.archive_table(pages, _archive(spark, sf_dir, X.TECH_LIST + "%d"))
 
 
 # --- property table ---------------------------------------------------------------------------
-def _property_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stored_third(listing: DataFrame) -> DataFrame:
     """Stored property rows: a third of the listed ones."""
-    listing = J.property_listing(X.d_listing(spark, sf_dir), 2019, _TODAY)
     return listing.where("substring_index(url, '/', -1) % 3 = 0").select(
         F.col("date_raw").alias("Date"),
         F.col("title").alias("Title"),
@@ -111,10 +112,10 @@ def _property_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _roles(articles: DataFrame, text) -> DataFrame:
-    """Roles of the distinct sentences of these articles, parsed by the stand-in."""
-    sentences = J.sentences_of(articles, text)
-    return extract_roles(X.parsed(sentences.withColumn("flavour", (F.length("sentence") % 3).cast("int"))))
+def _roles_of(sentences: DataFrame) -> DataFrame:
+    """Roles of sentences parsed by the stand-in for the external parser."""
+    flavour = (F.length("sentence") % 3).cast("int")
+    return extract_roles(X.parsed(sentences.withColumn("flavour", flavour)))
 
 
 _LISTED = f"""listed AS (
@@ -147,10 +148,8 @@ _SENTENCES = """sentences AS (
 )
 def incremental_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Property listing pages added to a stored table that has a third of their rows."""
-    listing = J.property_listing(X.d_listing(spark, sf_dir), 2019, _TODAY)
-    stored = _property_stored(spark, sf_dir)
-    roles = _roles(listing, J.sentence(F.col("summary")))
-    return J.incremental_table(listing, stored, roles)
+    listing = staged(J.property_listing(X.d_listing(spark, sf_dir), 2019, _TODAY), "listing")
+    return J.incremental_table(listing, _stored_third(listing), _roles_of)
 
 
 @query(
@@ -178,4 +177,4 @@ def reanalyse(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.replace(F.col("body"), F.lit("."), F.lit("。")).alias("Summary"),
         F.col("url").alias("Link"),
     )
-    return J.reanalysed(stored, _roles(stored, J.stored_sentence(F.col("Summary"))))
+    return J.reanalysed(stored, _roles_of)

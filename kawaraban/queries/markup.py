@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from kawaraban.functions.dates import DAY_HEADING, NEW_ARRIVALS
-from kawaraban.functions.html import attribute
+from kawaraban.functions.html import attribute, decode_entities
 from kawaraban.operators import html as H
 from kawaraban.operators.extract import headline_items, links_in, paragraph_text, property_items
 from kawaraban.operators.rows import complete_only, require, title_contains_any
@@ -198,7 +198,7 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     tok = H.html_tokens(page_table(spark, sf_dir))
     links = tok.where((F.col("tag") == "a") & ~F.col("is_close"))
     links = links.select("page_id", F.col("pos").cast("bigint").alias("pos"), attribute(F.col("text"), "href").alias("href"))
-    return require(links, "href")
+    return require(links, "href").withColumn("href", decode_entities(F.col("href")))
 
 
 # The references that occur in the page table; the ampersand must come last.
