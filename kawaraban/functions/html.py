@@ -6,15 +6,16 @@ from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
 
-# One match per token: comment, script or style with its content, tag, text.
-# Quoted attribute values may hold '>'.  Possessive repeats keep it linear.
+# One match per token: comment, script or style with its content, tag, text, stray '<'.
+# A quoted attribute value may hold '<' and '>'; a quote that never closes is no quote.
+# Possessive repeats keep it linear.
 TOKEN = (
     r"(?is)<!--.*?-->"
     r"|<script\b.*?</script\s*>"
     r"|<style\b.*?</style\s*>"
-    r"""|<(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
-    r"|<[^>]*>"
+    r"""|<[a-z/!?](?:[^<>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>"""
     r"|[^<]+"
+    r"|<"
 )
 VOID_TAGS = ("br", "img", "meta", "hr", "input", "link")
 

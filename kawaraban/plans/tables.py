@@ -116,8 +116,8 @@ def incremental_table(
 
     ``stored`` has the stored columns.  ``roles_of`` turns sentences(sent_id,
     sentence) into roles; it is given the distinct sentences of unseen rows
-    only.  The listing and the unseen rows are staged, since several steps read
-    them.
+    only.  ``listing`` should be a stored table; the unseen rows are staged,
+    since several steps read them.
     """
     listing = staged(listing, "listing")
     keys = stored.select(F.col("Date").alias("date_raw"), F.col("Title").alias("title"))

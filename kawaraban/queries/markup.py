@@ -17,7 +17,7 @@ from kawaraban.sources.pages import archive_urls as page_urls, read_pages as loo
 # --- SQL counterparts ------------------------------------------------------------
 _TOKEN = (
     r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-    r"""|<(?:[^>"']+|"[^"]*"|'[^']*')*>|<[^>]*>|[^<]+"""
+    r"""|<[a-z/!?](?:[^<>=]+|=\s*(?:"[^"]*"|'[^']*')?)*>|[^<]+|<"""
 )
 
 

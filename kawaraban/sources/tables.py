@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 
 # --- fixed values: column order of the stored tables --------------------------
 HEADLINE_COLUMNS = ("Date", "Summary", "Link", "Detail")
@@ -31,6 +31,7 @@ def write_partitioned(df: DataFrame, path: str, by: str, fmt: str = "parquet") -
         _rebalanced(df, by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("lineSep", "\n")
         .partitionBy(by)
         .format(fmt)
         .save(path)
@@ -45,14 +46,23 @@ def write_daily(df: DataFrame, path: str, text: str = "text", fmt: str = "text")
     write_partitioned(df.select("day", F.col(text).alias("value")), path, "day", fmt)
 
 
-def read_daily(spark: SparkSession, path: str, fmt: str = "text") -> DataFrame:
-    """day, text.  The day is kept as text, so 20160101 does not become a number."""
-    return (
-        spark.read.format(fmt)
-        .schema("value string, day string")
-        .load(path)
-        .select("day", F.col("value").alias("text"))
-    )
+def _load(reader: DataFrameReader, path: str) -> DataFrame | None:
+    """The table at ``path``, or None where there is no such folder."""
+    try:
+        return reader.load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def read_daily(spark: SparkSession, path: str, fmt: str = "text") -> DataFrame | None:
+    """day, text; None where no day was written yet.
+
+    The day is kept as text, so 20160101 does not become a number.
+    """
+    daily = _load(spark.read.format(fmt).option("lineSep", "\n").schema("value string, day string"), path)
+    return None if daily is None else daily.select("day", F.col("value").alias("text"))
 
 
 def write_by_year(df: DataFrame, path: str) -> None:
@@ -64,16 +74,9 @@ def write_batches(df: DataFrame, path: str, page: str = "page", size: int = CHEC
     write_partitioned(df.withColumn("batch", F.floor(F.col(page) / size)), path, "batch")
 
 
-def _versions(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema("n bigint, folder string").parquet(f"{path}/versions")
-    except AnalysisException:
-        return None
-
-
 def _current(spark: SparkSession, path: str) -> tuple[int, str | None]:
     """Number and folder of the newest complete version: a one-row lookup."""
-    known = _versions(spark, path)
+    known = _load(spark.read.schema("n bigint, folder string"), f"{path}/versions")
     if known is None:
         return 0, None
     top = known.agg(F.max(F.struct("n", "folder")).alias("v")).first()["v"]
