@@ -21,6 +21,8 @@ from kawaraban.operators.html import (
     nodes,
     scope,
     scopes,
+    tag_tokens,
+    tags_for,
 )
 from kawaraban.operators.rows import complete_only, require, title_contains_any
 from kawaraban.sources import profiles as P
@@ -46,8 +48,8 @@ def _href(name: str) -> Column:
 
 def links_in(pages: DataFrame, container: P.Selector, key: str = "url") -> DataFrame:
     """Links inside the containers: page_id, pos, href."""
-    n = nodes(html_tokens(pages, key), [container.tag, "a"])
-    n = scope(n, "box", container.match())
+    tags = [container.tag, "a"]
+    n = scope(nodes(tag_tokens(pages, tags_for(tags), key), tags), "box", container.match())
     return n.where((F.col("tag") == "a") & F.col("href").isNotNull()).select(
         "page_id", F.col("start").alias("pos"), "href"
     )

@@ -34,21 +34,40 @@ def html_tokens(pages: DataFrame, key: str = "page_id", html: str = "html") -> D
     partitions is given, so AQE keeps all of them: a page grows many times once
     it is spread, and its compressed size says little about the work.
     """
+    html_rows = pages.select(F.col(key).alias("page_id"), F.col(html).alias("html"))
+    return _with_fields(_spread(_by_page(html_rows)))
+
+
+def tag_tokens(pages: DataFrame, tags: Iterable[str], key: str = "page_id", html: str = "html") -> DataFrame:
+    """Only the tokens of the given tags, in the form of ``html_tokens``.
+
+    For selections that need no text: pages are cut into tokens where they are
+    read, and only these few tokens are shuffled.
+    """
+    html_rows = pages.select(F.col(key).alias("page_id"), F.col(html).alias("html"))
+    return _by_page(_with_fields(_spread(html_rows)).where(F.col("tag").isin(*tags)))
+
+
+def _by_page(df: DataFrame) -> DataFrame:
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, "page_id")
+
+
+def _spread(html_rows: DataFrame) -> DataFrame:
+    tokens = F.posexplode(H.tokens(F.col("html"))).alias("pos", "text")
+    return html_rows.select("page_id", tokens).withColumn("kind", H.kind(F.col("text")))
+
+
+def _with_fields(tok: DataFrame) -> DataFrame:
     is_tag = F.col("kind") == "tag"
-    tok = (
-        pages.select(F.col(key).alias("page_id"), F.col(html).alias("html"))
-        .repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), "page_id")
-        .select("page_id", F.posexplode(H.tokens(F.col("html"))).alias("pos", "text"))
-        .withColumn("kind", H.kind(F.col("text")))
-        .select(
-            "page_id",
-            "pos",
-            "kind",
-            F.when(is_tag, H.tag_name(F.col("text"))).alias("tag"),
-            F.coalesce(is_tag & F.col("text").startswith("</"), F.lit(False)).alias("is_close"),
-            *[F.when(is_tag, H.attribute(F.col("text"), a)).alias(a) for a in ("id", "class", "href")],
-            "text",
-        )
+    tok = tok.select(
+        "page_id",
+        "pos",
+        "kind",
+        F.when(is_tag, H.tag_name(F.col("text"))).alias("tag"),
+        F.coalesce(is_tag & F.col("text").startswith("</"), F.lit(False)).alias("is_close"),
+        *[F.when(is_tag, H.attribute(F.col("text"), a)).alias(a) for a in ("id", "class", "href")],
+        "text",
     )
     return tok.select(
         "page_id",
@@ -63,6 +82,13 @@ def html_tokens(pages: DataFrame, key: str = "page_id", html: str = "html") -> D
     )
 
 
+def tags_for(tags: Iterable[str]) -> list[str]:
+    """The tags ``nodes`` must see to find where elements of ``tags`` end."""
+    tags = set(tags)
+    more = set(BLOCK_TAGS) if "p" in tags else set()
+    return sorted(tags | more | (set(LIST_TAGS) if "li" in tags else set()))
+
+
 def nodes(tok: DataFrame, tags: Iterable[str], pieces: Iterable[str] = ()) -> DataFrame:
     """Elements of the given tags, with the token range they span, and token pieces.
 

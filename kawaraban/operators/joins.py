@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from kawaraban.functions.links import VIDEO_PREFIX
 
@@ -14,17 +15,26 @@ HOT_SHARE = 0.001
 SALTS = 64
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of all rows; never more than 1/share rows.
+def _key_hash(df: DataFrame, on: Sequence[str], types: StructType) -> Column:
+    """Hash of the key columns, in the types of the counted side."""
+    return F.xxhash64(*[F.col(c).cast(types[c].dataType) for c in on])
 
-    Counted with map-side partial aggregation over the key columns only.
+
+def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> list[int]:
+    """Hashes of the keys that hold more than ``share`` of all rows: at most 1/share numbers.
+
+    Runs a count over the key columns of ``df``, which should be a stored table.
+    Eight-byte hashes are counted, first within each task.  Keys that share a
+    hash with a hot one are taken for hot too, which is harmless.
     """
-    total = df.agg(F.count("*").alias("n")).scalar()
-    counts = df.groupBy(*on).agg(F.count("*").alias("_n"))
-    return counts.where(F.col("_n") > total * F.lit(share)).select(*on)
+    on = list(on)
+    keys = df.select(_key_hash(df, on, df.schema).alias("_key"))
+    total = keys.agg(F.count("*").alias("n")).scalar()
+    counts = keys.groupBy("_key").agg(F.count("*").alias("n"))
+    return [r["_key"] for r in counts.where(F.col("n") > total * F.lit(share)).collect()]
 
 
-def salted_lookup(
+def salted_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
@@ -33,42 +43,50 @@ def salted_lookup(
     share: float = HOT_SHARE,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join ``left`` to a right side with one row per key, splitting hot left keys.
+    """Equi-join that splits the left rows of hot keys.
 
-    Rows of a hot key are spread over ``salts`` sub-keys by a hash of their
-    content and input partition (the same on a rerun), and only the hot rows of
-    the right side are repeated.  The hot keys are broadcast: their number is
-    bounded by ``1 / share``.  They are counted on ``counted``, a stored table
-    with the left side's keys, or on ``left``, which is then read once more.
+    Hot keys are looked for in ``counted``, a stored table with the left side's
+    keys, or else in ``left`` itself.  Without any this is a plain join.  With
+    some, their left rows are spread over ``salts`` sub-keys by a hash of
+    content and input partition (the same on a rerun), and the right rows of
+    hot keys alone are repeated for each sub-key.
     """
     on = list(on)
-    hot = F.broadcast(
-        hot_keys(left if counted is None else counted, on, share).withColumn("_hot", F.lit(True))
-    )
+    counted = left if counted is None else counted
+    hot = hot_keys(counted, on, share)
+    if not hot:
+        return left.join(right, on, how)
+    is_hot = _key_hash(left, on, counted.schema).isin(hot)
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in left.columns]), F.lit(salts))
-    salted = left.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0)).cast("int")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return salted.drop("_hot").join(repeated, [*on, "_salt"], how).drop("_salt")
+    salted = left.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)).cast("int"))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = right.withColumn("_salt", F.explode(copies))
+    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
+def pages_behind(pages: DataFrame, urls: DataFrame) -> DataFrame:
+    """Only the pages whose URL is asked for, each once.
+
+    A short URL list is broadcast by its size, and then no markup is shuffled.
+    """
+    return pages.join(urls.select("url").distinct(), "url", "left_semi")
 
 
 def expand_links(seed: DataFrame, links: DataFrame, hops: int) -> DataFrame:
     """Follow links from seed URLs: ``hops`` equi-joins, one per level.
 
-    ``seed(url)`` and ``links(url, pos, href)``; a link is followed by reading
-    the page whose URL it names.  Returns one row per path with columns
-    ``url_0`` ... ``url_<hops>`` and the position ``pos_1`` ... of each link.
+    ``seed(url)`` and ``links(url, pos, href)``, a stored table; a link is
+    followed by reading the page whose URL it names.  Returns one row per path
+    with columns ``url_0`` ... ``url_<hops>`` and the position ``pos_1`` ... of
+    each link.
     """
     out = seed.select(F.col("url").alias("url_0"))
     for hop in range(1, hops + 1):
-        step = links.select(
-            F.col("url").alias(f"url_{hop - 1}"),
-            F.col("pos").alias(f"pos_{hop}"),
-            F.col("href").alias(f"url_{hop}"),
-        )
-        out = out.join(step, f"url_{hop - 1}")
+        here, there = f"url_{hop - 1}", f"url_{hop}"
+        step = links.select(F.col("url").alias(here), F.col("pos").alias(f"pos_{hop}"), F.col("href").alias(there))
+        # After the first hop the keys are link targets, and a page many link to is hot.
+        counted = seed.select(F.col("url").alias(here)) if hop == 1 else links.select(F.col("href").alias(here))
+        out = salted_join(out, step, [here], "inner", counted)
     return out
 
 
@@ -76,11 +94,10 @@ def attach_detail(listing: DataFrame, details: DataFrame, on: str = "url") -> Da
     """Listing rows with the fields of their detail page.
 
     ``details`` holds fields already extracted, one row per URL, so each detail
-    page is read once however many rows link to it, and no markup is shuffled.
-    A listing row whose page is missing keeps NULL fields.  A link many rows
-    share makes a skewed partition on the listing side only, which AQE splits.
+    page is read once however many rows link to it.  ``listing`` should be a
+    stored table.  A listing row whose page is missing keeps NULL fields.
     """
-    return listing.join(details, on, "left")
+    return salted_join(listing, details, [on], "left")
 
 
 def unseen(new: DataFrame, stored: DataFrame, rule: str = "pair", date: str = "date_raw", title: str = "title") -> DataFrame:
@@ -92,14 +109,13 @@ def unseen(new: DataFrame, stored: DataFrame, rule: str = "pair", date: str = "d
     """
     if rule == "pair":
         keys = stored.select(date, title).distinct()
-        return salted_lookup(new, keys, [date, title], "left_anti")
+        return salted_join(new, keys, [date, title], "left_anti")
     if rule != "independent":
         raise ValueError(f"unknown rule: {rule}")
     dates = stored.select(date).distinct().withColumn("_date_seen", F.lit(True))
     titles = stored.select(title).distinct().withColumn("_title_seen", F.lit(True))
-    both = salted_lookup(
-        salted_lookup(new, dates, [date]), titles, [title], counted=new.select(title)
-    )
+    dated = salted_join(new, dates, [date])
+    both = salted_join(dated, titles, [title], counted=new.select(title))
     seen = F.coalesce(F.col("_date_seen") & F.col("_title_seen"), F.lit(False))
     return both.where(~seen).select(*new.columns)
 
@@ -126,7 +142,7 @@ def with_roles(
     Many articles may carry the same sentence, so the article side is split
     where one sentence is hot.
     """
-    return salted_lookup(articles, roles, [key], "left", counted)
+    return salted_join(articles, roles, [key], "left", counted)
 
 
 def listing_counts(links: DataFrame, video_mark: str = VIDEO_PREFIX) -> DataFrame:

@@ -64,6 +64,19 @@ def dedup(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return df.dropDuplicates(list(cols)) if cols else df.distinct()
 
 
+def dedup_for(df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Distinct rows of ``df``, reduced to the columns ``keep``.
+
+    Two rows are the same when all columns are.  Columns that are not kept go
+    through the shuffle as one SHA-256 digest instead of their text.
+    """
+    others = [c for c in df.columns if c not in keep]
+    if not others:
+        return dedup(df.select(*keep))
+    digest = F.sha2(F.to_json(F.struct(*others)), 256)
+    return df.select(*keep, digest.alias("_rest")).distinct().drop("_rest")
+
+
 def token_histogram(
     df: DataFrame,
     by: str,

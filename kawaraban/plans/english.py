@@ -7,17 +7,17 @@ from pyspark.sql import DataFrame, functions as F
 from kawaraban.functions.dates import day_key
 from kawaraban.functions.links import absolutise
 from kawaraban.operators.extract import english_body, links_in
-from kawaraban.operators.joins import attach_detail, days_to_refresh, listing_counts
+from kawaraban.operators.joins import (
+    attach_detail,
+    days_to_refresh,
+    listing_counts,
+    pages_behind,
+)
 from kawaraban.operators.rows import drop_matching_urls, exclude_links, non_empty
 from kawaraban.session import staged
 from kawaraban.sources import profiles as P
 
 
-def pages_behind(pages: DataFrame, urls: DataFrame) -> DataFrame:
-    """Only the pages whose URL is asked for, each once."""
-    return pages.join(urls, "url", "left_semi")
-
-
 def day_pages(pages: DataFrame, years: DataFrame) -> DataFrame:
     """Day pages linked from the year pages: url, day."""
     links = links_in(pages_behind(pages, years), P.Selector("p"))
@@ -42,12 +42,13 @@ def daily_corpus(
 
     ``years(url)`` are the archive pages to start from, ``stored(day,
     stored_lines)`` says what is there.  Only pages of incomplete days are
-    parsed.  Days and their links are staged: they are small next to the pages
-    and steer all that follows.
+    parsed.  What steers the next step is staged: days, their links, the links
+    to follow.  These are small next to the pages.
     """
     days = staged(day_pages(pages, years), "days")
     listing = staged(day_listing(pages, days), "listing")
-    due = days_to_refresh(listing_counts(listing), stored, slack).select("day")
+    due = staged(days_to_refresh(listing_counts(listing), stored, slack).select("day"), "due")
     wanted = drop_matching_urls(listing.withColumnRenamed("href", "url").join(due, "day", "left_semi"))
+    wanted = staged(wanted, "wanted")
     bodies = english_body(pages_behind(pages, wanted.select("url"))).withColumnRenamed("page_id", "url")
     return non_empty(attach_detail(wanted, bodies), "text").select("day", "pos", "url", "text")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from kawaraban.operators.joins import stored_counts
 from kawaraban.plans.english import daily_corpus
@@ -71,5 +71,4 @@ def redo_property_table(spark: SparkSession, path: str, roles_of: RolesOf) -> No
 
 def save_histogram(articles: DataFrame, path: str, text: str = "Snippet", date: str = "Date", **tokens: str) -> None:
     """Yearly token histogram of a stored article table, one folder per year."""
-    dated = articles.withColumn("date_raw", F.col(date))
-    write_by_year(yearly_histogram(dated, text, **tokens), path)
+    write_by_year(yearly_histogram(articles, text, date, **tokens), path)

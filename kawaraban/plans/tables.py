@@ -17,9 +17,8 @@ from kawaraban.operators.extract import (
     japanese_body,
     property_items,
 )
-from kawaraban.operators.joins import attach_detail, unseen, with_roles
+from kawaraban.operators.joins import attach_detail, pages_behind, unseen, with_roles
 from kawaraban.operators.rows import append_new
-from kawaraban.plans.english import pages_behind
 from kawaraban.plans.roles import ROLE_COLUMNS
 from kawaraban.session import staged
 from kawaraban.sources import profiles as P

@@ -10,6 +10,7 @@ from kawaraban.operators.extract import archive_details, links_in
 from kawaraban.operators.rows import append_new as put_first
 from kawaraban.queries import fixtures as X
 from kawaraban.queries.base import q, query, with_
+from kawaraban.session import staged
 from kawaraban.sources import profiles as P
 
 
@@ -21,11 +22,12 @@ from kawaraban.sources import profiles as P
 )
 def link_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Year pages to day pages to articles: two hops over one link table."""
-    pages = X.d_hops(spark, sf_dir)
+    pages = staged(X.d_hops(spark, sf_dir), "pages")
     listed = links_in(pages, P.Selector("p")).unionByName(links_in(pages, P.EN_DAY))
     links = listed.where(~F.col("href").isin(*BOILERPLATE_LINKS)).select(
         F.col("page_id").alias("url"), "pos", absolutise(F.col("href"), P.EN_BASE).alias("href")
     )
+    links = staged(links, "links")
     return J.expand_links(X.year_seeds(spark, sf_dir), links, 2).select("url_0", "url_1", "url_2")
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from kawaraban.operators.joins import pages_behind
+
 
 def page_source(spark: SparkSession, path: str) -> DataFrame:
     """pages(page_id, url, html), one row per URL."""
@@ -23,9 +25,10 @@ def latest_pages(pages: DataFrame) -> DataFrame:
 def read_pages(urls: DataFrame, pages: DataFrame) -> DataFrame:
     """urls with the page behind each: html ('' where unreadable) and ``fetched``.
 
-    Each wanted URL is looked up once, however often it is asked for.
+    Each wanted URL is looked up once, however often it is asked for.  Pages
+    nobody asks for are dropped first, so a short list shuffles little markup.
     """
-    found = pages.select("url", "html").withColumn("_found", F.lit(True))
+    found = pages_behind(pages.select("url", "html"), urls).withColumn("_found", F.lit(True))
     return (
         urls.select("url")
         .distinct()

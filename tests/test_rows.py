@@ -23,7 +23,7 @@ def test_unseen_and_seen_make_all(spark):
     assert rows(left.union(seen.select(left.columns))) == rows(new)
 
 
-def test_salted_lookup_keeps_all_rows_of_a_hot_key(spark):
+def test_salted_join_keeps_all_rows_of_a_hot_key(spark):
     # One key holds a third of the rows, all of them identical copies.
     left = spark.range(3000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id)) k", "if(id % 3 = 0, 0, id) v")
     left = left.repartition(4)
@@ -31,10 +31,16 @@ def test_salted_lookup_keeps_all_rows_of_a_hot_key(spark):
         spark.createDataFrame([("hot", -1)], "k string, w bigint")
     )
     for how in ("left", "inner", "left_anti", "left_semi"):
-        salted = J.salted_lookup(left, right, ["k"], how, share=0.1, salts=8)
+        salted = J.salted_join(left, right, ["k"], how, share=0.1, salts=8)
         assert rows(salted.na.fill(-9)) == rows(left.join(right, ["k"], how).na.fill(-9))
-    assert rows(J.hot_keys(left, ["k"], 0.1)) == [("hot",)]
-    assert J.hot_keys(left, ["k"], 0.5).count() == 0
+    assert len(J.hot_keys(left, ["k"], 0.1)) == 1
+    assert J.hot_keys(left, ["k"], 0.5) == []
+
+
+def test_salted_join_with_keys_of_another_type(spark):
+    left = spark.range(100).selectExpr("cast(id % 2 AS int) k", "id v")
+    right = spark.createDataFrame([(0, "even"), (1, "odd")], "k bigint, w string")
+    assert J.salted_join(left, right, ["k"], "inner", share=0.1, salts=8).count() == 100
 
 
 def test_salts_spread_a_hot_key(spark):
@@ -42,7 +48,7 @@ def test_salts_spread_a_hot_key(spark):
     try:
         left = spark.range(4000).selectExpr("'hot' k", "id v")
         right = spark.createDataFrame([("hot", 1)], "k string, w bigint")
-        joined = J.salted_lookup(left, right, ["k"], salts=64)
+        joined = J.salted_join(left, right, ["k"], salts=64)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         parts = joined.groupBy(F.spark_partition_id()).count()
         assert joined.count() == 4000 and parts.count() > 1
