@@ -10,8 +10,10 @@ from pyspark.sql.types import StructType
 from kawaraban.functions.links import VIDEO_PREFIX
 
 # A key is hot when it holds more than this share of the rows, so at most
-# 1 / HOT_SHARE keys are hot however large the table is.
+# 1 / HOT_SHARE keys are hot however large the table is, and when it is more
+# than one task takes in its stride.
 HOT_SHARE = 0.001
+HOT_ROWS = 100_000
 SALTS = 64
 
 
@@ -20,9 +22,13 @@ def _key_hash(df: DataFrame, on: Sequence[str], types: StructType) -> Column:
     return F.xxhash64(*[F.col(c).cast(types[c].dataType) for c in on])
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> list[int]:
+def hot_keys(
+    df: DataFrame, on: Sequence[str], share: float = HOT_SHARE, rows: int = HOT_ROWS
+) -> list[int]:
     """Hashes of the keys that hold more than ``share`` of all rows: at most 1/share numbers.
 
+    A key of no more than ``rows`` rows is never hot.
+
     Runs a count over the key columns of ``df``, which should be a stored table.
     Eight-byte hashes are counted, first within each task.  Keys that share a
     hash with a hot one are taken for hot too, which is harmless.
@@ -31,7 +37,8 @@ def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> list
     keys = df.select(_key_hash(df, on, df.schema).alias("_key"))
     total = keys.agg(F.count("*").alias("n")).scalar()
     counts = keys.groupBy("_key").agg(F.count("*").alias("n"))
-    return [r["_key"] for r in counts.where(F.col("n") > total * F.lit(share)).collect()]
+    hot = (F.col("n") > rows) & (F.col("n") > total * F.lit(share))
+    return [r["_key"] for r in counts.where(hot).collect()]
 
 
 def salted_join(
@@ -41,6 +48,7 @@ def salted_join(
     how: str = "left",
     counted: DataFrame | None = None,
     share: float = HOT_SHARE,
+    rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Equi-join that splits the left rows of hot keys.
@@ -53,7 +61,7 @@ def salted_join(
     """
     on = list(on)
     counted = left if counted is None else counted
-    hot = hot_keys(counted, on, share)
+    hot = hot_keys(counted, on, share, rows)
     if not hot:
         return left.join(right, on, how)
     is_hot = _key_hash(left, on, counted.schema).isin(hot)

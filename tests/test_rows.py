@@ -31,16 +31,16 @@ def test_salted_join_keeps_all_rows_of_a_hot_key(spark):
         spark.createDataFrame([("hot", -1)], "k string, w bigint")
     )
     for how in ("left", "inner", "left_anti", "left_semi"):
-        salted = J.salted_join(left, right, ["k"], how, share=0.1, salts=8)
+        salted = J.salted_join(left, right, ["k"], how, share=0.1, rows=10, salts=8)
         assert rows(salted.na.fill(-9)) == rows(left.join(right, ["k"], how).na.fill(-9))
-    assert len(J.hot_keys(left, ["k"], 0.1)) == 1
-    assert J.hot_keys(left, ["k"], 0.5) == []
+    assert len(J.hot_keys(left, ["k"], 0.1, 10)) == 1
+    assert J.hot_keys(left, ["k"], 0.5, 10) == J.hot_keys(left, ["k"], 0.1) == []
 
 
 def test_salted_join_with_keys_of_another_type(spark):
     left = spark.range(100).selectExpr("cast(id % 2 AS int) k", "id v")
     right = spark.createDataFrame([(0, "even"), (1, "odd")], "k bigint, w string")
-    assert J.salted_join(left, right, ["k"], "inner", share=0.1, salts=8).count() == 100
+    assert J.salted_join(left, right, ["k"], "inner", share=0.1, rows=10, salts=8).count() == 100
 
 
 def test_salts_spread_a_hot_key(spark):
@@ -48,7 +48,7 @@ def test_salts_spread_a_hot_key(spark):
     try:
         left = spark.range(4000).selectExpr("'hot' k", "id v")
         right = spark.createDataFrame([("hot", 1)], "k string, w bigint")
-        joined = J.salted_join(left, right, ["k"], salts=64)
+        joined = J.salted_join(left, right, ["k"], rows=10, salts=64)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         parts = joined.groupBy(F.spark_partition_id()).count()
         assert joined.count() == 4000 and parts.count() > 1
