@@ -24,20 +24,20 @@ def tokens(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(TOKEN), F.lit(0))
 
 
-def kind(token: Column) -> Column:
-    """comment, raw (script or style with content), tag or text."""
-    return (
-        F.when(~token.startswith("<"), "text")
-        .when(token.rlike(r"^<[!?]"), "comment")
-        .when(token.rlike(r"(?is)^<(script|style)\b.*</"), "raw")
-        .when(token.rlike(r"^</?[A-Za-z]"), "tag")
-        .otherwise("text")
-    )
+def tag_name(token: Column) -> Column:
+    """Lower-case tag name; '' where the token is no tag, NULL where it is plain text."""
+    name = F.lower(F.regexp_extract(token, r"^</?([A-Za-z][A-Za-z0-9]*)", 1))
+    return F.when(token.startswith("<") & (token != "<"), name)
 
 
-def tag_name(token: Column) -> Column:
-    """Lower-case tag name, '' where the token is no tag."""
-    return F.lower(F.regexp_extract(token, r"^</?([A-Za-z][A-Za-z0-9]*)", 1))
+def kind(token: Column, name: Column) -> Column:
+    """comment, raw (script or style with content), tag or text, given ``tag_name``."""
+    return (
+        F.when(name.isNull(), "text")
+        .when(name == "", "comment")
+        .when(name.isin("script", "style") & ~token.startswith("</") & token.contains("</"), "raw")
+        .otherwise("tag")
+    )
 
 
 def attribute(token: Column, name: str) -> Column:

@@ -54,8 +54,9 @@ def _by_page(df: DataFrame) -> DataFrame:
 
 
 def _spread(html_rows: DataFrame) -> DataFrame:
-    tokens = F.posexplode(H.tokens(F.col("html"))).alias("pos", "text")
-    return html_rows.select("page_id", tokens).withColumn("kind", H.kind(F.col("text")))
+    tok = html_rows.select("page_id", F.posexplode(H.tokens(F.col("html"))).alias("pos", "text"))
+    tok = tok.withColumn("name", H.tag_name(F.col("text")))
+    return tok.withColumn("kind", H.kind(F.col("text"), F.col("name")))
 
 
 def _with_fields(tok: DataFrame) -> DataFrame:
@@ -64,8 +65,8 @@ def _with_fields(tok: DataFrame) -> DataFrame:
         "page_id",
         "pos",
         "kind",
-        F.when(is_tag, H.tag_name(F.col("text"))).alias("tag"),
-        F.coalesce(is_tag & F.col("text").startswith("</"), F.lit(False)).alias("is_close"),
+        F.when(is_tag, F.col("name")).alias("tag"),
+        (is_tag & F.col("text").startswith("</")).alias("is_close"),
         *[F.when(is_tag, H.attribute(F.col("text"), a)).alias(a) for a in ("id", "class", "href")],
         "text",
     )
@@ -117,7 +118,7 @@ def nodes(tok: DataFrame, tags: Iterable[str], pieces: Iterable[str] = ()) -> Da
     lane = F.col("lane")
     is_list = tag.isin(*LIST_TAGS)
     counts = F.when(lane == "li", is_list).otherwise(~lane.isin("p", ALONE, PIECE))
-    rows = tok.select("*", F.explode(F.array_compact(F.array(*lanes))).alias("lane"))
+    rows = tok.select("*", F.explode(F.array(*lanes)).alias("lane")).where(lane.isNotNull())
     rows = rows.withColumn(
         "depth",
         F.sum(F.when(counts, F.when(closing, -1).otherwise(1)).otherwise(0)).over(

@@ -34,10 +34,9 @@ def sql_tokens(source: str, name: str = "tok") -> str:
          kind = 'tag' AND starts_with(text, '</') AS is_close,
          {value('id')} AS el_id, {value('class')} AS class, {value('href')} AS href
   FROM (SELECT page_id, pos, text,
-               CASE WHEN NOT starts_with(text, '<') THEN 'text'
-                    WHEN regexp_matches(text, '^<[!?]') THEN 'comment'
+               CASE WHEN NOT starts_with(text, '<') OR text = '<' THEN 'text'
                     WHEN regexp_matches(text, '(?is)^<(script|style)\\b.*</') THEN 'raw'
-                    WHEN regexp_matches(text, '^</?[A-Za-z]') THEN 'tag' ELSE 'text' END AS kind
+                    WHEN regexp_matches(text, '^</?[A-Za-z]') THEN 'tag' ELSE 'comment' END AS kind
         FROM (SELECT page_id, unnest(l) AS text, generate_subscripts(l, 1) - 1 AS pos
               FROM (SELECT page_id, regexp_extract_all(html, {q(_TOKEN)}) AS l FROM {source}))))"""
 
