@@ -108,20 +108,31 @@ def attach_detail(listing: DataFrame, details: DataFrame, on: str = "url") -> Da
     return salted_join(listing, details, [on], "left")
 
 
-def unseen(new: DataFrame, stored: DataFrame, rule: str = "pair", date: str = "date_raw", title: str = "title") -> DataFrame:
+def _stored_keys(stored: DataFrame, new: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Distinct stored keys that occur in ``new``.
+
+    A small batch of new keys is broadcast by its size, so that the stored
+    table is only scanned for its key columns and not shuffled.
+    """
+    return stored.select(*on).join(new.select(*on).distinct(), list(on), "left_semi").distinct()
+
+
+def unseen(
+    new: DataFrame, stored: DataFrame, rule: str = "pair", date: str = "date_raw", title: str = "title"
+) -> DataFrame:
     """Rows of ``new`` not stored yet.
 
     ``pair`` drops a row whose (date, title) is stored.  ``independent`` drops
     it when its date and its title are each stored, even on different rows.
-    ``new`` should be a stored table: its keys are also read to find hot ones.
+    ``new`` should be a stored table: its keys are read several times.
     """
     if rule == "pair":
-        keys = stored.select(date, title).distinct()
-        return salted_join(new, keys, [date, title], "left_anti")
+        on = [date, title]
+        return salted_join(new, _stored_keys(stored, new, on), on, "left_anti")
     if rule != "independent":
         raise ValueError(f"unknown rule: {rule}")
-    dates = stored.select(date).distinct().withColumn("_date_seen", F.lit(True))
-    titles = stored.select(title).distinct().withColumn("_title_seen", F.lit(True))
+    dates = _stored_keys(stored, new, [date]).withColumn("_date_seen", F.lit(True))
+    titles = _stored_keys(stored, new, [title]).withColumn("_title_seen", F.lit(True))
     dated = salted_join(new, dates, [date])
     both = salted_join(dated, titles, [title], counted=new.select(title))
     seen = F.coalesce(F.col("_date_seen") & F.col("_title_seen"), F.lit(False))

@@ -35,20 +35,29 @@ def day_listing(pages: DataFrame, days: DataFrame) -> DataFrame:
     return links.withColumnRenamed("page_id", "url").join(days, "url").select("day", "pos", "href")
 
 
-def daily_corpus(
-    pages: DataFrame, years: DataFrame, stored: DataFrame, slack: int = 10
-) -> DataFrame:
-    """Articles of all days that need a refresh: day, pos, url, text.
+def archive_listing(pages: DataFrame, years: DataFrame) -> DataFrame:
+    """Article links of all days below the year pages: day, pos, href.
 
-    ``years(url)`` are the archive pages to start from, ``stored(day,
-    stored_lines)`` says what is there.  Only pages of incomplete days are
-    parsed.  What steers the next step is staged: days, their links, the links
-    to follow.  These are small next to the pages.
+    The days and the links are staged: they are small next to the pages and
+    steer what is read next.
     """
     days = staged(day_pages(pages, years), "days")
-    listing = staged(day_listing(pages, days), "listing")
+    return staged(day_listing(pages, days), "listing")
+
+
+def due_articles(pages: DataFrame, listing: DataFrame, stored: DataFrame, slack: int = 10) -> DataFrame:
+    """Articles of all days that need a refresh: day, pos, url, text.
+
+    ``stored(day, stored_lines)`` says what is there.  Only pages of incomplete
+    days are parsed.
+    """
     due = staged(days_to_refresh(listing_counts(listing), stored, slack).select("day"), "due")
     wanted = drop_matching_urls(listing.withColumnRenamed("href", "url").join(due, "day", "left_semi"))
     wanted = staged(wanted, "wanted")
-    bodies = english_body(pages_behind(pages, wanted.select("url"))).withColumnRenamed("page_id", "url")
+    bodies = english_body(pages_behind(pages, wanted)).withColumnRenamed("page_id", "url")
     return non_empty(attach_detail(wanted, bodies), "text").select("day", "pos", "url", "text")
+
+
+def daily_corpus(pages: DataFrame, years: DataFrame, stored: DataFrame, slack: int = 10) -> DataFrame:
+    """From the archive's year pages(url) to the articles of all days behind."""
+    return due_articles(pages, archive_listing(pages, years), stored, slack)

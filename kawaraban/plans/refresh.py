@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from kawaraban.operators.joins import stored_counts
-from kawaraban.plans.english import daily_corpus
+from kawaraban.plans.english import archive_listing, due_articles
 from kawaraban.plans.histogram import yearly_histogram
-from kawaraban.plans.tables import incremental_table, property_listing, reanalysed
+from kawaraban.plans.tables import (
+    RolesOf,
+    analysed,
+    property_listing,
+    reanalysed,
+    unseen_articles,
+)
 from kawaraban.session import staged
 from kawaraban.sources.tables import (
     PROPERTY_COLUMNS,
     PROPERTY_ROLE_COLUMNS,
+    append_articles,
     read_articles,
     read_daily,
     write_articles,
@@ -23,20 +29,29 @@ from kawaraban.sources.tables import (
 )
 
 PROPERTY_SCHEMA = ", ".join(f"`{c}` string" for c in (*PROPERTY_COLUMNS, *PROPERTY_ROLE_COLUMNS))
-RolesOf = Callable[[DataFrame], DataFrame]
 
 
 def refresh_daily_corpus(
-    spark: SparkSession, path: str, pages: DataFrame, years: DataFrame, slack: int = 10
+    spark: SparkSession,
+    path: str,
+    pages: DataFrame,
+    years: DataFrame,
+    slack: int = 10,
+    fmt: str = "text",
 ) -> None:
-    """Fetch the days that are missing or behind and replace their folders."""
-    daily = read_daily(spark, path)
+    """Fetch the days that are missing or behind and replace their folders.
+
+    Stored articles are counted in the folders of listed days alone.
+    """
+    listing = archive_listing(pages, years)
+    daily = read_daily(spark, path, fmt)
     if daily is None:
         stored = spark.createDataFrame([], "day string, stored_lines bigint")
     else:
+        days = listing.select("day").distinct()
         # Counted before the folder is written to.
-        stored = staged(stored_counts(daily), "stored")
-    write_daily(daily_corpus(pages, years, stored, slack), path)
+        stored = staged(stored_counts(daily.join(days, "day", "left_semi")), "stored")
+    write_daily(due_articles(pages, listing, stored, slack), path, fmt=fmt)
 
 
 def refresh_property_table(
@@ -48,18 +63,18 @@ def refresh_property_table(
     roles_of: RolesOf,
     rule: str = "pair",
 ) -> bool:
-    """Put unseen listing rows, with roles, before the stored rows.
+    """Add unseen listing rows, with roles, to the stored table.
 
-    Returns False, and leaves the table as it is, where nothing is new.
+    Only new rows are analysed and written.  Returns False where there are none.
     """
     stored = read_articles(spark, path, PROPERTY_SCHEMA)
     if stored is None:
         stored = spark.createDataFrame([], PROPERTY_SCHEMA)
     listing = staged(property_listing(pages, year, today), "listing")
-    table = incremental_table(listing, stored, roles_of, rule)
-    if table.where("batch_ord = 0").isEmpty():
+    new = unseen_articles(listing, stored, rule)
+    if new.isEmpty():
         return False
-    write_articles(table, path, (*PROPERTY_COLUMNS, *PROPERTY_ROLE_COLUMNS))
+    append_articles(analysed(new, roles_of), path, (*PROPERTY_COLUMNS, *PROPERTY_ROLE_COLUMNS))
     return True
 
 

@@ -24,6 +24,9 @@ from kawaraban.session import staged
 from kawaraban.sources import profiles as P
 from kawaraban.sources.tables import PROPERTY_ROLE_COLUMNS
 
+# Turns sentences(sent_id, sentence) into roles, by way of an external parser.
+RolesOf = Callable[[DataFrame], DataFrame]
+
 
 def headline_table(pages: DataFrame, listing_urls: DataFrame) -> DataFrame:
     """Headlines with their article text: Date, Summary, Link, Detail."""
@@ -105,27 +108,32 @@ def property_rows(keyed: DataFrame, roles: DataFrame, counted: DataFrame | None
     )
 
 
-def incremental_table(
-    listing: DataFrame,
-    stored: DataFrame,
-    roles_of: Callable[[DataFrame], DataFrame],
-    rule: str = "pair",
-) -> DataFrame:
-    """New listing rows with roles, before the stored rows.
+def unseen_articles(listing: DataFrame, stored: DataFrame, rule: str = "pair") -> DataFrame:
+    """Listing rows not stored yet, with their sentences; staged, since several steps read them.
 
-    ``stored`` has the stored columns.  ``roles_of`` turns sentences(sent_id,
-    sentence) into roles; it is given the distinct sentences of unseen rows
-    only.  ``listing`` should be a stored table; the unseen rows are staged,
-    since several steps read them.
+    ``listing`` should be a stored table.
     """
-    listing = staged(listing, "listing")
     keys = stored.select(F.col("Date").alias("date_raw"), F.col("Title").alias("title"))
-    fresh = staged(with_sentences(unseen(listing, keys, rule), sentence(F.col("summary"))), "fresh")
-    roles = roles_of(fresh.select("sent_id", "sentence").distinct())
-    return append_new(property_rows(fresh, roles), stored)
+    return staged(with_sentences(unseen(listing, keys, rule), sentence(F.col("summary"))), "unseen")
+
+
+def analysed(unseen_rows: DataFrame, roles_of: RolesOf) -> DataFrame:
+    """Unseen articles as stored rows.
+
+    ``roles_of`` turns sentences(sent_id, sentence) into roles; it is given
+    each distinct sentence once.
+    """
+    return property_rows(unseen_rows, roles_of(unseen_rows.select("sent_id", "sentence").distinct()))
+
+
+def incremental_table(
+    listing: DataFrame, stored: DataFrame, roles_of: RolesOf, rule: str = "pair"
+) -> DataFrame:
+    """New listing rows with roles, before the stored rows (``batch_ord`` 0 and 1)."""
+    return append_new(analysed(unseen_articles(listing, stored, rule), roles_of), stored)
 
 
-def reanalysed(stored: DataFrame, roles_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def reanalysed(stored: DataFrame, roles_of: RolesOf) -> DataFrame:
     """All stored rows with their roles made anew from their sentences."""
     articles = stored.select(
         F.col("Date").alias("date_raw"),

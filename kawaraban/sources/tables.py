@@ -74,38 +74,57 @@ def write_batches(df: DataFrame, path: str, page: str = "page", size: int = CHEC
     write_partitioned(df.withColumn("batch", F.floor(F.col(page) / size)), path, "batch")
 
 
-def _current(spark: SparkSession, path: str) -> tuple[int, str | None]:
-    """Number and folder of the newest complete version: a one-row lookup."""
-    known = _load(spark.read.schema("n bigint, folder string"), f"{path}/versions")
-    if known is None:
-        return 0, None
-    top = known.agg(F.max(F.struct("n", "folder")).alias("v")).first()["v"]
-    return (top["n"], top["folder"]) if top else (0, None)
+# One row per write: its number, its folder, and whether it replaces what was there.
+VERSIONS = "n bigint, folder string, whole boolean"
 
 
-def write_articles(df: DataFrame, path: str, columns: Sequence[str] | None = None, fmt: str = "parquet") -> None:
-    """Save a whole table as a new version; readers switch when it is complete.
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Number and folder of the writes that make up the table now, oldest first.
 
-    The new version may be computed from the stored one: nothing is overwritten,
-    and one row added to the version list makes the new folder current.
+    The newest whole write and the additions after it: as many rows as there
+    were additions, until ``write_articles`` joins them again.
     """
+    known = _load(spark.read.schema(VERSIONS), f"{path}/versions")
+    if known is None:
+        return []
+    base = known.where("whole").agg(F.max("n").alias("n")).scalar()
+    current = known.where(F.col("n") >= F.coalesce(base, F.lit(0))).select("n", "folder")
+    return sorted((r["n"], r["folder"]) for r in current.collect())
+
+
+def _write_version(df: DataFrame, path: str, columns: Sequence[str] | None, fmt: str, whole: bool) -> None:
     spark = df.sparkSession
-    n, _ = _current(spark, path)
-    folder = f"v{n + 1:08d}-{uuid.uuid4().hex}"
+    n = max((n for n, _ in _versions(spark, path)), default=0) + 1
+    folder = f"v{n:08d}-{uuid.uuid4().hex}"
     out = df.select(*columns) if columns else df
     writer = out.write.format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True).option("escape", '"')
     writer.save(f"{path}/{folder}")
-    spark.createDataFrame([(n + 1, folder)], "n bigint, folder string").coalesce(1).write.mode(
-        "append"
-    ).parquet(f"{path}/versions")
+    # The write counts from here on.
+    spark.createDataFrame([(n, folder, whole)], VERSIONS).coalesce(1).write.mode("append").parquet(
+        f"{path}/versions"
+    )
+
+
+def write_articles(df: DataFrame, path: str, columns: Sequence[str] | None = None, fmt: str = "parquet") -> None:
+    """Save a whole table as a new version; readers switch when it is complete.
+
+    The new version may be computed from the stored one: nothing is overwritten,
+    and one row added to the version list makes the new folder current.
+    """
+    _write_version(df, path, columns, fmt, whole=True)
+
+
+def append_articles(df: DataFrame, path: str, columns: Sequence[str] | None = None, fmt: str = "parquet") -> None:
+    """Add rows to a stored table; what is there is not written again."""
+    _write_version(df, path, columns, fmt, whole=False)
 
 
 def read_articles(spark: SparkSession, path: str, schema: str | None = None, fmt: str = "parquet") -> DataFrame | None:
     """The current version of a stored table, or None where there is none yet."""
-    _, folder = _current(spark, path)
-    if folder is None:
+    folders = [f"{path}/{folder}" for _, folder in _versions(spark, path)]
+    if not folders:
         return None
     reader = spark.read.format(fmt)
     if fmt == "csv":
@@ -113,4 +132,4 @@ def read_articles(spark: SparkSession, path: str, schema: str | None = None, fmt
         reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
     if schema:
         reader = reader.schema(schema)
-    return reader.load(f"{path}/{folder}")
+    return reader.load(folders)

@@ -11,7 +11,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from kawaraban.plans.refresh import RolesOf, refresh_property_table
+from kawaraban.plans.refresh import refresh_property_table
+from kawaraban.plans.tables import RolesOf
 
 PAGE_SCHEMA = "page_id bigint, url string, html string"
 

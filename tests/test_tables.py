@@ -36,6 +36,18 @@ def test_versions(spark, tmp_path):
     T.write_articles(first.union(first), path)
     assert first.columns == ["Title", "Date"]
     assert rows(T.read_articles(spark, path)) == [("a", "1"), ("a", "1")]
+    T.append_articles(df, path, ("Title", "Date"))
+    assert T.read_articles(spark, path).count() == 3
+    T.write_articles(T.read_articles(spark, path).distinct(), path)
+    T.append_articles(df, path, ("Title", "Date"))
+    assert rows(T.read_articles(spark, path)) == [("a", "1"), ("a", "1")]
+
+
+def test_first_write_may_be_an_addition(spark, tmp_path):
+    path = str(tmp_path / "added")
+    T.append_articles(spark.range(2), path)
+    T.append_articles(spark.range(3), path)
+    assert T.read_articles(spark, path).count() == 5
 
 
 def test_csv_keeps_newlines_and_quotes(spark, tmp_path):
