@@ -55,55 +55,53 @@ def with_void_tags_closed(token: Column) -> Column:
     return F.regexp_replace(token, rf"(?is)^<({'|'.join(VOID_TAGS)})\b([^>]*?)\s*/?>$", "<$1$2/>")
 
 
-def reserialised(text: Column) -> Column:
-    """Text as it stands in serialised markup: only ``& < >`` are escaped."""
+def reserialised(text: str) -> Column:
+    """Text column as it stands in serialised markup: only ``& < >`` are escaped."""
     out = decode_entities(text)
     for char, ref in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         out = F.replace(out, F.lit(char), F.lit(ref))
-    return F.when(text.rlike("[&<>]"), out).otherwise(text)
+    return F.when(F.col(text).rlike("[&<>]"), out).otherwise(F.col(text))
 
 
-def decode_entities(text: Column) -> Column:
-    """Replace named and numeric character references, each exactly once.
+def decode_entities(text: str) -> Column:
+    """Text column with named and numeric character references replaced, each exactly once.
 
     The text is cut at '&', so what one reference decodes to is never read as
-    the start of another.  References nobody knows stay as they are.  ``text``
-    is read several times, so pass a column rather than a long expression.
+    the start of another; what stands before the first '&' holds none.
+    References nobody knows stay as they are.
     """
-    found = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+    return F.expr(_DECODED.format(text=f"`{text}`"))
 
-    def cut(part: Column, i: Column) -> Column:
-        # What stands before the first '&' holds no reference.
-        ref = F.when(i == 0, "").otherwise(F.regexp_extract(part, found, 1))
-        return F.struct(part.alias("part"), ref.alias("ref"), (i == 0).alias("head"))
 
-    def decoded(x: Column) -> Column:
-        part, ref = x["part"], x["ref"]
-        rest = F.substring(part, F.length(ref) + 2, F.length(part))
-        known = F.when(ref.startswith("#"), _numbered(ref)).otherwise(F.try_element_at(_names(), ref))
-        kept = F.concat(F.when(x["head"], "").otherwise("&"), part)
-        return F.when(ref == "", kept).otherwise(F.coalesce(F.concat(known, rest), kept))
+def _names() -> str:
+    """Named references as constant text for str_to_map, the common ones first.
 
-    parts = F.transform(F.transform(F.split(text, "&"), cut), decoded)
-    return F.when(text.contains("&"), F.array_join(parts, "")).otherwise(text)
-
-
-def _names() -> Column:
-    """Named references as a map, the common ones first since maps are scanned in order.
-
-    Given as one constant text, which Spark turns into a constant map.
+    Maps are scanned in order.
     """
     common = ["amp", "quot", "lt", "gt", "nbsp"]
     names = common + sorted(set(name2codepoint) - set(common))
-    pairs = "\x02".join(f"{n}\x01{chr(name2codepoint[n])}" for n in names)
-    return F.str_to_map(F.lit(pairs), F.lit("\x02"), F.lit("\x01"))
+    return "\x02".join(f"{n}\x01{chr(name2codepoint[n])}" for n in names)
 
 
-def _numbered(ref: Column) -> Column:
-    """Character of ``#12354`` or ``#x3042``, NULL where there is no such character."""
-    digits = F.when(ref.rlike("^#[xX]"), F.substring(ref, 3, 6)).otherwise(
-        F.hex(F.substring(ref, 2, 7).try_cast("bigint"))
-    )
-    point = F.conv(digits, 16, 10).try_cast("bigint")
-    usable = point.between(1, 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
-    return F.when(usable, F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32"))
+# Code point of a numeric reference as hexadecimal digits.
+_DIGITS = (
+    "CASE WHEN lower(left(x.ref, 2)) = '#x' THEN substring(x.ref, 3)"
+    " ELSE hex(try_cast(substring(x.ref, 2) AS bigint)) END"
+)
+_POINT = f"try_cast(conv({_DIGITS}, 16, 10) AS bigint)"
+# SQL text, since it is short to send; written once per column.
+_DECODED = f"""
+CASE WHEN contains({{text}}, '&') THEN
+  array_join(transform(
+    transform(split({{text}}, '&'), (part, i) -> named_struct('part', part, 'head', i = 0, 'ref',
+      CASE WHEN i = 0 THEN '' ELSE regexp_extract(
+        part, '^(#[0-9]{{{{1,7}}}}|#[xX][0-9A-Fa-f]{{{{1,6}}}}|[A-Za-z][A-Za-z0-9]*);', 1) END)),
+    x -> coalesce(
+      CASE WHEN x.ref = '' THEN NULL
+           WHEN NOT startswith(x.ref, '#') THEN
+             try_element_at(str_to_map('{_names()}', '\x02', '\x01'), x.ref)
+           WHEN {_POINT} BETWEEN 1 AND 1114111 AND {_POINT} NOT BETWEEN 55296 AND 57343 THEN
+             decode(unhex(lpad({_DIGITS}, 8, '0')), 'UTF-32')
+      END || substring(x.part, length(x.ref) + 2),
+      CASE WHEN x.head THEN x.part ELSE '&' || x.part END)), '')
+ELSE {{text}} END"""

@@ -61,7 +61,7 @@ def paragraph_text(pages: DataFrame, container: P.Selector, key: str = "url") ->
     n = scope(n, "box", container.match())
     n = scope(n, "p", is_element("p"), parent="box")
     joined = n.groupBy("page_id").agg(_joined("p").alias("text"))
-    return joined.withColumn("text", decode_entities(F.col("text")))
+    return joined.withColumn("text", decode_entities("text"))
 
 
 def english_body(pages: DataFrame, key: str = "url") -> DataFrame:
@@ -131,7 +131,7 @@ def headline_items(pages: DataFrame, key: str = "url") -> DataFrame:
     zipped = parts.groupBy("page_id", "box", "ord").agg(
         of("time", "text").alias("time"), of("p", "text").alias("summary"), of("a", "href").alias("href")
     )
-    plain = lambda c: T.strip_tags(T.drop_chars(reserialised(F.col(c)), "\n"))
+    plain = lambda c: T.strip_tags(T.drop_chars(reserialised(c), "\n"))
     return complete_only(zipped, ["time", "summary", "href"]).select(
         "page_id", "box", "ord", plain("time").alias("time"), plain("summary").alias("summary"), "href"
     )
@@ -155,8 +155,8 @@ def archive_items(pages: DataFrame, key: str = "url") -> DataFrame:
     return complete_only(require(items, "title"), ["snippet", "href"]).select(
         "page_id",
         "pos",
-        plain(reserialised(F.col("title"))).alias("title"),
-        plain(T.clean_snippet(reserialised(F.col("snippet")))).alias("snippet"),
+        plain(reserialised("title")).alias("title"),
+        plain(T.clean_snippet(reserialised("snippet"))).alias("snippet"),
         "href",
     )
 
@@ -175,8 +175,8 @@ def archive_details(pages: DataFrame, key: str = "url") -> DataFrame:
     plain = lambda c: T.strip_tags(T.drop_chars(c, "\n"))
     return complete_only(found, ["time", "text"]).select(
         "page_id",
-        plain(T.drop_paren_suffix(decode_entities(F.col("time")))).alias("time"),
-        plain(T.drop_chars(decode_entities(F.col("text")), T.IDEOGRAPHIC_SPACE)).alias("text"),
+        plain(T.drop_paren_suffix(decode_entities("time"))).alias("time"),
+        plain(T.drop_chars(decode_entities("text"), T.IDEOGRAPHIC_SPACE)).alias("text"),
     )
 
 
@@ -225,7 +225,7 @@ def property_items(pages: DataFrame, key: str = "url") -> DataFrame:
         ),
     )
     links = title_contains_any(require(links, "heading"), [DAY_HEADING, NEW_ARRIVALS], "heading")
-    plain = lambda c: T.strip_tags(decode_entities(F.col(c)))
+    plain = lambda c: T.strip_tags(decode_entities(c))
     return complete_only(links.where("pos IS NOT NULL"), ["title", "summary", "href"]).select(
         "page_id",
         "sec",

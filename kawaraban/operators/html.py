@@ -45,7 +45,8 @@ def tag_tokens(pages: DataFrame, tags: Iterable[str], key: str = "page_id", html
     read, and only these few tokens are shuffled.
     """
     html_rows = pages.select(F.col(key).alias("page_id"), F.col(html).alias("html"))
-    return _by_page(_with_fields(_spread(html_rows)).where(F.col("tag").isin(*tags)))
+    wanted = ", ".join(f"'{t}'" for t in tags)
+    return _by_page(_with_fields(_spread(html_rows)).where(f"tag IN ({wanted})"))
 
 
 def _by_page(df: DataFrame) -> DataFrame:
@@ -76,9 +77,9 @@ def _with_fields(tok: DataFrame) -> DataFrame:
         "kind",
         "tag",
         "is_close",
-        H.decode_entities(F.col("id")).alias("el_id"),
-        H.decode_entities(F.col("class")).alias("class"),
-        H.decode_entities(F.col("href")).alias("href"),
+        H.decode_entities("id").alias("el_id"),
+        H.decode_entities("class").alias("class"),
+        H.decode_entities("href").alias("href"),
         "text",
     )
 
@@ -108,7 +109,8 @@ def nodes(tok: DataFrame, tags: Iterable[str], pieces: Iterable[str] = ()) -> Da
 
     lanes = [F.when(~alone & tag.isin(*nested), tag)] if nested else []
     if "p" in tags:
-        lanes.append(F.when(tag.isin(*BLOCK_TAGS), "p"))
+        blocks = ", ".join(f"'{t}'" for t in BLOCK_TAGS)
+        lanes.append(F.when(F.expr(f"tag IN ({blocks})"), "p"))
     if "li" in tags:
         lanes.append(F.when(tag.isin("li", *LIST_TAGS), "li"))
     lanes.append(F.when(alone & tag.isin(*tags), ALONE))
@@ -332,7 +334,7 @@ def text_of(el: DataFrame, tok: DataFrame) -> DataFrame:
         _pieces(el, tok.where(F.col("kind") == "text"))
         .groupBy("page_id", F.col("outer").alias("start"))
         .agg(concat_in_order(F.col("start"), F.col("text")).alias("text"))
-        .withColumn("text", H.decode_entities(F.col("text")))
+        .withColumn("text", H.decode_entities("text"))
     )
 
 
@@ -341,7 +343,7 @@ def markup_pieces(tok: DataFrame) -> DataFrame:
     text = F.col("text")
     return tok.withColumn(
         "text",
-        F.when(F.col("kind") == "text", H.reserialised(text))
+        F.when(F.col("kind") == "text", H.reserialised("text"))
         .when(F.col("kind") == "tag", H.with_void_tags_closed(text))
         .otherwise(text),
     )

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from kawaraban.functions import frames as C
 from kawaraban.operators.html import concat_in_order
 from kawaraban.queries.base import q, table
+from kawaraban.session import staged
 from kawaraban.sources import profiles as P
 
 EN_ARCHIVE = f"{P.EN_BASE}/resources/archive/us/"
@@ -44,6 +45,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
 
 
+def stored_site(pages: DataFrame) -> DataFrame:
+    """Derived pages as a stored page table of evenly filled files."""
+    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return staged(pages.repartition(n, "url"), "pages")
+
+
 # --- article table ------------------------------------------------------------
 def d_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.substring_index("text", "\n", 1)

@@ -59,7 +59,7 @@ def daily_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         X._day_key(F.col("day_no")).alias("day"),
         F.when(F.col("day_no") % 3 == 1, F.col("n")).otherwise(1).alias("stored_lines"),
     )
-    pages = staged(X.d_hops(spark, sf_dir), "pages")
+    pages = X.stored_site(X.d_hops(spark, sf_dir))
     corpus = english.daily_corpus(pages, X.year_seeds(spark, sf_dir), stored)
     return corpus.select("day", "url", "text")
 
@@ -81,7 +81,7 @@ def daily_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def headline_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = staged(X.ja_listing(spark, sf_dir).unionByName(X.ja_articles(spark, sf_dir)), "pages")
+    pages = X.stored_site(X.ja_listing(spark, sf_dir).unionByName(X.ja_articles(spark, sf_dir)))
     return J.headline_table(pages, _archive(spark, sf_dir, P.JA_ARCHIVE))
 
 
@@ -96,7 +96,7 @@ def headline_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def archive_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = staged(X.tech_listing(spark, sf_dir).unionByName(X.d_detail(spark, sf_dir)), "pages")
+    pages = X.stored_site(X.tech_listing(spark, sf_dir).unionByName(X.d_detail(spark, sf_dir)))
     return J.archive_table(pages, _archive(spark, sf_dir, X.TECH_LIST + "%d"))
 
 

@@ -197,7 +197,7 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     tok = H.html_tokens(page_table(spark, sf_dir))
     links = tok.where((F.col("tag") == "a") & ~F.col("is_close"))
     links = links.select("page_id", F.col("pos").cast("bigint").alias("pos"), attribute(F.col("text"), "href").alias("href"))
-    return require(links, "href").withColumn("href", decode_entities(F.col("href")))
+    return require(links, "href").withColumn("href", decode_entities("href"))
 
 
 # The references that occur in the page table; the ampersand must come last.

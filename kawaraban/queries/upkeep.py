@@ -22,7 +22,7 @@ from kawaraban.sources import profiles as P
 )
 def link_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Year pages to day pages to articles: two hops over one link table."""
-    pages = staged(X.d_hops(spark, sf_dir), "pages")
+    pages = X.stored_site(X.d_hops(spark, sf_dir))
     listed = links_in(pages, P.Selector("p")).unionByName(links_in(pages, P.EN_DAY))
     links = listed.where(~F.col("href").isin(*BOILERPLATE_LINKS)).select(
         F.col("page_id").alias("url"), "pos", absolutise(F.col("href"), P.EN_BASE).alias("href")
