@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from kawaraban.functions.frames import FRAME_FEATURE, PLACE_MARK, parse_slots, repname_surface
 from kawaraban.operators.html import concat_in_order
+from kawaraban.operators.rows import has_feature
 
 PHRASE_SCHEMA = """
     sent_id string, bnst_id int, parent_id int, midasi string, repname string,
@@ -110,5 +111,5 @@ def concat_children(children: DataFrame, target: str, reverse: bool = True) -> D
 
 def location_of(phrases: DataFrame) -> DataFrame:
     """Surfaces of all place phrases of a sentence, in order ('' where none)."""
-    place = F.when(F.col("fstring").contains(PLACE_MARK), repname_surface(F.col("repname")))
+    place = F.when(has_feature(PLACE_MARK), repname_surface(F.col("repname")))
     return phrases.groupBy("sent_id").agg(concat_in_order(F.col("bnst_id"), place).alias("loc"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kawaraban.functions import frames as C
 from kawaraban.operators.phrases import frame_of
+from kawaraban.operators.rows import has_feature
 
 ROLE_COLUMNS = ("ga", "wo", "ni", "verb", "loc")
 
@@ -71,7 +72,7 @@ def extract_roles(phrases: DataFrame) -> DataFrame:
         F.try_element_at("tags", F.lit(-1))["features"], F.lit(C.ARGUMENT_FEATURE)
     )
     argument = F.when(
-        F.col("fstring").contains(C.VERBAL_MARK),
+        has_feature(C.VERBAL_MARK),
         F.coalesce(
             F.concat(C.pred_arg(structure, C.NI), F.lit("に")),
             F.concat(C.pred_arg(structure, C.WO), F.lit("を")),
@@ -127,7 +128,7 @@ def extract_roles(phrases: DataFrame) -> DataFrame:
                 F.array_sort(
                     F.collect_list(
                         F.when(
-                            F.col("fstring").contains(C.PLACE_MARK),
+                            has_feature(C.PLACE_MARK),
                             F.struct(bnst.alias("at"), surface.alias("text")),
                         )
                     )

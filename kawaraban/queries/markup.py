@@ -10,9 +10,9 @@ from kawaraban.operators import html as H
 from kawaraban.operators.extract import headline_items, links_in, paragraph_text, property_items
 from kawaraban.operators.rows import complete_only, require, title_contains_any
 from kawaraban.queries import fixtures as X
-from kawaraban.queries.base import q, query, table, with_
+from kawaraban.queries.base import q, query, with_
 from kawaraban.sources import profiles as P
-from kawaraban.sources.pages import archive_urls as page_urls, read_pages as look_up
+from kawaraban.sources.pages import archive_urls as page_urls, page_source, read_pages as look_up
 
 # --- SQL counterparts ------------------------------------------------------------
 _TOKEN = (
@@ -68,7 +68,7 @@ _CLASS = "list_contains(regexp_split_to_array(class, '\\s+'), {})"
 
 
 def page_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages")
+    return page_source(spark, f"{sf_dir}/pages.parquet")
 
 
 def _ids(df: DataFrame, *more: str) -> DataFrame:

@@ -159,14 +159,20 @@ def day_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.select("id", D.day_key(F.col("url")).alias("day_key"))
 
 
-@query("SELECT doc_id, array_to_string(list_filter(w, lambda x, i: i % 2 = 1), ' ') AS words FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents)")
+@query(
+    "SELECT doc_id, array_to_string(list_filter(w, lambda x, i: i % 2 = 1), ' ') AS words "
+    "FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents)"
+)
 def every_second(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.documents(spark, sf_dir).select(
         "doc_id", F.array_join(every_nth(F.split("text", " "), 2), " ").alias("words")
     )
 
 
-@query("SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER)::BIGINT AS k, TRY_CAST(event_type AS INTEGER)::BIGINT AS none FROM events")
+@query(
+    "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER)::BIGINT AS k, "
+    "TRY_CAST(event_type AS INTEGER)::BIGINT AS none FROM events"
+)
 def safe_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id",
@@ -175,7 +181,10 @@ def safe_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT page_id, split_part(url, '/', 1) AS scheme, split_part(split_part(url, '//', 2), '/', 1) AS host FROM pages")
+@query(
+    "SELECT page_id, split_part(url, '/', 1) AS scheme, "
+    "split_part(split_part(url, '//', 2), '/', 1) AS host FROM pages"
+)
 def head_word(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = F.substring_index("url", "//", -1)
     return table(spark, sf_dir, "pages").select(

@@ -101,3 +101,17 @@ def append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 def days_to_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = J.listing_counts(X.day_links(spark, sf_dir))
     return J.days_to_refresh(listed, J.stored_counts(X.day_stored(spark, sf_dir)))
+
+
+@query(
+    """SELECT doc_id, i - 1 AS ord, lines[i] AS line, words[i] AS word
+       FROM (SELECT doc_id, string_split(text, chr(10)) AS lines, string_split(text, ' ') AS words FROM documents),
+            unnest(range(1, least(len(lines), len(words)) + 1)) AS t(i)"""
+)
+def zip_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and words of each document, paired as far as the shorter list reaches."""
+    lists = X.documents(spark, sf_dir).select(
+        "doc_id", F.split("text", "\n").alias("lines"), F.split("text", " ").alias("words")
+    )
+    zipped = J.zip_lists(lists, ["lines", "words"], ["line", "word"])
+    return zipped.withColumn("ord", F.col("ord").cast("bigint"))

@@ -90,6 +90,11 @@ def test_expand_links(spark):
     assert rows(J.expand_links(seed, links, 2), "url_0", "url_1", "url_2", "pos_2") == [("y", "d1", "a", 1), ("y", "d1", "b", 2)]
 
 
+def test_document_order(spark):
+    df = spark.createDataFrame([(2, 1), (1, 9), (1, 2)], "page_id int, pos int")
+    assert [tuple(r) for r in R.order_by_doc(df, "page_id", "pos").collect()] == [(1, 2), (1, 9), (2, 1)]
+
+
 def test_filters(spark):
     df = spark.createDataFrame(
         [("/info/disclaimer", "2009/1"), ("//thomsonreuters.com/", "2010/2"), ("http://h/news/video/1", "2019/3"), ("/d", None)],
