@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column, functions as F
 
 # --- fixed values -----------------------------------------------------------
-ENGLISH_NOISE = r"""\n|<p*>|</p>|<br>|</br>|<a*>|</a>|\(|\)|,|\.|“|"|”|'|’"""
+ENGLISH_TAGS = r"<(?:p*|/p|br|/br|a*|/a)>"
+ENGLISH_PUNCTUATION = r"""[\n(),.“"”'’]+"""
 ANY_TAG = r"<[^>]*?>"
 PAREN_SUFFIX = r" \(.*\)"
 WIDE_PAREN = r"（[^）]*）"
@@ -38,8 +40,11 @@ VOICED = {
 
 
 def clean_en(c: Column) -> Column:
-    """Delete bare p/br/a tags, newlines and English punctuation; lower-case."""
-    return F.lower(F.regexp_replace(c, ENGLISH_NOISE, ""))
+    """Delete bare p/br/a tags, newlines and English punctuation; lower-case.
+
+    No tag holds a character that is deleted, so tags can go first.
+    """
+    return F.lower(F.regexp_replace(F.regexp_replace(c, ENGLISH_TAGS, ""), ENGLISH_PUNCTUATION, ""))
 
 
 def strip_tags(c: Column) -> Column:
@@ -47,13 +52,13 @@ def strip_tags(c: Column) -> Column:
 
 
 def drop_chars(c: Column, chars: str) -> Column:
-    """Delete every character that occurs in ``chars``."""
-    return F.translate(c, chars, "")
+    """Delete every character that occurs in ``chars``; one pass over runs of them."""
+    return F.regexp_replace(c, f"[{re.escape(chars)}]+", "")
 
 
 def clean_snippet(c: Column) -> Column:
     """Delete ideographic spaces and the 'continued' marker."""
-    return F.replace(F.translate(c, IDEOGRAPHIC_SPACE, ""), F.lit(CONTINUED), F.lit(""))
+    return F.replace(drop_chars(c, IDEOGRAPHIC_SPACE), F.lit(CONTINUED), F.lit(""))
 
 
 def drop_paren_suffix(c: Column) -> Column:

@@ -9,8 +9,9 @@ from kawaraban.operators import rows as R
 from kawaraban.operators.joins import page_slice as slice_pages
 from kawaraban.plans.histogram import yearly_histogram
 from kawaraban.queries import fixtures as X
-from kawaraban.queries.base import q, query, table, with_
-from kawaraban.session import scratch_path
+from kawaraban.queries.base import query, table, with_
+from kawaraban.queries.strings import _EN
+from kawaraban.session import scratch_path, staged
 from kawaraban.sources import tables as S
 
 _WORDS = "regexp_extract_all(lower({}), '[\\p{{L}}\\p{{N}}]+')"
@@ -93,7 +94,7 @@ def page_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _DAY = "'201601' || lpad((doc_id % 28 + 1)::VARCHAR, 2, '0')"
-_CLEAN = f"lower(regexp_replace(text, {q(T.ENGLISH_NOISE)}, '', 'g'))"
+_CLEAN = _EN.format("text")
 
 
 @query(
@@ -105,7 +106,7 @@ def daily_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days written, every second day written again, all days read back."""
     day = X.cat("201601", F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0"))
     lines = X.documents(spark, sf_dir).select("doc_id", day.alias("day"), T.clean_en(F.col("text")).alias("text"))
-    lines = R.non_empty(lines, "text")
+    lines = staged(R.non_empty(lines, "text"), "lines")
     path = scratch_path(spark, "daily")
     S.write_daily(lines, path)
     again = lines.where("doc_id % 28 % 2 = 1 AND length(text) >= 100")

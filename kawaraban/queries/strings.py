@@ -13,7 +13,9 @@ from kawaraban.queries.base import q, query, table, with_
 from kawaraban.sources import profiles as P
 
 # RE2 and Java agree on these patterns, so the SQL uses the same fixed values.
-_EN = f"lower(regexp_replace({{}}, {q(T.ENGLISH_NOISE)}, '', 'g'))"
+# Tags and punctuation in one pattern.
+_NOISE = r"""\n|<p*>|</p>|<br>|</br>|<a*>|</a>|\(|\)|,|\.|“|"|”|'|’"""
+_EN = f"lower(regexp_replace({{}}, {q(_NOISE)}, '', 'g'))"
 _STRIP = f"regexp_replace({{}}, {q(T.ANY_TAG)}, '', 'g')"
 
 
