@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,15 +31,18 @@ def build(app: str = "kawaraban", master: str | None = None, **conf: str) -> Spa
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting falls back to a temporary
-    folder, since there all tasks run on this machine.
+    A session that runs all tasks on this machine and has no such setting (a
+    test, a notebook) gets one folder of its own, named after the application.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="kawaraban-")
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(f"/tmp/checkpoints/{context.applicationId}")
+    return context.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
