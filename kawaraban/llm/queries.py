@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kawaraban.llm import quality
+from kawaraban.llm import contamination, quality
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -28,3 +28,36 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(measured, cutoffs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query
+def op5_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside benchmark windows, and the contamination rule."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    answers = contamination.search(contamination.build_index(docs, items), items)
+    return contamination.contaminated(answers).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_OP5_WORDS = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+# Every window of a document and of an item as one string; a window of 13 words or, of a shorter item, all its words.
+ORACLES["op5_contamination"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_OP5_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_OP5_WORDS} AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS win
+  FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM i WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT n FROM iw),
+dw AS (
+  SELECT r, n, s, array_to_string(w[s:s + n - 1], ' ') AS win
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, lens WHERE len(w) >= n)),
+m AS (SELECT dw.r, dw.s, dw.n, iw.item_id FROM dw JOIN iw ON dw.n = iw.n AND dw.win = iw.win),
+hit AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(s, s + n)) AS p FROM m) GROUP BY r),
+its AS (
+  SELECT r, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS k FROM m) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
+"""
