@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kawaraban.llm import contamination, quality
+from kawaraban.llm import contamination, packing, quality, tokenfiles
+from kawaraban.session import scratch_path
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -20,6 +22,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in its sequence."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as seekable token files and read back."""
+    docs = table(spark, sf_dir, "documents")
+    manifest = tokenfiles.write(docs, public_tokenizers.path("byte_bpe_50k.json"), scratch_path(spark, "ids"))
+    return tokenfiles.read(manifest, docs.schema["doc_id"].dataType.simpleString())
+
+
 @query
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rule and learned verdict of every document."""
