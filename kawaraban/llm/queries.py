@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kawaraban.llm import contamination, packing, quality, tokenfiles
-from kawaraban.session import scratch_path
+from kawaraban.llm import chat, contamination, jaccard, packing, quality, tokenfiles
+from kawaraban.session import scratch_path, staged
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +37,12 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read(manifest, docs.schema["doc_id"].dataType.simpleString())
 
 
+@query
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and near-duplicate group of every document."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rule and learned verdict of every document."""
@@ -78,3 +84,52 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
 """
+
+
+@query
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and the made one formatted, and read back from the output."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    made = spark.sql(f"SELECT -7L AS conv_id, * FROM VALUES (0L, 'user', {_OP10_TEXT}), (1L, 'assistant', {_OP10_TEXT}) AS t(turn, role, text)")
+    return chat.digests(staged(chat.format_turns(given.unionByName(made)), "chat"))
+
+
+# A raw literal in Spark, whose plain ones read a backslash as an escape.
+_OP10_TEXT = r"r'\### Assistant: </turn> ok'"
+# Escaping adds one character per backslash, `<`, and in roles `>` and line end; the marks of a turn take 16.
+_ADDED = "length({0}) - length(replace(replace({0}, '\\', ''), '<', ''))"
+ORACLES["op10_chat"] = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', {_OP10_TEXT[1:]}
+  UNION ALL SELECT -7, 1, 'assistant', {_OP10_TEXT[1:]}),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '') AS loss,
+    sum(16 + length(role) + length(text) + {_ADDED.format("text")} + {_ADDED.format("role")}
+        + length(role) - length(replace(replace(role, '>', ''), chr(10), ''))) AS formatted_chars,
+    count(*) FILTER (role = 'assistant') AS n_examples
+  FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(formatted_chars AS BIGINT) AS formatted_chars, n_examples
+FROM g
+"""
+# Equal sets are joined as one; a group's label spreads along links until nothing changes.
+ORACLES["op8_jaccard"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END)) AS s FROM d),
+sets AS (SELECT min(doc_id) AS id, s, len(s) AS n FROM sh WHERE len(s) > 0 GROUP BY s),
+t AS (SELECT id, n, unnest(s) AS x FROM sets),
+link AS (
+  SELECT a.id AS a, b.id AS b FROM t a JOIN t b ON a.x = b.x AND a.id < b.id
+  GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(a, b) AS (SELECT id, id FROM sets UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a),
+comp AS (SELECT a AS id, min(b) AS c FROM reach GROUP BY a)
+SELECT sh.doc_id, CAST(len(sh.s) AS BIGINT) AS n_shingles, coalesce(c, doc_id) AS component_id
+FROM sh LEFT JOIN sets USING (s) LEFT JOIN comp USING (id)
+"""
