@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kawaraban.llm import chat, contamination, jaccard, packing, quality, tokenfiles
+from kawaraban.llm import chat, contamination, jaccard, packing, quality, substrings, tokenfiles
 from kawaraban.session import scratch_path, staged
 
 QUERIES = {}
@@ -37,6 +37,22 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read(manifest, docs.schema["doc_id"].dataType.simpleString())
 
 
+@query
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows that start more than once, and its longest repeated level."""
+    found = substrings.remove_repeated(table(spark, sf_dir, "documents"))
+    digests = F.sha2("kept", 256).alias("kept_sha256")
+    rows = staged(found.select("doc_id", "n_words", "n_removed", digests, "runs"), "substrings")
+    runs = rows.select("doc_id", F.explode("runs").alias("run")).select("doc_id", "run.*")
+    levels = rows.filter("n_removed > 0").select("doc_id", F.lit(substrings.WINDOW).cast("long").alias("longest"))
+    for length, longer in substrings.longer_runs(runs):
+        levels = levels.unionByName(longer.select("doc_id", F.lit(length).cast("long").alias("longest")))
+    levels = levels.groupBy("doc_id").agg(F.max("longest").alias("longest")).withColumnRenamed("doc_id", "_doc")
+    return rows.join(levels, rows["doc_id"].eqNullSafe(levels["_doc"]), "left").select(
+        "doc_id", "n_words", "n_removed", "kept_sha256", F.coalesce("longest", F.lit(0)).alias("longest")
+    )
+
+
 @query
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and near-duplicate group of every document."""
@@ -133,3 +149,22 @@ comp AS (SELECT a AS id, min(b) AS c FROM reach GROUP BY a)
 SELECT sh.doc_id, CAST(len(sh.s) AS BIGINT) AS n_shingles, coalesce(c, doc_id) AS component_id
 FROM sh LEFT JOIN sets USING (s) LEFT JOIN comp USING (id)
 """
+
+# Windows as strings, per document; a window that starts twice or more marks its words. The longest level is
+# found from windows of every doubled length as such.
+_OP4_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+ORACLES["op4_substrings"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_OP4_WORDS} AS w FROM documents),
+lens AS (SELECT unnest([35, 70, 140, 280, 560, 1120, 2240, 4480, 8960, 17920]) AS n),
+win AS (
+  SELECT r, n, s, md5(array_to_string(w[s:s + n - 1], ' ')) AS win
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, lens WHERE len(w) >= n)),
+again AS (SELECT r, n, s FROM win QUALIFY count(*) OVER (PARTITION BY n, win) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(s, s + 35)) AS p FROM again WHERE n = 35),
+g AS (SELECT r, list(p) AS ps, count(*) AS n_removed FROM gone GROUP BY r),
+longest AS (SELECT r, max(n) AS longest FROM again GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(array_to_string(CASE WHEN ps IS NULL THEN w ELSE [w[i] FOR i IN range(1, len(w) + 1) IF NOT list_contains(ps, i)] END, ' ')) AS kept_sha256,
+  CAST(coalesce(longest, 0) AS BIGINT) AS longest
+FROM d LEFT JOIN g USING (r) LEFT JOIN longest USING (r)
+"""

@@ -119,6 +119,11 @@ class Words:
         return _sequences(self.hashes, self.bounds[rows], self.bounds[rows + 1], "word")
 
 
+def sequences(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each run values[start:end] of word hashes; starts ascend, runs are not empty."""
+    return _sequences(values, starts, ends, "word")
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all rows and the rows' offsets in them; null is empty."""
     if isinstance(texts, pa.ChunkedArray):
