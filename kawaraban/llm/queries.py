@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kawaraban.llm import chat, contamination, jaccard, packing, quality, substrings, tokenfiles
+from kawaraban.llm import chat, contamination, jaccard, langid, packing, quality, substrings, tokenfiles
 from kawaraban.session import scratch_path, staged
 
 QUERIES = {}
@@ -29,6 +29,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    trees = langid.fit(docs.filter(~langid.held_out()))
+    return langid.predict(docs, trees).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as seekable token files and read back."""
