@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kawaraban.llm import chat, contamination, jaccard, langid, packing, quality, substrings, tokenfiles
+from kawaraban.llm import chat, contamination, jaccard, langid, lines, packing, quality, substrings, tokenfiles
 from kawaraban.session import scratch_path, staged
 
 QUERIES = {}
@@ -61,6 +61,14 @@ def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the later ones of repeated runs of lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left, removed = lines.without_lines(docs, lines.repeated_lines(docs))
+    return left.select("doc_id", F.col(removed).alias("n_removed"), F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and near-duplicate group of every document."""
