@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kawaraban.llm import chat, contamination, jaccard, langid, lines, packing, quality, substrings, tokenfiles
+from kawaraban.llm import chat, contamination, jaccard, langid, lines, packing, pii, quality, substrings, tokenfiles
 from kawaraban.session import scratch_path, staged
 
 QUERIES = {}
@@ -69,6 +69,14 @@ def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", F.col(removed).alias("n_removed"), F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: the fixed patterns' matches and what boosted trees add."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.expr(f"filter(base, s -> s.kind = '{k}')")).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+
 @query
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and near-duplicate group of every document."""
