@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kawaraban.llm import repeats
+from kawaraban.llm.lines import place_key
 from kawaraban.llm.words import Words, mix
 from kawaraban.session import staged
 
@@ -65,15 +66,15 @@ def _keys(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def similar_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_id of every row; in one row per set and segment that may have a partner also its tokens.
+    """doc_id, key, n_shingles, set_id of every row; in one row per set and segment that may have a partner also its tokens.
 
     tokens are the shingles it shares with other documents, by frequency class,
-    then hash. set_id is null for an empty set.
+    then hash. set_id is null for an empty set; key is one value per doc_id and text.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, classes, check in repeats.read(batches, ["doc_id", "text"]):
+        for part, classes, check in repeats.read(batches, ["doc_id", "key", "text"]):
             hashes, rows, bounds = shingle_sets(part.column("text"))
             found, place = np.unique(hashes, return_inverse=True)
             order_class = repeats.matched(found, classes, check)[place]
@@ -92,12 +93,12 @@ def similar_sets(docs: DataFrame) -> DataFrame:
                 h, c = h[c > 0], c[c > 0]
                 tokens[row] = h[np.argsort(c, kind="stable")].tobytes()
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.int64(), mask=n == 0), pa.array(tokens, pa.binary())],
-                ["doc_id", "n_shingles", "set_id", "tokens"],
+                [part.column("doc_id"), part.column("key"), pa.array(n, pa.int64()), pa.array(ids, pa.int64(), mask=n == 0), pa.array(tokens, pa.binary())],
+                ["doc_id", "key", "n_shingles", "set_id", "tokens"],
             )
 
-    segments = repeats.answered(docs.select("doc_id", "text"), "text", _keys)
-    return segments.mapInArrow(sets, f"doc_id {kind}, n_shingles long, set_id long, tokens binary")
+    segments = repeats.answered(docs.select("doc_id", place_key(docs).alias("key"), "text"), "text", _keys)
+    return segments.mapInArrow(sets, f"doc_id {kind}, key long, n_shingles long, set_id long, tokens binary")
 
 
 def needed(a: Column, b: Column) -> Column:
@@ -241,13 +242,26 @@ def _open_pairs(mixed: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row of documents: doc_id, n_shingles, set_id, component_id (smallest doc_id of its group)."""
+    """Per row of documents: doc_id, key, n_shingles, set_id, component_id (smallest doc_id of its group), head (that row's key)."""
     rows = staged(similar_sets(docs), "sets")
     sets = rows.filter("tokens IS NOT NULL").dropDuplicates(["set_id"]).select("set_id", F.col("n_shingles").alias("n"), "tokens")
     sets = staged(sets, "similar-sets")
     groups = components(links_between_groups(sets))
-    classes = rows.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first_doc"))
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
+    classes = rows.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min(place).alias("first"))
     classes = staged(_grouped(classes, groups), "classes")
-    heads = classes.groupBy("group").agg(F.min("first_doc").alias("component_id"))
-    heads = classes.join(heads, "group").select("set_id", "component_id")
-    return rows.join(heads, "set_id", "left").select("doc_id", "n_shingles", "set_id", F.coalesce("component_id", "doc_id").alias("component_id"))
+    heads = classes.groupBy("group").agg(F.min("first").alias("first"))
+    heads = classes.drop("first").join(heads, "group").select("set_id", F.col("first.doc_id").alias("component_id"), F.col("first.key").alias("head"))
+    return rows.join(heads, "set_id", "left").select(
+        "doc_id", "key", "n_shingles", "set_id", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("head", "key").alias("head")
+    )
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """One row of docs per group, all columns unchanged: the smallest doc_id's; of rows with equal doc_id and text, one."""
+    heads = near_duplicates(docs).filter("key = head").select(F.col("head").alias("_head")).distinct()
+    name = "key"
+    while name in docs.columns:
+        name += "_"
+    keyed = docs.withColumn(name, place_key(docs))
+    return keyed.join(heads, keyed[name] == heads["_head"], "left_semi").dropDuplicates([name]).drop(name)
