@@ -71,7 +71,7 @@ def pack(docs: DataFrame, path: str, size: int = SIZE, pool: int = POOL) -> Data
     end = np.array([END], "<u4").tobytes()
 
     def pack_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, at_spaces).encode
+        encode = encoder(path, at_spaces).encode_bytes
         sequence = TaskContext.get().partitionId() << 33
         waiting: list[tuple[object, int, int, bytes]] = []  # doc_id, its tokens, ids before these, ids
         kinds: pa.DataType | None = None

@@ -144,7 +144,7 @@ def write(docs: DataFrame, path: str, folder: str) -> DataFrame:
     def write_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         encode = encoder(path, before_words)
-        end = np.array([END], np.uint32)
+        end = np.uint32(END)
         system, base = pafs.FileSystem.from_uri(folder)
         file, out, writer = f"part-{task.partitionId():06d}.ids.zst", None, None
         unfinished = f"{base}/.{file}.{task.taskAttemptId()}"
@@ -153,8 +153,9 @@ def write(docs: DataFrame, path: str, folder: str) -> DataFrame:
                 system.create_dir(base, recursive=True)
                 out = system.open_output_stream(unfinished)
                 writer = Writer(out, part.schema.field("doc_id").type, "<u2" if encode.vocabulary <= 1 << 16 else "<u4")
-            for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode.encode(part.column("text")), strict=True):
-                writer.add(doc_id, np.concatenate([np.frombuffer(ids, "<u4"), end]))
+            ids, bounds = encode.encode(part.column("text"))
+            for doc_id, a, b in zip(part.column("doc_id").to_pylist(), bounds[:-1], bounds[1:], strict=True):
+                writer.add(doc_id, np.append(ids[a:b], end))
         if writer is not None:
             writer.close()
             out.close()

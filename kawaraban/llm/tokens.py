@@ -2,7 +2,8 @@
 
 A text is cut where no token and no pre-token can cross, the pieces are encoded
 by the library and the ids joined, which gives the ids of the whole text. Pieces
-come again and again, so each worker keeps the ids of the last ones it met.
+come again and again, so each worker keeps the ids of those it met, by their
+64-bit hash and length, in flat arrays of a bounded size.
 """
 
 from __future__ import annotations
@@ -15,46 +16,50 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-from kawaraban.llm.words import SPACES, per_row, text_bytes
+from kawaraban.llm.words import LOWER, SPACES, Words, per_row, spans, text_bytes
 
-#: Pieces whose ids a worker keeps at least; at twice that number the older ones go.
-KEPT = 500_000
+#: Ids a worker keeps; beyond it, it starts anew with the pieces at hand.
+KEPT = 12_000_000
 
 _ALNUM = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"))
 _POINTS = np.isin(np.arange(256), list(b".,;:!?"))
 _CONTROLS = np.isin(np.arange(256), [*range(9), *range(0x0E, 0x20), 0x7F])
 
+#: (bytes, rows' offsets in them, starts and ends of the pieces)
+Pieces = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
-def _with_marks(data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray, mark: int) -> list[bytes]:
-    """Each row's bytes with `mark` inserted before every cut."""
-    out = np.insert(data, cuts, np.uint8(mark)).tobytes()
-    moved = offsets + np.searchsorted(cuts, offsets)
-    return [out[a:b] for a, b in zip(moved[:-1], moved[1:], strict=True)]
 
-
-def _neighbours(flags: np.ndarray, offsets: np.ndarray, empty: bool) -> tuple[np.ndarray, np.ndarray]:
-    """flags of the byte before and after each byte, `empty` beyond the row."""
+def _neighbours(flags: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """flags of the byte before and after each byte, false beyond the row."""
     before, after = np.roll(flags, 1), np.roll(flags, -1)
     if len(flags):
-        before[offsets[:-1][offsets[:-1] < len(flags)]] = empty
-        after[offsets[1:][offsets[1:] > 0] - 1] = empty
+        before[offsets[:-1][offsets[:-1] < len(flags)]] = False
+        after[offsets[1:][offsets[1:] > 0] - 1] = False
     return before, after
 
 
-def at_spaces(texts: pa.Array) -> list[list[bytes]]:
+def _special(data: np.ndarray) -> np.ndarray:
+    """Where the mark that special tokens begin with stands."""
+    return (data == 0x3C) & (np.roll(data, -1) == 0x7C)
+
+
+def at_spaces(texts: pa.Array) -> Pieces:
     """Pieces for tokenizers that drop white space, ignore case, and part letters from points.
 
     Cut at ASCII white space and between an ASCII letter or digit and one point
-    at the word's end; ASCII texts without marks of special tokens are lower-cased first.
+    at the word's end; ASCII texts without marks of special tokens are
+    lower-cased first.
     """
-    data, offsets = text_bytes(texts)
-    before, _ = _neighbours(_ALNUM[data], offsets, False)
-    _, after = _neighbours(SPACES[data], offsets, True)
-    cuts = np.flatnonzero(_POINTS[data] & before & after)
-    return [(x.lower() if x.isascii() and b"<|" not in x else x).split() for x in _with_marks(data, offsets, cuts, 0x20)]
+    words = Words(texts)
+    data, offsets = words.data, words.offsets
+    plain = per_row((data >= 0x80) | _special(data), offsets) == 0
+    data = np.where(np.repeat(plain, np.diff(offsets)), LOWER[data], data)
+    last = words.ends - 1
+    cut = last[(last > words.starts) & _POINTS[data[last]] & _ALNUM[data[np.maximum(last - 1, 0)]]]
+    return data, offsets, np.sort(np.concatenate([words.starts, cut])), np.sort(np.concatenate([words.ends, cut]))
 
 
-def before_words(texts: pa.Array) -> list[list[bytes]]:
+def before_words(texts: pa.Array) -> Pieces:
     """Pieces for byte-level tokenizers, whose ids depend on the space before a word.
 
     Cut before a space and after a line end that stand alone between two other
@@ -64,53 +69,75 @@ def before_words(texts: pa.Array) -> list[list[bytes]]:
     """
     data, offsets = text_bytes(texts)
     solid = ~SPACES[data]
-    before, after = _neighbours(solid, offsets, False)
-    alnum, _ = _neighbours(_ALNUM[data], offsets, False)
-    ends, _ = _neighbours((data == 0x0A) & before, offsets, False)
+    before, after = _neighbours(solid, offsets)
+    alnum, _ = _neighbours(_ALNUM[data], offsets)
+    ends, _ = _neighbours((data == 0x0A) & before, offsets)
     cut = (data == 0x20) & before & after | _POINTS[data] & alnum | solid & ends
     second, third = np.roll(data, -1), np.roll(data, -2)
-    odd = _CONTROLS[data] | (data == 0xC2) & ((second == 0x85) | (second == 0xA0)) | (data == 0xE1) & (second == 0x9A)
+    odd = _CONTROLS[data] | _special(data) | (data == 0xC2) & ((second == 0x85) | (second == 0xA0)) | (data == 0xE1) & (second == 0x9A)
     odd |= (data == 0xE2) & ((second == 0x81) | (second == 0x80) & ((third <= 0x8A) | (third == 0xA8) | (third == 0xA9) | (third == 0xAF)))
-    odd |= (data == 0xE3) & (second == 0x80) | (data == 0x3C) & (second == 0x7C)
-    whole = per_row(odd, offsets) > 0
-    cuts = np.flatnonzero(cut & ~np.repeat(whole, np.diff(offsets)))
-    marked = _with_marks(data, offsets, cuts, 0)
-    return [[x] if w else x.split(b"\0") for x, w in zip(marked, whole.tolist(), strict=True)]
+    odd |= (data == 0xE3) & (second == 0x80)
+    cut &= ~np.repeat(per_row(odd, offsets) > 0, np.diff(offsets))
+    cut[offsets[:-1][offsets[:-1] < len(data)]] = True
+    starts = np.flatnonzero(cut)
+    return data, offsets, starts, np.append(starts[1:], len(data))[: len(starts)]
 
 
 class Encoder:
-    """Ids of texts as bytes (little-endian unsigned 32-bit), without special tokens."""
+    """Ids of texts without special tokens."""
 
-    def __init__(self, path: str, cut: Callable[[pa.Array], list[list[bytes]]]):
+    def __init__(self, path: str, cut: Callable[[pa.Array], Pieces]):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer, self._cut = Tokenizer.from_file(path), cut
         self.vocabulary = self._tokenizer.get_vocab_size(with_added_tokens=True)
-        self._new: dict[bytes, bytes] = {}
-        self._old: dict[bytes, bytes] = {}
-
-    def encode(self, texts: pa.Array) -> list[bytes]:
-        cuts = self._cut(texts)
-        if len(self._new) > KEPT:
-            self._old, self._new = self._new, {}
-        ids, old = self._new, self._old
-        wanted = set().union(*cuts).difference(ids) if cuts else set()
-        for p in wanted.intersection(old):
-            ids[p] = old[p]
-        missing = list(wanted.difference(old))
-        for at in range(0, len(missing), 20_000):
-            some = missing[at : at + 20_000]
-            found = self._tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)
-            ids.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(some, found, strict=True))
-        out = [b"".join(map(ids.__getitem__, pieces)) for pieces in cuts]
-        for p in missing:  # whole texts are not worth keeping
-            if len(p) > 100:
-                del ids[p]
-        return out
-
-
-def encoder(path: str, cut: Callable[[pa.Array], list[list[bytes]]]) -> Encoder:
+        self._clear()
+
+    def _clear(self) -> None:
+        self._keys, self._first, self._many = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self._ids = np.empty(0, np.uint32)
+
+    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+        many, ids = [], []
+        for at in range(0, len(pieces), 20_000):
+            for e in self._tokenizer.encode_batch_fast(pieces[at : at + 20_000], add_special_tokens=False):
+                found = e.ids
+                many.append(len(found))
+                ids.extend(found)
+        many = np.array(many, np.int64)
+        place = np.searchsorted(self._keys, keys)
+        self._keys = np.insert(self._keys, place, keys)
+        self._first = np.insert(self._first, place, np.cumsum(many) - many + len(self._ids))
+        self._many = np.insert(self._many, place, many)
+        self._ids = np.concatenate([self._ids, np.array(ids, np.uint32)])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids in a row, and the bounds of every text's."""
+        data, offsets, starts, ends = self._cut(texts)
+        keys, example, which = np.unique(spans(data, starts, ends), return_index=True, return_inverse=True)
+        if len(self._ids) > KEPT:
+            self._clear()
+        at = np.searchsorted(self._keys, keys)
+        known = self._keys[np.minimum(at, len(self._keys) - 1)] == keys if len(self._keys) else np.zeros(len(keys), bool)
+        if not known.all():
+            raw = data.tobytes()
+            new = example[~known]
+            self._learn(keys[~known], [raw[a:b].decode() for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
+            at = np.searchsorted(self._keys, keys)
+        many, first = self._many[at][which], self._first[at][which]
+        done = np.concatenate([[0], np.cumsum(many)])
+        ids = self._ids[np.repeat(first - done[:-1], many) + np.arange(done[-1])]
+        return ids, done[np.searchsorted(starts, offsets)]
+
+    def encode_bytes(self, texts: pa.Array) -> list[bytes]:
+        """Every text's ids, little-endian unsigned 32-bit."""
+        ids, bounds = self.encode(texts)
+        flat = ids.astype("<u4").tobytes()
+        return [flat[4 * a : 4 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+
+
+def encoder(path: str, cut: Callable[[pa.Array], Pieces]) -> Encoder:
     """This worker's encoder for a file; it outlives the task."""
     kept = sys.modules.setdefault("kawaraban_worker", types.ModuleType("kawaraban_worker"))
     name = f"{cut.__name__} {path}"

@@ -102,7 +102,7 @@ class Words:
     @property
     def hashes(self) -> np.ndarray:
         if self._hashes is None:
-            self._hashes = _sequences(_BYTES[self.data], self.starts, self.ends, "byte") if len(self.starts) else np.empty(0, np.uint64)
+            self._hashes = spans(self.data, self.starts, self.ends)
         return self._hashes
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -124,6 +124,11 @@ def sequences(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return _sequences(values, starts, ends, "word")
 
 
+def spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each stretch data[start:end] of bytes; starts ascend, stretches are not empty."""
+    return _sequences(_BYTES[data], starts, ends, "byte") if len(starts) else np.empty(0, np.uint64)
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all rows and the rows' offsets in them; null is empty."""
     if isinstance(texts, pa.ChunkedArray):
