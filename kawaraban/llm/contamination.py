@@ -50,7 +50,7 @@ def _ragged(counts: np.ndarray) -> np.ndarray:
     return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-class TestBlock:
+class Block:
     """Distinct windows of some test items as rows of vocabulary numbers (-1 after the last word)."""
 
     def __init__(self, items: list[tuple[str, str]]):
@@ -81,7 +81,7 @@ class TestBlock:
 class Segment:
     """Places of the test set's words in a run of documents."""
 
-    def __init__(self, terms: np.ndarray, counts: np.ndarray, places: np.ndarray, bounds: np.ndarray, block: TestBlock):
+    def __init__(self, terms: np.ndarray, counts: np.ndarray, places: np.ndarray, bounds: np.ndarray, block: Block):
         self.bounds, self.block, self.size = bounds, block, int(bounds[-1])
         where = np.searchsorted(block.vocabulary, terms)
         where = np.minimum(where, max(0, len(block.vocabulary) - 1))
@@ -143,10 +143,10 @@ class Segment:
         return window, row
 
 
-def test_blocks(items: DataFrame, block: int = BLOCK) -> Iterator[list[tuple[str, str]]]:
-    """The test items (item_id, text) in blocks of about `block` bytes, read one block at a time."""
+def item_blocks(items: DataFrame) -> Iterator[list[tuple[str, str]]]:
+    """The test items (item_id, text) in blocks of about BLOCK bytes, read one block at a time."""
     items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("text IS NOT NULL AND item_id IS NOT NULL")
-    n = math.ceil((items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / block)
+    n = math.ceil((items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / BLOCK)
     for i in range(n):
         part = items if n == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i)
         yield [(r["item_id"], r["text"]) for r in part.toLocalIterator()]
@@ -161,10 +161,10 @@ def build_index(docs: DataFrame, items: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
     tables = []
-    for number, block in enumerate(test_blocks(items)):
+    for number, block in enumerate(item_blocks(items)):
 
         def index(batches: Iterator[pa.RecordBatch], block=block, number=number) -> Iterator[pa.RecordBatch]:
-            vocabulary = TestBlock(block).vocabulary
+            vocabulary = Block(block).vocabulary
             made = TaskContext.get().partitionId() << 24
             for part in pieces(batches):
                 words = _words(part.column("text"))
@@ -211,14 +211,14 @@ def search(index: DataFrame, items: DataFrame) -> DataFrame:
     kind = index.schema["doc_ids"].dataType.elementType.simpleString()
     schema = f"segment long, row int, doc_id {kind}, key long, n_words long, spans array<struct<start: long, end: long>>, items array<string>, near_items array<string>"
     parts = []
-    for number, block in enumerate(test_blocks(items)):
+    for number, block in enumerate(item_blocks(items)):
 
         def answer(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            yield from _answers(batches, TestBlock(block))
+            yield from _answers(batches, Block(block))
 
         parts.append(index.filter(F.col("block") == number).mapInArrow(answer, schema))
     if not parts:
-        return index.mapInArrow(lambda batches: _answers(batches, TestBlock([])), schema).drop("segment", "row")
+        return index.mapInArrow(lambda batches: _answers(batches, Block([])), schema).drop("segment", "row")
     if len(parts) == 1:
         return parts[0].drop("segment", "row")
     out = parts[0]
@@ -241,7 +241,7 @@ def search(index: DataFrame, items: DataFrame) -> DataFrame:
     return merged.withColumn("spans", joined).drop("segment", "row")
 
 
-def _answers(batches: Iterator[pa.RecordBatch], block: TestBlock) -> Iterator[pa.RecordBatch]:
+def _answers(batches: Iterator[pa.RecordBatch], block: Block) -> Iterator[pa.RecordBatch]:
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
     for batch in batches:
         for i in range(batch.num_rows):
