@@ -181,26 +181,23 @@ def links_between_groups(sets: DataFrame, stars: int = 2) -> DataFrame:
     index = staged(postings(sets), "postings")
     shared = index.groupBy("token").agg(F.count("*").alias("sets")).filter("sets > 1")
     index = staged(index.join(shared.select("token"), "token", "left_semi"), "postings")
+    entry = F.struct("set_id", "n", "pos", "group")
     links = known = groups = None
     for turn in range(stars + 1):
-        entries = index if groups is None else _grouped(index, groups)
-        if groups is None:
-            entries = entries.withColumn("group", F.col("set_id"))
-        # Of several groups in a list, the leader is the first set outside the group of the first.
-        bounds = entries.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high"))
-        mixed = entries.join(bounds.filter("low < high"), "token")
-        if turn == 0:
-            mixed = mixed.drop("low", "high")
-            lead_of = mixed.groupBy("token").agg(F.min(F.struct("set_id", "n", "pos", "group")).alias("lead"))
-        else:
+        entries = index.withColumn("group", F.col("set_id")) if groups is None else _grouped(index, groups)
+        bounds = entries.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high")
+        mixed = entries.join(bounds.select("token"), "token")
+        if turn:
             mixed = staged(mixed, "mixed")
             if mixed.isEmpty():
                 break
-            outside = mixed.filter("group > low") if turn < stars else mixed
-            lead_of = outside.groupBy("token").agg(F.min(F.struct("set_id", "n", "pos", "group")).alias("lead"))
         if turn < stars:
-            x = mixed.join(lead_of, "token").select(F.struct("set_id", "n", "pos").alias("x"), F.col("lead").alias("y"), "group")
-            pairs = x.filter((F.col("x.set_id") != F.col("y.set_id")) & (F.col("group") != F.col("y.group")) & _room("x", "y"))
+            # All lists of a set agree on few leaders, so that few pairs are compared, but other ones each time.
+            rank = F.col("set_id") if turn == 0 else F.xxhash64("set_id", F.pmod("token", F.lit(8)), F.lit(turn))
+            leaders = mixed.groupBy("token").agg(F.min_by(entry, rank).alias("lead"))
+            x = mixed.join(leaders, "token").select(entry.alias("x"), F.col("lead").alias("y"))
+            sizes = 100 * F.least("x.n", "y.n") >= LEAST * F.greatest("x.n", "y.n")
+            pairs = x.filter((F.col("x.group") != F.col("y.group")) & (_room("x", "y") if turn == 0 else sizes))
         else:
             pairs = _open_pairs(mixed, known)
         pairs = pairs.select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct()
@@ -217,28 +214,41 @@ def links_between_groups(sets: DataFrame, stars: int = 2) -> DataFrame:
 
 
 def _open_pairs(mixed: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs of one list but different groups that no leader's answers rule out.
+    """Pairs of one list but different groups that neither the leader's answers nor their first tokens rule out.
 
-    Every set has overlaps with some leaders; the pair is ruled out by the
-    overlaps with the leader of the list, its smallest set.
+    The overlap of x and y is bounded by their overlaps with the list's leader,
+    its smallest set, and by the common ones of their first tokens and the number
+    of shingles after those. A pair meets in the list of its first common token only.
     """
     lead_of = mixed.groupBy("token").agg(F.min(F.struct("set_id", "n", "group")).alias("lead"))
+    firsts = mixed.groupBy("set_id").agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("firsts"))
+    firsts = firsts.select(F.col("set_id").alias("_first"), F.col("firsts.token").alias("firsts"))
     entries = mixed.join(lead_of, "token")
+    entries = entries.join(firsts, entries["set_id"] == firsts["_first"])
     met = known.select("a", "b", "common")
     met = met.unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b"), "common"))
     met = met.select(F.col("a").alias("_lead"), F.col("b").alias("_set"), "common")
     entries = entries.join(met, (entries["lead.set_id"] == met["_lead"]) & (entries["set_id"] == met["_set"]), "left").select(
         "token",
         F.col("lead.group").alias("lead_group"),
-        F.struct("set_id", "n", "pos", "group", F.when(F.col("set_id") == F.col("lead.set_id"), F.col("n")).otherwise(F.col("common")).alias("common")).alias("e"),
+        F.struct("set_id", "n", "pos", "group", "firsts", F.when(F.col("set_id") == F.col("lead.set_id"), F.col("n")).otherwise(F.col("common")).alias("common")).alias("e"),
     )
     entries = staged(entries, "entries")
     x = entries.filter("e.group != lead_group").select("token", F.col("e").alias("x"))
     y = entries.select("token", "lead_group", F.col("e").alias("y"))
+    need = needed(F.col("x.n"), F.col("y.n"))
     most = F.least(F.col("x.n") - F.col("x.common") + F.col("y.common"), F.col("y.n") - F.col("y.common") + F.col("x.common"))
-    open_ = F.coalesce(most >= needed(F.col("x.n"), F.col("y.n")), F.lit(True))
     once = (F.col("y.group") == F.col("lead_group")) | (F.col("x.set_id") < F.col("y.set_id"))
-    return x.join(y, "token").filter((F.col("x.group") != F.col("y.group")) & once & _room("x", "y") & open_)
+    shared = F.array_intersect("x.firsts", "y.firsts")
+    after = lambda n: F.ceil(LEAST * F.col(n) / 100) - 1
+    return x.join(y, "token").filter(
+        (F.col("x.group") != F.col("y.group"))
+        & once
+        & _room("x", "y")
+        & F.coalesce(most >= need, F.lit(True))
+        & (F.size(shared) + F.greatest(after("x.n"), after("y.n")) >= need)
+        & (F.element_at(shared, 1) == F.col("token"))
+    )
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
