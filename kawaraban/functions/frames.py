@@ -72,8 +72,9 @@ def pred_arg(structure: Column, case: str) -> Column:
 
 
 def has_proper_noun(morphs: Column) -> Column:
-    """Any proper noun that is not a place name."""
-    return F.exists(
+    """Any proper noun that is not a place name; an unknown field is no such name."""
+    found = F.exists(
         morphs,
-        lambda m: (m["pos"] == NOUN) & (m["pos1"] == PROPER) & (m["pos2"] != REGION),
+        lambda m: m["pos"].eqNullSafe(NOUN) & m["pos1"].eqNullSafe(PROPER) & ~m["pos2"].eqNullSafe(REGION),
     )
+    return F.coalesce(found, F.lit(False))

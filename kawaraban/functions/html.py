@@ -41,8 +41,15 @@ def kind(token: Column, name: Column) -> Column:
 
 
 def attribute(token: Column, name: str) -> Column:
-    """Attribute value as written, NULL where the tag lacks it."""
-    found = F.regexp_extract(token, rf"""(?i)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+    """Attribute value as written, NULL where the tag lacks it.
+
+    The pattern goes from attribute to attribute, so what stands inside another
+    one's quoted value is never taken for an attribute.
+    """
+    value = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
+    other = rf"""[\s/]++(?!{name}\s*+=)[^\s=/>]++(?:\s*+=\s*+{value})?+"""
+    pattern = rf"""(?is)^<[a-z][^\s/>]*+(?:{other})*+[\s/]++{name}\s*+=\s*+("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    found = F.regexp_extract(token, pattern, 1)
     return F.btrim(F.nullif(found, F.lit("")), F.lit("\"'"))
 
 
@@ -78,14 +85,17 @@ def _names() -> str:
 
     Maps are scanned in order.
     """
-    common = ["amp", "quot", "lt", "gt", "nbsp"]
-    names = common + sorted(set(name2codepoint) - set(common))
-    return "\x02".join(f"{n}\x01{chr(name2codepoint[n])}" for n in names)
+    points = name2codepoint | {"apos": ord("'")}
+    common = ["amp", "quot", "apos", "lt", "gt", "nbsp"]
+    names = common + sorted(set(points) - set(common))
+    return "\x02".join(f"{n}\x01{chr(points[n])}" for n in names).replace("'", "\\'")
 
 
-# Code point of a numeric reference as hexadecimal digits.
+# Code point of a numeric reference as hexadecimal digits, without leading zeros;
+# NULL where it is larger than any code point.
+_HEX = "ltrim('0', substring(x.ref, 3))"
 _DIGITS = (
-    "CASE WHEN lower(left(x.ref, 2)) = '#x' THEN substring(x.ref, 3)"
+    f"CASE WHEN lower(left(x.ref, 2)) = '#x' THEN CASE WHEN length({_HEX}) BETWEEN 1 AND 6 THEN {_HEX} END"
     " ELSE hex(try_cast(substring(x.ref, 2) AS bigint)) END"
 )
 _POINT = f"try_cast(conv({_DIGITS}, 16, 10) AS bigint)"
@@ -95,7 +105,7 @@ CASE WHEN contains({{text}}, '&') THEN
   array_join(transform(
     transform(split({{text}}, '&'), (part, i) -> named_struct('part', part, 'head', i = 0, 'ref',
       CASE WHEN i = 0 THEN '' ELSE regexp_extract(
-        part, '^(#[0-9]{{{{1,7}}}}|#[xX][0-9A-Fa-f]{{{{1,6}}}}|[A-Za-z][A-Za-z0-9]*);', 1) END)),
+        part, '^(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);', 1) END)),
     x -> coalesce(
       CASE WHEN x.ref = '' THEN NULL
            WHEN NOT startswith(x.ref, '#') THEN

@@ -13,6 +13,7 @@ from kawaraban.functions import text as T
 from kawaraban.functions.dates import DAY_HEADING, NEW_ARRIVALS
 from kawaraban.functions.html import decode_entities, reserialised
 from kawaraban.operators.html import (
+    MARKUP,
     PIECE,
     concat_in_order,
     html_tokens,
@@ -21,14 +22,10 @@ from kawaraban.operators.html import (
     nodes,
     scope,
     scopes,
-    tag_tokens,
-    tags_for,
 )
 from kawaraban.operators.rows import complete_only, require, title_contains_any
 from kawaraban.sources import profiles as P
 
-MARKUP = ("text", "tag", "comment", "raw")
-
 
 def _joined(name: str) -> Column:
     """Aggregate: the raw pieces inside scope ``name``, in page order."""
@@ -49,7 +46,7 @@ def _href(name: str) -> Column:
 def links_in(pages: DataFrame, container: P.Selector, key: str = "url") -> DataFrame:
     """Links inside the containers: page_id, pos, href."""
     tags = [container.tag, "a"]
-    n = scope(nodes(tag_tokens(pages, tags_for(tags), key), tags), "box", container.match())
+    n = scope(nodes(html_tokens(pages, key), tags), "box", container.match())
     return n.where((F.col("tag") == "a") & F.col("href").isNotNull()).select(
         "page_id", F.col("start").alias("pos"), "href"
     )
@@ -64,6 +61,15 @@ def paragraph_text(pages: DataFrame, container: P.Selector, key: str = "url") ->
     return joined.withColumn("text", decode_entities("text"))
 
 
+def section_headings(pages: DataFrame, section: P.Selector, tag: str = "h2", key: str = "url") -> DataFrame:
+    """First heading of every section, NULL where it has none: page_id, sec, heading."""
+    n = nodes(html_tokens(pages, key), [section.tag, tag], pieces=("text",))
+    n = scope(n, "sec", section.match())
+    n = scopes(n, "sec", first=["head"], head=is_element(tag))
+    found = n.groupBy("page_id", "sec").agg(_field("head").alias("heading"))
+    return found.withColumn("heading", decode_entities("heading"))
+
+
 def english_body(pages: DataFrame, key: str = "url") -> DataFrame:
     """Cleaned English article body per page: page_id, text.
 
@@ -180,12 +186,13 @@ def archive_details(pages: DataFrame, key: str = "url") -> DataFrame:
     )
 
 
-def property_items(pages: DataFrame, key: str = "url") -> DataFrame:
+def property_items(pages: DataFrame, key: str = "url", incomplete: bool = False) -> DataFrame:
     """Property listings: page_id, sec, kind, pos, heading, title, summary, href.
 
     Per section: links of the pick-ups (kind 0), then links of the first item
-    list (kind 1).  Sections without a day or 'new arrivals' heading and links
-    that lack a title, summary or address are left out.
+    list (kind 1), if it has one.  Sections without a day or 'new arrivals'
+    heading are left out, and so are links that lack a title, summary or
+    address, unless ``incomplete`` asks for them.
     """
     tags = ["div", "section", "h2", "ul", "li", "a", "h3", "p"]
     n = nodes(html_tokens(pages, key), tags, pieces=("text",))
@@ -226,7 +233,9 @@ def property_items(pages: DataFrame, key: str = "url") -> DataFrame:
     )
     links = title_contains_any(require(links, "heading"), [DAY_HEADING, NEW_ARRIVALS], "heading")
     plain = lambda c: T.strip_tags(decode_entities(c))
-    return complete_only(links.where("pos IS NOT NULL"), ["title", "summary", "href"]).select(
+    links = links.where("pos IS NOT NULL")
+    links = links if incomplete else complete_only(links, ["title", "summary", "href"])
+    return links.select(
         "page_id",
         "sec",
         "kind",

@@ -1,9 +1,10 @@
 """HTML selection as relational work over a token table.
 
-A page is one row.  ``html_tokens`` spreads it into one row per token after the
-only exchange of the whole selection (hash by page); every step below it is a
-window or an aggregation whose keys start with ``page_id``, so Spark adds no
-further exchange.  Windows never hold more than one page.
+``html_tokens`` spreads pages into one row per token where they are read.
+``nodes`` keeps the tokens a selection needs and makes its only exchange (hash
+by page); every step below it is a window or an aggregation whose keys start
+with ``page_id``, so Spark adds no further exchange.  Windows never hold more
+than one page.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ BLOCK_TAGS = (
 LIST_TAGS = ("ul", "ol")
 IMPLIED_END_TAGS = ("p", "li")
 PIECE, ALONE = "#piece", "#alone"
+# Token kinds that make up markup.
+MARKUP = ("text", "tag", "comment", "raw")
 # Position after the last token of any page: the end of elements never closed.
 END_OF_PAGE = 2**31 - 1
 
@@ -30,28 +33,10 @@ END_OF_PAGE = 2**31 - 1
 def html_tokens(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """One row per token: page_id, pos, kind, tag, is_close, el_id, class, href, text.
 
-    ``key`` must identify a page; it is renamed to ``page_id``.  The number of
-    partitions is given, so AQE keeps all of them: a page grows many times once
-    it is spread, and its compressed size says little about the work.
+    ``key`` must identify a page; it is renamed to ``page_id``.  Nothing is
+    shuffled.
     """
-    html_rows = pages.select(F.col(key).alias("page_id"), F.col(html).alias("html"))
-    return _with_fields(_spread(_by_page(html_rows)))
-
-
-def tag_tokens(pages: DataFrame, tags: Iterable[str], key: str = "page_id", html: str = "html") -> DataFrame:
-    """Only the tokens of the given tags, in the form of ``html_tokens``.
-
-    For selections that need no text: pages are cut into tokens where they are
-    read, and only these few tokens are shuffled.
-    """
-    html_rows = pages.select(F.col(key).alias("page_id"), F.col(html).alias("html"))
-    wanted = ", ".join(f"'{t}'" for t in tags)
-    return _by_page(_with_fields(_spread(html_rows)).where(f"tag IN ({wanted})"))
-
-
-def _by_page(df: DataFrame) -> DataFrame:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, "page_id")
+    return _with_fields(_spread(pages.select(F.col(key).alias("page_id"), F.col(html).alias("html"))))
 
 
 def _spread(html_rows: DataFrame) -> DataFrame:
@@ -97,12 +82,16 @@ def nodes(tok: DataFrame, tags: Iterable[str], pieces: Iterable[str] = ()) -> Da
     Columns: page_id, tag, start, rank, stop, closed, el_id, class, href, text.
     The element is the half-open range ``[start, stop)``.  ``pieces`` names the
     token kinds that also come as rows of their own, with tag ``#piece`` and
-    after the element that starts at the same token.  One pass serves all tags:
+    after the element that starts at the same token.  Only tokens that matter
+    for these are shuffled, and Spark sizes the partitions by what they hold.
+    One pass serves all tags:
     each tag has a lane in which its starts and ends are paired by depth.
     ``p`` and ``li`` may lack an end tag: a block tag ends a ``p``; a sibling
     ``li`` or the end of its list ends an ``li``.
     """
     tags = sorted(set(tags))
+    kept = F.col("tag").isin(tags_for(tags))
+    tok = tok.where(kept | F.col("kind").isin(*pieces) if pieces else kept).repartition("page_id")
     nested = [t for t in tags if t not in IMPLIED_END_TAGS and t not in H.VOID_TAGS]
     tag, closing, pos = F.col("tag"), F.col("is_close"), F.col("pos")
     alone = (tag.isin(*H.VOID_TAGS) | H.self_closed(F.col("text"))) & ~closing
@@ -233,7 +222,7 @@ def scope(
 def within(
     outer: DataFrame, inner: DataFrame, include_self: bool = False, keep_outer: bool = False
 ) -> DataFrame:
-    """Every (outer, inner) pair where inner lies in outer, at any depth.
+    """Every (outer, inner) pair where inner lies in outer, at any depth, of two tables of elements.
 
     Returns inner's columns plus ``outer``, the outer element's start.  Both
     sides are merged into one event stream per page.  An inner row is repeated
@@ -243,40 +232,56 @@ def within(
     """
     cols = [c for c in inner.columns if c != "page_id"]
     shape = inner.select(F.struct(*cols).alias("s")).schema["s"].dataType
-    no_row = F.lit(None).cast(shape)
-    # At one position ends come first; whether an element holds its own start depends on the caller.
-    open_rank, row_rank = (1, 2) if include_self else (2, 1)
-    no_span = F.lit(None).cast("struct<start:int,stop:int>")
-    bounds = outer.select(
-        "page_id",
-        F.explode(
-            F.array(
-                F.struct(
-                    F.col("start").alias("at"),
-                    F.lit(open_rank).alias("rank"),
-                    F.lit(1).alias("step"),
-                    F.struct("start", "stop").alias("span"),
-                ),
-                F.struct(
-                    F.col("stop").alias("at"),
-                    F.lit(0).alias("rank"),
-                    F.lit(-1).alias("step"),
-                    no_span.alias("span"),
-                ),
-            )
-        ).alias("e"),
-    ).select("page_id", "e.*", no_row.alias("row"))
-    rows = inner.select(
-        "page_id",
-        F.col("start").alias("at"),
-        F.lit(row_rank).alias("rank"),
-        F.lit(0).alias("step"),
-        no_span.alias("span"),
-        F.struct(*cols).alias("row"),
+    bounds = outer.select("page_id", F.explode(F.array(*_bounds(F.lit(None).cast(shape), include_self))).alias("e"))
+    rows = inner.select("page_id", _row(F.struct(*cols), include_self).alias("e"))
+    return _placed(bounds.unionByName(rows), cols, include_self, keep_outer)
+
+
+def inside(
+    n: DataFrame, outer: Column, inner: Column, include_self: bool = False, keep_outer: bool = False
+) -> DataFrame:
+    """``within`` for two kinds of rows of one node table, which is read once."""
+    cols = [c for c in n.columns if c != "page_id"]
+    shape = n.select(F.struct(*cols).alias("s")).schema["s"].dataType
+    opened, closed = _bounds(F.lit(None).cast(shape), include_self)
+    row = _row(F.struct(*cols), include_self)
+    found = F.array_compact(F.array(F.when(outer, opened), F.when(outer, closed), F.when(inner, row)))
+    return _placed(n.select("page_id", F.explode(found).alias("e")), cols, include_self, keep_outer)
+
+
+def _ranks(include_self: bool) -> tuple[int, int]:
+    """Order of starts and rows at one position: whether an element holds its own start; ends come first."""
+    return (1, 2) if include_self else (2, 1)
+
+
+def _event(at: str, rank: int, step: int, span: Column, row: Column) -> Column:
+    return F.struct(
+        F.col(at).alias("at"), F.lit(rank).alias("rank"), F.lit(step).alias("step"), span.alias("span"), row.alias("row")
+    )
+
+
+_NO_SPAN = "struct<start:int,stop:int,closed:boolean>"
+
+
+def _bounds(no_row: Column, include_self: bool) -> tuple[Column, Column]:
+    """The events of an outer element's start and end."""
+    span = F.struct("start", "stop", "closed").cast(_NO_SPAN)
+    return (
+        _event("start", _ranks(include_self)[0], 1, span, no_row),
+        _event("stop", 0, -1, F.lit(None).cast(_NO_SPAN), no_row),
     )
+
+
+def _row(row: Column, include_self: bool) -> Column:
+    return _event("start", _ranks(include_self)[1], 0, F.lit(None).cast(_NO_SPAN), row)
+
+
+def _placed(events: DataFrame, cols: list[str], include_self: bool, keep_outer: bool) -> DataFrame:
+    """Rows under every span that holds them: page_id, outer, outer_closed and the row's columns."""
+    open_rank, row_rank = _ranks(include_self)
     in_page = Window.partitionBy("page_id").orderBy("at", "rank")
     events = (
-        bounds.unionByName(rows)
+        events.select("page_id", "e.*")
         .withColumn("depth", F.sum("step").over(in_page.rowsBetween(Window.unboundedPreceding, 0)))
         .where((F.col("rank") > 0) & (F.col("depth") > 0))
     )
@@ -293,30 +298,21 @@ def within(
     )
     if not keep_outer:
         placed = placed.where(F.col("rank") == row_rank)
-    out = placed.select("page_id", F.col("_span.start").alias("outer"), "row.*", "_span.stop")
-    if "stop" in cols:
-        out = placed.select(
-            "page_id",
-            F.col("_span.start").alias("outer"),
-            *[F.col(f"row.{c}") for c in cols if c != "stop"],
-            F.least("row.stop", "_span.stop").alias("stop"),
-        )
-        if keep_outer:
-            out = out.withColumn("stop", F.when(F.col("start").isNotNull(), F.col("stop")))
-    else:
-        out = out.drop("stop")
-    return out
+    # An element never closed ends at the latest where its container does.
+    end = F.when(F.col("row").isNotNull(), F.least("row.stop", "_span.stop")) if "stop" in cols else None
+    return placed.select(
+        "page_id",
+        F.col("_span.start").alias("outer"),
+        F.col("_span.closed").alias("outer_closed"),
+        *[end.alias(c) if c == "stop" else F.col(f"row.{c}") for c in cols],
+    )
 
 
-def first_within(outer: DataFrame, inner: DataFrame) -> DataFrame:
-    """The first inner element of each outer element that has one."""
+def first_within(tok: DataFrame, outer: tuple[str, Column], inner: tuple[str, Column]) -> DataFrame:
+    """The first inner element of each outer element that has one; both as (tag, condition on nodes)."""
     w = Window.partitionBy("page_id", "outer").orderBy("start")
-    return within(outer, inner).withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
-
-
-def _pieces(el: DataFrame, tok: DataFrame) -> DataFrame:
-    inner = tok.select("page_id", F.col("pos").alias("start"), "text")
-    return within(el, inner, include_self=True, keep_outer=True)
+    found = inside(nodes(tok, [outer[0], inner[0]]), outer[1], inner[1])
+    return found.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "rank", "text")
 
 
 def concat_in_order(pos: Column, text: Column, sep: str = "") -> Column:
@@ -328,11 +324,12 @@ def concat_in_order(pos: Column, text: Column, sep: str = "") -> Column:
     return F.array_join(F.transform(F.array_sort(pairs), lambda p: p["text"]), sep)
 
 
-def text_of(el: DataFrame, tok: DataFrame) -> DataFrame:
+def text_of(tok: DataFrame, tag: str, **selector: str) -> DataFrame:
     """Plain text of each element, entities decoded: page_id, start, text."""
+    n = nodes(tok, [tag], pieces=("text",))
+    pieces = inside(n, is_element(tag, **selector), F.col("tag") == PIECE, include_self=True, keep_outer=True)
     return (
-        _pieces(el, tok.where(F.col("kind") == "text"))
-        .groupBy("page_id", F.col("outer").alias("start"))
+        pieces.groupBy("page_id", F.col("outer").alias("start"))
         .agg(concat_in_order(F.col("start"), F.col("text")).alias("text"))
         .withColumn("text", H.decode_entities("text"))
     )
@@ -349,17 +346,15 @@ def markup_pieces(tok: DataFrame) -> DataFrame:
     )
 
 
-def markup_of(el: DataFrame, tok: DataFrame) -> DataFrame:
+def markup_of(tok: DataFrame, tag: str, **selector: str) -> DataFrame:
     """Serialised markup of each element, entities kept: page_id, start, markup.
 
     Void tags are written ``<br/>`` and an element without an end tag gets one.
     """
-    end = F.when(~F.col("closed"), F.concat(F.lit("</"), F.col("tag"), F.lit(">")))
-    inner = markup_pieces(tok).select("page_id", F.col("pos").alias("start"), "text")
-    missing = el.select("page_id", F.col("start").alias("outer"), F.lit(END_OF_PAGE).alias("start"), end.alias("text"))
-    return (
-        within(el, inner, include_self=True)
-        .unionByName(missing)
-        .groupBy("page_id", F.col("outer").alias("start"))
-        .agg(concat_in_order(F.col("start"), F.col("text")).alias("markup"))
+    n = nodes(markup_pieces(tok), [tag], pieces=MARKUP)
+    pieces = inside(n, is_element(tag, **selector), F.col("tag") == PIECE, include_self=True)
+    joined = pieces.groupBy("page_id", F.col("outer").alias("start")).agg(
+        concat_in_order(F.col("start"), F.col("text")).alias("markup"), F.bool_and("outer_closed").alias("closed")
     )
+    end = F.when(F.col("closed"), "").otherwise(f"</{tag}>")
+    return joined.select("page_id", "start", F.concat("markup", end).alias("markup"))

@@ -5,72 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import StructType
 
 from kawaraban.functions.links import VIDEO_PREFIX
-
-# A key is hot when it holds more than this share of the rows, so at most
-# 1 / HOT_SHARE keys are hot however large the table is, and when it is more
-# than one task takes in its stride.
-HOT_SHARE = 0.001
-HOT_ROWS = 100_000
-SALTS = 64
-
-
-def _key_hash(df: DataFrame, on: Sequence[str], types: StructType) -> Column:
-    """Hash of the key columns, in the types of the counted side."""
-    return F.xxhash64(*[F.col(c).cast(types[c].dataType) for c in on])
-
-
-def hot_keys(
-    df: DataFrame, on: Sequence[str], share: float = HOT_SHARE, rows: int = HOT_ROWS
-) -> list[int]:
-    """Hashes of the keys that hold more than ``share`` of all rows: at most 1/share numbers.
-
-    A key of no more than ``rows`` rows is never hot.
-
-    Runs a count over the key columns of ``df``, which should be a stored table.
-    Eight-byte hashes are counted, first within each task.  Keys that share a
-    hash with a hot one are taken for hot too, which is harmless.
-    """
-    on = list(on)
-    keys = df.select(_key_hash(df, on, df.schema).alias("_key"))
-    total = keys.agg(F.count("*").alias("n")).scalar()
-    counts = keys.groupBy("_key").agg(F.count("*").alias("n"))
-    hot = (F.col("n") > rows) & (F.col("n") > total * F.lit(share))
-    return [r["_key"] for r in counts.where(hot).collect()]
-
-
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    counted: DataFrame | None = None,
-    share: float = HOT_SHARE,
-    rows: int = HOT_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Equi-join that splits the left rows of hot keys.
-
-    Hot keys are looked for in ``counted``, a stored table with the left side's
-    keys, or else in ``left`` itself.  Without any this is a plain join.  With
-    some, their left rows are spread over ``salts`` sub-keys by a hash of
-    content and input partition (the same on a rerun), and the right rows of
-    hot keys alone are repeated for each sub-key.
-    """
-    on = list(on)
-    counted = left if counted is None else counted
-    hot = hot_keys(counted, on, share, rows)
-    if not hot:
-        return left.join(right, on, how)
-    is_hot = _key_hash(left, on, counted.schema).isin(hot)
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in left.columns]), F.lit(salts))
-    salted = left.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)).cast("int"))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.withColumn("_salt", F.explode(copies))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
-
+from kawaraban.session import staged
 
 def pages_behind(pages: DataFrame, urls: DataFrame) -> DataFrame:
     """Only the pages whose URL is asked for, each once.
@@ -83,8 +20,8 @@ def pages_behind(pages: DataFrame, urls: DataFrame) -> DataFrame:
 def expand_links(seed: DataFrame, links: DataFrame, hops: int) -> DataFrame:
     """Follow links from seed URLs: ``hops`` equi-joins, one per level.
 
-    ``seed(url)`` and ``links(url, pos, href)``, a stored table; a link is
-    followed by reading the page whose URL it names.  Returns one row per path
+    ``seed(url)`` and ``links(url, pos, href)``; a link is followed by reading
+    the page whose URL it names.  Returns one row per path
     with columns ``url_0`` ... ``url_<hops>`` and the position ``pos_1`` ... of
     each link.
     """
@@ -92,9 +29,7 @@ def expand_links(seed: DataFrame, links: DataFrame, hops: int) -> DataFrame:
     for hop in range(1, hops + 1):
         here, there = f"url_{hop - 1}", f"url_{hop}"
         step = links.select(F.col("url").alias(here), F.col("pos").alias(f"pos_{hop}"), F.col("href").alias(there))
-        # After the first hop the keys are link targets, and a page many link to is hot.
-        counted = seed.select(F.col("url").alias(here)) if hop == 1 else links.select(F.col("href").alias(here))
-        out = salted_join(out, step, [here], "inner", counted)
+        out = out.join(step, here)
     return out
 
 
@@ -102,40 +37,44 @@ def attach_detail(listing: DataFrame, details: DataFrame, on: str = "url") -> Da
     """Listing rows with the fields of their detail page.
 
     ``details`` holds fields already extracted, one row per URL, so each detail
-    page is read once however many rows link to it.  ``listing`` should be a
-    stored table.  A listing row whose page is missing keeps NULL fields.
+    page is read once however many rows link to it; Spark splits the rows of a
+    page very many link to.  A listing row whose page is missing keeps NULL fields.
     """
-    return salted_join(listing, details, [on], "left")
+    return listing.join(details, on, "left")
 
 
 def _stored_keys(stored: DataFrame, new: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Distinct stored keys that occur in ``new``.
+    """Distinct stored keys that occur in ``new``, as columns ``_0``, ``_1`` ...; NULL equals NULL.
 
     A small batch of new keys is broadcast by its size, so that the stored
     table is only scanned for its key columns and not shuffled.
     """
-    return stored.select(*on).join(new.select(*on).distinct(), list(on), "left_semi").distinct()
+    names = [f"_{i}" for i in range(len(on))]
+    keys = new.select(*[F.col(c).alias(f"_new{n}") for c, n in zip(on, names)]).distinct()
+    found = stored.select(*[F.col(c).alias(n) for c, n in zip(on, names)])
+    same = [found[n].eqNullSafe(keys[f"_new{n}"]) for n in names]
+    return found.join(keys, same, "left_semi").distinct()
 
 
 def unseen(
     new: DataFrame, stored: DataFrame, rule: str = "pair", date: str = "date_raw", title: str = "title"
 ) -> DataFrame:
-    """Rows of ``new`` not stored yet.
+    """Rows of ``new`` not stored yet; a NULL date or title equals a NULL one.
 
     ``pair`` drops a row whose (date, title) is stored.  ``independent`` drops
     it when its date and its title are each stored, even on different rows.
     ``new`` should be a stored table: its keys are read several times.
     """
     if rule == "pair":
-        on = [date, title]
-        return salted_join(new, _stored_keys(stored, new, on), on, "left_anti")
+        keys = _stored_keys(stored, new, [date, title])
+        return new.join(keys, [new[date].eqNullSafe(keys["_0"]), new[title].eqNullSafe(keys["_1"])], "left_anti")
     if rule != "independent":
         raise ValueError(f"unknown rule: {rule}")
-    dates = _stored_keys(stored, new, [date]).withColumn("_date_seen", F.lit(True))
-    titles = _stored_keys(stored, new, [title]).withColumn("_title_seen", F.lit(True))
-    dated = salted_join(new, dates, [date])
-    both = salted_join(dated, titles, [title], counted=new.select(title))
-    seen = F.coalesce(F.col("_date_seen") & F.col("_title_seen"), F.lit(False))
+    both = new
+    for column in (date, title):
+        keys = _stored_keys(stored, new, [column]).select("_0", F.lit(True).alias(f"_{column}_seen"))
+        both = both.join(keys, both[column].eqNullSafe(keys["_0"]), "left").drop("_0")
+    seen = F.coalesce(F.col(f"_{date}_seen") & F.col(f"_{title}_seen"), F.lit(False))
     return both.where(~seen).select(*new.columns)
 
 
@@ -153,15 +92,13 @@ def zip_lists(df: DataFrame, cols: Sequence[str], names: Sequence[str] | None =
     return zipped.select(*keep, "ord", *[F.col("_z")[n].alias(n) for n in names])
 
 
-def with_roles(
-    articles: DataFrame, roles: DataFrame, key: str = "sent_id", counted: DataFrame | None = None
-) -> DataFrame:
+def with_roles(articles: DataFrame, roles: DataFrame, key: str = "sent_id") -> DataFrame:
     """Articles with the roles of their sentence, by content key.
 
-    Many articles may carry the same sentence, so the article side is split
-    where one sentence is hot.
+    Many articles may carry the same sentence; Spark splits a partition such a
+    key makes too large.
     """
-    return salted_join(articles, roles, [key], "left", counted)
+    return articles.join(roles, key, "left")
 
 
 def listing_counts(links: DataFrame, video_mark: str = VIDEO_PREFIX) -> DataFrame:
@@ -195,15 +132,27 @@ def page_slice(
 ) -> DataFrame:
     """Pages ``lo`` to ``hi`` (from 1) of ``size`` rows, in ``order``, per ``by`` group.
 
-    The slice is the feature: Spark keeps at most ``hi * size`` rows a group in
-    each task before it shuffles.
+    Per group, rows are dealt out by ranges of group and order; a row's number
+    is its rank in its range plus the rows of the group in the ranges before,
+    so a group of any size is spread over tasks and any page can be asked for.
     """
     if not by:
         return df.orderBy(*order).offset((lo - 1) * size).limit((hi - lo + 1) * size)
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    ranges = df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id())
+    ranges = staged(ranges, "ranges")
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranges.groupBy("_range", *by).agg(F.count("*").alias("_rows"))
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).where(
+        (F.col("_before") < hi * size) & (F.col("_before") + F.col("_rows") > (lo - 1) * size)
+    )
+    names = {c: f"_by{i}" for i, c in enumerate(by)}
+    counts = counts.select(F.col("_range").alias("_of"), *[F.col(c).alias(n) for c, n in names.items()], "_before")
+    same = [ranges["_range"] == counts["_of"], *[ranges[c].eqNullSafe(counts[n]) for c, n in names.items()]]
+    rank = F.row_number().over(Window.partitionBy("_range", *by).orderBy(*order)) + F.col("_before")
     return (
-        df.withColumn("_n", rank)
+        ranges.join(counts, same)
+        .withColumn("_n", rank)
         .where((F.col("_n") <= hi * size) & (F.col("_n") > (lo - 1) * size))
         .withColumn("page", F.floor((F.col("_n") - 1) / size) + 1)
-        .drop("_n")
+        .select(*df.columns, "page")
     )

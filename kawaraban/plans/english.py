@@ -16,11 +16,12 @@ from kawaraban.operators.joins import (
 from kawaraban.operators.rows import drop_matching_urls, exclude_links, non_empty
 from kawaraban.session import staged
 from kawaraban.sources import profiles as P
+from kawaraban.sources.pages import latest_pages
 
 
 def day_pages(pages: DataFrame, years: DataFrame) -> DataFrame:
     """Day pages linked from the year pages: url, day."""
-    links = links_in(pages_behind(pages, years), P.Selector("p"))
+    links = links_in(latest_pages(pages_behind(pages, years)), P.Selector("p"))
     return (
         exclude_links(links)
         .select(absolutise(F.col("href"), P.EN_BASE).alias("url"))
@@ -31,7 +32,7 @@ def day_pages(pages: DataFrame, years: DataFrame) -> DataFrame:
 
 def day_listing(pages: DataFrame, days: DataFrame) -> DataFrame:
     """Article links of each day: day, pos, href."""
-    links = links_in(pages_behind(pages, days), P.EN_DAY)
+    links = links_in(latest_pages(pages_behind(pages, days)), P.EN_DAY)
     return links.withColumnRenamed("page_id", "url").join(days, "url").select("day", "pos", "href")
 
 
@@ -45,19 +46,24 @@ def archive_listing(pages: DataFrame, years: DataFrame) -> DataFrame:
     return staged(day_listing(pages, days), "listing")
 
 
-def due_articles(pages: DataFrame, listing: DataFrame, stored: DataFrame, slack: int = 10) -> DataFrame:
-    """Articles of all days that need a refresh: day, pos, url, text.
+def due_days(listing: DataFrame, stored: DataFrame, slack: int = 10) -> DataFrame:
+    """Days that need a refresh: day.  ``stored(day, stored_lines)`` says what is there."""
+    return staged(days_to_refresh(listing_counts(listing), stored, slack).select("day"), "due")
 
-    ``stored(day, stored_lines)`` says what is there.  Only pages of incomplete
-    days are parsed.
-    """
-    due = staged(days_to_refresh(listing_counts(listing), stored, slack).select("day"), "due")
-    wanted = drop_matching_urls(listing.withColumnRenamed("href", "url").join(due, "day", "left_semi"))
+
+def articles_of(pages: DataFrame, listing: DataFrame, days: DataFrame) -> DataFrame:
+    """Articles of these days: day, pos, url, text.  Only their pages are parsed."""
+    wanted = drop_matching_urls(listing.withColumnRenamed("href", "url").join(days, "day", "left_semi"))
     wanted = staged(wanted, "wanted")
-    bodies = english_body(pages_behind(pages, wanted)).withColumnRenamed("page_id", "url")
+    bodies = english_body(latest_pages(pages_behind(pages, wanted))).withColumnRenamed("page_id", "url")
     return non_empty(attach_detail(wanted, bodies), "text").select("day", "pos", "url", "text")
 
 
+def due_articles(pages: DataFrame, listing: DataFrame, stored: DataFrame, slack: int = 10) -> DataFrame:
+    """Articles of all days that need a refresh: day, pos, url, text."""
+    return articles_of(pages, listing, due_days(listing, stored, slack))
+
+
 def daily_corpus(pages: DataFrame, years: DataFrame, stored: DataFrame, slack: int = 10) -> DataFrame:
     """From the archive's year pages(url) to the articles of all days behind."""
     return due_articles(pages, archive_listing(pages, years), stored, slack)

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kawaraban.operators.joins import stored_counts
-from kawaraban.plans.english import archive_listing, due_articles
+from kawaraban.plans.english import archive_listing, articles_of, due_days
 from kawaraban.plans.histogram import yearly_histogram
 from kawaraban.plans.tables import (
     RolesOf,
     analysed,
-    property_listing,
+    first_of_each,
+    property_tables,
     reanalysed,
     unseen_articles,
 )
@@ -23,9 +24,12 @@ from kawaraban.sources.tables import (
     append_articles,
     read_articles,
     read_daily,
+    read_day_counts,
+    version,
     write_articles,
     write_by_year,
     write_daily,
+    write_day_counts,
 )
 
 PROPERTY_SCHEMA = ", ".join(f"`{c}` string" for c in (*PROPERTY_COLUMNS, *PROPERTY_ROLE_COLUMNS))
@@ -39,19 +43,24 @@ def refresh_daily_corpus(
     slack: int = 10,
     fmt: str = "text",
 ) -> None:
-    """Fetch the days that are missing or behind and replace their folders.
+    """Fetch the days that are missing or behind and replace their articles.
 
-    Stored articles are counted in the folders of listed days alone.
+    The number of articles of every refreshed day is kept, 0 too, so a day whose
+    pages are missing is not fetched for ever; stored texts are only counted
+    where a table has no such numbers yet.
     """
     listing = archive_listing(pages, years)
-    daily = read_daily(spark, path, fmt)
-    if daily is None:
-        stored = spark.createDataFrame([], "day string, stored_lines bigint")
-    else:
-        days = listing.select("day").distinct()
-        # Counted before the folder is written to.
-        stored = staged(stored_counts(daily.join(days, "day", "left_semi")), "stored")
-    write_daily(due_articles(pages, listing, stored, slack), path, fmt=fmt)
+    stored = read_day_counts(spark, path)
+    if stored is None:
+        daily = read_daily(spark, path, fmt)
+        stored = spark.createDataFrame([], "day string, stored_lines bigint") if daily is None else stored_counts(daily)
+    # Read before the folders are written to.
+    stored = staged(stored.join(listing.select("day").distinct(), "day", "left_semi"), "stored")
+    days = due_days(listing, stored, slack)
+    articles = staged(articles_of(pages, listing, days), "articles")
+    counts = days.join(stored_counts(articles), "day", "left").select("day", F.coalesce("stored_lines", F.lit(0)).alias("stored_lines"))
+    write_daily(articles, path, fmt=fmt)
+    write_day_counts(counts, path)
 
 
 def refresh_property_table(
@@ -63,25 +72,45 @@ def refresh_property_table(
     roles_of: RolesOf,
     rule: str = "pair",
 ) -> bool:
-    """Add unseen listing rows, with roles, to the stored table.
+    """Add unseen listing rows, with roles, to the stored table; rejected ones go to ``<path>-rejected``.
 
-    Only new rows are analysed and written.  Returns False where there are none.
+    Of several copies of a page the newest is read, and of several rows of one
+    date and title the first is taken, so the result does not depend on how the
+    pages are dealt out over runs.  Only new rows are analysed and written.
+    Returns False where there are none.
     """
     stored = read_articles(spark, path, PROPERTY_SCHEMA)
     if stored is None:
         stored = spark.createDataFrame([], PROPERTY_SCHEMA)
-    listing = staged(property_listing(pages, year, today), "listing")
-    new = unseen_articles(listing, stored, rule)
+    listing, rejected = property_tables(pages, year, today)
+    save_rejected(rejected, f"{path}-rejected")
+    new = unseen_articles(first_of_each(listing), stored, rule)
     if new.isEmpty():
         return False
     append_articles(analysed(new, roles_of), path, (*PROPERTY_COLUMNS, *PROPERTY_ROLE_COLUMNS))
     return True
 
 
-def redo_property_table(spark: SparkSession, path: str, roles_of: RolesOf) -> None:
-    """Analyse all stored rows again, after the role rules changed."""
+def save_rejected(rejected: DataFrame, path: str) -> None:
+    """Add the rejected rows that were not saved before."""
+    known = read_articles(rejected.sparkSession, path)
+    new = staged(rejected.distinct() if known is None else rejected.subtract(known.select(*rejected.columns)), "rejected")
+    if not new.isEmpty():
+        append_articles(new, path)
+
+
+def redo_property_table(spark: SparkSession, path: str, roles_of: RolesOf) -> bool:
+    """Analyse all stored rows again, after the role rules changed.
+
+    Returns False where there is no table.  ``Changed`` is raised when rows were
+    added meanwhile; then run it again.
+    """
+    base = version(spark, path)
     stored = read_articles(spark, path, PROPERTY_SCHEMA)
-    write_articles(reanalysed(stored, roles_of), path, (*PROPERTY_COLUMNS, *PROPERTY_ROLE_COLUMNS))
+    if stored is None:
+        return False
+    write_articles(reanalysed(stored, roles_of), path, (*PROPERTY_COLUMNS, *PROPERTY_ROLE_COLUMNS), base=base)
+    return True
 
 
 def save_histogram(articles: DataFrame, path: str, text: str = "Snippet", date: str = "Date", **tokens: str) -> None:

@@ -18,10 +18,11 @@ from kawaraban.operators.extract import (
     property_items,
 )
 from kawaraban.operators.joins import attach_detail, pages_behind, unseen, with_roles
-from kawaraban.operators.rows import append_new
+from kawaraban.operators.rows import append_new, with_errors
 from kawaraban.plans.roles import ROLE_COLUMNS
 from kawaraban.session import staged
 from kawaraban.sources import profiles as P
+from kawaraban.sources.pages import latest_pages
 from kawaraban.sources.tables import PROPERTY_ROLE_COLUMNS
 
 # Turns sentences(sent_id, sentence) into roles, by way of an external parser.
@@ -30,11 +31,11 @@ RolesOf = Callable[[DataFrame], DataFrame]
 
 def headline_table(pages: DataFrame, listing_urls: DataFrame) -> DataFrame:
     """Headlines with their article text: Date, Summary, Link, Detail."""
-    items = headline_items(pages_behind(pages, listing_urls)).withColumn(
+    items = headline_items(latest_pages(pages_behind(pages, listing_urls))).withColumn(
         "url", absolutise(F.col("href"), P.JA_BASE)
     )
     items = staged(items, "headlines")
-    bodies = japanese_body(pages_behind(pages, items.select("url"))).withColumnRenamed("page_id", "url")
+    bodies = japanese_body(latest_pages(pages_behind(pages, items.select("url")))).withColumnRenamed("page_id", "url")
     return attach_detail(items, bodies).select(
         F.col("time").alias("Date"),
         F.col("summary").alias("Summary"),
@@ -43,25 +44,34 @@ def headline_table(pages: DataFrame, listing_urls: DataFrame) -> DataFrame:
     )
 
 
-def archive_table(pages: DataFrame, listing_urls: DataFrame) -> DataFrame:
-    """Tech archive: Date, Title, Snippet, link, honbun; items without an article page are left out."""
-    items = archive_items(pages_behind(pages, listing_urls)).withColumn(
+def archive_tables(pages: DataFrame, listing_urls: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tech archive, and the listed items without a complete article page, with a reason.
+
+    Both have the columns Date, Title, Snippet, link, honbun.
+    """
+    items = archive_items(latest_pages(pages_behind(pages, listing_urls))).withColumn(
         "url", absolutise(F.col("href"), P.TECH_BASE)
     )
     items = staged(items, "archive")
-    details = archive_details(pages_behind(pages, items.select("url"))).withColumnRenamed("page_id", "url")
-    return attach_detail(items, details).where(F.col("time").isNotNull()).select(
+    details = archive_details(latest_pages(pages_behind(pages, items.select("url")))).withColumnRenamed("page_id", "url")
+    joined = attach_detail(items, details).select(
         F.col("time").alias("Date"),
         F.col("title").alias("Title"),
         F.col("snippet").alias("Snippet"),
         F.col("url").alias("link"),
         F.col("text").alias("honbun"),
     )
+    return with_errors(joined, ["Date", "honbun"])
+
+
+def archive_table(pages: DataFrame, listing_urls: DataFrame) -> DataFrame:
+    """Tech archive: Date, Title, Snippet, link, honbun; items without an article page are left out."""
+    return archive_tables(pages, listing_urls)[0]
 
 
-def property_listing(pages: DataFrame, year: int, today: dt.date) -> DataFrame:
+def property_listing(pages: DataFrame, year: int, today: dt.date, incomplete: bool = False) -> DataFrame:
     """Property listing pages as rows: date_raw, title, summary, url and their place on the page."""
-    return property_items(pages).select(
+    return property_items(pages, incomplete=incomplete).select(
         "page_id",
         "sec",
         "kind",
@@ -73,6 +83,23 @@ def property_listing(pages: DataFrame, year: int, today: dt.date) -> DataFrame:
     )
 
 
+def property_tables(pages: DataFrame, year: int, today: dt.date) -> tuple[DataFrame, DataFrame]:
+    """Listing rows of the newest copy of every page, and the rejected ones with a reason.
+
+    A row is rejected when its heading is a day that the year lacks, or when its
+    title, summary or address is missing.
+    """
+    listing = staged(property_listing(latest_pages(pages), year, today, incomplete=True), "listing")
+    return with_errors(listing, ["date_raw", "title", "summary", "url"])
+
+
+def first_of_each(listing: DataFrame) -> DataFrame:
+    """One row per date and title: the first by page, section, kind and place."""
+    place = F.struct("page_id", "sec", "kind", "pos", "url", "summary")
+    first = listing.groupBy("date_raw", "title").agg(F.min(place).alias("_first"))
+    return first.select("_first.page_id", "_first.sec", "_first.kind", "_first.pos", "date_raw", "title", "_first.summary", "_first.url")
+
+
 def sentence(summary: Column) -> Column:
     """The sentence whose roles an article carries (new rows: already widened)."""
     return drop_wide_paren(first_sentence(summary))
@@ -93,12 +120,12 @@ def with_sentences(articles: DataFrame, text: Column) -> DataFrame:
     return articles.withColumn("sentence", text).withColumn("sent_id", sentence_key(F.col("sentence")))
 
 
-def property_rows(keyed: DataFrame, roles: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+def property_rows(keyed: DataFrame, roles: DataFrame) -> DataFrame:
     """Keyed articles as stored rows, with the five role columns of their sentence."""
     named = roles.select(
         "sent_id", *[F.col(a).alias(b) for a, b in zip(ROLE_COLUMNS, PROPERTY_ROLE_COLUMNS)]
     )
-    joined = with_roles(keyed.drop("sentence"), named, counted=counted)
+    joined = with_roles(keyed.drop("sentence"), named)
     return joined.select(
         F.col("date_raw").alias("Date"),
         F.col("title").alias("Title"),
@@ -143,4 +170,4 @@ def reanalysed(stored: DataFrame, roles_of: RolesOf) -> DataFrame:
     )
     keyed = with_sentences(articles, stored_sentence(F.col("summary")))
     roles = roles_of(keyed.select("sent_id", "sentence").distinct())
-    return property_rows(keyed, roles, counted=keyed.select("sent_id"))
+    return property_rows(keyed, roles)

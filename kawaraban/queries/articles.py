@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kawaraban.functions import links as L, text as T
+from kawaraban.functions.frames import NOUN
 from kawaraban.operators import rows as R
 from kawaraban.operators.joins import page_slice as slice_pages
 from kawaraban.plans.histogram import yearly_histogram
+from kawaraban.plans.refresh import save_histogram
 from kawaraban.queries import fixtures as X
 from kawaraban.queries.base import query, table, with_
 from kawaraban.queries.strings import _EN
@@ -83,6 +85,54 @@ def histogram_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return yearly_histogram(articles, "body")
 
 
+@query(
+    f"""SELECT year, token, n FROM (
+          SELECT lang AS year, token, count(*) AS n
+          FROM (SELECT lang, unnest({_WORDS.format('text')}) AS token FROM documents)
+          WHERE length(token) % 2 = 0 GROUP BY ALL)"""
+)
+def histogram_of_nouns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of one part of speech of tokens made by an analyser (here: words of even length)."""
+    words = R.word_tokens(F.col("text"))
+    tokens = F.transform(
+        words, lambda w: F.struct(w.alias("surface"), F.when(F.length(w) % 2 == 0, NOUN).otherwise("動詞").alias("pos"))
+    )
+    analysed = X.documents(spark, sf_dir).select(F.col("lang").alias("year"), tokens.alias("tokens"))
+    return R.token_histogram(analysed, "year", tokens="tokens", keep=NOUN)
+
+
+@query(
+    with_(
+        [X.D_ARTICLES],
+        f"""SELECT year, token, count(*) AS n
+            FROM (SELECT substring(date_raw, 1, 4) AS year, unnest({_WORDS.format('summary')}) AS token
+                  FROM (SELECT DISTINCT date_raw, title, summary FROM d_articles))
+            WHERE year BETWEEN '2010' AND '2019' GROUP BY ALL""",
+    )
+)
+def histogram_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The yearly histogram written by year, a folder each, and read back."""
+    articles = X.d_articles(spark, sf_dir).select(
+        F.col("date_raw").alias("Date"), F.col("title").alias("Title"), F.col("summary").alias("Snippet")
+    )
+    path = scratch_path(spark, "histogram")
+    save_histogram(articles, path)
+    return spark.read.schema("token string, n bigint, year string").parquet(path)
+
+
+@query(
+    "SELECT lang, (n - 1) // 10 + 1 AS page, doc_id FROM (SELECT lang, doc_id, row_number() OVER "
+    "(PARTITION BY lang ORDER BY text, doc_id) AS n, count(*) OVER (PARTITION BY lang) AS m FROM documents) "
+    "WHERE n > (SELECT max(m) // 20 * 10 FROM (SELECT count(*) AS m FROM documents GROUP BY lang))"
+)
+def deep_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages of ten from the middle of the largest language on, in order of the text."""
+    docs = X.documents(spark, sf_dir)
+    most = docs.groupBy("lang").count().agg(F.max("count")).first()[0]
+    found = slice_pages(docs, most // 20 + 1, most // 10 + 1, 10, order=["text", "doc_id"], by=["lang"])
+    return found.select("lang", "page", "doc_id")
+
+
 @query(
     "SELECT lang, (n - 1) // 10 + 1 AS page, doc_id FROM (SELECT lang, doc_id, row_number() OVER "
     "(PARTITION BY lang ORDER BY doc_id) AS n FROM documents) WHERE n BETWEEN 11 AND 30"
@@ -100,7 +150,7 @@ _CLEAN = _EN.format("text")
 @query(
     f"""SELECT day, CASE WHEN late THEN 'again ' || line ELSE line END AS text
         FROM (SELECT {_DAY} AS day, doc_id % 28 % 2 = 1 AS late, {_CLEAN} AS line FROM documents)
-        WHERE line <> '' AND NOT (late AND length(line) < 100)"""
+        WHERE line <> ''"""
 )
 def daily_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days written, every second day written again, all days read back."""
@@ -109,7 +159,7 @@ def daily_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = staged(R.non_empty(lines, "text"), "lines")
     path = scratch_path(spark, "daily")
     S.write_daily(lines, path)
-    again = lines.where("doc_id % 28 % 2 = 1 AND length(text) >= 100")
+    again = lines.where("doc_id % 28 % 2 = 1")
     S.write_daily(again.withColumn("text", X.cat("again ", F.col("text"))), path)
     return S.read_daily(spark, path)
 
@@ -117,15 +167,20 @@ def daily_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     with_(
         [X.D_ARTICLES],
-        "SELECT doc_id, date_raw, title, summary, url, body FROM d_articles WHERE doc_id % 2 = 0",
+        """SELECT doc_id, date_raw, CASE WHEN doc_id % 3 < 2 THEN title || '!' ELSE title END AS title, summary, url, body
+           FROM d_articles""",
     )
 )
 def articles_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table saved, then replaced by a version computed from itself, then read."""
+    """A table saved, added to, replaced by a version computed from itself, added to again, then read."""
     columns = ("doc_id", "date_raw", "title", "summary", "url", "body")
     path = scratch_path(spark, "articles")
-    S.write_articles(X.d_articles(spark, sf_dir), path, columns)
-    S.write_articles(S.read_articles(spark, path).where("doc_id % 2 = 0"), path, columns)
+    articles = X.d_articles(spark, sf_dir)
+    S.write_articles(articles.where("doc_id % 3 = 0"), path, columns)
+    S.append_articles(articles.where("doc_id % 3 = 1"), path, columns)
+    base = S.version(spark, path)
+    S.write_articles(S.read_articles(spark, path).withColumn("title", X.cat(F.col("title"), "!")), path, columns, base=base)
+    S.append_articles(articles.where("doc_id % 3 = 2"), path, columns)
     return S.read_articles(spark, path)
 
 

@@ -7,6 +7,9 @@ size, so they grow with the data.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kawaraban.functions import frames as C
@@ -45,10 +48,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
 
 
-def stored_site(pages: DataFrame) -> DataFrame:
-    """Derived pages as a stored page table of evenly filled files."""
-    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return staged(pages.repartition(n, "url"), "pages")
+_SITES: dict[tuple[str, ...], DataFrame] = {}
+
+
+def stored_site(spark: SparkSession, sf_dir: str, *builders: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """Derived pages as a stored page table of evenly filled files, written once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir, *(b.__name__ for b in builders))
+    if key not in _SITES:
+        pages = [b(spark, sf_dir).select("page_id", "url", "html") for b in builders]
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        _SITES[key] = staged(reduce(DataFrame.unionByName, pages).repartition(n, "url"), "pages")
+    return _SITES[key]
 
 
 # --- article table ------------------------------------------------------------
@@ -58,7 +68,7 @@ def d_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         cat("/a/", F.col("doc_id")).alias("url"),
         cat(2010 + F.col("doc_id") % 12, "/4/1 6:30 (x)").alias("date_raw"),
-        F.substring(first, 1, 40).alias("title"),
+        first.alias("title"),
         first.alias("summary"),
         F.col("text").alias("body"),
     )
@@ -66,7 +76,7 @@ def d_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 D_ARTICLES = """d_articles AS (
   SELECT doc_id, '/a/' || doc_id AS url, (2010 + doc_id % 12) || '/4/1 6:30 (x)' AS date_raw,
-         substring(split_part(text, chr(10), 1), 1, 40) AS title,
+         split_part(text, chr(10), 1) AS title,
          split_part(text, chr(10), 1) AS summary, text AS body
   FROM documents)"""
 
@@ -108,8 +118,19 @@ SQL_HEADING = """CASE WHEN g % 11 = 5 THEN NULL WHEN g % 17 = 3 THEN '特集'
   ELSE (g % 12 + 1) || '月' || (g % 28 + 1) || '日のニュース一覧' END"""
 
 
-def d_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pages(page_id, url, html): ten documents a page."""
+#: A day that 2019 lacks, on every sixth page.
+NO_DAY = "2月29日のニュース一覧"
+
+
+def odd_heading(g: Column) -> Column:
+    return F.when(g % 6 == 1, NO_DAY).otherwise(heading(g))
+
+
+SQL_ODD_HEADING = f"CASE WHEN g % 6 = 1 THEN '{NO_DAY}' ELSE {SQL_HEADING} END"
+
+
+def d_listing(spark: SparkSession, sf_dir: str, headed: Callable[[Column], Column] = heading) -> DataFrame:
+    """pages(page_id, url, html): ten documents a page; every fifth page has no item list."""
     a = d_articles(spark, sf_dir).withColumn("g", div("doc_id", DOCS_PER_PAGE))
     summary = F.when(
         F.col("doc_id") % 13 != 0, cat('<p class="summary">', escaped(F.col("summary")), "</p>")
@@ -133,11 +154,10 @@ def d_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         cat(PROPERTY_LIST, F.col("g")).alias("url"),
         cat(
             '<html><body><div id="top"></div><div id="mainContent"><section class="section article-index">',
-            F.coalesce(cat("<h2>", heading(F.col("g")), "</h2>"), F.lit("")),
+            F.coalesce(cat("<h2>", headed(F.col("g")), "</h2>"), F.lit("")),
             F.col("pickups"),
-            '<ul class="list-type1">',
-            F.col("items"),
-            "</ul></section></div></body></html>",
+            F.when(F.col("g") % 5 == 4, "").otherwise(cat('<ul class="list-type1">', F.col("items"), "</ul>")),
+            "</section></div></body></html>",
         ).alias("html"),
     )
 
@@ -148,9 +168,9 @@ D_LISTING = f"""d_listing AS (
     || coalesce('<h2>' || {SQL_HEADING} || '</h2>', '')
     || coalesce(string_agg('<section class="pickup-nfm">' || link || '</section>', '' ORDER BY doc_id)
                 FILTER (doc_id % 10 < 3), '')
-    || '<ul class="list-type1">'
+    || CASE WHEN g % 5 = 4 THEN '' ELSE '<ul class="list-type1">'
     || coalesce(string_agg('<li>' || link || '</li>', '' ORDER BY doc_id) FILTER (doc_id % 10 >= 3), '')
-    || '</ul></section></div></body></html>' AS html
+    || '</ul>' END || '</section></div></body></html>' AS html
   FROM (SELECT doc_id, doc_id // 10 AS g,
                '<a href="' || url || '"><h3>' || {sql_escaped('title')} || '</h3>'
                || CASE WHEN doc_id % 13 <> 0
@@ -277,7 +297,7 @@ SQL_EN_HREF = f"CASE WHEN doc_id % 9 = 0 THEN {q(EN_VIDEO)} ELSE {q(EN_ARTICLE)}
 
 
 def d_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pages(url, html): year pages of 28 days, day pages of 12 documents, article pages."""
+    """pages(page_id, url, html): year pages of 28 days, day pages of 12 documents, article pages."""
     docs = documents(spark, sf_dir)
     linked = docs.select(
         _day().alias("day_no"), "doc_id", cat('<a href="', en_href(F.col("doc_id")), '">x</a>').alias("a")
@@ -320,7 +340,7 @@ def d_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
         cat(EN_ARTICLE, F.col("doc_id")).alias("url"),
         cat('<div class="StandardArticleBody_body">', body, "</div><p>after</p>").alias("html"),
     )
-    return year_pages.unionByName(day_pages).unionByName(articles)
+    return year_pages.unionByName(day_pages).unionByName(articles).withColumn("page_id", F.xxhash64("url"))
 
 
 def year_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,18 +421,22 @@ WORD = r"[^\s/:;+]+"
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """sentences(sent_id, sentence, flavour): the first sentence of each turn."""
-    return table(spark, sf_dir, "conversations").select(
-        cat(F.col("conv_id"), "-", F.col("turn")).alias("sent_id"),
-        F.substring_index("text", ".", 1).alias("sentence"),
-        (F.col("conv_id") % 3).cast("int").alias("flavour"),
+    """sentences(sent_id, sentence, flavour): all sentences of each turn, numbered."""
+    return (
+        table(spark, sf_dir, "conversations")
+        .select("conv_id", "turn", F.posexplode(F.split("text", "[.]")).alias("no", "sentence"))
+        .select(
+            cat(F.col("conv_id"), "-", F.col("turn"), "-", F.col("no")).alias("sent_id"),
+            "sentence",
+            (F.col("conv_id") % 3).cast("int").alias("flavour"),
+        )
     )
 
 
 SQL_TURNS = """turns AS (
-  SELECT conv_id || '-' || turn AS sent_id, split_part(text, '.', 1) AS sentence,
-         conv_id % 3 AS flavour
-  FROM conversations)"""
+  SELECT conv_id || '-' || turn || '-' || (no - 1) AS sent_id, parts[no] AS sentence, conv_id % 3 AS flavour
+  FROM (SELECT conv_id, turn, string_split(text, '.') AS parts FROM conversations),
+       unnest(range(1, len(parts) + 1)) AS t(no))"""
 
 
 def parsed(sentences: DataFrame) -> DataFrame:

@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from kawaraban.functions import text as T
-from kawaraban.plans import english, tables as J
+from kawaraban.operators.extract import property_items
+from kawaraban.operators.rows import order_by_doc
+from kawaraban.plans import english, refresh, tables as J
 from kawaraban.plans.roles import extract_roles
 from kawaraban.queries import fixtures as X
 from kawaraban.queries.base import q, query, with_
 from kawaraban.queries.markup import _PAGES
 from kawaraban.queries.strings import _EN, _SQL_HEADING_DATE, _STRIP, _wide_sql
-from kawaraban.session import staged
+from kawaraban.session import scratch_path, staged
 from kawaraban.sources import profiles as P
 from kawaraban.sources.pages import archive_urls
+from kawaraban.sources.tables import read_articles, read_daily
 
 _TODAY = dt.date(2019, 3, 8)
 
@@ -59,7 +62,7 @@ def daily_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         X._day_key(F.col("day_no")).alias("day"),
         F.when(F.col("day_no") % 3 == 1, F.col("n")).otherwise(1).alias("stored_lines"),
     )
-    pages = X.stored_site(X.d_hops(spark, sf_dir))
+    pages = X.stored_site(spark, sf_dir, X.d_hops)
     corpus = english.daily_corpus(pages, X.year_seeds(spark, sf_dir), stored)
     return corpus.select("day", "url", "text")
 
@@ -81,7 +84,7 @@ def daily_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def headline_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = X.stored_site(X.ja_listing(spark, sf_dir).unionByName(X.ja_articles(spark, sf_dir)))
+    pages = X.stored_site(spark, sf_dir, X.ja_listing, X.ja_articles)
     return J.headline_table(pages, _archive(spark, sf_dir, P.JA_ARCHIVE))
 
 
@@ -96,7 +99,7 @@ def headline_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def archive_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = X.stored_site(X.tech_listing(spark, sf_dir).unionByName(X.d_detail(spark, sf_dir)))
+    pages = X.stored_site(spark, sf_dir, X.tech_listing, X.d_detail)
     return J.archive_table(pages, _archive(spark, sf_dir, X.TECH_LIST + "%d"))
 
 
@@ -148,10 +151,107 @@ _SENTENCES = """sentences AS (
 )
 def incremental_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Property listing pages added to a stored table that has a third of their rows."""
-    listing = staged(J.property_listing(X.d_listing(spark, sf_dir), 2019, _TODAY), "listing")
+    listing = staged(J.property_listing(X.stored_site(spark, sf_dir, X.d_listing), 2019, _TODAY), "listing")
     return J.incremental_table(listing, _stored_third(listing), _roles_of)
 
 
+# Headings with an invalid day; of two copies of a page the newer one counts.
+_ODD_PAGES = _PAGES.replace(X.SQL_HEADING, X.SQL_ODD_HEADING)
+
+
+def _odd_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages, every fourth one also in an older copy with other titles."""
+    pages = X.d_listing(spark, sf_dir, X.odd_heading)
+    last = F.lit(1_000_000_000_000)
+    old = pages.where("page_id % 4 = 0").withColumn("html", F.replace("html", F.lit("<h3>"), F.lit("<h3>old ")))
+    return pages.withColumn("page_id", F.col("page_id") + last).unionByName(old)
+
+
+@query(
+    with_(
+        [
+            X.D_ARTICLES,
+            _ODD_PAGES,
+            _LISTED,
+            f"""first AS (
+  SELECT l.* FROM listed l JOIN linked USING (doc_id) WHERE date_raw IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY date_raw, l.title
+    ORDER BY {q(X.PROPERTY_LIST)} || g, CASE WHEN pickup THEN 0 ELSE 1 END, doc_id) = 1)""",
+            f"""analysed AS (
+  SELECT *, regexp_replace(split_part(summary, '。', 1), {q(T.WIDE_PAREN)}, '', 'g') AS sentence FROM first)""",
+            _SENTENCES,
+            *X.sql_phrases("sentences"),
+            X.SQL_ROLES,
+        ],
+        """SELECT date_raw AS "Date", title AS "Title", summary AS "Summary", url AS "Link",
+             coalesce(ga, '-') AS "ガ", coalesce(wo, '-') AS "ヲ", coalesce(ni, '-') AS "ニ",
+             coalesce(verb, '-') AS "Do", coalesce(loc, '-') AS "Loc"
+           FROM analysed LEFT JOIN roles ON roles.sent_id = md5(sentence)""",
+    )
+)
+def refresh_property(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The property job run twice over pages with invalid days and doubled URLs; the stored table."""
+    pages, path = X.stored_site(spark, sf_dir, _odd_site), scratch_path(spark, "property")
+    for _ in range(2):
+        refresh.refresh_property_table(spark, path, pages, 2019, _TODAY, _roles_of)
+    return read_articles(spark, path, refresh.PROPERTY_SCHEMA)
+
+
+@query(
+    with_(
+        [
+            X.D_ARTICLES,
+            _ODD_PAGES,
+            f"""dated AS (
+  SELECT doc_id, {_SQL_HEADING_DATE} AS date_raw, title, url FROM linked)""",
+        ],
+        f"""SELECT title, {q(P.PROPERTY_BASE)} || url AS url,
+              concat_ws(',', CASE WHEN date_raw IS NULL THEN 'date_raw' END,
+                             CASE WHEN doc_id % 13 = 0 THEN 'summary' END) AS reason
+            FROM dated WHERE date_raw IS NULL OR doc_id % 13 = 0""",
+    )
+)
+def rejected_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing rows that two runs of the property job rejected, with the reason."""
+    _, rejected = J.property_tables(X.stored_site(spark, sf_dir, _odd_site), 2019, _TODAY)
+    path = scratch_path(spark, "rejected")
+    for _ in range(2):
+        refresh.save_rejected(rejected, path)
+    return read_articles(spark, path).select("title", "url", "reason")
+
+
+@query(
+    with_(
+        [X.D_HOPS],
+        f"""SELECT day, text FROM (
+              SELECT day, doc_id, {_STRIP.format(_EN.format(_BODY))} AS text FROM d_hops)
+            WHERE text <> '' AND doc_id % 9 <> 0 AND doc_id % 14 <> 3""",
+    )
+)
+def refresh_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily job run twice, the second time with few pages left: no day is due again."""
+    pages, path = X.stored_site(spark, sf_dir, X.d_hops), scratch_path(spark, "daily")
+    refresh.refresh_daily_corpus(spark, path, pages, X.year_seeds(spark, sf_dir))
+    fewer = pages.where(~F.startswith("url", F.lit(X.EN_ARTICLE)))
+    refresh.refresh_daily_corpus(spark, path, fewer, X.year_seeds(spark, sf_dir))
+    return read_daily(spark, path)
+
+
+@query(
+    with_(
+        [X.D_ARTICLES, _PAGES],
+        """SELECT g AS page_id, row_number() OVER (PARTITION BY g ORDER BY pickup DESC, doc_id) AS ord, title
+           FROM items""",
+    )
+)
+def document_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing rows put in document order, numbered per page in the order they came out."""
+    items = property_items(X.d_listing(spark, sf_dir), key="page_id")
+    ordered = order_by_doc(items, "page_id", "sec", "kind", "pos").withColumn("at", F.monotonically_increasing_id())
+    ord_ = F.row_number().over(Window.partitionBy("page_id").orderBy("at")).cast("bigint")
+    return ordered.select("page_id", ord_.alias("ord"), "title")
+
+
 @query(
     with_(
         [

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from kawaraban.functions.dates import DAY_HEADING, NEW_ARRIVALS
 from kawaraban.functions.html import attribute, decode_entities
 from kawaraban.operators import html as H
-from kawaraban.operators.extract import headline_items, links_in, paragraph_text, property_items
+from kawaraban.operators.extract import headline_items, links_in, paragraph_text, property_items, section_headings
 from kawaraban.operators.rows import complete_only, require, title_contains_any
 from kawaraban.queries import fixtures as X
 from kawaraban.queries.base import q, query, with_
@@ -92,7 +92,7 @@ def read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT i AS page, 'https://www.nikkei.com/technology/archive/?bn=' || i AS url
+    f"""SELECT i AS page, {q(X.TECH_LIST)} || i AS url
         FROM (SELECT unnest(range(1, (SELECT max(doc_id) // 10 + 2 FROM documents))) AS i)"""
 )
 def archive_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,8 +168,8 @@ _ARTICLE_P = [sql_tokens("pages"), sql_elements("article", "o"), sql_elements("p
     )
 )
 def article_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tok = H.html_tokens(page_table(spark, sf_dir))
-    pairs = H.within(H.elements(tok, "article"), H.elements(tok, "p"))
+    n = H.nodes(H.html_tokens(page_table(spark, sf_dir)), ["article", "p"])
+    pairs = H.inside(n, H.is_element("article"), H.is_element("p"))
     return _ids(pairs.withColumn("article", F.col("outer").cast("bigint")), "article")
 
 
@@ -181,7 +181,7 @@ def article_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def first_paragraph(spark: SparkSession, sf_dir: str) -> DataFrame:
     tok = H.html_tokens(page_table(spark, sf_dir))
-    first = H.first_within(H.elements(tok, "article"), H.elements(tok, "p"))
+    first = H.first_within(tok, ("article", H.is_element("article")), ("p", H.is_element("p")))
     return first.select(
         "page_id", F.col("outer").cast("bigint").alias("article"), F.col("start").cast("bigint").alias("start")
     )
@@ -208,8 +208,8 @@ _SQL_DECODED = "replace(replace(replace(replace({}, '&quot;', '\"'), '&lt;', '<'
 def element_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decoded text of the body element of each article page."""
     tok = H.html_tokens(X.d_detail(spark, sf_dir))
-    body = H.elements(tok, P.TECH_BODY.tag, class_exact=P.TECH_BODY.class_exact)
-    return H.text_of(body, tok).select("page_id", "text")
+    body = H.text_of(tok, P.TECH_BODY.tag, class_exact=P.TECH_BODY.class_exact)
+    return body.select("page_id", "text")
 
 
 @query(
@@ -224,8 +224,7 @@ def element_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def element_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tok = H.html_tokens(page_table(spark, sf_dir))
-    marked = H.markup_of(H.elements(tok, "p"), tok)
+    marked = H.markup_of(H.html_tokens(page_table(spark, sf_dir)), "p")
     return marked.select("page_id", F.col("start").cast("bigint").alias("start"), "markup")
 
 
@@ -264,13 +263,13 @@ def every_second_link(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PAGES = f"""listing AS (
   SELECT doc_id, doc_id // 10 AS g, title, summary, url, doc_id % 10 < 3 AS pickup FROM d_articles),
 headed AS (SELECT *, {X.SQL_HEADING} AS heading FROM listing),
-items AS (SELECT * FROM headed WHERE heading IS NOT NULL AND heading <> '特集' AND doc_id % 13 <> 0)"""
+linked AS (
+  SELECT * FROM headed WHERE heading IS NOT NULL AND heading <> '特集' AND (pickup OR g % 5 <> 4)),
+items AS (SELECT * FROM linked WHERE doc_id % 13 <> 0)"""
 
 
-def _sections(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    tok = H.html_tokens(X.d_listing(spark, sf_dir))
-    sections = H.elements(tok, "section", class_exact="section article-index")
-    return tok, sections, H.first_within(sections, H.elements(tok, "h2"))
+def _headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return section_headings(X.d_listing(spark, sf_dir), P.PROPERTY_SECTION, key="page_id")
 
 
 @query(
@@ -279,8 +278,7 @@ def _sections(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, D
 )
 def require_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sections that have a heading, with its text."""
-    tok, _, headings = _sections(spark, sf_dir)
-    return require(H.text_of(headings.drop("outer"), tok), "text").select("page_id", F.col("text").alias("heading"))
+    return require(_headings(spark, sf_dir), "heading").select("page_id", "heading")
 
 
 @query(
@@ -289,8 +287,7 @@ def require_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
     "WHERE contains(heading, 'のニュース') OR contains(heading, '新着記事一覧')"
 )
 def title_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tok, _, headings = _sections(spark, sf_dir)
-    named = H.text_of(headings.drop("outer"), tok).select("page_id", F.col("text").alias("heading"))
+    named = require(_headings(spark, sf_dir), "heading").select("page_id", "heading")
     return title_contains_any(named, [DAY_HEADING, NEW_ARRIVALS], "heading")
 
 

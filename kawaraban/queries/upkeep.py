@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from kawaraban.functions.links import BOILERPLATE_LINKS, absolutise
 from kawaraban.operators import joins as J
 from kawaraban.operators.extract import archive_details, links_in
+from kawaraban.operators.joins import pages_behind
 from kawaraban.operators.rows import append_new as put_first
+from kawaraban.plans.english import day_pages
 from kawaraban.queries import fixtures as X
 from kawaraban.queries.base import q, query, with_
 from kawaraban.session import staged
@@ -21,14 +23,15 @@ from kawaraban.sources import profiles as P
     )
 )
 def link_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Year pages to day pages to articles: two hops over one link table."""
-    pages = X.stored_site(X.d_hops(spark, sf_dir))
-    listed = links_in(pages, P.Selector("p")).unionByName(links_in(pages, P.EN_DAY))
+    """Year pages to day pages to articles: two hops over one link table, for which only these pages are read."""
+    pages, years = X.stored_site(spark, sf_dir, X.d_hops), X.year_seeds(spark, sf_dir)
+    listed = day_pages(pages, years).select("url")
+    listed = links_in(pages_behind(pages, years), P.Selector("p")).unionByName(links_in(pages_behind(pages, listed), P.EN_DAY))
     links = listed.where(~F.col("href").isin(*BOILERPLATE_LINKS)).select(
         F.col("page_id").alias("url"), "pos", absolutise(F.col("href"), P.EN_BASE).alias("href")
     )
     links = staged(links, "links")
-    return J.expand_links(X.year_seeds(spark, sf_dir), links, 2).select("url_0", "url_1", "url_2")
+    return J.expand_links(years, links, 2).select("url_0", "url_1", "url_2")
 
 
 @query(
@@ -44,7 +47,7 @@ def listing_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     listing = X.d_articles(spark, sf_dir).select(
         "doc_id", absolutise(F.col("url"), P.TECH_BASE).alias("url"), "title"
     )
-    details = archive_details(X.d_detail(spark, sf_dir)).withColumnRenamed("page_id", "url")
+    details = archive_details(X.stored_site(spark, sf_dir, X.d_detail)).withColumnRenamed("page_id", "url")
     return J.attach_detail(listing, details)
 
 

@@ -16,10 +16,10 @@ def latest_pages(pages: DataFrame) -> DataFrame:
     """One row per URL where a page was stored several times: the highest page_id.
 
     The newest id per URL is found on the two key columns alone; markup is
-    joined in by ``page_id`` afterwards.
+    joined in by both afterwards.
     """
-    newest = pages.groupBy("url").agg(F.max("page_id").alias("page_id")).select("page_id")
-    return pages.join(newest, "page_id", "left_semi")
+    newest = pages.groupBy("url").agg(F.max("page_id").alias("_newest")).select(F.col("_newest"), F.col("url").alias("_url"))
+    return pages.join(newest, (pages["page_id"] == newest["_newest"]) & (pages["url"] == newest["_url"]), "left_semi")
 
 
 def read_pages(urls: DataFrame, pages: DataFrame) -> DataFrame:

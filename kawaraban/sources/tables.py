@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 
@@ -56,13 +57,29 @@ def _load(reader: DataFrameReader, path: str) -> DataFrame | None:
         raise
 
 
+def write_day_counts(counts: DataFrame, path: str) -> None:
+    """Keep day, stored_lines of refreshed days beside the table, days without an article (0) too."""
+    write_partitioned(counts.select("day", "stored_lines"), f"{path}-counts", "day")
+
+
+def read_day_counts(spark: SparkSession, path: str) -> DataFrame | None:
+    """day, stored_lines of all refreshed days; None where no day was refreshed yet."""
+    return _load(spark.read.schema("stored_lines bigint, day string"), f"{path}-counts")
+
+
 def read_daily(spark: SparkSession, path: str, fmt: str = "text") -> DataFrame | None:
     """day, text; None where no day was written yet.
 
-    The day is kept as text, so 20160101 does not become a number.
+    The day is kept as text, so 20160101 does not become a number.  A day whose
+    last refresh found no article has none, whatever stood there before.
     """
-    daily = _load(spark.read.format(fmt).option("lineSep", "\n").schema("value string, day string"), path)
-    return None if daily is None else daily.select("day", F.col("value").alias("text"))
+    if not any(name.startswith("day=") for name in _listed(spark, path)):
+        return None
+    daily = spark.read.format(fmt).option("lineSep", "\n").schema("value string, day string").load(path)
+    counts = read_day_counts(spark, path)
+    if counts is not None:
+        daily = daily.join(counts.where("stored_lines = 0").select("day"), "day", "left_anti")
+    return daily.select("day", F.col("value").alias("text"))
 
 
 def write_by_year(df: DataFrame, path: str) -> None:
@@ -74,62 +91,122 @@ def write_batches(df: DataFrame, path: str, page: str = "page", size: int = CHEC
     write_partitioned(df.withColumn("batch", F.floor(F.col(page) / size)), path, "batch")
 
 
-# One row per write: its number, its folder, and whether it replaces what was there.
-VERSIONS = "n bigint, folder string, whole boolean"
+class Changed(RuntimeError):
+    """The stored table is no longer the one a new version was computed from."""
 
 
-def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
-    """Number and folder of the writes that make up the table now, oldest first.
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system for ``path``, and the path in its terms."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
-    The newest whole write and the additions after it: as many rows as there
-    were additions, until ``write_articles`` joins them again.
-    """
-    known = _load(spark.read.schema(VERSIONS), f"{path}/versions")
-    if known is None:
+
+def _listed(spark: SparkSession, path: str) -> list[str]:
+    """Names of the visible entries of a folder, in order; none where it is missing."""
+    system, place = _files(spark, path)
+    if not system.exists(place):
         return []
-    base = known.where("whole").agg(F.max("n").alias("n")).scalar()
-    current = known.where(F.col("n") >= F.coalesce(base, F.lit(0))).select("n", "folder")
-    return sorted((r["n"], r["folder"]) for r in current.collect())
+    names = [entry.getPath().getName() for entry in system.listStatus(place)]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
-def _write_version(df: DataFrame, path: str, columns: Sequence[str] | None, fmt: str, whole: bool) -> None:
-    spark = df.sparkSession
-    n = max((n for n, _ in _versions(spark, path)), default=0) + 1
-    folder = f"v{n:08d}-{uuid.uuid4().hex}"
+def version(spark: SparkSession, path: str) -> tuple[int, str, tuple[str, ...]] | None:
+    """What makes up the table now: number, folder and files; None where there is none yet.
+
+    A table has one pointer per whole version, whose name is its number.
+    """
+    pointers = _listed(spark, f"{path}/versions")
+    if not pointers:
+        return None
+    system, place = _files(spark, f"{path}/versions/{pointers[-1]}")
+    stream = system.open(place)
+    folder = bytes(stream.readAllBytes()).decode()
+    stream.close()
+    return int(pointers[-1]), folder, tuple(_listed(spark, f"{path}/{folder}"))
+
+
+def _commit(spark: SparkSession, path: str, n: int, folder: str) -> None:
+    """Make ``folder`` version ``n``; of two writers of one number, the file system lets one through."""
+    system, place = _files(spark, f"{path}/versions/{n:08d}")
+    try:
+        stream = system.create(place, False)
+    except Py4JJavaError as e:
+        raise Changed(f"version {n} of {path} was written meanwhile") from e
+    stream.write(folder.encode())
+    stream.close()
+
+
+def _lines_escaped(df: DataFrame) -> DataFrame:
+    """Text columns with line ends (and the escape sign) escaped, so that a CSV row is a line."""
+    return df.withColumns(
+        {
+            f.name: F.replace(F.replace(F.replace(F.col(f"`{f.name}`"), F.lit("%"), F.lit("%25")), F.lit("\n"), F.lit("%0A")), F.lit("\r"), F.lit("%0D"))
+            for f in df.schema
+            if f.dataType.simpleString() == "string"
+        }
+    )
+
+
+def _lines_restored(df: DataFrame) -> DataFrame:
+    return df.withColumns(
+        {
+            f.name: F.replace(F.replace(F.replace(F.col(f"`{f.name}`"), F.lit("%0D"), F.lit("\r")), F.lit("%0A"), F.lit("\n")), F.lit("%25"), F.lit("%"))
+            for f in df.schema
+            if f.dataType.simpleString() == "string"
+        }
+    )
+
+
+def _save(df: DataFrame, folder: str, columns: Sequence[str] | None, fmt: str, mode: str) -> None:
     out = df.select(*columns) if columns else df
-    writer = out.write.format(fmt)
+    writer = (_lines_escaped(out) if fmt == "csv" else out).write.format(fmt).mode(mode)
     if fmt == "csv":
         writer = writer.option("header", True).option("escape", '"')
-    writer.save(f"{path}/{folder}")
-    # The write counts from here on.
-    spark.createDataFrame([(n, folder, whole)], VERSIONS).coalesce(1).write.mode("append").parquet(
-        f"{path}/versions"
-    )
+    writer.save(folder)
 
 
-def write_articles(df: DataFrame, path: str, columns: Sequence[str] | None = None, fmt: str = "parquet") -> None:
+def write_articles(
+    df: DataFrame,
+    path: str,
+    columns: Sequence[str] | None = None,
+    fmt: str = "parquet",
+    base: tuple[int, str, tuple[str, ...]] | None = None,
+) -> None:
     """Save a whole table as a new version; readers switch when it is complete.
 
     The new version may be computed from the stored one: nothing is overwritten,
-    and one row added to the version list makes the new folder current.
+    and one pointer makes the new folder current.  It is refused with ``Changed``
+    when the table was replaced or added to since ``base`` (by default: since
+    this call began), so nothing written meanwhile is lost.
     """
-    _write_version(df, path, columns, fmt, whole=True)
+    spark = df.sparkSession
+    base = base or version(spark, path)
+    n = base[0] + 1 if base else 1
+    folder = f"v{n:08d}-{uuid.uuid4().hex}"
+    _save(df, f"{path}/{folder}", columns, fmt, "errorifexists")
+    if version(spark, path) != base:
+        raise Changed(f"{path} changed while its version {n} was computed")
+    _commit(spark, path, n, folder)
 
 
 def append_articles(df: DataFrame, path: str, columns: Sequence[str] | None = None, fmt: str = "parquet") -> None:
-    """Add rows to a stored table; what is there is not written again."""
-    _write_version(df, path, columns, fmt, whole=False)
+    """Add rows to the current version; what is there is not written again."""
+    now = version(df.sparkSession, path)
+    if now is None:
+        write_articles(df, path, columns, fmt)
+    else:
+        _save(df, f"{path}/{now[1]}", columns, fmt, "append")
 
 
 def read_articles(spark: SparkSession, path: str, schema: str | None = None, fmt: str = "parquet") -> DataFrame | None:
     """The current version of a stored table, or None where there is none yet."""
-    folders = [f"{path}/{folder}" for _, folder in _versions(spark, path)]
-    if not folders:
+    now = version(spark, path)
+    if now is None:
         return None
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        # Text with newlines must stay in one field.
-        reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
+        reader = reader.option("header", True).option("escape", '"')
     if schema:
         reader = reader.schema(schema)
-    return reader.load(folders)
+    found = reader.load(f"{path}/{now[1]}")
+    return _lines_restored(found) if fmt == "csv" else found

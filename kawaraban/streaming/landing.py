@@ -7,6 +7,7 @@ batch that is replayed after a failure adds nothing twice.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -22,19 +23,21 @@ def follow_property_listings(
     landing: str,
     path: str,
     checkpoint: str,
-    year: int,
-    today: dt.date,
     roles_of: RolesOf,
+    today: Callable[[], dt.date] = dt.date.today,
     once: bool = False,
     max_files: int = 1000,
 ) -> StreamingQuery:
     """Keep the property table current with listing pages that land as parquet.
 
-    ``once`` takes in all that is there and stops.
+    ``today`` is asked for every batch, so arrivals get the date of the day they
+    are taken in, and headings its year.  ``once`` takes in all that is there
+    and stops.
     """
 
     def take_in(batch: DataFrame, _: int) -> None:
-        refresh_property_table(batch.sparkSession, path, batch, year, today, roles_of)
+        day = today()
+        refresh_property_table(batch.sparkSession, path, batch, day.year, day, roles_of)
 
     pages = spark.readStream.schema(PAGE_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(landing)
     writer = pages.writeStream.foreachBatch(take_in).option("checkpointLocation", checkpoint)

@@ -17,8 +17,7 @@ def pages(spark, *html):
 
 def texts(spark, html, tag, **selector):
     """Texts of the elements of one page, in page order."""
-    tok = H.html_tokens(pages(spark, html))
-    found = H.text_of(H.elements(tok, tag, **selector), tok)
+    found = H.text_of(H.html_tokens(pages(spark, html)), tag, **selector)
     return [t for _, t in rows(found, "start", "text")]
 
 
@@ -66,12 +65,29 @@ def test_attributes(spark):
     assert [h for _, h in rows(tok, "pos", "href")] == ["/x?a=1&b=2", "/y", "/z", None, ""]
 
 
+def test_attributes_in_quoted_values_do_not_count(spark):
+    html = (
+        """<a title="see href=foo bar" href="/x">1</a><a title='id="no"' id=i class = "k" href='/y'>2</a>"""
+        """<a disabled href=/z>3</a><a t="a>b" data-href="/no" HREF="/w">4</a><a alt=href=/q>5</a><a/href=/s>6</a>"""
+    )
+    tok = H.html_tokens(pages(spark, html)).where("tag = 'a' AND NOT is_close")
+    assert [h for _, h in rows(tok, "pos", "href")] == ["/x", "/y", "/z", "/w", None, "/s"]
+    assert [(i, c) for _, i, c in rows(tok, "pos", "el_id", "class")][:2] == [(None, None), ("i", "k")]
+
+
+def test_references(spark):
+    html = "<b>&#0000000038;&#x00000026;&apos;&#39;&#x110000;&#99999999999999999999;&#x1F600;&#xFFFFFFFFFFFFFFFFFF;</b>"
+    assert texts(spark, html, "b") == ["&&\'\'&#x110000;&#99999999999999999999;\U0001f600&#xFFFFFFFFFFFFFFFFFF;"]
+
+
 def test_within_lists_every_pair(spark):
     html = "<div><div><i>a</i></div><i>b</i></div><i>c</i>"
     tok = H.html_tokens(pages(spark, html))
     pairs = H.within(H.elements(tok, "div"), H.elements(tok, "i"))
     assert rows(pairs, "outer", "start") == [(0, 2), (0, 6), (1, 2)]
-    assert rows(H.first_within(H.elements(tok, "div"), H.elements(tok, "i")), "outer", "start") == [(0, 2), (1, 2)]
+    div, i = ("div", H.is_element("div")), ("i", H.is_element("i"))
+    assert rows(H.inside(H.nodes(tok, ["div", "i"]), div[1], i[1]), "outer", "start") == [(0, 2), (0, 6), (1, 2)]
+    assert rows(H.first_within(tok, div, i), "outer", "start") == [(0, 2), (1, 2)]
     # An element does not lie within itself.
     assert rows(H.within(H.elements(tok, "div"), H.elements(tok, "div")), "outer", "start") == [(0, 1)]
 
@@ -95,8 +111,7 @@ def test_scope_takes_outermost_and_first(spark):
 
 
 def test_markup(spark):
-    tok = H.html_tokens(pages(spark, '<p>a &amp; "b"<br>&eacute;<p class="x">c</p>'))
-    marked = H.markup_of(H.elements(tok, "p"), tok)
+    marked = H.markup_of(H.html_tokens(pages(spark, '<p>a &amp; "b"<br>&eacute;<p class="x">c</p>')), "p")
     assert [m for _, m in rows(marked, "start", "markup")] == ['<p>a &amp; "b"<br/>é</p>', '<p class="x">c</p>']
 
 
@@ -143,8 +158,7 @@ def test_result_does_not_depend_on_partitions(spark):
     def run(n):
         spark.conf.set("spark.sql.shuffle.partitions", n)
         try:
-            tok = H.html_tokens(p)
-            pairs = H.within(H.elements(tok, "article"), H.elements(tok, "p"))
+            pairs = H.inside(H.nodes(H.html_tokens(p), ["article", "p"]), H.is_element("article"), H.is_element("p"))
             body = paragraph_text(p, P.Selector("article"), "page_id")
             return rows(pairs, "page_id", "outer", "start", "stop"), rows(body)
         finally:
@@ -153,8 +167,27 @@ def test_result_does_not_depend_on_partitions(spark):
     assert run("1") == run("7")
 
 
-def test_selection_shuffles_markup_once(spark):
+def executed(df):
+    """The plan that ran, after all adaptive changes."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_selections_cut_markup_once_and_shuffle_what_they_keep(spark):
     p = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
-    plan = paragraph_text(p, P.Selector("article"), "page_id")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
-    assert "ReadSchema: struct<page_id:bigint,html:string>" in plan
+    tok = H.html_tokens(p)
+    article, par = ("article", H.is_element("article")), ("p", H.is_element("p"))
+    assert "Exchange" not in executed(tok)
+    for df in (
+        paragraph_text(p, P.Selector("article"), "page_id"),
+        H.elements(tok, "p"),
+        H.first_within(tok, article, par),
+        H.inside(H.nodes(tok, ["article", "p"]), article[1], par[1]),
+        H.text_of(tok, "p"),
+        H.markup_of(tok, "p"),
+    ):
+        plan = executed(df)
+        assert plan.count("Exchange hashpartitioning") == 1
+        assert plan.count("regexp_extract_all") == 1
+        assert "ReadSchema: struct<page_id:bigint,html:string>" in plan
+    assert "#piece" not in executed(H.elements(tok, "p")).split("Exchange")[-1]

@@ -23,38 +23,35 @@ def test_unseen_and_seen_make_all(spark):
     assert rows(left.union(seen.select(left.columns))) == rows(new)
 
 
-def test_salted_join_keeps_all_rows_of_a_hot_key(spark):
-    # One key holds a third of the rows, all of them identical copies.
-    left = spark.range(3000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id)) k", "if(id % 3 = 0, 0, id) v")
-    left = left.repartition(4)
-    right = spark.range(0, 3000, 2).selectExpr("concat('k', id) k", "id w").union(
-        spark.createDataFrame([("hot", -1)], "k string, w bigint")
-    )
-    for how in ("left", "inner", "left_anti", "left_semi"):
-        salted = J.salted_join(left, right, ["k"], how, share=0.1, rows=10, salts=8)
-        assert rows(salted.na.fill(-9)) == rows(left.join(right, ["k"], how).na.fill(-9))
-    assert len(J.hot_keys(left, ["k"], 0.1, 10)) == 1
-    assert J.hot_keys(left, ["k"], 0.5, 10) == J.hot_keys(left, ["k"], 0.1) == []
-
-
-def test_salted_join_with_keys_of_another_type(spark):
-    left = spark.range(100).selectExpr("cast(id % 2 AS int) k", "id v")
-    right = spark.createDataFrame([(0, "even"), (1, "odd")], "k bigint, w string")
-    assert J.salted_join(left, right, ["k"], "inner", share=0.1, rows=10, salts=8).count() == 100
-
-
-def test_salts_spread_a_hot_key(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_null_keys_are_seen(spark):
+    new = spark.createDataFrame([(None, "a"), (None, "b"), ("1", None)], "date_raw string, title string")
+    old = spark.createDataFrame([(None, "a"), ("1", None)], "date_raw string, title string")
+    assert rows(J.unseen(new, old)) == [(None, "b")]
+    assert J.unseen(new, old, "independent").collect() == [(None, "b")]
+
+
+def test_a_key_of_half_the_rows_is_split(spark):
+    """A sort-merge join whose left side has one key in half of its rows, which Spark deals out anew."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
-        left = spark.range(4000).selectExpr("'hot' k", "id v")
-        right = spark.createDataFrame([("hot", 1)], "k string, w bigint")
-        joined = J.salted_join(left, right, ["k"], rows=10, salts=64)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-        parts = joined.groupBy(F.spark_partition_id()).count()
-        assert joined.count() == 4000 and parts.count() > 1
+        left = spark.range(200_000, numPartitions=8).selectExpr("if(id % 2 = 0, 'hot', concat('k', id)) url", "sha2(string(id), 256) v")
+        right = spark.range(1000).selectExpr("concat('k', 2 * id + 1) url", "id w").union(spark.createDataFrame([("hot", -1)], "url string, w bigint"))
+        joined = J.attach_detail(left, right)
+        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max("v")).collect()]
+        assert sum(sizes) == 200_000 and max(sizes) < 50_000
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_zip_lists_stops_at_the_shortest(spark):
@@ -82,6 +79,17 @@ def test_page_slice(spark):
     assert rows(by.where("g = 1"), "id", "page") == [(1, 1), (3, 1), (5, 1), (7, 2), (9, 2), (11, 2)]
 
 
+def test_deep_pages_need_no_window_of_a_whole_group(spark):
+    df = spark.range(20_000).selectExpr("id", "if(id % 10 = 0, null, 'g') AS g").repartition(3)
+    deep = J.page_slice(df, 151, 152, 100, ["id"], by=["g"])
+    want = [i for i in range(20_000) if i % 10][15_000:15_200]
+    assert rows(deep.where("g = 'g'"), "id") == [(i,) for i in want]
+    assert {p for _, p in rows(deep, "id", "page")} == {151, 152}
+    plan = deep._jdf.queryExecution().executedPlan().toString()
+    ranks = [w for w in plan.split("windowspecdefinition(")[1:] if "ROW" not in w.split(")")[0] and "_range#" in w.split(",")[0]]
+    assert "WindowGroupLimit" not in plan and ranks
+
+
 def test_expand_links(spark):
     seed = spark.createDataFrame([("y",)], "url string")
     links = spark.createDataFrame(
