@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kawaraban.llm.words import MARKS, Words, covered, pieces
+from kawaraban.llm.words import MARKS, Words, covered, pieces, small_batches
 from kawaraban.session import staged
 
 WINDOW = 13
@@ -144,9 +145,9 @@ class Segment:
 
 
 def item_blocks(items: DataFrame) -> Iterator[list[tuple[str, str]]]:
-    """The test items (item_id, text) in blocks of about BLOCK bytes, read one block at a time."""
+    """The test items (item_id, text) in blocks of about BLOCK bytes, at least one, read one block at a time."""
     items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("text IS NOT NULL AND item_id IS NOT NULL")
-    n = math.ceil((items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / BLOCK)
+    n = max(1, math.ceil((items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / BLOCK))
     for i in range(n):
         part = items if n == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i)
         yield [(r["item_id"], r["text"]) for r in part.toLocalIterator()]
@@ -158,6 +159,7 @@ def build_index(docs: DataFrame, items: DataFrame) -> DataFrame:
     Columns: segment, doc_ids, keys (hash of doc_id and text), bounds (of the
     documents in the segment's words), terms, counts, places.
     """
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
     tables = []
@@ -180,26 +182,10 @@ def build_index(docs: DataFrame, items: DataFrame) -> DataFrame:
                 )
                 made += 1
 
-        tables.append(rows.mapInArrow(index, f"block int, segment long, doc_ids array<{kind}>, keys array<long>, bounds binary, terms binary, counts binary, places binary"))
-    if not tables:
-        empty = "block int, segment long, doc_ids array<%s>, keys array<long>, bounds binary, terms binary, counts binary, places binary" % kind
-        counted = rows.mapInArrow(_no_test, empty)
-        return staged(counted, "postings")
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return staged(out, "postings")
-
-
-def _no_test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments without postings, for an empty test set."""
-    made = TaskContext.get().partitionId() << 24
-    for part in pieces(batches):
-        lists = [pa.array([part.column(c).to_pylist()], pa.list_(part.schema.field(c).type)) for c in ("doc_id", "key")]
-        empty = pa.array([b""], pa.binary())
-        bounds = pa.array([_words(part.column("text")).bounds.astype(np.uint32).tobytes()], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([made], pa.int64()), *lists, bounds, empty, empty, empty], ["block", "segment", "doc_ids", "keys", "bounds", "terms", "counts", "places"])
-        made += 1
+        # A job for each block, so that a segment has the same number in all of them.
+        found = rows.mapInArrow(index, f"block int, segment long, doc_ids array<{kind}>, keys array<long>, bounds binary, terms binary, counts binary, places binary")
+        tables.append(staged(found, "postings"))
+    return reduce(DataFrame.unionByName, tables)
 
 
 def search(index: DataFrame, items: DataFrame) -> DataFrame:
@@ -217,14 +203,9 @@ def search(index: DataFrame, items: DataFrame) -> DataFrame:
             yield from _answers(batches, Block(block))
 
         parts.append(index.filter(F.col("block") == number).mapInArrow(answer, schema))
-    if not parts:
-        return index.mapInArrow(lambda batches: _answers(batches, Block([])), schema).drop("segment", "row")
     if len(parts) == 1:
         return parts[0].drop("segment", "row")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    merged = out.groupBy("segment", "row").agg(
+    merged = reduce(DataFrame.unionByName, parts).groupBy("segment", "row").agg(
         F.first("doc_id").alias("doc_id"),
         F.first("key").alias("key"),
         F.first("n_words").alias("n_words"),

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kawaraban.llm.tokens import before_words, encoder
-from kawaraban.llm.words import pieces
+from kawaraban.llm.words import pieces, small_batches
 from kawaraban.session import staged
 
 END = 2
@@ -151,7 +151,7 @@ def write(docs: DataFrame, path: str, folder: str) -> DataFrame:
         for part in pieces(batches):
             if writer is None:
                 system.create_dir(base, recursive=True)
-                out = system.open_output_stream(unfinished)
+                out = system.open_output_stream(unfinished, compression=None)
                 writer = Writer(out, part.schema.field("doc_id").type, "<u2" if encode.vocabulary <= 1 << 16 else "<u4")
             ids, bounds = encode.encode(part.column("text"))
             for doc_id, a, b in zip(part.column("doc_id").to_pylist(), bounds[:-1], bounds[1:], strict=True):
@@ -162,6 +162,7 @@ def write(docs: DataFrame, path: str, folder: str) -> DataFrame:
             system.move(unfinished, f"{base}/{file}")
             yield pa.RecordBatch.from_pydict({"number": [task.partitionId()], "file": [f"{folder}/{file}"], "n_docs": [writer.n_docs], "n_tokens": [writer.n_tokens]})
 
+    small_batches(docs.sparkSession)
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return staged(ordered.mapInArrow(write_partition, "number long, file string, n_docs long, n_tokens long"), "token-files")
 

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 #: ASCII white space: the bytes between words of [^\x20\x09-\x0D]+.
 SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -27,6 +28,8 @@ _BYTES = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64)
 _BASE = {"byte": 0x9E3779B97F4A7C15, "word": 0xD1342543DE82EF95}
 _POWERS: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 _SPAN = 1 << 20
+#: Bytes of an Arrow batch.
+BATCH = 8 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -158,6 +161,18 @@ def covered(n: int, starts: np.ndarray, size: int) -> np.ndarray:
     return np.cumsum(edge)[:n] > 0
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark send rows to Python in batches of at most BATCH bytes, instead of 64 MB.
+
+    A task then holds a few MB on either side. It is a setting of the session,
+    and a smaller one stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if not 0 < size <= BATCH:
+        spark.conf.set(name, f"{BATCH}b")
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in slices of whole rows with at most `size` bytes of text, or one row."""
     for batch in batches:

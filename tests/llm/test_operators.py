@@ -153,7 +153,7 @@ def test_token_file_reads_only_wanted_frames_and_finds_damage(tmp_path, monkeypa
     docs = {i: np.arange(i, i + 20 + i, dtype=np.uint32) for i in range(12)}
     system = pafs.LocalFileSystem()
     path = str(tmp_path / "x.ids.zst")
-    with system.open_output_stream(path) as out:
+    with system.open_output_stream(path, compression=None) as out:
         writer = tokenfiles.Writer(out, pa.int64(), "<u2")
         for i, ids in docs.items():
             writer.add(i, ids)
@@ -187,7 +187,7 @@ def test_contamination_in_blocks_equals_one_block(spark, edge_dir, monkeypatch):
     assert answer() == one
     left = contamination.drop_contaminated(docs, items)
     assert left.columns == docs.columns
-    assert Counter(r["doc_id"] for r in left.collect()) == Counter(d for d, t in given(spark, edge_dir)) - Counter({6: 1, 9: 2})
+    assert Counter(r["doc_id"] for r in left.collect()) == Counter(d for d, t in given(spark, edge_dir)) - Counter({6: 1, 9: 2, 10: 1, 12: 1, 13: 1, 14: 1})
 
 
 def test_proximity_matches(spark, tables):
