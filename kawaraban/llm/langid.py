@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kawaraban.llm.words import pieces, text_bytes
+from kawaraban.llm.words import pieces, small_batches, text_bytes
 
 ORDER = 3
 SAMPLE = 2_000_000
@@ -188,6 +188,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Trees:
 
 def predict(docs: DataFrame, trees: Trees) -> DataFrame:
     """doc_id, lang_pred, score of every row of documents (doc_id, text)."""
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

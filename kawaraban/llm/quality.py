@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kawaraban.llm.words import Words, covered, mix, per_row, pieces
+from kawaraban.llm.words import Words, covered, mix, per_row, pieces, small_batches
 from kawaraban.session import staged
 
 #: The share of good documents of a stratum that one rule may reject, and the
@@ -85,6 +85,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def measure(docs: DataFrame) -> DataFrame:
     """COUNTS per row of documents (doc_id, text, lang)."""
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "lang", "text").mapInArrow(
         _measure, f"doc_id {kind}, lang string, " + ", ".join(f"{c} long" for c in COUNTS)
@@ -191,6 +192,7 @@ def keep_good(docs: DataFrame, cutoffs: DataFrame) -> DataFrame:
     The texts never leave their partition: the cutoffs of all strata (at most
     one row per language with enough labels, a few KB) travel to the tasks.
     """
+    small_batches(docs.sparkSession)
     rules: dict[str | None, dict[str, float]] = {}
     for r in cutoffs.toLocalIterator():
         rules.setdefault(r["lang"], {})[r["rule"]] = r["cutoff"]

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kawaraban.llm.words import pieces
+from kawaraban.llm.words import pieces, small_batches
 
 #: Bytes of text in a segment; larger ones need fewer messages and more memory.
 SEGMENT = 4 << 20
@@ -58,6 +58,7 @@ def answered(docs: DataFrame, column: str, keys: Keys, width: int = WIDTH) -> Da
     its rows that hold each. `column` holds what segments are measured by.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kinds = docs.schema
 
