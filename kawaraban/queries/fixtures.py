@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kawaraban.functions import frames as C
+from kawaraban.functions.dates import DAY_HEADING_SUFFIX, NEW_ARRIVALS
 from kawaraban.operators.html import concat_in_order
 from kawaraban.queries.base import q, table
 from kawaraban.session import staged
@@ -36,6 +37,12 @@ def sql_escaped(c: str) -> str:
     return f"replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 
 
+def opening(s: P.Selector, more: str = "") -> str:
+    """Opening mark of an element that a profile selects, with one more class."""
+    names = {"class": " ".join(c for c in (s.class_exact or s.class_, more) if c), "id": s.el_id}
+    return f"<{s.tag}" + "".join(f' {n}="{v}"' for n, v in names.items() if v) + ">"
+
+
 def cat(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
@@ -104,22 +111,22 @@ D_STORED = """d_stored AS (
 # --- property listing -----------------------------------------------------------
 def heading(g: Column) -> Column:
     """Heading of listing page g, NULL where it has none."""
-    day = cat(g % 12 + 1, "月", g % 28 + 1, "日のニュース一覧")
+    day = cat(g % 12 + 1, "月", g % 28 + 1, "日" + DAY_HEADING_SUFFIX)
     return (
         F.when(g % 11 == 5, F.lit(None))
         .when(g % 17 == 3, "特集")
-        .when(g % 7 == 0, "新着記事一覧")
+        .when(g % 7 == 0, NEW_ARRIVALS)
         .otherwise(day)
     )
 
 
-SQL_HEADING = """CASE WHEN g % 11 = 5 THEN NULL WHEN g % 17 = 3 THEN '特集'
-  WHEN g % 7 = 0 THEN '新着記事一覧'
-  ELSE (g % 12 + 1) || '月' || (g % 28 + 1) || '日のニュース一覧' END"""
+SQL_HEADING = f"""CASE WHEN g % 11 = 5 THEN NULL WHEN g % 17 = 3 THEN '特集'
+  WHEN g % 7 = 0 THEN '{NEW_ARRIVALS}'
+  ELSE (g % 12 + 1) || '月' || (g % 28 + 1) || '日{DAY_HEADING_SUFFIX}' END"""
 
 
 #: A day that 2019 lacks, on every sixth page.
-NO_DAY = "2月29日のニュース一覧"
+NO_DAY = "2月29日" + DAY_HEADING_SUFFIX
 
 
 def odd_heading(g: Column) -> Column:
@@ -133,7 +140,7 @@ def d_listing(spark: SparkSession, sf_dir: str, headed: Callable[[Column], Colum
     """pages(page_id, url, html): ten documents a page; every fifth page has no item list."""
     a = d_articles(spark, sf_dir).withColumn("g", div("doc_id", DOCS_PER_PAGE))
     summary = F.when(
-        F.col("doc_id") % 13 != 0, cat('<p class="summary">', escaped(F.col("summary")), "</p>")
+        F.col("doc_id") % 13 != 0, cat(opening(P.PROPERTY_SUMMARY), escaped(F.col("summary")), "</p>")
     ).otherwise("")
     link = cat(
         '<a href="', F.col("url"), '"><h3>', escaped(F.col("title")), "</h3>", summary, "</a>"
@@ -143,7 +150,7 @@ def d_listing(spark: SparkSession, sf_dir: str, headed: Callable[[Column], Colum
     pages = a.groupBy("g").agg(
         concat_in_order(
             F.col("doc_id"),
-            F.when(F.col("pickup"), cat('<section class="pickup-nfm">', F.col("link"), "</section>")),
+            F.when(F.col("pickup"), cat(opening(P.PROPERTY_PICKUP), F.col("link"), "</section>")),
         ).alias("pickups"),
         concat_in_order(
             F.col("doc_id"), F.when(~F.col("pickup"), cat("<li>", F.col("link"), "</li>"))
@@ -153,10 +160,10 @@ def d_listing(spark: SparkSession, sf_dir: str, headed: Callable[[Column], Colum
         F.col("g").alias("page_id"),
         cat(PROPERTY_LIST, F.col("g")).alias("url"),
         cat(
-            '<html><body><div id="top"></div><div id="mainContent"><section class="section article-index">',
+            '<html><body><div id="top"></div>' + opening(P.PROPERTY_MAIN) + opening(P.PROPERTY_SECTION),
             F.coalesce(cat("<h2>", headed(F.col("g")), "</h2>"), F.lit("")),
             F.col("pickups"),
-            F.when(F.col("g") % 5 == 4, "").otherwise(cat('<ul class="list-type1">', F.col("items"), "</ul>")),
+            F.when(F.col("g") % 5 == 4, "").otherwise(cat(opening(P.PROPERTY_LIST), F.col("items"), "</ul>")),
             "</section></div></body></html>",
         ).alias("html"),
     )
@@ -164,17 +171,17 @@ def d_listing(spark: SparkSession, sf_dir: str, headed: Callable[[Column], Colum
 
 D_LISTING = f"""d_listing AS (
   SELECT g AS page_id, {q(PROPERTY_LIST)} || g AS url,
-    '<html><body><div id="top"></div><div id="mainContent"><section class="section article-index">'
+    '<html><body><div id="top"></div>{opening(P.PROPERTY_MAIN)}{opening(P.PROPERTY_SECTION)}'
     || coalesce('<h2>' || {SQL_HEADING} || '</h2>', '')
-    || coalesce(string_agg('<section class="pickup-nfm">' || link || '</section>', '' ORDER BY doc_id)
+    || coalesce(string_agg('{opening(P.PROPERTY_PICKUP)}' || link || '</section>', '' ORDER BY doc_id)
                 FILTER (doc_id % 10 < 3), '')
-    || CASE WHEN g % 5 = 4 THEN '' ELSE '<ul class="list-type1">'
+    || CASE WHEN g % 5 = 4 THEN '' ELSE '{opening(P.PROPERTY_LIST)}'
     || coalesce(string_agg('<li>' || link || '</li>', '' ORDER BY doc_id) FILTER (doc_id % 10 >= 3), '')
     || '</ul>' END || '</section></div></body></html>' AS html
   FROM (SELECT doc_id, doc_id // 10 AS g,
                '<a href="' || url || '"><h3>' || {sql_escaped('title')} || '</h3>'
                || CASE WHEN doc_id % 13 <> 0
-                       THEN '<p class="summary">' || {sql_escaped('summary')} || '</p>' ELSE '' END
+                       THEN '{opening(P.PROPERTY_SUMMARY)}' || {sql_escaped('summary')} || '</p>' ELSE '' END
                || '</a>' AS link
         FROM d_articles)
   GROUP BY g)"""
@@ -189,11 +196,11 @@ def d_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("page_id"),
         cat(P.TECH_BASE, "/a/", F.col("doc_id")).alias("url"),
         cat(
-            '<html><body><dl><dt>日時<dd class="cmnc-publish">',
+            "<html><body><dl><dt>日時" + opening(P.TECH_TIME),
             year,
             "/4/1 6:30 (",
             year,
-            '/4/1 7:00更新)</dd></dl><div class="cmn-article_text a-cf JSID_key_fonttxt m-streamer_medium"><p>',
+            "/4/1 7:00更新)</dd></dl>" + opening(P.TECH_BODY) + "<p>",
             lines,
             "</p></div></body></html>",
         ).alias("html"),
@@ -202,9 +209,9 @@ def d_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 D_DETAIL = f"""d_detail AS (
   SELECT doc_id AS page_id, {q(P.TECH_BASE)} || '/a/' || doc_id AS url,
-    '<html><body><dl><dt>日時<dd class="cmnc-publish">' || (2010 + doc_id % 12) || '/4/1 6:30 ('
+    '<html><body><dl><dt>日時{opening(P.TECH_TIME)}' || (2010 + doc_id % 12) || '/4/1 6:30 ('
     || (2010 + doc_id % 12)
-    || '/4/1 7:00更新)</dd></dl><div class="cmn-article_text a-cf JSID_key_fonttxt m-streamer_medium"><p>'
+    || '/4/1 7:00更新)</dd></dl>{opening(P.TECH_BODY)}<p>'
     || replace({sql_escaped('text')}, chr(10), '</p><p>') || '</p></div></body></html>' AS html
   FROM documents)"""
 
@@ -213,10 +220,10 @@ def tech_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pages(page_id, url, html): archive pages of ten items; every 19th has no title."""
     a = d_articles(spark, sf_dir).withColumn("g", div("doc_id", DOCS_PER_PAGE))
     item = cat(
-        '<div class="m-miM09 a-cf">',
+        opening(P.TECH_ITEM, "a-cf"),
         F.when(
             F.col("doc_id") % 19 != 0,
-            cat('<span class="m-miM09_titleL"><a href="', F.col("url"), '">', escaped(F.col("title")), "</a></span>"),
+            cat(opening(P.TECH_TITLE) + '<a href="', F.col("url"), '">', escaped(F.col("title")), "</a></span>"),
         ).otherwise(""),
         "<p>",
         escaped(F.col("summary")),
@@ -229,7 +236,7 @@ def tech_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.col("g").alias("page_id"),
             cat(TECH_LIST, F.col("g") + 1).alias("url"),
-            cat('<html><body><div id="CONTENTS_MAIN">', F.col("items"), "</div></body></html>").alias("html"),
+            cat("<html><body>" + opening(P.TECH_MAIN), F.col("items"), "</div></body></html>").alias("html"),
         )
     )
 
@@ -261,7 +268,7 @@ def ja_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.col("g").alias("page_id"),
             F.format_string(P.JA_ARCHIVE, F.col("g") + 1).alias("url"),
-            cat('<html><body><div class="news-headline-list x">', F.col("items"), "</div></body></html>").alias("html"),
+            cat("<html><body>" + opening(P.JA_LIST, "x"), F.col("items"), "</div></body></html>").alias("html"),
         )
     )
 
@@ -272,7 +279,7 @@ def ja_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).where("doc_id % 31 <> 0").select(
         F.col("doc_id").alias("page_id"),
         cat(P.JA_BASE, "/article/id", F.col("doc_id")).alias("url"),
-        cat('<div class="StandardArticleBody_body"><p>', lines, "</div>").alias("html"),
+        cat(opening(P.EN_BODY) + "<p>", lines, "</div>").alias("html"),
     )
 
 
@@ -310,7 +317,7 @@ def d_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
     day_pages = days.select(
         cat(EN_ARCHIVE, F.col("day"), ".html").alias("url"),
         cat(
-            '<html><a href="/top">top</a><div class="headlineMed">', F.col("links"), "</div></html>"
+            '<html><a href="/top">top</a>' + opening(P.EN_DAY), F.col("links"), "</div></html>"
         ).alias("html"),
     )
     year_links = docs.select(_day().alias("day_no")).distinct()
@@ -338,7 +345,7 @@ def d_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     articles = docs.where("doc_id % 14 <> 3 AND doc_id % 9 <> 0").select(
         cat(EN_ARTICLE, F.col("doc_id")).alias("url"),
-        cat('<div class="StandardArticleBody_body">', body, "</div><p>after</p>").alias("html"),
+        cat(opening(P.EN_BODY), body, "</div><p>after</p>").alias("html"),
     )
     return year_pages.unionByName(day_pages).unionByName(articles).withColumn("page_id", F.xxhash64("url"))
 

@@ -137,23 +137,23 @@ def elements_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     with_(
-        [X.D_ARTICLES, X.D_LISTING, sql_tokens("d_listing"), sql_elements("section", "el", "class = 'section article-index'")],
+        [X.D_ARTICLES, X.D_LISTING, sql_tokens("d_listing"), sql_elements("section", "el", f"class = {q(P.PROPERTY_SECTION.class_exact)}")],
         "SELECT page_id, start::BIGINT AS start, stop::BIGINT AS stop, class FROM el",
     )
 )
 def elements_class_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     tok = H.html_tokens(X.d_listing(spark, sf_dir))
-    return _ids(H.elements(tok, "section", class_exact="section article-index"), "class")
+    return _ids(H.elements(tok, "section", class_exact=P.PROPERTY_SECTION.class_exact), "class")
 
 
 @query(
     with_(
-        [X.D_ARTICLES, X.D_LISTING, sql_tokens("d_listing"), sql_elements("div", "el", "el_id = 'mainContent'")],
+        [X.D_ARTICLES, X.D_LISTING, sql_tokens("d_listing"), sql_elements("div", "el", f"el_id = {q(P.PROPERTY_MAIN.el_id)}")],
         "SELECT page_id, start::BIGINT AS start, stop::BIGINT AS stop, el_id FROM el",
     )
 )
 def elements_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ids(H.elements(H.html_tokens(X.d_listing(spark, sf_dir)), "div", el_id="mainContent"), "el_id")
+    return _ids(H.elements(H.html_tokens(X.d_listing(spark, sf_dir)), "div", el_id=P.PROPERTY_MAIN.el_id), "el_id")
 
 
 _ARTICLE_P = [sql_tokens("pages"), sql_elements("article", "o"), sql_elements("p", "i")]
@@ -284,7 +284,7 @@ def require_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"SELECT g AS page_id, heading FROM (SELECT g, {X.SQL_HEADING} AS heading "
     "FROM (SELECT DISTINCT doc_id // 10 AS g FROM documents)) "
-    "WHERE contains(heading, 'のニュース') OR contains(heading, '新着記事一覧')"
+    f"WHERE contains(heading, {q(DAY_HEADING)}) OR contains(heading, {q(NEW_ARRIVALS)})"
 )
 def title_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = require(_headings(spark, sf_dir), "heading").select("page_id", "heading")
