@@ -38,8 +38,8 @@ UNKNOWN = "und"
 
 
 def held_out() -> Column:
-    """Rows that are only predicted: crc32 of the doc_id's decimal text is divisible by 5."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    """Rows that are only predicted: crc32 of the doc_id's decimal text is divisible by 5; not those without doc_id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def grams(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -60,7 +60,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
     """lang, n, code, count of the labelled texts' byte runs."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in pieces(batches, size=2 << 20):
+        for part in pieces(batches):
             langs = np.array(part.column("lang").to_pylist(), object)
             for lang in sorted(set(langs)):
                 texts = part.column("text").filter(pa.array(langs == lang))
@@ -193,7 +193,7 @@ def predict(docs: DataFrame, trees: Trees) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(trees)
-        for part in pieces(batches, size=2 << 20):
+        for part in pieces(batches):
             texts = pc.fill_null(part.column("text"), "")
             readable = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
             if not trees.langs:

@@ -94,7 +94,7 @@ def pack(docs: DataFrame, path: str, size: int = SIZE, pool: int = POOL) -> Data
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
         held = 0
-        for part in pieces(batches):
+        for part in pieces(batches, size=4 << 20):
             kinds = part.schema.field("doc_id").type
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode(part.column("text")), strict=True):
                 waiting.append((doc_id, len(ids) // 4 + 1, 0, ids + end))

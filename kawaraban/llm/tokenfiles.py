@@ -148,7 +148,7 @@ def write(docs: DataFrame, path: str, folder: str) -> DataFrame:
         system, base = pafs.FileSystem.from_uri(folder)
         file, out, writer = f"part-{task.partitionId():06d}.ids.zst", None, None
         unfinished = f"{base}/.{file}.{task.taskAttemptId()}"
-        for part in pieces(batches):
+        for part in pieces(batches, size=4 << 20):
             if writer is None:
                 system.create_dir(base, recursive=True)
                 out = system.open_output_stream(unfinished, compression=None)

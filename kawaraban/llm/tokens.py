@@ -19,7 +19,7 @@ import pyarrow as pa
 from kawaraban.llm.words import LOWER, SPACES, Words, per_row, spans, text_bytes
 
 #: Ids a worker keeps; beyond it, it starts anew with the pieces at hand.
-KEPT = 12_000_000
+KEPT = 8_000_000
 
 _ALNUM = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"))
 _POINTS = np.isin(np.arange(256), list(b".,;:!?"))

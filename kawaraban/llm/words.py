@@ -1,6 +1,6 @@
 """Words of an Arrow text column as numpy arrays: bounds, 64-bit hashes, window hashes.
 
-All functions work on the column's own bytes, a few MB of whole documents at a
+All functions work on the column's own bytes, about a MB of whole documents at a
 time, so memory is bounded by the longest single document. Hashes are
 polynomials modulo 2**64 over mixed values: equal sequences have equal hashes,
 different ones differ but for a chance of about 2**-64.
@@ -55,14 +55,15 @@ def _powers(kind: str, n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[kind]
 
 
-def _sequences(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: str) -> np.ndarray:
-    """Hash of each values[start:end]; starts and ends ascend, ranges are not empty."""
+def _sequences(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: str, table: np.ndarray | None = None) -> np.ndarray:
+    """Hash of each values[start:end], looked up in table if given; starts and ends ascend, ranges are not empty."""
     out = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):
         base = int(starts[at])
         to = max(at + 1, int(np.searchsorted(ends, base + _SPAN, "right")))
         part = values[base : int(ends[to - 1])]
+        part = part if table is None else table[part]
         power, inverse = _powers(kind, len(part) + 1)
         total = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(part * power[: len(part)], out=total[1:])
@@ -129,7 +130,7 @@ def sequences(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 def spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of each stretch data[start:end] of bytes; starts ascend, stretches are not empty."""
-    return _sequences(_BYTES[data], starts, ends, "byte") if len(starts) else np.empty(0, np.uint64)
+    return _sequences(data, starts, ends, "byte", _BYTES) if len(starts) else np.empty(0, np.uint64)
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +174,7 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, f"{BATCH}b")
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in slices of whole rows with at most `size` bytes of text, or one row."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
