@@ -180,22 +180,23 @@ def links_between_groups(sets: DataFrame, stars: int = 2) -> DataFrame:
     `stars` rounds compare with list leaders only before what is left is compared pair by pair.
     """
     index = staged(postings(sets), "postings")
-    shared = index.groupBy("token").agg(F.count("*").alias("sets")).filter("sets > 1")
-    index = staged(index.join(shared.select("token"), "token", "left_semi"), "postings")
+    # Both sides of a join on tokens are tables of their own, so that Spark can split a hot one.
+    shared = staged(index.groupBy("token").agg(F.count("*").alias("sets")).filter("sets > 1").select("token"), "lists")
+    index = staged(index.join(shared, "token", "left_semi"), "postings")
     entry = F.struct("set_id", "n", "pos", "group")
     links = known = groups = None
     for turn in range(stars + 1):
         entries = index.withColumn("group", F.col("set_id")) if groups is None else _grouped(index, groups)
-        bounds = entries.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high")
-        mixed = entries.join(bounds.select("token"), "token")
+        mixed = entries
         if turn:
-            mixed = staged(mixed, "mixed")
+            bounds = entries.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high"))
+            mixed = staged(entries.join(staged(bounds.filter("low < high").select("token"), "mixed-lists"), "token"), "mixed")
             if mixed.isEmpty():
                 break
         if turn < stars:
             # All lists of a set agree on few leaders, so that few pairs are compared, but other ones each time.
             rank = F.col("set_id") if turn == 0 else F.xxhash64("set_id", F.pmod("token", F.lit(8)), F.lit(turn))
-            leaders = mixed.groupBy("token").agg(F.min_by(entry, rank).alias("lead"))
+            leaders = staged(mixed.groupBy("token").agg(F.min_by(entry, rank).alias("lead")), "leaders")
             x = mixed.join(leaders, "token").select(entry.alias("x"), F.col("lead").alias("y"))
             sizes = 100 * F.least("x.n", "y.n") >= LEAST * F.greatest("x.n", "y.n")
             pairs = x.filter((F.col("x.group") != F.col("y.group")) & (_room("x", "y") if turn == 0 else sizes))
@@ -221,7 +222,7 @@ def _open_pairs(mixed: DataFrame, known: DataFrame) -> DataFrame:
     its smallest set, and by the common ones of their first tokens and the number
     of shingles after those. A pair meets in the list of its first common token only.
     """
-    lead_of = mixed.groupBy("token").agg(F.min(F.struct("set_id", "n", "group")).alias("lead"))
+    lead_of = staged(mixed.groupBy("token").agg(F.min(F.struct("set_id", "n", "group")).alias("lead")), "leaders")
     firsts = mixed.groupBy("set_id").agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("firsts"))
     firsts = firsts.select(F.col("set_id").alias("_first"), F.col("firsts.token").alias("firsts"))
     entries = mixed.join(lead_of, "token")

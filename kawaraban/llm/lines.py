@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kawaraban.llm.words import SPACES, Words, pieces, sequences
+from kawaraban.llm.words import SPACES, Words, pieces, sequences, small_batches
 from kawaraban.session import staged
 
 WORDS = 50
@@ -112,6 +112,7 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """key (of doc_id and text), gone (numbers of the lines to delete) of the documents that lose any."""
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", place_key(docs).alias("key"), "text").mapInArrow(
         _cut,
@@ -121,13 +122,15 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     windows = rows.select("doc_id", "key", F.explode("windows").alias("w")).select("doc_id", "key", "w.*")
     place = F.struct("key", "place")
     twice = windows.groupBy("fingerprint").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low != high")
-    candidates = staged(windows.join(twice.select("fingerprint"), "fingerprint", "left_semi"), "windows")
+    # Both sides of a join on content are tables of their own, so that Spark can split a hot key.
+    twice = staged(twice.select("fingerprint"), "fingerprints")
+    candidates = staged(windows.join(twice, "fingerprint", "left_semi"), "windows")
     order = F.struct("doc_id", "key", "at")
     first = candidates.groupBy("window").agg(F.min(order).alias("first"), F.max(order).alias("last")).filter("first != last").drop("last")
-    later = candidates.join(first, "window").filter(order > F.col("first"))
+    later = candidates.join(staged(first, "first-windows"), "window").filter(order > F.col("first"))
     runs = later.groupBy("key", F.col("first.key").alias("first_key"), (F.col("first.at") - F.col("at")).alias("shift")).agg(F.collect_set("at").alias("starts"))
-    lines = rows.dropDuplicates(["key"])
-    both = runs.join(lines.select("key", "hashes", "numbers"), "key").join(
+    lines = staged(rows.select("key", "hashes", "numbers").dropDuplicates(["key"]), "line-hashes")
+    both = staged(runs, "runs").join(lines, "key").join(
         lines.select(F.col("key").alias("first_key"), F.col("hashes").alias("first_hashes")), "first_key"
     )
     gone = both.select("key", "hashes", "numbers", "first_hashes", "shift", "starts").mapInArrow(_extend, "key long, gone array<int>")
