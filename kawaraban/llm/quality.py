@@ -34,6 +34,8 @@ from kawaraban.session import staged
 #: The share of good documents of a stratum that one rule may reject, and the
 #: probability that any rule of any stratum exceeds it.
 RISK, ERROR = 0.01, 0.05
+#: How much a lost good document weighs against a caught bad one, as shares.
+LOSS = 10
 #: Cutoffs from the loosest to the strictest; a document fails above its cutoff.
 GRID = (0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.12, 0.1, 0.08, 0.06, 0.05, 0.04, 0.03, 0.02, 0.015, 0.01, 0.005)
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_bytes", "n_marks", "n_upper")
@@ -128,7 +130,8 @@ def fit(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: float
     at most k of n rejections have a probability of at most the test's error.
     Of the cutoffs that pass, all of which hold the guarantee, the one with the
     largest gain (share of bad documents caught less share of good ones lost) is
-    taken, the loosest among equals, and none if there is no gain.
+    taken, the loosest among equals, and none if there is no gain. In the gain,
+    good documents count LOSS times.
     """
     graded = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality IS NOT NULL")
     rows = measured.filter(~base_failed()).join(graded, "doc_id").select("lang", "quality", *shares())
@@ -155,7 +158,7 @@ def fit(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: float
                 for cutoff, lost, caught in zip(GRID, row["lost"], row["caught"], strict=True):
                     if lost > risk * n or at_most(lost, n, risk) > each:
                         break
-                    gain = caught / max(1, row["n_bad"]) - lost / n
+                    gain = caught / max(1, row["n_bad"]) - LOSS * lost / n
                     if gain > best:
                         best = gain
                         taken = {"lang": row["lang"], "rule": row["rule"], "cutoff": cutoff, "n_good": n, "n_rejected": lost, "n_bad": row["n_bad"], "n_caught": caught}
