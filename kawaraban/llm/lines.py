@@ -1,16 +1,21 @@
 """Repeated runs of lines, found by winnowing, with all but the first one deleted.
 
 Lines without a word are passed over. A window is the shortest run of lines from
-a given line on that has at least WORDS words. Each window selects the line of
-the smallest hash (the last among equals) as fingerprint; a run of WORDS words or
-more that occurs twice has a window in common, hence the same fingerprint in
-both places. So only windows whose fingerprint is selected at two places or more
-are compared: each is matched with the first window of equal lines, in the order
-of doc_id, then text, then line. Matches are extended both ways as long as the
-lines agree, and the later run is deleted, line by line.
-
-A deleted line has an equal line at an earlier place of the match, so one copy
-of everything stays. Lines are compared by 64-bit hash.
+a given line on that has at least WORDS words, or the shortest one up to a given
+line. Each window selects the line of the smallest hash (the last among equals)
+as fingerprint; equal windows have the same fingerprint in both places. So only
+windows whose fingerprint is selected at two places or more are compared: each is
+matched with the first window of equal lines, in the order of doc_id, then text,
+then line, and the lines of the later window are deleted.
+
+So exactly the lines of those runs of WORDS words or more go that have an equal
+run at an earlier place: in such a run, the windows from its lines on reach to
+the end of the last that fits, and the window up to its last line begins where
+that one does. All of them lie in the run, so each has its equal in the earlier
+one, whichever place is the first that holds it.
+
+A deleted line has an equal line at an earlier place, so one copy of everything
+stays. Lines are compared by 64-bit hash.
 
 Defined results: null text stays null; texts of fewer than WORDS words lose
 nothing, however often they occur. Rows with equal doc_id and text are one place
@@ -46,8 +51,9 @@ def windows_of(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, ...]:
 
     (hashes, numbers, bounds) of the lines: numbers count from 0 in the text,
     bounds are the rows' places among the lines. (at, size, window, fingerprint,
-    place, row) of the windows: first line, lines, hashes of all lines and of the
-    selected one, its place, row.
+    place, row) of the windows, by row: first line, lines, hashes of all lines and
+    of the selected one, its place, row. A run that is the window of its first line
+    and of its last one comes once.
     """
     lines = Words(texts, _LINE_ENDS)
     inside = ~SPACES[lines.data]
@@ -65,21 +71,29 @@ def windows_of(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, ...]:
     total = np.concatenate([[0], np.cumsum(many)])
     at = np.arange(len(hashes))
     end = np.searchsorted(total, total[:-1] + words)
+    until = np.arange(1, len(hashes) + 1)
+    since = np.searchsorted(total, total[1:] - words, "right") - 1
     ok = end <= bounds[1:][row] if len(row) else np.zeros(0, bool)
-    at, end, row = at[ok], end[ok], row[ok]
+    back = since >= bounds[:-1][row] if len(row) else np.zeros(0, bool)
+    back[back] = end[since[back]] != until[back]
+    lists = [(at[ok], end[ok], row[ok]), (since[back], until[back], row[back])]
+    whole = np.concatenate([sequences(hashes, a, e) for a, e, _ in lists])
+    at, end, row = (np.concatenate(x) for x in zip(*lists, strict=True))
+    order = np.argsort(row, kind="stable")
+    at, end, row, whole = at[order], end[order], row[order], whole[order]
     if not len(at):
         nothing = np.empty(0, np.int64)
         return hashes, numbers, bounds, at, nothing, np.empty(0, np.uint64), np.empty(0, np.uint64), nothing, row
     ranges = np.column_stack([at, end]).ravel()
     least = np.minimum.reduceat(np.append(hashes, np.uint64(2**64 - 1)), ranges)[::2]
     place = np.array([e - 1 - int(np.argmin(hashes[a:e][::-1])) for a, e in zip(at, end, strict=True)], np.int64)
-    return hashes, numbers, bounds, at, end - at, sequences(hashes, at, end), least, place, row
+    return hashes, numbers, bounds, at, end - at, whole, least, place, row
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     window = pa.struct([("at", pa.int32()), ("size", pa.int32()), ("window", pa.int64()), ("fingerprint", pa.int64()), ("place", pa.int32())])
     for part in pieces(batches):
-        hashes, numbers, bounds, at, size, whole, least, place, row = windows_of(part.column("text"))
+        _, numbers, bounds, at, size, whole, least, place, row = windows_of(part.column("text"))
         blob = lambda x, kind: pa.array([x[a:b].astype(kind).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
         flat = pa.StructArray.from_arrays(
             [pa.array(at - bounds[row], pa.int32()), pa.array(size, pa.int32()), pa.array(whole.astype(np.int64)), pa.array(least.astype(np.int64)), pa.array(place - bounds[row], pa.int32())],
@@ -87,27 +101,22 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
         found = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(bounds))), pa.int32()), flat)
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), part.column("key"), blob(hashes, np.uint64), blob(numbers, np.int32), found],
-            ["doc_id", "key", "hashes", "numbers", "windows"],
+            [part.column("doc_id"), part.column("key"), blob(numbers, np.int32), found],
+            ["doc_id", "key", "numbers", "windows"],
         )
 
 
-def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Line numbers of matches after extension."""
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Line numbers of the lines in any later window of a document."""
     for batch in batches:
-        keys, gone = [], []
-        for r in batch.to_pylist():
-            here, there = np.frombuffer(r["hashes"], np.uint64), np.frombuffer(r["first_hashes"], np.uint64)
-            shift = r["shift"]
-            low, high = max(0, -shift), min(len(here), len(there) - shift)
-            same = here[low:high] == there[low + shift : high + shift]
-            # Each stretch of equal lines that holds a matched window.
-            stretch = np.cumsum(np.concatenate([[True], same[1:] != same[:-1]])) if len(same) else np.empty(0, np.int64)
-            starts = np.array(sorted(set(r["starts"])), np.int64) - low
-            hit = same & np.isin(stretch, stretch[starts])
-            keys.append(r["key"])
-            gone.append(np.frombuffer(r["numbers"], np.int32)[low:high][hit].tolist())
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(gone, pa.list_(pa.int32()))], ["key", "gone"])
+        gone = []
+        for numbers, found in zip(batch.column("numbers").to_pylist(), batch.column("later").to_pylist(), strict=True):
+            numbers = np.frombuffer(numbers, np.int32)
+            edge = np.zeros(len(numbers) + 1, np.int64)
+            np.add.at(edge, [w["at"] for w in found], 1)
+            np.add.at(edge, [w["at"] + w["size"] for w in found], -1)
+            gone.append(numbers[np.cumsum(edge)[:-1] > 0].tolist())
+        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(gone, pa.list_(pa.int32()))], ["key", "gone"])
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
@@ -116,7 +125,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", place_key(docs).alias("key"), "text").mapInArrow(
         _cut,
-        f"doc_id {kind}, key long, hashes binary, numbers binary, windows array<struct<at: int, size: int, window: long, fingerprint: long, place: int>>",
+        f"doc_id {kind}, key long, numbers binary, windows array<struct<at: int, size: int, window: long, fingerprint: long, place: int>>",
     )
     rows = staged(rows, "lines")
     windows = rows.select("doc_id", "key", F.explode("windows").alias("w")).select("doc_id", "key", "w.*")
@@ -128,13 +137,10 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     order = F.struct("doc_id", "key", "at")
     first = candidates.groupBy("window").agg(F.min(order).alias("first"), F.max(order).alias("last")).filter("first != last").drop("last")
     later = candidates.join(staged(first, "first-windows"), "window").filter(order > F.col("first"))
-    runs = later.groupBy("key", F.col("first.key").alias("first_key"), (F.col("first.at") - F.col("at")).alias("shift")).agg(F.collect_set("at").alias("starts"))
-    lines = staged(rows.select("key", "hashes", "numbers").dropDuplicates(["key"]), "line-hashes")
-    both = staged(runs, "runs").join(lines, "key").join(
-        lines.select(F.col("key").alias("first_key"), F.col("hashes").alias("first_hashes")), "first_key"
-    )
-    gone = both.select("key", "hashes", "numbers", "first_hashes", "shift", "starts").mapInArrow(_extend, "key long, gone array<int>")
-    return gone.groupBy("key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
+    runs = later.groupBy("key").agg(F.collect_set(F.struct("at", "size")).alias("later"))
+    lines = staged(rows.select("key", "numbers").dropDuplicates(["key"]), "line-numbers")
+    both = staged(runs, "runs").join(lines, "key").select("key", "numbers", "later")
+    return both.mapInArrow(_mark, "key long, gone array<int>")
 
 
 def without_lines(docs: DataFrame, gone: DataFrame) -> tuple[DataFrame, str]:
