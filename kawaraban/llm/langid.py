@@ -9,10 +9,13 @@ code length in a language is the sum over its bytes, under the frozen counts;
 the shortest wins, ties by name, and the score is its posterior probability
 under equal priors.
 
-The trees are fitted on a sample of whole labelled texts of about SAMPLE bytes
-per language, chosen by a hash of the row; so the counts that travel to the
-driver and to the tasks are bounded, however large the corpus. Texts are
-lower-cased first.
+The trees are fitted on a sample of whole labelled texts per language: those of
+the smallest hashes of doc_id and text, until SAMPLE bytes are reached, at least
+one. Hashes are taken level by level, 64 levels for each doubling; so the sample
+exceeds SAMPLE by about a hundredth, or by the texts of the last level where these
+are longer, and a language of SAMPLE bytes or less is learned whole. So the counts
+that travel to the driver and to the tasks are bounded, however large the corpus.
+Texts are lower-cased first.
 
 Defined results: null text, and text without a letter, is `und` with score 0.
 Rows without text or language are not learned from. If nothing can be learned,
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kawaraban.llm.words import pieces, small_batches, text_bytes
@@ -174,15 +177,18 @@ class Scorer:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Trees:
-    """Trees from a sample of whole texts (doc_id, lang, text) of about `sample` bytes per language."""
+    """Trees from a sample of whole texts (doc_id, lang, text), in the order of hashes until `sample` bytes per language."""
     labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
-    sizes = labelled.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"))
-    share = {r["lang"]: min(1.0, sample / max(1, r["bytes"])) for r in sizes.toLocalIterator()}
-    if not share:
+    level = F.floor(64 * F.log2(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) + 1))
+    sizes = labelled.groupBy("lang", level.alias("level")).agg(F.sum(F.octet_length("text")).alias("bytes"))
+    smaller = Window.partitionBy("lang").orderBy("level").rowsBetween(Window.unboundedPreceding, -1)
+    # The first level of a language has nothing before it, so every language keeps a text.
+    sizes = sizes.withColumn("before", F.coalesce(F.sum("bytes").over(smaller), F.lit(0)))
+    last = {r["lang"]: r["last"] for r in sizes.filter(F.col("before") < max(1, sample)).groupBy("lang").agg(F.max("level").alias("last")).toLocalIterator()}
+    if not last:
         return Trees(pa.table({"lang": pa.array([], pa.string()), "n": pa.array([], pa.int32()), "code": pa.array([], pa.int64()), "count": pa.array([], pa.int64())}))
-    unit = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    shares = F.create_map(*(F.lit(x) for pair in share.items() for x in pair))
-    chosen = labelled.filter(unit < F.element_at(shares, F.col("lang")))
+    levels = F.create_map(*(F.lit(x) for pair in last.items() for x in pair))
+    chosen = labelled.filter(level <= F.element_at(levels, F.col("lang")))
     return Trees(count_grams(chosen).toArrow())
 
 

@@ -2,7 +2,9 @@
 
 import random
 
-from kawaraban.llm import lines
+from pyspark.sql import functions as F
+
+from kawaraban.llm import langid, lines
 
 
 def rows_of(texts):
@@ -59,3 +61,25 @@ def test_lines_by_definition(spark, tables):
         want[i] = ("\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone), len(gone))
     assert lines_gone(spark, tables(documents=rows_of(texts))) == want
     assert 100 < sum(n for _, n in want.values()) < sum(t.count("\n") + 1 for t in texts)
+
+
+def test_op2_learns_a_language_of_few_long_texts(spark, monkeypatch):
+    sample = 20_000
+    rows = [(i, "few", f"{i} lorem ipsum dolor " * 100_000) for i in range(3)]
+    rows += [(10 + i, "many", f"{i} the quick brown fox " * 4) for i in range(4000)]
+    rows += [(5000, "one", "zyx wvu tsr qpo")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3)
+    sizes = {}
+    count = langid.count_grams
+
+    def counted(chosen):
+        sizes.update({r["lang"]: (r["n"], r["b"]) for r in chosen.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).collect()})
+        return count(chosen)
+
+    monkeypatch.setattr(langid, "count_grams", counted)
+    trees = langid.fit(docs, sample)
+    assert trees.langs == ["few", "many", "one"]
+    assert sizes["few"][0] == 1 and sizes["one"] == (1, 15)
+    assert sample <= sizes["many"][1] < 1.1 * sample
+    asked = spark.createDataFrame([(1, "ipsum dolor lorem"), (2, "brown quick the fox"), (3, "tsr zyx")], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in langid.predict(asked, trees).collect()} == {1: "few", 2: "many", 3: "one"}
