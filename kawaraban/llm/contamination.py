@@ -54,7 +54,7 @@ def _ragged(counts: np.ndarray) -> np.ndarray:
 class Block:
     """Distinct windows of some test items as rows of vocabulary numbers (-1 after the last word)."""
 
-    def __init__(self, items: list[tuple[str, str]]):
+    def __init__(self, items: list[tuple[str | None, str]]):
         words = _words(pa.array([text for _, text in items], pa.string()))
         self.names = [name for name, _ in items]
         self.vocabulary, number = np.unique(words.hashes, return_inverse=True)
@@ -144,9 +144,9 @@ class Segment:
         return window, row
 
 
-def item_blocks(items: DataFrame) -> Iterator[list[tuple[str, str]]]:
+def item_blocks(items: DataFrame) -> Iterator[list[tuple[str | None, str]]]:
     """The test items (item_id, text) in blocks of about BLOCK bytes, at least one, read one block at a time."""
-    items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("text IS NOT NULL AND item_id IS NOT NULL")
+    items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("text IS NOT NULL")
     n = max(1, math.ceil((items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / BLOCK))
     for i in range(n):
         part = items if n == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i)
@@ -192,7 +192,7 @@ def search(index: DataFrame, items: DataFrame) -> DataFrame:
     """Per document: doc_id, key, n_words, spans (of hit words, disjoint), items, near_items.
 
     Exact phrase matches give spans and items, proximity matches near_items
-    (item ids as sorted strings).
+    (item ids as sorted strings, null last).
     """
     kind = index.schema["doc_ids"].dataType.elementType.simpleString()
     schema = f"segment long, row int, doc_id {kind}, key long, n_words long, spans array<struct<start: long, end: long>>, items array<string>, near_items array<string>"
@@ -222,6 +222,10 @@ def search(index: DataFrame, items: DataFrame) -> DataFrame:
     return merged.withColumn("spans", joined).drop("segment", "row")
 
 
+def _names(found: list[str | None]) -> list[str | None]:
+    return sorted(set(found), key=lambda name: (name is None, name or ""))
+
+
 def _answers(batches: Iterator[pa.RecordBatch], block: Block) -> Iterator[pa.RecordBatch]:
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
     for batch in batches:
@@ -232,8 +236,8 @@ def _answers(batches: Iterator[pa.RecordBatch], block: Block) -> Iterator[pa.Rec
             segment = Segment(array("terms", np.uint64), array("counts", np.uint32), array("places", np.uint32), bounds, block)
             rows = len(bounds) - 1
             hit = np.zeros(segment.size, bool)
-            exact: list[list[str]] = [[] for _ in range(rows)]
-            near: list[list[str]] = [[] for _ in range(rows)]
+            exact: list[list[str | None]] = [[] for _ in range(rows)]
+            near: list[list[str | None]] = [[] for _ in range(rows)]
             found, close = set(), set()
             for window, order, place in segment.candidates():
                 w, start, row = segment.phrases(window, order, place)
@@ -259,8 +263,8 @@ def _answers(batches: Iterator[pa.RecordBatch], block: Block) -> Iterator[pa.Rec
                     value("keys").values,
                     pa.array(np.diff(bounds), pa.int64()),
                     pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(rows + 1)), pa.int32()), flat),
-                    pa.array([sorted(set(x)) for x in exact], pa.list_(pa.string())),
-                    pa.array([sorted(set(x)) for x in near], pa.list_(pa.string())),
+                    pa.array([_names(x) for x in exact], pa.list_(pa.string())),
+                    pa.array([_names(x) for x in near], pa.list_(pa.string())),
                 ],
                 ["segment", "row", "doc_id", "key", "n_words", "spans", "items", "near_items"],
             )

@@ -3,8 +3,9 @@
 import random
 
 from pyspark.sql import functions as F
+from test_queries import check
 
-from kawaraban.llm import langid, lines
+from kawaraban.llm import contamination, langid, lines
 
 
 def rows_of(texts):
@@ -83,3 +84,23 @@ def test_op2_learns_a_language_of_few_long_texts(spark, monkeypatch):
     assert sample <= sizes["many"][1] < 1.1 * sample
     asked = spark.createDataFrame([(1, "ipsum dolor lorem"), (2, "brown quick the fox"), (3, "tsr zyx")], "doc_id long, text string")
     assert {r["doc_id"]: r["lang_pred"] for r in langid.predict(asked, trees).collect()} == {1: "few", 2: "many", 3: "one"}
+
+
+def test_op5_items_without_id(spark, tables, monkeypatch):
+    passage = [" ".join(f"q{k}_{j}" for j in range(15)) for k in range(4)]
+    items = [(None, passage[0]), (None, passage[1]), (3, passage[2]), (None, passage[2]), (None, None), (None, "!")]
+    texts = [f"x {passage[0]} y", f"{passage[0]} z {passage[1]}", f"{passage[2]} v", f"{passage[3]} v", "x y z"]
+    folder = tables(documents=rows_of(texts), benchmark=items)
+    docs, bench = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
+    for size in (contamination.BLOCK, 60):
+        monkeypatch.setattr(contamination, "BLOCK", size)
+        check(spark, folder, "/*.parquet", "op5_contamination")
+        found = contamination.contaminated(contamination.search(contamination.build_index(docs, bench), bench)).collect()
+        assert {r["doc_id"]: (r["items"], r["near_items"], r["n_items"], r["contaminated"]) for r in found} == {
+            0: ([None], [None], 1, True),
+            1: ([None], [None], 1, True),
+            2: (["3", None], ["3", None], 2, True),
+            3: ([], [], 0, False),
+            4: ([], [], 0, False),
+        }
+        assert {r["doc_id"] for r in contamination.drop_contaminated(docs, bench).collect()} == {3, 4}
