@@ -50,13 +50,15 @@ def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of windows that start more than once, and its longest repeated level."""
     found = substrings.remove_repeated(table(spark, sf_dir, "documents"))
     digests = F.sha2("kept", 256).alias("kept_sha256")
-    rows = staged(found.select("doc_id", "n_words", "n_removed", digests, "runs"), "substrings")
-    runs = rows.select("doc_id", F.explode("runs").alias("run")).select("doc_id", "run.*")
-    levels = rows.filter("n_removed > 0").select("doc_id", F.lit(substrings.WINDOW).cast("long").alias("longest"))
+    # Rows of one doc_id differ in their runs, so levels go by a number of the stored row.
+    number = F.monotonically_increasing_id().alias("row")
+    rows = staged(found.select(number, "doc_id", "n_words", "n_removed", digests, "runs"), "substrings")
+    runs = rows.select(F.col("row").alias("doc_id"), F.explode("runs").alias("run")).select("doc_id", "run.*")
+    levels = rows.filter("n_removed > 0").select("row", F.lit(substrings.WINDOW).cast("long").alias("longest"))
     for length, longer in substrings.longer_runs(runs):
-        levels = levels.unionByName(longer.select("doc_id", F.lit(length).cast("long").alias("longest")))
-    levels = levels.groupBy("doc_id").agg(F.max("longest").alias("longest")).withColumnRenamed("doc_id", "_doc")
-    return rows.join(levels, rows["doc_id"].eqNullSafe(levels["_doc"]), "left").select(
+        levels = levels.unionByName(longer.select(F.col("doc_id").alias("row"), F.lit(length).cast("long").alias("longest")))
+    levels = levels.groupBy("row").agg(F.max("longest").alias("longest"))
+    return rows.join(levels, "row", "left").select(
         "doc_id", "n_words", "n_removed", "kept_sha256", F.coalesce("longest", F.lit(0)).alias("longest")
     )
 

@@ -8,7 +8,8 @@ left. Words covered by a repeated window of level 1 are removed; the longest
 level tells how long a repetition is.
 
 Levels after the first work on the word hashes of the repeated runs alone, not
-on texts. Windows are compared by 64-bit hash.
+on texts. Windows are compared by 64-bit hash, of which level 1 sends 7 bytes and
+the range of values (`repeats`), further levels all 8.
 
 Defined results: null text has no words; texts of fewer than WINDOW words lose
 none. A window that comes twice in one text, or in two equal rows, is repeated.
@@ -137,7 +138,10 @@ def _next_level(length: int):
 
 
 def longer_runs(runs: DataFrame, window: int = WINDOW) -> Iterator[tuple[int, DataFrame]]:
-    """(length, runs) of the levels after the first, from the stored runs (doc_id, start, starts, words) of the first."""
+    """(length, runs) of the levels after the first, from the stored runs (doc_id, start, starts, words) of the first.
+
+    doc_id is only handed on; give a row's own number to tell rows of one doc_id apart.
+    """
     kind = runs.schema["doc_id"].dataType.simpleString()
     length = window
     while True:
@@ -145,7 +149,7 @@ def longer_runs(runs: DataFrame, window: int = WINDOW) -> Iterator[tuple[int, Da
         if open_.isEmpty():
             return
         keys, extend = _next_level(length)
-        found = repeats.answered(staged(open_, "candidates"), "words", keys, width=6)
+        found = repeats.answered(staged(open_, "candidates"), "words", keys, width=8)
         runs = staged(found.mapInArrow(extend, f"doc_id {kind}, start long, starts long, words binary"), "runs")
         length *= 2
         yield length, runs

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 from test_queries import check
 
-from kawaraban.llm import contamination, langid, lines
+from kawaraban.llm import contamination, langid, lines, repeats, substrings
 
 
 def rows_of(texts):
@@ -104,3 +104,20 @@ def test_op5_items_without_id(spark, tables, monkeypatch):
             4: ([], [], 0, False),
         }
         assert {r["doc_id"] for r in contamination.drop_contaminated(docs, bench).collect()} == {3, 4}
+
+
+def test_op4_levels_of_rows_that_share_an_id(spark, tables):
+    long, short = (" ".join(f"{c}{j}" for j in range(n)) for c, n in (("l", 150), ("s", 40)))
+    texts = [(1, f"a {long}"), (1, f"b {short}"), (1, "c"), (2, f"d {long}"), (3, f"e {short}"), (None, f"f {long}"), (None, f"g {short}")]
+    check(spark, tables(documents=[(d, t, "en", "s", 0) for d, t in texts]), "/*.parquet", "op4_substrings")
+
+
+def test_op4_sends_whole_hashes_of_longer_windows(spark, tables, monkeypatch):
+    widths = []
+    answered = repeats.answered
+    monkeypatch.setattr(repeats, "answered", lambda *args, width=repeats.WIDTH: widths.append(width) or answered(*args, width=width))
+    shared = " ".join(f"l{j}" for j in range(150))
+    found = substrings.remove_repeated(spark.read.parquet(f"{tables(documents=rows_of([shared, shared]))}/documents.parquet"))
+    runs = found.select("doc_id", F.explode("runs").alias("run")).select("doc_id", "run.*")
+    assert [n for n, _ in substrings.longer_runs(runs)] == [70, 140]
+    assert widths[1:] == [8, 8]
