@@ -21,8 +21,3 @@ def spark(tmp_path_factory):
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Sorted tuples of a DataFrame."""
-    return sorted(tuple(r) for r in (df.select(*cols) if cols else df).collect())

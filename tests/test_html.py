@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from sorted_rows import rows
 from kawaraban.operators import html as H
 from kawaraban.operators.extract import english_body, headline_items, japanese_body, paragraph_text
 from kawaraban.sources import profiles as P

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from sorted_rows import rows
 from kawaraban.operators import phrases as PH
 from kawaraban.plans.roles import extract_roles
 

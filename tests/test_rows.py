@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import rows
+from sorted_rows import rows
 from kawaraban.operators import joins as J, rows as R
 from kawaraban.plans.histogram import yearly_histogram
 

@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from sorted_rows import rows
 from kawaraban.plans import refresh
 from kawaraban.plans.roles import extract_roles
 from kawaraban.queries import fixtures as X
