@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kawaraban.llm import chat, contamination, jaccard, langid, lines, packing, pii, quality, substrings, tokenfiles
+from kawaraban.llm import chat, codes, contamination, jaccard, langid, lines, packing, periodic, pii, quality, reputation, substrings, tokenfiles
 from kawaraban.session import scratch_path, staged
 
 QUERIES = {}
@@ -194,3 +194,135 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_re
   CAST(coalesce(longest, 0) AS BIGINT) AS longest
 FROM d LEFT JOIN g USING (r) LEFT JOIN longest USING (r)
 """
+
+
+@query
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector as four codebook entries, and the codebooks' digest."""
+    vectors = table(spark, sf_dir, "embeddings")
+    books = codes.fit(vectors)
+    coded = codes.with_label_errors(codes.encode(vectors, books))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
+_SQUARES = """
+n{k} AS MATERIALIZED (
+  SELECT r, p, min(struct_pack(d := d, e := e)) AS near
+  FROM (SELECT r, p, e, sum((x - c) * (x - c)) AS d FROM x JOIN b{k} USING (p, j) GROUP BY r, p, e) GROUP BY r, p)"""
+_MOVED = """
+b{k} AS MATERIALIZED (
+  SELECT p, e, j, coalesce((s - ((s % n) + n) % n) // n, c) AS c
+  FROM b{before} LEFT JOIN (SELECT p, near.e AS e, j, sum(x) AS s, count(*) AS n FROM x JOIN n{before} USING (r, p) GROUP BY ALL) USING (p, e, j))"""
+ORACLES["op11_codes"] = (
+    """
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS r, vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (
+  SELECT r, (i - 1) // w AS p, (i - 1) % w AS j, CAST(floor(1024 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x
+  FROM (SELECT r, embedding, len(embedding) // 4 AS w, unnest(range(1, len(embedding) + 1)) AS i FROM kept)),
+b0 AS MATERIALIZED (SELECT p, r AS e, j, x AS c FROM x WHERE r < 256),"""
+    + ",".join(_SQUARES.format(k=k) + "," + _MOVED.format(k=k + 1, before=k) for k in range(codes.ROUNDS))
+    + ","
+    + _SQUARES.format(k=codes.ROUNDS)
+    + f""",
+coded AS (
+  SELECT r, string_agg(printf('%02x', near.e), '' ORDER BY p) AS code, CAST(sum(near.d) AS BIGINT) AS error FROM n{codes.ROUNDS} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, j)) FROM b{codes.ROUNDS}) AS codebooks_sha256
+FROM kept JOIN coded USING (r)
+"""
+)
+
+
+#: The filter's fixed rules: host, path, verdict.
+URL_RULES = [(("com", "/"), "allow"), (("example.com", "/en/"), "block"), (("www.example.com", "/en/"), "allow"), (("net", "/es/"), "block"), (("net", "/fr/"), "block")]
+#: The document that a page shows, in its path.
+_SHOWN = r"/([0-9]{1,18})(?:\.[a-z]+)?/?$"
+
+
+@query
+def op12_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page by the fixed rules, else by its host's reputation; outcomes are the labels of the documents shown."""
+    pages, labels = table(spark, sf_dir, "pages").select("page_id", "url"), table(spark, sf_dir, "labels")
+    bad = F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(), 0))
+    graded = labels.groupBy("doc_id").agg(bad.alias("bad"))
+    shown = F.regexp_extract(reputation.path(F.col("url")), _SHOWN, 1).try_cast("long")
+    outcomes = pages.join(graded, shown == F.col("doc_id"), "left").select("url", "bad")
+    known = reputation.reputations(reputation.hosts_of(outcomes))
+    return reputation.judge(pages, known, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+_LEVEL = """
+{level} AS MATERIALIZED (SELECT {keys}, any_value(m) AS m, CAST(sum(n) AS BIGINT) AS n, CAST(sum(bad) AS BIGINT) AS bad FROM {source} GROUP BY {keys}),
+{level}_k AS (
+  SELECT 1 / least(greatest(coalesce(sum((bad - n * m) * (bad - n * m) - n * (m * (1 - m))) / nullif(sum(n * (n - 1) * (m * (1 - m))), 0), {low}), {low}), {high}) - 1 AS k FROM {level}),
+{level}_p AS MATERIALIZED (SELECT * EXCLUDE (m), (m * k + bad) / (k + n) AS mean, k FROM {level}, {level}_k)"""
+
+
+def _op12_levels() -> str:
+    out, keys, source = [], [], "(SELECT *, (SELECT CAST(coalesce(sum(bad), 0) + 1 AS DOUBLE) / (coalesce(sum(n), 0) + 2) FROM hosts) AS m FROM hosts)"
+    for level in reputation.LEVELS:
+        keys.append(level)
+        low, high = reputation.RANGE
+        out.append(_LEVEL.format(level=f"t_{level}", keys=", ".join(keys), source=source, low=low, high=high))
+        source = f"(SELECT hosts.*, mean AS m FROM hosts JOIN t_{level}_p USING ({', '.join(keys)}))"
+    return ",".join(out)
+
+
+_OP12_FITS = " ".join(
+    f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{{{n}}}'"
+    for n, ((h, p), _) in sorted(enumerate(URL_RULES), key=lambda x: -len("".join(x[1][0])))
+)
+_SECOND = "|".join(reputation.SECOND)
+ORACLES["op12_urls"] = f"""
+WITH a AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+u AS (SELECT page_id, {_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM a),
+graded AS (
+  SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 WHEN quality IS NOT NULL OR toxic IS NOT NULL THEN 0 END) AS bad FROM labels GROUP BY doc_id),
+counted AS (
+  SELECT host, regexp_replace(regexp_replace(host, '^.*@', ''), '\\.?(:[0-9]*)?$', '') AS bare, count(bad) AS n, coalesce(sum(bad), 0) AS bad
+  FROM u LEFT JOIN graded ON TRY_CAST(nullif(regexp_extract(path, '/([0-9]{{1,18}})(?:\\.[a-z]+)?/?$', 1), '') AS BIGINT) = doc_id GROUP BY host),
+ended AS (
+  SELECT *, CASE WHEN regexp_matches(bare, '^[0-9]+(\\.[0-9]+){{3}}$') THEN bare
+    ELSE regexp_extract(bare, '(?:^|\\.)((?:(?:{_SECOND})\\.)?[a-z][a-z]|[^.]*)$', 1) END AS suffix FROM counted),
+hosts AS MATERIALIZED (
+  SELECT host, regexp_extract(left(bare, length(bare) - length(suffix)), '([^.]*\\.)?$') || suffix AS domain, suffix, n, bad FROM ended),
+{_op12_levels()},
+judged AS (
+  SELECT host, CASE WHEN mean - {reputation.Z} * sqrt(mean * (1 - mean) / (k + n + 1)) > {reputation.CUTOFF} THEN 'block' ELSE 'allow' END AS learned FROM t_host_p),
+ruled AS (SELECT u.*, CASE {_OP12_FITS.format(*("".join(r) for r, _ in URL_RULES))} END AS rule FROM u)
+SELECT page_id, host, path, rule,
+  CASE {" ".join(f"WHEN rule = '{''.join(r)}' THEN '{says}'" for r, says in URL_RULES)} ELSE learned END AS verdict
+FROM ruled JOIN judged USING (host)
+"""
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """doc_id, text of every document, where a tenth of the texts is made periodic from some word on."""
+    key = F.crc32(F.col("doc_id").cast("string"))
+    rows = docs.select("doc_id", "text", F.when(key % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0)).alias("w"), F.floor(key / 10).alias("g"))
+    rows = rows.withColumn("n", F.nullif(F.size("w"), F.lit(0))).withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    again = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")))
+    made = F.concat_ws(" ", F.slice("w", F.lit(1), F.col("a")), F.slice(again, F.lit(1), F.col("n") - F.col("a")))
+    return rows.select("doc_id", F.when(F.col("n") > 0, made).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, and its words without the repetitions."""
+    found = periodic.collapse(with_periods(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("start"), r["period"].alias("period"))))
+    found = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")).alias("lines"), "collapsed")
+    return found.select(
+        "doc_id",
+        "n_runs",
+        F.col("best.start").alias("start"),
+        (-F.col("best.l")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(1000 * -F.col("best.l") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

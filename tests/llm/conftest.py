@@ -2,7 +2,7 @@ import os
 import sys
 
 import pytest
-from edges import CONVERSATIONS, DOCUMENTS, ITEMS, LABELS
+from edges import CONVERSATIONS, DOCUMENTS, ITEMS, LABELS, PAGES
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
@@ -12,9 +12,11 @@ SCHEMAS = {
     "benchmark": "item_id long, text string",
     "labels": "doc_id long, quality int, toxic int",
     "conversations": "conv_id long, turn long, role string, text string",
+    "pages": "page_id long, url string, html string",
+    "embeddings": "vec_id long, embedding array<float>, label int",
 }
 #: Names that operators use for columns of their own.
-CLASHES = ["key", "n_words", "gone", "segment", "row", "n_removed", "kept", "tokens", "score", "part", "_head", "spans"]
+CLASHES = ["key", "n_words", "gone", "segment", "row", "n_removed", "kept", "tokens", "score", "part", "_head", "spans", "n", "w", "host", "bad", "runs"]
 
 
 @pytest.fixture
@@ -30,7 +32,7 @@ def tables(spark, tmp_path_factory):
         folder = tmp_path_factory.mktemp("tables")
         for name, schema in SCHEMAS.items():
             df = spark.createDataFrame(rows.get(name, []), schema)
-            if name == "documents":
+            if name in ("documents", "pages"):
                 df = df.selectExpr("*", *(f"'x' AS `{c}`" for c in CLASHES))
             df.repartition(2).write.parquet(f"{folder}/{name}.parquet")
         return str(folder)
@@ -41,7 +43,7 @@ def tables(spark, tmp_path_factory):
 @pytest.fixture(scope="session")
 def edge_dir(tables):
     documents = [(r[0], r[1], r[2] if len(r) > 2 else "en", "src", len(r[1] or "")) for r in DOCUMENTS]
-    return tables(documents=documents, benchmark=ITEMS, labels=LABELS, conversations=CONVERSATIONS)
+    return tables(documents=documents, benchmark=ITEMS, labels=LABELS, conversations=CONVERSATIONS, pages=PAGES)
 
 
 @pytest.fixture(scope="session")

@@ -31,3 +31,14 @@ CONVERSATIONS = [
     (None, 1, "assistant", "é😀<"),
     (3, 5, "assistant", "long " * 20_000),
 ]
+PAGES = [
+    (1, None, None),
+    (None, "http://a.b.com/en/9", ""),
+    (2, "http://a.b.com/en/9", ""),
+    (2, "http://a.b.com/en/9", ""),
+    (3, "//x", ""),
+    (4, "http://1.2.3.4/99999999999999999999", None),
+    (5, "https://Www.Example.com/en/1.html?x#y", ""),
+    (6, "https://x.net/es/" + "0" * 50_000 + "1", ""),
+    (7, "x://\n", ""),
+]

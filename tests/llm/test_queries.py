@@ -5,7 +5,7 @@ import pytest
 
 from kawaraban.llm.queries import ORACLES, QUERIES
 
-TABLES = ("documents", "benchmark", "labels", "conversations")
+TABLES = ("documents", "benchmark", "labels", "conversations", "pages", "embeddings")
 
 
 def check(spark, folder, files, name):
@@ -27,7 +27,7 @@ def test_query(spark, sf, name):
     check(spark, sf, "", name)
 
 
-@pytest.mark.parametrize("name", ["op4_substrings", "op5_contamination", "op8_jaccard", "op10_chat"])
+@pytest.mark.parametrize("name", ["op4_substrings", "op5_contamination", "op8_jaccard", "op10_chat", "op12_urls"])
 def test_query_on_odd_rows(spark, edge_dir, name):
     check(spark, edge_dir, "/*.parquet", name)
 
@@ -39,4 +39,4 @@ def test_query_on_empty_tables(spark, empty_dir, name):
 
 
 def test_every_operator_has_a_query():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
