@@ -43,7 +43,9 @@ from kawaraban.session import staged
 SCALE = 1024
 PARTS, ENTRIES, ROUNDS = 4, 256, 4
 #: Pairs of part and entry looked at together.
-_PAIRS = 1 << 18
+_PAIRS = 1 << 16
+#: Pairs are singled out when at most one in so many is open.
+_FEW = 8
 _DIGIT = 32
 
 #: Per part: its entries by row, Python integers.
@@ -106,20 +108,28 @@ def nearest(parts: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _nearest(rows: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    size = rows.shape[1]
-    done = min(4, size)
+    size, done = rows.shape[1], 0
     sums = np.zeros((len(rows), len(entries)), rows.dtype)
-    for k in range(done):
-        d = rows[:, k, None] - entries[None, :, k]
-        sums += d * d
-    bound = ((rows - entries[np.argmin(sums, axis=1)]) ** 2).sum(axis=1)
-    row, entry = np.nonzero(sums <= bound[:, None])
+    bound = None
+    # All pairs go on together while many are open, then the open ones alone.
+    while True:
+        for k in range(done, min(size, done + 4)):
+            d = rows[:, k, None] - entries[None, :, k]
+            d *= d
+            sums += d
+        done = min(size, done + 4)
+        looks = ((rows - entries[np.argmin(sums, axis=1)]) ** 2).sum(axis=1)
+        bound = looks if bound is None else np.minimum(bound, looks)
+        open_ = sums <= bound[:, None]
+        if done == size or _FEW * np.count_nonzero(open_) <= open_.size:
+            break
+    row, entry = np.nonzero(open_)
     total = sums[row, entry]
     while done < size:
-        to = min(size, done + min(done, 8))
+        to = min(size, done + 8)
         total = total + ((rows[row, done:to] - entries[entry, done:to]) ** 2).sum(axis=1)
-        open_ = np.flatnonzero(total <= bound[row])
-        row, entry, total = row[open_], entry[open_], total[open_]
+        left = np.flatnonzero(total <= bound[row])
+        row, entry, total = row[left], entry[left], total[left]
         done = to
     each = np.arange(len(rows))
     least = np.minimum.reduceat(total, np.searchsorted(row, each))
