@@ -80,6 +80,34 @@ def decode_entities(text: str) -> Column:
     return F.expr(_DECODED.format(text=f"`{text}`"))
 
 
+def decoded(text: Column) -> Column:
+    """``decode_entities`` of any expression, such as a part of an array's element."""
+    reference = "^(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
+
+    def point(ref: Column) -> Column:
+        hexadecimal = F.ltrim(F.substring(ref, 3, 1 << 20), F.lit("0"))
+        from_hex = F.when(F.length(hexadecimal).between(1, 6), hexadecimal)
+        from_decimal = F.hex(F.substring(ref, 2, 1 << 20).try_cast("bigint"))
+        digits = F.when(F.lower(F.left(ref, F.lit(2))) == "#x", from_hex).otherwise(from_decimal)
+        value = F.conv(digits, 16, 10).try_cast("bigint")
+        valid = value.between(1, 0x10FFFF) & ~value.between(0xD800, 0xDFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32"))
+
+    def piece(x: Column) -> Column:
+        names = F.str_to_map(F.lit(_names().replace("\\'", "'")), F.lit("\x02"), F.lit("\x01"))
+        char = F.when(x["ref"] == "", None).when(x["ref"].startswith("#"), point(x["ref"])).otherwise(F.try_element_at(names, x["ref"]))
+        rest = F.concat(char, F.substr(x["part"], F.length(x["ref"]) + 2))
+        return F.coalesce(rest, F.when(x["head"], x["part"]).otherwise(F.concat(F.lit("&"), x["part"])))
+
+    parts = F.transform(
+        F.split(text, "&"),
+        lambda part, i: F.struct(
+            part.alias("part"), (i == 0).alias("head"), F.when(i == 0, "").otherwise(F.regexp_extract(part, reference, 1)).alias("ref")
+        ),
+    )
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(parts, piece), "")).otherwise(text)
+
+
 def _names() -> str:
     """Named references as constant text for str_to_map, the common ones first.
 

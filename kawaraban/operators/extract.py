@@ -1,8 +1,9 @@
 """Field extraction with site profiles.
 
-Each function reads a page table once: one exchange by page, one node table,
-then scopes that share a sort, then aggregates by page.  The page key is the
-URL, so what comes out can be joined by URL without another exchange.
+Bodies and links are folds over the tokens inside a page's row; nothing is
+shuffled for them.  Listings read a page table once: one exchange by page, one
+node table, then scopes that share a sort, then aggregates by page.  The page key
+is the URL.
 """
 
 from __future__ import annotations
@@ -12,13 +13,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from kawaraban.functions import text as T
 from kawaraban.functions.dates import DAY_HEADING, NEW_ARRIVALS
 from kawaraban.functions.html import decode_entities, reserialised
+from kawaraban.operators import folds
 from kawaraban.operators.html import (
-    MARKUP,
     PIECE,
     concat_in_order,
     html_tokens,
     is_element,
-    markup_pieces,
     nodes,
     scope,
     scopes,
@@ -45,20 +45,12 @@ def _href(name: str) -> Column:
 
 def links_in(pages: DataFrame, container: P.Selector, key: str = "url") -> DataFrame:
     """Links inside the containers: page_id, pos, href."""
-    tags = [container.tag, "a"]
-    n = scope(nodes(html_tokens(pages, key), tags), "box", container.match())
-    return n.where((F.col("tag") == "a") & F.col("href").isNotNull()).select(
-        "page_id", F.col("start").alias("pos"), "href"
-    )
+    return folds.links(pages, container, key)
 
 
 def paragraph_text(pages: DataFrame, container: P.Selector, key: str = "url") -> DataFrame:
     """Text of all paragraphs in all containers, entities decoded: page_id, text."""
-    n = nodes(html_tokens(pages, key), [container.tag, "p"], pieces=("text",))
-    n = scope(n, "box", container.match())
-    n = scope(n, "p", is_element("p"), parent="box")
-    joined = n.groupBy("page_id").agg(_joined("p").alias("text"))
-    return joined.withColumn("text", decode_entities("text"))
+    return folds.paragraphs(pages, container, key).withColumn("text", decode_entities("text"))
 
 
 def section_headings(pages: DataFrame, section: P.Selector, tag: str = "h2", key: str = "url") -> DataFrame:
@@ -76,13 +68,7 @@ def english_body(pages: DataFrame, key: str = "url") -> DataFrame:
     A container gives the markup of its paragraphs, or all of its own markup
     where it has none.
     """
-    n = nodes(markup_pieces(html_tokens(pages, key)), [P.EN_BODY.tag, "p"], pieces=MARKUP)
-    n = scope(n, "box", P.EN_BODY.match())
-    n = scopes(n, "box", p=is_element("p"))
-    boxes = n.groupBy("page_id", "box").agg(
-        F.coalesce(_field("p"), _joined("box")).alias("markup")
-    )
-    body = boxes.groupBy("page_id").agg(concat_in_order(F.col("box"), F.col("markup")).alias("markup"))
+    body = folds.body_markup(pages, P.EN_BODY, key)
     return body.select("page_id", T.strip_tags(T.clean_en(F.col("markup"))).alias("text"))
 
 
@@ -91,10 +77,8 @@ def japanese_body(pages: DataFrame, key: str = "url") -> DataFrame:
 
     Paragraph markup without newlines, commas and tags; escapes stay.
     """
-    n = nodes(markup_pieces(html_tokens(pages, key)), [P.EN_BODY.tag, "p"], pieces=MARKUP)
-    n = scope(n, "box", P.EN_BODY.match())
-    n = scope(n, "p", is_element("p"), parent="box")
-    return n.groupBy("page_id").agg(T.strip_tags(T.drop_chars(_joined("p"), "\n,")).alias("text"))
+    body = folds.paragraphs(pages, P.EN_BODY, key, markup=True)
+    return body.select("page_id", T.strip_tags(T.drop_chars(F.col("text"), "\n,")).alias("text"))
 
 
 def headline_items(pages: DataFrame, key: str = "url") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -9,12 +10,36 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from kawaraban.functions.links import VIDEO_PREFIX
 from kawaraban.session import staged
 
+
+def url_bucket(url: Column, buckets: int) -> Column:
+    """The bucket of a page table in which a URL is kept."""
+    return F.pmod(F.xxhash64(url), F.lit(buckets)).cast("int")
+
+
+def bucket_column(pages: DataFrame) -> tuple[str, int] | None:
+    """Name of a page table's bucket column, which tells their number, and the number; None for a plain table."""
+    found = [re.fullmatch(r"bucket([0-9]+)", c) for c in pages.columns]
+    return next(((m.group(0), int(m.group(1))) for m in found if m), None)
+
+
 def pages_behind(pages: DataFrame, urls: DataFrame) -> DataFrame:
     """Only the pages whose URL is asked for, each once.
 
     A short URL list is broadcast by its size, and then no markup is shuffled.
+    Of a table kept in buckets (``sources.pages.write_pages``) only the buckets
+    of these URLs are read then: the join has the bucket among its keys, and
+    Spark prunes partitions by the broadcast list.
     """
-    return pages.join(urls.select("url").distinct(), "url", "left_semi")
+    wanted = urls.select(F.col("url").alias("_url")).distinct()
+    same = pages["url"] == F.col("_url")
+    bucket = bucket_column(pages)
+    if bucket:
+        name, n = bucket
+        # Holds for every URL; Spark prunes only by a side that has a condition.
+        wanted = wanted.where("_url >= ''").withColumn("_bucket", url_bucket(F.col("_url"), n))
+        same &= pages[name] == F.col("_bucket")
+        return pages.join(wanted, same, "left_semi").drop(name)
+    return pages.join(wanted, same, "left_semi")
 
 
 def expand_links(seed: DataFrame, links: DataFrame, hops: int) -> DataFrame:

@@ -16,8 +16,9 @@ from kawaraban.functions import frames as C
 from kawaraban.functions.dates import DAY_HEADING_SUFFIX, NEW_ARRIVALS
 from kawaraban.operators.html import concat_in_order
 from kawaraban.queries.base import q, table
-from kawaraban.session import staged
+from kawaraban.session import scratch_path
 from kawaraban.sources import profiles as P
+from kawaraban.sources.pages import page_source, write_pages
 
 EN_ARCHIVE = f"{P.EN_BASE}/resources/archive/us/"
 EN_ARTICLE = "http://www.reuters.com/article/idUS"
@@ -55,16 +56,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
 
 
+SITE_BUCKETS = 32
 _SITES: dict[tuple[str, ...], DataFrame] = {}
 
 
 def stored_site(spark: SparkSession, sf_dir: str, *builders: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
-    """Derived pages as a stored page table of evenly filled files, written once a session."""
+    """Derived pages as a stored page table in buckets of URLs, written once a session."""
     key = (spark.sparkContext.applicationId, sf_dir, *(b.__name__ for b in builders))
     if key not in _SITES:
         pages = [b(spark, sf_dir).select("page_id", "url", "html") for b in builders]
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        _SITES[key] = staged(reduce(DataFrame.unionByName, pages).repartition(n, "url"), "pages")
+        path = scratch_path(spark, "pages")
+        write_pages(reduce(DataFrame.unionByName, pages), path, SITE_BUCKETS)
+        _SITES[key] = page_source(spark, path)
     return _SITES[key]
 
 

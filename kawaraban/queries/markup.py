@@ -8,11 +8,13 @@ from kawaraban.functions.dates import DAY_HEADING, NEW_ARRIVALS
 from kawaraban.functions.html import attribute, decode_entities
 from kawaraban.operators import html as H
 from kawaraban.operators.extract import headline_items, links_in, paragraph_text, property_items, section_headings
+from kawaraban.operators.folds import contents
 from kawaraban.operators.rows import complete_only, require, title_contains_any
 from kawaraban.queries import fixtures as X
 from kawaraban.queries.base import q, query, with_
+from kawaraban.session import scratch_path
 from kawaraban.sources import profiles as P
-from kawaraban.sources.pages import archive_urls as page_urls, page_source, read_pages as look_up
+from kawaraban.sources.pages import archive_urls as page_urls, page_source, read_pages as look_up, write_pages
 
 # --- SQL counterparts ------------------------------------------------------------
 _TOKEN = (
@@ -86,7 +88,9 @@ def read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = page_table(spark, sf_dir)
     missing = pages.where("page_id % 5 = 0").select(X.cat(F.col("url"), "&gone").alias("url"))
     wanted = pages.select("url").unionByName(pages.select("url")).unionByName(missing)
-    return look_up(wanted, pages).select(
+    path = scratch_path(spark, "pages")
+    write_pages(pages, path)
+    return look_up(wanted, page_source(spark, path)).select(
         "url", F.length("html").cast("bigint").alias("n_chars"), "fetched"
     )
 
@@ -207,9 +211,7 @@ _SQL_DECODED = "replace(replace(replace(replace({}, '&quot;', '\"'), '&lt;', '<'
 @query("SELECT doc_id AS page_id, replace(text, chr(10), '') AS text FROM documents")
 def element_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decoded text of the body element of each article page."""
-    tok = H.html_tokens(X.d_detail(spark, sf_dir))
-    body = H.text_of(tok, P.TECH_BODY.tag, class_exact=P.TECH_BODY.class_exact)
-    return body.select("page_id", "text")
+    return contents(X.d_detail(spark, sf_dir), P.TECH_BODY).select("page_id", "text")
 
 
 @query(
@@ -224,7 +226,7 @@ def element_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def element_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = H.markup_of(H.html_tokens(page_table(spark, sf_dir)), "p")
+    marked = contents(page_table(spark, sf_dir), P.Selector("p"), markup=True)
     return marked.select("page_id", F.col("start").cast("bigint").alias("start"), "markup")
 
 

@@ -2,23 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column
 
+from kawaraban.operators.folds import Wanted
 from kawaraban.operators.html import is_element
 
 
-@dataclass(frozen=True)
-class Selector:
+class Selector(Wanted):
     """An element: tag, and a class token, the whole class text, or the id."""
 
-    tag: str
-    class_: str | None = None
-    class_exact: str | None = None
-    el_id: str | None = None
-
     def match(self) -> Column:
+        """Condition on a row of ``html.nodes``."""
         return is_element(self.tag, self.class_, self.class_exact, self.el_id)
 
 

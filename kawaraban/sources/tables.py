@@ -18,7 +18,7 @@ CHECKPOINT_PAGES = 1000
 # ------------------------------------------------------------------------------
 
 
-def _rebalanced(df: DataFrame, by: str) -> DataFrame:
+def rebalanced(df: DataFrame, by: str) -> DataFrame:
     """Rows of one ``by`` value together, in files of even size.
 
     AQE splits a value that holds too much for one task and joins small ones.
@@ -29,7 +29,7 @@ def _rebalanced(df: DataFrame, by: str) -> DataFrame:
 def write_partitioned(df: DataFrame, path: str, by: str, fmt: str = "parquet") -> None:
     """Replace the ``by`` partitions that occur in ``df``; leave all others alone."""
     (
-        _rebalanced(df, by)
+        rebalanced(df, by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("lineSep", "\n")

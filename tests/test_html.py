@@ -179,7 +179,6 @@ def test_selections_cut_markup_once_and_shuffle_what_they_keep(spark):
     article, par = ("article", H.is_element("article")), ("p", H.is_element("p"))
     assert "Exchange" not in executed(tok)
     for df in (
-        paragraph_text(p, P.Selector("article"), "page_id"),
         H.elements(tok, "p"),
         H.first_within(tok, article, par),
         H.inside(H.nodes(tok, ["article", "p"]), article[1], par[1]),
