@@ -33,6 +33,12 @@ def heading_date(c: Column, year: int, today: dt.date) -> Column:
     return F.when(is_day, day).otherwise(c)
 
 
+def stored_day(date_raw: Column) -> Column:
+    """The day a stored date text names, with or without a time after it; NULL where it names none."""
+    first = F.substring_index(date_raw, " ", 1)
+    return F.coalesce(F.try_to_date(first, "yyyy年M月d日"), F.try_to_date(first, "yyyy/M/d"))
+
+
 def day_key(url: Column) -> Column:
     """Last path segment of a URL, up to its first dot."""
     return F.substring_index(F.substring_index(url, "/", -1), ".", 1)

@@ -155,14 +155,13 @@ def days_to_refresh(listed: DataFrame, stored: DataFrame, slack: int = 10) -> Da
 def page_slice(
     df: DataFrame, lo: int, hi: int, size: int, order: Sequence[str | Column], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Pages ``lo`` to ``hi`` (from 1) of ``size`` rows, in ``order``, per ``by`` group.
+    """Pages ``lo`` to ``hi`` (from 1) of ``size`` rows, in ``order``, per ``by`` group or of all rows.
 
-    Per group, rows are dealt out by ranges of group and order; a row's number
-    is its rank in its range plus the rows of the group in the ranges before,
-    so a group of any size is spread over tasks and any page can be asked for.
+    Rows are dealt out by ranges of group and order; a row's number is its rank
+    in its range plus the rows of the group in the ranges before.  So a group of
+    any size, also the whole table, is spread over tasks, and any page can be
+    asked for; what is put together are the counts of the ranges.
     """
-    if not by:
-        return df.orderBy(*order).offset((lo - 1) * size).limit((hi - lo + 1) * size)
     ranges = df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id())
     ranges = staged(ranges, "ranges")
     before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

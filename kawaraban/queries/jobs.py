@@ -194,7 +194,7 @@ def refresh_property(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, path = X.stored_site(spark, sf_dir, _odd_site), scratch_path(spark, "property")
     for _ in range(2):
         refresh.refresh_property_table(spark, path, pages, 2019, _TODAY, _roles_of)
-    return read_articles(spark, path, refresh.PROPERTY_SCHEMA)
+    return read_articles(spark, path, refresh.PROPERTY_SCHEMA).select(*refresh.PROPERTY_STORED)
 
 
 @query(
@@ -216,7 +216,7 @@ def rejected_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, rejected = J.property_tables(X.stored_site(spark, sf_dir, _odd_site), 2019, _TODAY)
     path = scratch_path(spark, "rejected")
     for _ in range(2):
-        refresh.save_rejected(rejected, path)
+        refresh.save_rejected(rejected, path, _TODAY)
     return read_articles(spark, path).select("title", "url", "reason")
 
 

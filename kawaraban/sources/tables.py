@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 
+from kawaraban.functions.dates import stored_day
+from kawaraban.session import staged
+
 # --- fixed values: column order of the stored tables --------------------------
 HEADLINE_COLUMNS = ("Date", "Summary", "Link", "Detail")
 ARCHIVE_COLUMNS = ("Date", "Title", "Snippet", "link", "honbun")
@@ -73,9 +74,11 @@ def read_daily(spark: SparkSession, path: str, fmt: str = "text") -> DataFrame |
     The day is kept as text, so 20160101 does not become a number.  A day whose
     last refresh found no article has none, whatever stood there before.
     """
-    if not any(name.startswith("day=") for name in _listed(spark, path)):
+    reader = spark.read.format(fmt).option("lineSep", "\n")
+    found = _load(reader.schema("value string"), path)
+    if found is None or "day" not in found.columns:
         return None
-    daily = spark.read.format(fmt).option("lineSep", "\n").schema("value string, day string").load(path)
+    daily = reader.schema("value string, day string").load(path)
     counts = read_day_counts(spark, path)
     if counts is not None:
         daily = daily.join(counts.where("stored_lines = 0").select("day"), "day", "left_anti")
@@ -91,51 +94,6 @@ def write_batches(df: DataFrame, path: str, page: str = "page", size: int = CHEC
     write_partitioned(df.withColumn("batch", F.floor(F.col(page) / size)), path, "batch")
 
 
-class Changed(RuntimeError):
-    """The stored table is no longer the one a new version was computed from."""
-
-
-def _files(spark: SparkSession, path: str):
-    """Hadoop's file system for ``path``, and the path in its terms."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
-
-
-def _listed(spark: SparkSession, path: str) -> list[str]:
-    """Names of the visible entries of a folder, in order; none where it is missing."""
-    system, place = _files(spark, path)
-    if not system.exists(place):
-        return []
-    names = [entry.getPath().getName() for entry in system.listStatus(place)]
-    return sorted(n for n in names if not n.startswith(("_", ".")))
-
-
-def version(spark: SparkSession, path: str) -> tuple[int, str, tuple[str, ...]] | None:
-    """What makes up the table now: number, folder and files; None where there is none yet.
-
-    A table has one pointer per whole version, whose name is its number.
-    """
-    pointers = _listed(spark, f"{path}/versions")
-    if not pointers:
-        return None
-    system, place = _files(spark, f"{path}/versions/{pointers[-1]}")
-    stream = system.open(place)
-    folder = bytes(stream.readAllBytes()).decode()
-    stream.close()
-    return int(pointers[-1]), folder, tuple(_listed(spark, f"{path}/{folder}"))
-
-
-def _commit(spark: SparkSession, path: str, n: int, folder: str) -> None:
-    """Make ``folder`` version ``n``; of two writers of one number, the file system lets one through."""
-    system, place = _files(spark, f"{path}/versions/{n:08d}")
-    try:
-        stream = system.create(place, False)
-    except Py4JJavaError as e:
-        raise Changed(f"version {n} of {path} was written meanwhile") from e
-    stream.write(folder.encode())
-    stream.close()
-
-
 def _lines_escaped(df: DataFrame) -> DataFrame:
     """Text columns with line ends (and the escape sign) escaped, so that a CSV row is a line."""
     return df.withColumns(
@@ -157,56 +115,108 @@ def _lines_restored(df: DataFrame) -> DataFrame:
     )
 
 
-def _save(df: DataFrame, folder: str, columns: Sequence[str] | None, fmt: str, mode: str) -> None:
-    out = df.select(*columns) if columns else df
-    writer = (_lines_escaped(out) if fmt == "csv" else out).write.format(fmt).mode(mode)
-    if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
-    writer.save(folder)
+def _writer(df: DataFrame, columns: Sequence[str] | None, fmt: str, by: str | None) -> tuple[DataFrame, dict[str, str]]:
+    """The columns to store and the writer's options."""
+    out = df.select(*columns, *([by] if by else [])) if columns else df
+    if fmt != "csv":
+        return out, {}
+    return _lines_escaped(out), {"header": "true", "escape": '"'}
 
 
 def write_articles(
-    df: DataFrame,
-    path: str,
-    columns: Sequence[str] | None = None,
-    fmt: str = "parquet",
-    base: tuple[int, str, tuple[str, ...]] | None = None,
+    df: DataFrame, path: str, columns: Sequence[str] | None = None, fmt: str = "parquet", by: str | None = None
 ) -> None:
-    """Save a whole table as a new version; readers switch when it is complete.
+    """Replace a stored table or, with ``by``, the partitions of that column which occur in ``df``.
 
-    The new version may be computed from the stored one: nothing is overwritten,
-    and one pointer makes the new folder current.  It is refused with ``Changed``
-    when the table was replaced or added to since ``base`` (by default: since
-    this call began), so nothing written meanwhile is lost.
+    ``df`` may be computed from the table itself: its rows are staged first.
+    Partitions are replaced by Spark's dynamic overwrite when all rows are
+    written, so a job that fails leaves them as they were; running it again
+    replaces the same ones.  One job at a time may write a partition.
     """
-    spark = df.sparkSession
-    base = base or version(spark, path)
-    n = base[0] + 1 if base else 1
-    folder = f"v{n:08d}-{uuid.uuid4().hex}"
-    _save(df, f"{path}/{folder}", columns, fmt, "errorifexists")
-    if version(spark, path) != base:
-        raise Changed(f"{path} changed while its version {n} was computed")
-    _commit(spark, path, n, folder)
+    out, options = _writer(df, columns, fmt, by)
+    rows = staged(out, "articles")
+    if by is None:
+        rows.write.format(fmt).options(**options).mode("overwrite").save(path)
+        return
+    writer = rebalanced(rows, by).write.format(fmt).options(**options).mode("overwrite").partitionBy(by)
+    writer.option("partitionOverwriteMode", "dynamic").save(path)
 
 
-def append_articles(df: DataFrame, path: str, columns: Sequence[str] | None = None, fmt: str = "parquet") -> None:
-    """Add rows to the current version; what is there is not written again."""
-    now = version(df.sparkSession, path)
-    if now is None:
-        write_articles(df, path, columns, fmt)
-    else:
-        _save(df, f"{path}/{now[1]}", columns, fmt, "append")
+def append_articles(
+    df: DataFrame, path: str, columns: Sequence[str] | None = None, fmt: str = "parquet", by: str | None = None
+) -> None:
+    """Add rows to a stored table; what is there is not written again."""
+    out, options = _writer(df, columns, fmt, by)
+    writer = (rebalanced(out, by) if by else out).write.format(fmt).options(**options).mode("append")
+    (writer.partitionBy(by) if by else writer).save(path)
 
 
 def read_articles(spark: SparkSession, path: str, schema: str | None = None, fmt: str = "parquet") -> DataFrame | None:
-    """The current version of a stored table, or None where there is none yet."""
-    now = version(spark, path)
-    if now is None:
-        return None
+    """A stored table, or None where there is none yet."""
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True).option("escape", '"')
     if schema:
         reader = reader.schema(schema)
-    found = reader.load(f"{path}/{now[1]}")
-    return _lines_restored(found) if fmt == "csv" else found
+    found = _load(reader, path)
+    return _lines_restored(found) if found is not None and fmt == "csv" else found
+
+
+def read_checked(spark: SparkSession, path: str, schema: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """A CSV table's rows that fit the schema, and its lines that do not, as ``line`` with a ``reason``.
+
+    A line fits when it has a value for every column.  Both are staged: the
+    file is parsed once.
+    """
+    reader = spark.read.option("header", header).option("escape", '"').option("mode", "PERMISSIVE")
+    parsed = reader.option("columnNameOfCorruptRecord", "_line").schema(f"{schema}, _line string").csv(path)
+    parsed = staged(parsed, "checked")
+    good = _lines_restored(parsed.where("_line IS NULL").drop("_line"))
+    return good, parsed.where("_line IS NOT NULL").select(F.col("_line").alias("line"), F.lit("columns").alias("reason"))
+
+
+def of_days(stored: DataFrame, days: DataFrame, by: str = "day") -> DataFrame:
+    """Rows of a table partitioned by day which lie on the given days, and those without a day.
+
+    ``days`` should be a staged table with the column ``by``: Spark broadcasts a
+    short one and reads only the folders it names.
+    """
+    # Holds for every date; Spark prunes only by a side that has a condition.
+    listed = days.where(F.col(by) >= F.lit("0001-01-01").cast("date")).select(F.col(by).alias("_day")).distinct()
+    dated = stored.join(listed, stored[by] == F.col("_day"), "left_semi")
+    return dated.unionByName(stored.where(F.col(by).isNull()))
+
+
+def with_days(df: DataFrame, date: str = "Date") -> DataFrame:
+    """Records with their ``day`` as a date, beside the date as text; NULL where the text names no day."""
+    return df.withColumn("day", stored_day(F.col(date)))
+
+
+#: How the three record shapes name the fields of the common one.
+_COMMON = {"Link": "url", "link": "url", "Date": "date_raw", "Title": "title", "Snippet": "summary", "Summary": "summary", "Detail": "body", "honbun": "body"}
+
+
+def as_articles(df: DataFrame, site: str) -> DataFrame:
+    """Records of any site as site, url, date_raw, date, title, summary, body; fields a site lacks are NULL."""
+    have = {_COMMON[c]: F.col(f"`{c}`") for c in df.columns if c in _COMMON}
+    field = lambda name: have.get(name, F.lit(None)).cast("string").alias(name)
+    rows = df.select(F.lit(site).alias("site"), *(field(c) for c in ("url", "date_raw", "title", "summary", "body")))
+    return rows.select("site", "url", "date_raw", stored_day(F.col("date_raw")).alias("date"), "title", "summary", "body")
+
+
+# --- histograms kept up to date -----------------------------------------------
+def add_counts(counts: DataFrame, path: str, batch: str) -> None:
+    """Keep a batch's counts (year, token, n) beside those of the others; repeating a batch replaces its counts."""
+    write_partitioned(counts.withColumn("batch", F.lit(batch)), path, "batch")
+
+
+def read_counts(spark: SparkSession, path: str) -> DataFrame | None:
+    """The counts of all batches added up: year, token, n."""
+    found = _load(spark.read.schema("year string, token string, n bigint, batch string"), path)
+    return None if found is None else found.groupBy("year", "token").agg(F.sum("n").alias("n"))
+
+
+def compact_counts(spark: SparkSession, path: str, batch: str) -> None:
+    """Put the counts of all batches into one, named ``batch``; no batch before may be repeated afterwards."""
+    total = staged(read_counts(spark, path).withColumn("batch", F.lit(batch)), "counts")
+    total.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch").parquet(path)

@@ -8,7 +8,7 @@ from sorted_rows import rows
 from kawaraban.plans import refresh
 from kawaraban.plans.roles import extract_roles
 from kawaraban.queries import fixtures as X
-from kawaraban.session import scratch_path, shared_dir
+from kawaraban.session import scratch_path, shared_dir, staged
 from kawaraban.sources import pages as S, tables as T
 from kawaraban.streaming.landing import follow_property_listings
 
@@ -29,39 +29,76 @@ def test_daily_replaces_only_given_days(spark, tmp_path):
     assert rows(T.read_daily(spark, path)) == [("20160101", "z"), ("20160102", "c")]
 
 
-def test_versions(spark, tmp_path):
+def test_whole_tables_are_replaced_by_rows_of_their_own(spark, tmp_path):
     path = str(tmp_path / "articles")
     assert T.read_articles(spark, path) is None
     df = spark.createDataFrame([("1", "a")], "Date string, Title string")
     T.write_articles(df, path, ("Title", "Date"))
     first = T.read_articles(spark, path)
-    T.write_articles(first.union(first), path)
     assert first.columns == ["Title", "Date"]
-    assert rows(T.read_articles(spark, path)) == [("a", "1"), ("a", "1")]
+    T.write_articles(first.union(first), path)
     T.append_articles(df, path, ("Title", "Date"))
     assert T.read_articles(spark, path).count() == 3
     T.write_articles(T.read_articles(spark, path).distinct(), path)
-    T.append_articles(df, path, ("Title", "Date"))
-    assert rows(T.read_articles(spark, path)) == [("a", "1"), ("a", "1")]
-
-
-def test_of_two_writers_one_is_refused(spark, tmp_path):
-    path = str(tmp_path / "two")
-    df = spark.range(3)
-    T.write_articles(df, path)
-    base = T.version(spark, path)
-    one, two = (T.read_articles(spark, path).selectExpr(f"id + {n} AS id") for n in (10, 20))
-    T.write_articles(one, path, base=base)
-    with pytest.raises(T.Changed):
-        T.write_articles(two, path, base=base)
-    assert rows(T.read_articles(spark, path)) == [(10,), (11,), (12,)]
-    base = T.version(spark, path)
-    T.append_articles(df, path)  # would be lost with the version computed before it
-    with pytest.raises(T.Changed):
-        T.write_articles(one, path, base=base)
-    with pytest.raises(T.Changed):
-        T._commit(spark, path, 2, "other")
-    assert T.read_articles(spark, path).count() == 6
+    assert rows(T.read_articles(spark, path)) == [("a", "1")]
+
+
+def test_days_are_replaced_and_added_to(spark, tmp_path):
+    path = str(tmp_path / "days")
+    schema = "Title string, day date"
+    on = lambda n: dt.date(2019, 3, n) if n else None
+    made = lambda *r: spark.createDataFrame([(t, on(n)) for t, n in r], schema)
+    T.write_articles(made(("a", 1), ("b", 2), ("c", 0)), path, by="day")
+    T.append_articles(made(("d", 1)), path, by="day")
+    stored = T.read_articles(spark, path, schema)
+    assert rows(stored, "Title") == [("a",), ("b",), ("c",), ("d",)]
+    one = T.of_days(stored, staged(made(("x", 1)), "days"))
+    assert rows(one, "Title") == [("a",), ("c",), ("d",)]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "PartitionFilters: [isnull(day" in plan
+    for _ in range(2):  # a retry replaces the same days
+        stored = T.read_articles(spark, path, schema)
+        T.write_articles(stored.where("day = '2019-03-01'").selectExpr("concat('new ', substring(Title, -1)) AS Title", "day"), path, by="day")
+    assert rows(T.read_articles(spark, path, schema), "Title") == [("b",), ("c",), ("new a",), ("new d",)]
+
+
+def test_a_failed_job_leaves_the_days_as_they_were(spark, tmp_path):
+    path = str(tmp_path / "failed")
+    df = spark.createDataFrame([("a", dt.date(2019, 3, 1))], "Title string, date date")
+    T.write_articles(df, path, by="date")
+    with pytest.raises(Exception, match="stop"):
+        T.write_articles(df.withColumn("Title", F.raise_error(F.lit("stop")).cast("string")), path, by="date")
+    assert rows(T.read_articles(spark, path), "Title") == [("a",)]
+
+
+def test_common_record(spark):
+    df = spark.createDataFrame([("2013/4/1 6:30", "l"), ("2019年03月08日", "m"), ("2019年3月", None), (None, "n"), ("2019/2/29", "o")], "Date string, link string")
+    got = T.as_articles(df, "s")
+    assert got.columns == ["site", "url", "date_raw", "date", "title", "summary", "body"]
+    assert [r["date"] for r in got.collect()] == [dt.date(2013, 4, 1), dt.date(2019, 3, 8), None, None, None]
+
+
+def test_counts_of_batches(spark, tmp_path):
+    path = str(tmp_path / "counts")
+    counts = lambda *r: spark.createDataFrame(r, "year string, token string, n bigint")
+    assert T.read_counts(spark, path) is None
+    T.add_counts(counts(("2010", "a", 1), ("2011", "a", 2)), path, "x")
+    T.add_counts(counts(("2010", "a", 5)), path, "y")
+    T.add_counts(counts(("2010", "a", 4), ("2010", "b", 1)), path, "y")
+    want = [("2010", "a", 5), ("2010", "b", 1), ("2011", "a", 2)]
+    assert rows(T.read_counts(spark, path)) == want
+    T.compact_counts(spark, path, "all")
+    assert rows(T.read_counts(spark, path)) == want
+    assert rows(spark.read.parquet(path).select("batch").distinct()) == [("all",)]
+
+
+def test_damaged_lines(spark, tmp_path):
+    path = str(tmp_path / "damaged.csv")
+    with open(path, "w") as f:
+        f.write('Date,Title\n1,a%0Ab\n2\n3,b,c\n"4","d, ""e"""\n')
+    good, bad = T.read_checked(spark, path, "Date string, Title string")
+    assert rows(good) == [("1", "a\nb"), ("4", 'd, "e"')]
+    assert rows(bad) == [("2", "columns"), ("3,b,c", "columns")]
 
 
 def test_first_write_may_be_an_addition(spark, tmp_path):
@@ -158,10 +195,14 @@ def test_property_table_is_stable(spark, tmp_path):
     assert not refresh.refresh_property_table(spark, path, some, 2019, today, _roles)
     assert refresh.refresh_property_table(spark, path, pages, 2019, today, _roles)
     both = T.read_articles(spark, path)
-    assert both.columns == [*T.PROPERTY_COLUMNS, *T.PROPERTY_ROLE_COLUMNS]
-    assert len(first) < both.count() and set(first) <= set(rows(both))
+    assert both.columns == [*T.PROPERTY_COLUMNS, *T.PROPERTY_ROLE_COLUMNS, "day"]
+    before = rows(both)
+    assert len(first) < len(before) and set(first) <= set(before)
     assert refresh.redo_property_table(spark, path, _roles)
-    assert T.read_articles(spark, path).count() == both.count()
+    again = T.read_articles(spark, path)
+    assert rows(again) == before
+    refresh.compact_property_days(spark, path, again.select("day").distinct())
+    assert rows(T.read_articles(spark, path)) == before
     assert not refresh.redo_property_table(spark, path + "-none", _roles)
 
 
