@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kawaraban.llm.words import MARKS, Words, covered, pieces, small_batches
+from kawaraban.llm.words import MARKS, Words, covered, pieces, released, small_batches
 from kawaraban.session import staged
 
 WINDOW = 13
@@ -183,7 +183,7 @@ def build_index(docs: DataFrame, items: DataFrame) -> DataFrame:
                 made += 1
 
         # A job for each block, so that a segment has the same number in all of them.
-        found = rows.mapInArrow(index, f"block int, segment long, doc_ids array<{kind}>, keys array<long>, bounds binary, terms binary, counts binary, places binary")
+        found = rows.mapInArrow(released(index), f"block int, segment long, doc_ids array<{kind}>, keys array<long>, bounds binary, terms binary, counts binary, places binary")
         tables.append(staged(found, "postings"))
     return reduce(DataFrame.unionByName, tables)
 
@@ -202,7 +202,7 @@ def search(index: DataFrame, items: DataFrame) -> DataFrame:
         def answer(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             yield from _answers(batches, Block(block))
 
-        parts.append(index.filter(F.col("block") == number).mapInArrow(answer, schema))
+        parts.append(index.filter(F.col("block") == number).mapInArrow(released(answer), schema))
     if len(parts) == 1:
         return parts[0].drop("segment", "row")
     merged = reduce(DataFrame.unionByName, parts).groupBy("segment", "row").agg(

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kawaraban.llm.words import SPACES, Words, pieces, sequences, small_batches
+from kawaraban.llm.words import SPACES, Words, pieces, released, sequences, small_batches
 from kawaraban.session import staged
 
 WORDS = 50
@@ -124,7 +124,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", place_key(docs).alias("key"), "text").mapInArrow(
-        _cut,
+        released(_cut),
         f"doc_id {kind}, key long, numbers binary, windows array<struct<at: int, size: int, window: long, fingerprint: long, place: int>>",
     )
     rows = staged(rows, "lines")
@@ -140,7 +140,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     runs = later.groupBy("key").agg(F.collect_set(F.struct("at", "size")).alias("later"))
     lines = staged(rows.select("key", "numbers").dropDuplicates(["key"]), "line-numbers")
     both = staged(runs, "runs").join(lines, "key").select("key", "numbers", "later")
-    return both.mapInArrow(_mark, "key long, gone array<int>")
+    return both.mapInArrow(released(_mark), "key long, gone array<int>")
 
 
 def without_lines(docs: DataFrame, gone: DataFrame) -> tuple[DataFrame, str]:
@@ -167,4 +167,4 @@ def without_lines(docs: DataFrame, gone: DataFrame) -> tuple[DataFrame, str]:
             yield pa.RecordBatch.from_arrays(columns, part.schema.names)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return joined.mapInArrow(delete, f"{fields}, `{name}` long"), name
+    return joined.mapInArrow(released(delete), f"{fields}, `{name}` long"), name

@@ -21,16 +21,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kawaraban.llm.words import pieces, small_batches
+from kawaraban.llm.words import pieces, released, small_batches
 
 #: Bytes of text in a segment; larger ones need fewer messages and more memory.
 SEGMENT = 4 << 20
 #: Bytes of a key that travel; its range of values tells the rest.
 WIDTH = 7
+#: Keys that are added up together.
+SLICE = 1 << 18
 
 Keys = Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]
 
@@ -51,6 +54,41 @@ def _segments(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[
         number += 1
 
 
+def _classes(keys: pa.ChunkedArray, counts: pa.ChunkedArray, width: int) -> list[bytes]:
+    """The classes of all keys of one range, message by message.
+
+    Keys are added up a few at a time, by their lowest bits, so that only the
+    keys and one byte of answer each are held for the whole range.
+    """
+    few = [np.frombuffer(x.as_buffer(), np.uint8) for x in _scalars(counts)]
+    ends = np.cumsum([len(x) for x in few])
+    few = np.concatenate(few)
+    packed = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in _scalars(keys)]).reshape(-1, width)
+    classes = np.empty(len(few), np.uint8)
+    slices = 1 << min(8, max(0, (len(few) // SLICE).bit_length()))
+    lowest = packed[:, 0] & np.uint8(slices - 1)
+    for k in range(slices):
+        at = np.flatnonzero(lowest == k) if slices > 1 else np.arange(len(few))
+        if not len(at):
+            continue
+        wide = np.zeros((len(at), 8), np.uint8)
+        wide[:, :width] = packed[at]
+        values = wide.view(np.uint64).ravel()
+        order = np.argsort(values, kind="stable")
+        ordered = values[order]
+        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        totals = np.add.reduceat(few[at[order]].astype(np.int64), first)
+        kind = np.where(totals > 1, 1 + np.floor(np.log2(totals)), 0).astype(np.uint8)
+        classes[at[order]] = np.repeat(kind, np.diff(np.append(first, len(at))))
+    flat = classes.tobytes()
+    return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
+
+def _scalars(column: pa.ChunkedArray) -> Iterator[pa.Scalar]:
+    for chunk in column.chunks:
+        yield from chunk
+
+
 def answered(docs: DataFrame, column: str, keys: Keys, width: int = WIDTH) -> DataFrame:
     """Rows of docs by segment with the classes of their keys: segment, rows, check, answers.
 
@@ -85,27 +123,14 @@ def answered(docs: DataFrame, column: str, keys: Keys, width: int = WIDTH) -> Da
         if not messages:
             return
         sent = pa.Table.from_batches(messages)
-        flat = lambda c: b"".join(sent.column(c).to_pylist())
-        wide = np.zeros((sum(map(len, sent.column("counts").to_pylist())), 8), np.uint8)
-        wide[:, :width] = np.frombuffer(flat("keys"), np.uint8).reshape(-1, width)
-        values, counts = wide.view(np.uint64).ravel(), np.frombuffer(flat("counts"), np.uint8)
-        lengths = np.array([len(x) for x in sent.column("counts").to_pylist()])
-        # Keys of different ranges of a task may agree in the bytes that travelled.
-        part = np.repeat(sent.column("part").to_numpy(), lengths)
-        order = np.argsort(values, kind="stable") if part.min() == part.max() else np.lexsort((values, part))
-        ordered, owner = values[order], part[order]
-        first = np.flatnonzero(np.concatenate([[True], (ordered[1:] != ordered[:-1]) | (owner[1:] != owner[:-1])]))
-        totals = np.add.reduceat(counts[order].astype(np.int64), first)
-        kind = np.where(totals > 1, 1 + np.floor(np.log2(totals)), 0).astype(np.uint8)
-        classes = np.empty(len(values), np.uint8)
-        classes[order] = np.repeat(kind, np.diff(np.concatenate([first, [len(values)]])))
-        ends = np.cumsum(lengths)
-        told = [classes[e - n : e].tobytes() for e, n in zip(ends, lengths, strict=True)]
-        for at in range(0, len(told), 1000):
-            yield pa.RecordBatch.from_arrays(
-                [sent.column("segment")[at : at + 1000].combine_chunks(), sent.column("part")[at : at + 1000].combine_chunks(), pa.array(told[at : at + 1000], pa.binary())],
-                ["segment", "part", "classes"],
-            )
+        del messages
+        owners = pc.unique(sent.column("part")).to_pylist()
+        for owner in owners:
+            one = sent if len(owners) == 1 else sent.filter(pc.equal(sent.column("part"), owner))
+            classes = _classes(one.column("keys"), one.column("counts"), width)
+            for some in range(0, len(classes), 1000):
+                segments, parts_ = (one.column(c).slice(some, 1000).combine_chunks() for c in ("segment", "part"))
+                yield pa.RecordBatch.from_arrays([segments, parts_, pa.array(classes[some : some + 1000], pa.binary())], ["segment", "part", "classes"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for segment, part in _segments(batches, column):
@@ -114,11 +139,11 @@ def answered(docs: DataFrame, column: str, keys: Keys, width: int = WIDTH) -> Da
             columns += [pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), _flat(c)) for c in part.columns]
             yield pa.RecordBatch.from_arrays(columns, ["segment", "check", *(f"row_{c}" for c in part.schema.names)])
 
-    sent = docs.mapInArrow(send, "part int, segment long, keys binary, counts binary")
-    told = sent.repartitionById(parts, "part").mapInArrow(add_up, "segment long, part int, classes binary")
+    sent = docs.mapInArrow(released(send), "part int, segment long, keys binary, counts binary")
+    told = sent.repartitionById(parts, "part").mapInArrow(released(add_up), "segment long, part int, classes binary")
     answers = told.groupBy("segment").agg(F.sort_array(F.collect_list(F.struct("part", "classes"))).alias("answers"))
     rows = ", ".join(f"`row_{f.name}` array<{f.dataType.simpleString()}>" for f in kinds)
-    segments = docs.mapInArrow(gather, f"segment long, check long, {rows}")
+    segments = docs.mapInArrow(released(gather), f"segment long, check long, {rows}")
     return segments.join(answers, "segment", "left")
 
 

@@ -16,7 +16,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-from kawaraban.llm.words import LOWER, SPACES, Words, per_row, spans, text_bytes
+from kawaraban.llm.words import LOWER, SPACES, WORKER, Words, per_row, spans, text_bytes
 
 #: Ids a worker keeps; beyond it, it starts anew with the pieces at hand.
 KEPT = 8_000_000
@@ -100,8 +100,8 @@ class Encoder:
 
     def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
         many, ids = [], []
-        for at in range(0, len(pieces), 20_000):
-            for e in self._tokenizer.encode_batch_fast(pieces[at : at + 20_000], add_special_tokens=False):
+        for at in range(0, len(pieces), 5_000):
+            for e in self._tokenizer.encode_batch_fast(pieces[at : at + 5_000], add_special_tokens=False):
                 found = e.ids
                 many.append(len(found))
                 ids.extend(found)
@@ -138,8 +138,8 @@ class Encoder:
 
 
 def encoder(path: str, cut: Callable[[pa.Array], Pieces]) -> Encoder:
-    """This worker's encoder for a file; it outlives the task."""
-    kept = sys.modules.setdefault("kawaraban_worker", types.ModuleType("kawaraban_worker"))
+    """This worker's encoder for a file; it outlives the task, until a task of other work runs here."""
+    kept = sys.modules.setdefault(WORKER, types.ModuleType(WORKER))
     name = f"{cut.__name__} {path}"
     if name not in vars(kept):
         vars(kept)[name] = Encoder(path, cut)

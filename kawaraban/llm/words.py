@@ -8,7 +8,11 @@ different ones differ but for a chance of about 2**-64.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+import re
+import sys
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -169,11 +173,41 @@ def small_batches(spark: SparkSession) -> None:
     and a smaller one stays.
     """
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
-    if not 0 < size <= BATCH:
+    number, unit = re.fullmatch(r"(-?[0-9]+)([kmgtp]?)b?", spark.conf.get(name).strip().lower()).groups()
+    if not 0 < int(number) << 10 * " kmgtp".index(unit or " ") <= BATCH:
         spark.conf.set(name, f"{BATCH}b")
 
 
+Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+#: Where a Python worker keeps what outlives a task.
+WORKER = "kawaraban_worker"
+
+
+def released(work: Work, keeps: bool = False) -> Work:
+    """`work`, after which what a task has freed goes back to the system.
+
+    Python workers outlive their tasks; without this, each keeps its largest
+    task's memory. What earlier tasks left in the worker (`tokens.encoder`) is
+    dropped first, unless this work uses it.
+    """
+
+    @functools.wraps(work)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            sys.modules.pop(WORKER, None)
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return run
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in slices of whole rows with at most `size` bytes of text, or one row."""
     for batch in batches:
