@@ -5,15 +5,16 @@
    others (`similar_sets`) are kept once per distinct set, with the shared
    shingles in ascending order of frequency.
 2. The first shingles of that order, of which similar sets must share one, make
-   the inverted index (`postings`). Index lists are skipped by position: an entry
-   meets only entries whose size, and whose places in the order, leave room for
-   the overlap needed.
+   the inverted index (`postings`). Index lists are skipped in blocks: size and
+   place of an entry tell which sizes its partner may have, and it is sent only to
+   the blocks of its lists that hold such pairs (`_cells`).
 3. In every list one set leads (the smallest id). All others are compared with
    the leaders of their lists only, so a list of n sets costs n comparisons.
 4. What the leader's answers settle is not compared again: two sets of one group
    are connected already, and from the overlaps a, b with the leader, the overlap
    of sets x and y is at most min(|x| - a + b, |y| - b + a). Only pairs of
-   different groups that this bound leaves open are compared themselves. This
+   different groups that this bound leaves open, and that are not known to differ
+   too much (`_differ_little`), are compared themselves. This
    repeats, with other leaders first, then with all that is left, so no link
    between two groups is missed.
 
@@ -29,6 +30,7 @@ empty results. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +39,17 @@ from pyspark.sql import functions as F
 
 from kawaraban.llm import repeats
 from kawaraban.llm.lines import place_key
-from kawaraban.llm.words import Words, mix
+from kawaraban.llm.words import Words, mix, released
 from kawaraban.session import staged
 
 SHINGLE = 5
 #: Similarity in percent.
 LEAST = 75
+#: Classes of tokens whose numbers are kept as odd or even, one bit each.
+BITS = 256
+_WORDS = tuple(f"b{i}" for i in range(BITS // 64))
+#: Classes of set sizes to a doubling, by which index lists are cut into blocks.
+CLASSES = 6
 
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -99,7 +106,7 @@ def similar_sets(docs: DataFrame) -> DataFrame:
 
     # Shingles that agree in the bytes sent are counted together, which only makes fewer sets stand out.
     segments = repeats.answered(docs.select("doc_id", place_key(docs).alias("key"), "text"), "text", _keys, width=5)
-    return segments.mapInArrow(sets, f"doc_id {kind}, key long, n_shingles long, set_id long, tokens binary")
+    return segments.mapInArrow(released(sets), f"doc_id {kind}, key long, n_shingles long, set_id long, tokens binary")
 
 
 def needed(a: Column, b: Column) -> Column:
@@ -108,10 +115,11 @@ def needed(a: Column, b: Column) -> Column:
 
 
 def postings(sets: DataFrame) -> DataFrame:
-    """The index: token, set_id, n, pos for the tokens of which a similar set must share one.
+    """The index: token, set_id, n, pos, alone, bits for the tokens of which a similar set must share one.
 
     pos is the token's place in the set's order; shingles that no other document
-    has stand before all tokens.
+    has, `alone` in number, stand before all tokens. bits has a bit for every
+    class of tokens: whether the set has an odd number of them.
     """
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,12 +131,27 @@ def postings(sets: DataFrame) -> DataFrame:
             kept = [t[: max(0, int(k))] for t, k in zip(tokens, last - alone, strict=True)]
             n = np.array([len(t) for t in kept])
             pos = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(alone, n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(kept) if kept else [], pa.int64()), pa.array(np.repeat(ids, n)), pa.array(np.repeat(sizes, n)), pa.array(pos, pa.int64())],
-                ["token", "set_id", "n", "pos"],
-            )
+            odd = np.zeros((len(tokens), BITS), np.uint8)
+            for row, t in zip(odd, tokens, strict=True):
+                row[:] = np.bincount(mix(t.view(np.uint64)) >> np.uint64(64 - BITS.bit_length() + 1), minlength=BITS) & 1
+            words = np.packbits(odd, axis=1).view(np.int64).reshape(len(tokens), -1)
+            each = np.repeat(np.arange(len(tokens)), n)
+            columns = [pa.array(np.concatenate(kept) if kept else [], pa.int64()), *(pa.array(x[each]) for x in (ids, sizes)), pa.array(pos, pa.int64()), pa.array(alone[each])]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(words[each, k]) for k in range(BITS // 64))], ["token", "set_id", "n", "pos", "alone", *_WORDS])
+
+    kinds = "token long, set_id long, n long, pos long, alone long, " + ", ".join(f"{w} long" for w in _WORDS)
+    return sets.select("set_id", "n", "tokens").mapInArrow(released(prefix), kinds)
+
 
-    return sets.select("set_id", "n", "tokens").mapInArrow(prefix, "token long, set_id long, n long, pos long")
+def _differ_little(a: str, b: str) -> Column:
+    """Whether two entries' sets may have the overlap needed, by what is known to be in one of them only.
+
+    These are the shingles that no other document has, and at least one token
+    for every class of which one set has an odd number and the other one not.
+    """
+    odd = reduce(lambda x, y: x + y, (F.bit_count(F.col(f"{a}.{w}").bitwiseXOR(F.col(f"{b}.{w}"))) for w in _WORDS))
+    n = F.col(f"{a}.n") + F.col(f"{b}.n")
+    return 2 * needed(F.col(f"{a}.n"), F.col(f"{b}.n")) <= n - F.col(f"{a}.alone") - F.col(f"{b}.alone") - odd
 
 
 def _room(a: str, b: str) -> Column:
@@ -149,7 +172,7 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     side = lambda s: sets.select(F.col("set_id").alias(s), F.col("n").alias(f"n_{s}"), F.col("tokens").alias(f"tokens_{s}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "tokens_a", "tokens_b")
-    found = both.mapInArrow(intersect, "a long, b long, n_a long, n_b long, common long")
+    found = both.mapInArrow(released(intersect), "a long, b long, n_a long, n_b long, common long")
     return found.withColumn("linked", 100 * F.col("common") >= LEAST * (F.col("n_a") + F.col("n_b") - F.col("common")))
 
 
@@ -183,7 +206,7 @@ def links_between_groups(sets: DataFrame, stars: int = 2) -> DataFrame:
     # Both sides of a join on tokens are tables of their own, so that Spark can split a hot one.
     shared = staged(index.groupBy("token").agg(F.count("*").alias("sets")).filter("sets > 1").select("token"), "lists")
     index = staged(index.join(shared, "token", "left_semi"), "postings")
-    entry = F.struct("set_id", "n", "pos", "group")
+    entry = F.struct("set_id", "n", "pos", "group", "alone", *_WORDS)
     links = known = groups = None
     for turn in range(stars + 1):
         entries = index.withColumn("group", F.col("set_id")) if groups is None else _grouped(index, groups)
@@ -199,7 +222,7 @@ def links_between_groups(sets: DataFrame, stars: int = 2) -> DataFrame:
             leaders = staged(mixed.groupBy("token").agg(F.min_by(entry, rank).alias("lead")), "leaders")
             x = mixed.join(leaders, "token").select(entry.alias("x"), F.col("lead").alias("y"))
             sizes = 100 * F.least("x.n", "y.n") >= LEAST * F.greatest("x.n", "y.n")
-            pairs = x.filter((F.col("x.group") != F.col("y.group")) & (_room("x", "y") if turn == 0 else sizes))
+            pairs = x.filter((F.col("x.group") != F.col("y.group")) & (_room("x", "y") if turn == 0 else sizes) & _differ_little("x", "y"))
         else:
             pairs = _open_pairs(mixed, known)
         pairs = pairs.select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct()
@@ -215,41 +238,52 @@ def links_between_groups(sets: DataFrame, stars: int = 2) -> DataFrame:
     return links
 
 
+def _size_class(n: Column) -> Column:
+    """Classes of sizes: single ones first, then CLASSES to a doubling."""
+    return F.when(n < 2 * CLASSES, n).otherwise(2 * CLASSES + F.floor(CLASSES * F.log2(n / (2 * CLASSES)))).cast("long")
+
+
+def _cells(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The entries of index lists in the blocks of the list that they may find a partner in: token, small, large, e.
+
+    A block holds the pairs of one list whose smaller set is of class `small` and
+    whose larger one of class `large`. An entry at place pos of a set of n leaves
+    room for an overlap of n - pos, which tells the largest partner it can have:
+    as the smaller set it goes to the blocks of its own class up to that one's, as
+    the larger set to those from the smallest similar size's up to that one's or
+    its own. Blocks that leave no room get no entry, so their pairs never meet.
+    """
+    n = F.col("e.n")
+    widest = F.floor((n - F.col("e.pos")) * (100 + LEAST) / LEAST) - n
+    lowest, top = F.ceil(LEAST * n / 100), F.least(n, widest)
+    between = lambda a, b: F.explode(F.sequence(_size_class(a), _size_class(b)))
+    small = entries.filter(widest >= n).select("token", "e", _size_class(n).alias("small"), between(n, widest).alias("large"))
+    large = entries.filter(top >= lowest).select("token", "e", _size_class(n).alias("large"), between(lowest, top).alias("small"))
+    return small, large
+
+
 def _open_pairs(mixed: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs of one list but different groups that neither the leader's answers nor their first tokens rule out.
+    """Pairs (x, y) of one list but different groups that neither block, place nor the leader's answers rule out.
 
-    The overlap of x and y is bounded by their overlaps with the list's leader,
-    its smallest set, and by the common ones of their first tokens and the number
-    of shingles after those. A pair meets in the list of its first common token only.
+    The overlap of x and y is bounded by their overlaps with the list's leader, its smallest set.
     """
-    lead_of = staged(mixed.groupBy("token").agg(F.min(F.struct("set_id", "n", "group")).alias("lead")), "leaders")
-    firsts = mixed.groupBy("set_id").agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("firsts"))
-    firsts = firsts.select(F.col("set_id").alias("_first"), F.col("firsts.token").alias("firsts"))
-    entries = mixed.join(lead_of, "token")
-    entries = entries.join(firsts, entries["set_id"] == firsts["_first"])
+    lead_of = staged(mixed.groupBy("token").agg(F.min("set_id").alias("lead")), "leaders")
     met = known.select("a", "b", "common")
     met = met.unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b"), "common"))
     met = met.select(F.col("a").alias("_lead"), F.col("b").alias("_set"), "common")
-    entries = entries.join(met, (entries["lead.set_id"] == met["_lead"]) & (entries["set_id"] == met["_set"]), "left").select(
-        "token",
-        F.col("lead.group").alias("lead_group"),
-        F.struct("set_id", "n", "pos", "group", "firsts", F.when(F.col("set_id") == F.col("lead.set_id"), F.col("n")).otherwise(F.col("common")).alias("common")).alias("e"),
-    )
-    entries = staged(entries, "entries")
-    x = entries.filter("e.group != lead_group").select("token", F.col("e").alias("x"))
-    y = entries.select("token", "lead_group", F.col("e").alias("y"))
-    need = needed(F.col("x.n"), F.col("y.n"))
+    entries = mixed.join(lead_of, "token")
+    entries = entries.join(met, (entries["lead"] == met["_lead"]) & (entries["set_id"] == met["_set"]), "left")
+    common = F.when(F.col("set_id") == F.col("lead"), F.col("n")).otherwise(F.col("common"))
+    entries = staged(entries.select("token", F.struct("set_id", "n", "pos", "group", "alone", *_WORDS, common.alias("common")).alias("e")), "entries")
+    small, large = _cells(entries)
+    x, y = small.withColumnRenamed("e", "x"), large.withColumnRenamed("e", "y")
     most = F.least(F.col("x.n") - F.col("x.common") + F.col("y.common"), F.col("y.n") - F.col("y.common") + F.col("x.common"))
-    once = (F.col("y.group") == F.col("lead_group")) | (F.col("x.set_id") < F.col("y.set_id"))
-    shared = F.array_intersect("x.firsts", "y.firsts")
-    after = lambda n: F.ceil(LEAST * F.col(n) / 100) - 1
-    return x.join(y, "token").filter(
+    return x.join(y, ["token", "small", "large"]).filter(
         (F.col("x.group") != F.col("y.group"))
-        & once
+        & ((F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.set_id") < F.col("y.set_id"))))
         & _room("x", "y")
-        & F.coalesce(most >= need, F.lit(True))
-        & (F.size(shared) + F.greatest(after("x.n"), after("y.n")) >= need)
-        & (F.element_at(shared, 1) == F.col("token"))
+        & _differ_little("x", "y")
+        & F.coalesce(most >= needed(F.col("x.n"), F.col("y.n")), F.lit(True))
     )
 
 
