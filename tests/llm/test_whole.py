@@ -1,11 +1,16 @@
 """Whole answers by the definition, where a first holder, a sample or a name may be missing."""
 
 import random
+from collections import Counter
 
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 from test_queries import check
 
-from kawaraban.llm import contamination, langid, lines, repeats, substrings
+from kawaraban.llm import contamination, jaccard, langid, lines, packing, repeats, substrings
 
 
 def rows_of(texts):
@@ -121,3 +126,85 @@ def test_op4_sends_whole_hashes_of_longer_windows(spark, tables, monkeypatch):
     runs = found.select("doc_id", F.explode("runs").alias("run")).select("doc_id", "run.*")
     assert [n for n, _ in substrings.longer_runs(runs)] == [70, 140]
     assert widths[1:] == [8, 8]
+
+
+@pytest.mark.parametrize("partitions", [1, 64])
+def test_op1_pads_one_sequence_in_any_number_of_partitions(spark, partitions):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(partitions)
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    row = pieces.agg(F.sum("length").alias("tokens"), F.countDistinct("sequence_id").alias("sequences"), F.sum(F.octet_length("ids")).alias("bytes")).first()
+    assert row["sequences"] == -(-row["tokens"] // 4096) and row["bytes"] == 4 * row["tokens"]
+
+
+def test_op8_a_common_opening_makes_no_pairs(spark):
+    """A list of sets that share an opening and nothing else: no two entries meet in a block."""
+    texts = [(i, f"a b c d e f g own{i}") for i in range(600)] + [(1000 + i, f"a b c d e f g w{i} x{i} y{i} z{i}") for i in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = jaccard.similar_sets(docs.repartition(3))
+    sets = rows.filter("tokens IS NOT NULL").select("set_id", F.col("n_shingles").alias("n"), "tokens")
+    index = jaccard.postings(sets)
+    assert index.groupBy("token").count().agg(F.max("count")).first()[0] >= 600
+    small, large = jaccard._cells(index.select("token", F.struct("set_id", "n", "pos").alias("e")))
+    assert small.join(large.withColumnRenamed("e", "f"), ["token", "small", "large"]).isEmpty()
+    assert jaccard.near_duplicates(docs).filter("component_id != doc_id").isEmpty()
+
+
+def test_op8_blocks_keep_every_pair_with_room(spark):
+    rnd = random.Random(4)
+    entries = [(t, (i, n, rnd.randrange(max(1, n // 4)))) for i in range(200) for n in [rnd.choice([1, 2, 5, 12, 13, 40, 45, 50, 200, 230, 5000])] for t in rnd.sample(range(4), 2)]
+    index = spark.createDataFrame(entries, "token long, e struct<set_id: long, n: long, pos: long>")
+    small, large = jaccard._cells(index)
+    met = small.join(large.withColumnRenamed("e", "f"), ["token", "small", "large"]).select("token", "e.*", F.col("f.set_id").alias("other"), F.col("f.n").alias("m"))
+    met = Counter((r["token"], r["set_id"], r["other"]) for r in met.filter("n <= m AND set_id != other").collect())
+    for t, (i, n, p) in entries:
+        for u, (j, m, q) in entries:
+            if t == u and i != j and n <= m and min(n - p, m - q) >= -(-75 * (n + m) // 175):
+                assert met[t, i, j] == 1
+
+
+def test_repeats_adds_up_the_same_in_slices(monkeypatch):
+    rng = np.random.default_rng(3)
+    keys = [np.unique(rng.integers(0, 900, 400)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for _ in range(5)]
+    counts = [rng.integers(1, 4, len(k)).astype(np.uint8) for k in keys]
+    total = Counter()
+    for k, c in zip(keys, counts):
+        total.update(dict(zip(k.tolist(), c.tolist())))
+    packed = pa.chunked_array([pa.array([k.view(np.uint8).reshape(-1, 8)[:, :7].tobytes() for k in keys], pa.binary())])
+    few = pa.chunked_array([pa.array([c.tobytes() for c in counts], pa.binary())])
+    for size in (1 << 18, 8):
+        monkeypatch.setattr(repeats, "SLICE", size)
+        found = repeats._classes(packed, few, 7)
+        assert [list(x) for x in found] == [[0 if total[k] < 2 else total[k].bit_length() for k in key.tolist()] for key in keys]
+
+
+def test_op8_bits_rule_out_no_link(spark):
+    """Mutated copies around the threshold: groups equal those of all pairs, and few pairs are compared in vain."""
+    rnd = random.Random(12)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(160):
+        words = list(base)
+        for k in rnd.sample(range(150), rnd.randrange(8)):
+            words[k] = f"x{i}_{k}"
+        texts.append(" ".join(words))
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    group = list(range(len(texts)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                a, b = group[i], group[j]
+                group = [min(a, b) if g in (a, b) else g for g in group]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == group
+    assert 1 < len(set(group)) < len(texts)
+    kept = jaccard.similar_sets(docs).filter("tokens IS NOT NULL").dropDuplicates(["set_id"])
+    kept = kept.select("set_id", F.col("n_shingles").alias("n"), "tokens")
+    rows = jaccard.postings(kept).dropDuplicates(["set_id"])
+    x, y = (rows.select(F.struct(*rows.columns).alias(c)) for c in "xy")
+    near = x.join(y, F.col("x.set_id") < F.col("y.set_id")).filter(jaccard._differ_little("x", "y"))
+    pairs = near.select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"))
+    found = jaccard.overlaps(pairs, kept).agg(F.count("*").alias("n"), F.count_if("linked").alias("linked")).first()
+    distinct = list(set(map(frozenset, sets)))
+    assert found["linked"] == sum(100 * len(a & b) >= 75 * len(a | b) for i, a in enumerate(distinct) for b in distinct[:i])
+    assert found["n"] < 2 * found["linked"]
