@@ -1,4 +1,5 @@
-"""Parsed sentences as tables: one row per phrase, keyed by (sent_id, bnst_id).
+"""Parsed sentences as tables: one row per phrase, keyed by (sent_id, bnst_id),
+or one row per sentence with its phrases in an array.
 
 A sentence is a natural, small unit; nothing here gathers more than one.
 """
@@ -21,6 +22,17 @@ PHRASE_SCHEMA = """
 """
 
 
+def gathered(phrases: DataFrame) -> DataFrame:
+    """One row per sentence: sent_id, phrases in the order of their numbers.
+
+    For a parse that is stored phrase by phrase: one exchange by ``sent_id``.
+    """
+    fields = [c for c in phrases.columns if c != "sent_id"]
+    # The fields hold maps, which have no order of their own.
+    by_number = lambda a, b: a["bnst_id"] - b["bnst_id"]
+    return phrases.groupBy("sent_id").agg(F.array_sort(F.collect_list(F.struct(*fields)), by_number).alias("phrases"))
+
+
 def slots_long(frames: DataFrame) -> DataFrame:
     """frames(sent_id, frame) to one row per slot: sent_id, ord, case, flag, head, tag_id."""
     return frames.select(

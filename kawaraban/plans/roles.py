@@ -1,159 +1,104 @@
 """Who did what to what, where: roles of already parsed sentences.
 
-One exchange by ``sent_id`` serves the three window passes and the final
-aggregation; there is no join.
+A sentence is one row that holds its phrases, so its roles are expressions over
+that row: no exchange, no window, no join.  A parse stored phrase by phrase is
+gathered first, by its only exchange.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from kawaraban.functions import frames as C
-from kawaraban.operators.phrases import frame_of
-from kawaraban.operators.rows import has_feature
+from kawaraban.operators.phrases import gathered
 
 ROLE_COLUMNS = ("ga", "wo", "ni", "verb", "loc")
+_CASES = {"ga": C.GA, "wo": C.WO, "ni": C.NI}
+
+
+def _feature(features: Column, name: str) -> Column:
+    return F.try_element_at(features, F.lit(name))
+
+
+def _last(phrases: Column, test: Callable[[Column], Column]) -> Column:
+    return F.try_element_at(F.filter(phrases, test), F.lit(-1))
 
 
-def _prepended(pieces: Column, target: Column) -> Column:
+def _before(pieces: Column, target: Column) -> Column:
     """Pieces, last one first, before the target text."""
-    return F.concat(F.array_join(F.transform(F.reverse(pieces), lambda p: p["text"]), ""), target)
+    return F.concat(F.array_join(F.reverse(pieces), ""), target)
 
 
-def _piece(at: Column, step: int, who: Column, text: Column) -> Column:
-    return F.struct(at.alias("at"), F.lit(step).alias("step"), who.alias("who"), text.alias("text"))
+def _argument(phrase: Column) -> Column:
+    """What a verbal phrase was done to or in, with its particle; '' for other phrases."""
+    structure = _feature(F.try_element_at(phrase["tags"], F.lit(-1))["features"], C.ARGUMENT_FEATURE)
+    argument = F.coalesce(
+        F.concat(C.pred_arg(structure, C.NI), F.lit("に")),
+        F.concat(C.pred_arg(structure, C.WO), F.lit("を")),
+    )
+    return F.coalesce(F.when(phrase["fstring"].contains(C.VERBAL_MARK), argument), F.lit(""))
 
 
 def extract_roles(phrases: DataFrame) -> DataFrame:
-    """roles(sent_id, ga, wo, ni, verb, loc); '-' where a role is empty.
+    """roles(sent_id, ga, wo, ni, verb, loc) of a parse with one row per phrase."""
+    return roles_of_sentences(gathered(phrases))
 
-    The root phrase's case frame names the heads.  Each head is widened by the
-    phrases that depend on it; a sentence without a frame has no roles at all.
-    """
-    sentence = Window.partitionBy("sent_id")
-    bnst, parent, midasi = F.col("bnst_id"), F.col("parent_id"), F.col("midasi")
-
-    # 1. The root's frame, parsed once on the root row, seen by every phrase of the sentence.
-    frame = frame_of()
-    slots = C.parse_slots(frame)
-    root = F.struct(
-        bnst.alias("at"),
-        frame.isNotNull().alias("parsed"),
-        C.predicate_word(frame).alias("predicate"),
-        C.head_word(F.col("head_repname")).alias("verb"),
-        *[
-            F.struct(C.slot(slots, case)["head"].alias("head"), C.slot(slots, case)["tag_id"].alias("tag_id")).alias(role)
-            for role, case in (("ga", C.GA), ("wo", C.WO), ("ni", C.NI))
-        ],
-    )
-    p = phrases.withColumn("root", F.max(F.when(parent == -1, root)).over(sentence))
 
-    # 2. The phrase each head stands in: the last one with a tag of that number and text.
-    def stands_in(role: str) -> Column:
-        head = F.col(f"root.{role}.head")
-        tag_id = F.col(f"root.{role}.tag_id")
-        hit = F.exists("tags", lambda t: (t["tag_id"] == tag_id) & t["midasi"].contains(head))
-        return F.max(F.when(hit & (head != C.EMPTY), F.struct("bnst_id", "parent_id"))).over(sentence)
-
-    p = p.select("*", *[stands_in(r).alias(f"{r}_at") for r in ("ga", "wo", "ni")])
-
-    # 3. A street-block child of the NI phrase also brings its own first child.
-    counter = F.try_element_at("features", F.lit(C.COUNTER_FEATURE))
-    ni_child = parent == F.col("ni_at.bnst_id")
-    p = p.withColumn(
-        "blocks",
-        F.collect_set(F.when(ni_child & (counter == C.BLOCK_COUNTER), bnst)).over(sentence),
-    )
+def roles_of_sentences(sentences: DataFrame) -> DataFrame:
+    """roles(sent_id, ga, wo, ni, verb, loc) of (sent_id, phrases); '-' where a role is empty.
 
-    # 4. One row per sentence.
-    surface = C.repname_surface(F.col("repname"))
-    proper = C.has_proper_noun(F.col("morphs"))
-    structure = F.try_element_at(
-        F.try_element_at("tags", F.lit(-1))["features"], F.lit(C.ARGUMENT_FEATURE)
-    )
-    argument = F.when(
-        has_feature(C.VERBAL_MARK),
-        F.coalesce(
-            F.concat(C.pred_arg(structure, C.NI), F.lit("に")),
-            F.concat(C.pred_arg(structure, C.WO), F.lit("を")),
-        ),
-    )
+    Phrases stand in the order of their numbers.  The root phrase's case frame
+    names the heads.  Each head is widened by the phrases that depend on it; a
+    sentence without a frame has no roles at all.
+    """
+    phrases = F.col("phrases")
 
-    def at(role: str) -> Column:
-        return bnst == F.col(f"{role}_at.bnst_id")
-
-    def own(role: str, value: Column) -> Column:
-        return F.max(F.when(at(role), value))
-
-    wo_child = parent == F.col("wo_at.bnst_id")
-    grouped = p.groupBy("sent_id").agg(
-        F.any_value("root").alias("root"),
-        own("ga", surface).alias("ga_text"),
-        own("ga", proper).alias("ga_proper"),
-        F.array_sort(
-            F.collect_list(
-                F.when(
-                    parent == F.col("ga_at.bnst_id"),
-                    F.struct(bnst.alias("at"), proper.alias("proper"), midasi.alias("text")),
-                )
-            )
-        ).alias("ga_kids"),
-        own("wo", surface).alias("wo_text"),
-        F.max(
-            F.when(
-                (bnst == F.col("wo_at.parent_id")) & ~midasi.contains(F.col("root.predicate")),
-                C.repname_surface(F.col("normalized_repname")),
-            )
-        ).alias("wo_parent"),
-        F.array_sort(
-            F.flatten(
-                F.collect_list(
-                    F.when(
-                        wo_child,
-                        F.array(_piece(bnst, 0, bnst, midasi), _piece(bnst, 1, bnst, F.coalesce(argument, F.lit("")))),
-                    )
-                )
-            )
-        ).alias("wo_kids"),
-        own("ni", surface).alias("ni_text"),
-        F.array_sort(
-            F.collect_list(
-                F.when(ni_child, _piece(bnst, 0, bnst, midasi)).when(
-                    F.array_contains("blocks", parent), _piece(parent, 1, bnst, midasi)
-                )
-            )
-        ).alias("ni_kids"),
-        F.array_join(
-            F.transform(
-                F.array_sort(
-                    F.collect_list(
-                        F.when(
-                            has_feature(C.PLACE_MARK),
-                            F.struct(bnst.alias("at"), surface.alias("text")),
-                        )
-                    )
-                ),
-                lambda x: x["text"],
-            ),
-            "",
-        ).alias("loc"),
-    )
+    # 1. The last phrase without a parent is the root; its first tag holds the frame.
+    s = sentences.select("sent_id", "phrases", _last(phrases, lambda p: p["parent_id"] == -1).alias("root"))
+    frame = _feature(F.get("root.tags", F.lit(0))["features"], C.FRAME_FEATURE)
+    s = s.select("sent_id", "phrases", C.head_word(F.col("root.head_repname")).alias("verb"), frame.alias("frame"))
+    s = s.withColumns({"slots": C.parse_slots(F.col("frame")), "predicate": C.predicate_word(F.col("frame"))})
+    s = s.withColumns({f"{role}_slot": C.slot(F.col("slots"), case) for role, case in _CASES.items()})
 
-    ga_kids = F.filter("ga_kids", lambda k: ~(F.col("ga_proper") & ~k["proper"]))
-    # Sorted by (child, step): only the first grandchild follows its child directly.
-    ni_kids = F.filter(
-        "ni_kids", lambda k, i: (k["step"] == 0) | (F.get(F.col("ni_kids"), i - 1)["step"] == 0)
+    # 2. The phrase each head stands in: the last one with a tag of that number and text.
+    def stands_in(role: str) -> Column:
+        head, tag_id = F.col(f"{role}_slot.head"), F.col(f"{role}_slot.tag_id")
+        hit = _last(phrases, lambda p: F.exists(p["tags"], lambda t: (t["tag_id"] == tag_id) & t["midasi"].contains(head)))
+        return F.when((head != C.EMPTY) & tag_id.isNotNull(), hit)
+
+    s = s.withColumns({role: stands_in(role) for role in _CASES})
+
+    # 3. What depends on each of them.
+    def children(phrase: Column) -> Column:
+        return F.filter(phrases, lambda p: p["parent_id"] == phrase["bnst_id"])
+
+    ga, wo, ni = F.col("ga"), F.col("wo"), F.col("ni")
+    s = s.withColumns({f"{role}_kids": F.when(F.col(role).isNotNull(), children(F.col(role))) for role in _CASES})
+    s = s.withColumn("ga_proper", C.has_proper_noun(ga["morphs"]))
+
+    def with_first_child(kid: Column) -> Column:
+        """A street block's own first child, before it."""
+        first = F.get(children(kid), F.lit(0))["midasi"]
+        block = _feature(kid["features"], C.COUNTER_FEATURE) == C.BLOCK_COUNTER
+        return F.concat(F.coalesce(F.when(block, first), F.lit("")), kid["midasi"])
+
+    ga_kids = F.filter("ga_kids", lambda k: ~F.col("ga_proper") | C.has_proper_noun(k["morphs"]))
+    wo_parent = _last(phrases, lambda p: (p["bnst_id"] == wo["parent_id"]) & ~p["midasi"].contains(F.col("predicate")))
+    wo_target = F.concat(
+        C.repname_surface(wo["repname"]), F.coalesce(C.repname_surface(wo_parent["normalized_repname"]), F.lit(""))
     )
-    wo_target = F.concat("wo_text", F.coalesce("wo_parent", F.lit("")))
+    places = F.filter(phrases, lambda p: p["fstring"].contains(C.PLACE_MARK))
     roles = {
-        "ga": _prepended(ga_kids, F.col("ga_text")),
-        "wo": _prepended(F.col("wo_kids"), wo_target),
-        "ni": _prepended(ni_kids, F.col("ni_text")),
-        "verb": F.col("root.verb"),
-        "loc": F.col("loc"),
+        "ga": _before(F.transform(ga_kids, lambda k: k["midasi"]), C.repname_surface(ga["repname"])),
+        "wo": _before(F.transform("wo_kids", lambda k: F.concat(_argument(k), k["midasi"])), wo_target),
+        "ni": _before(F.transform("ni_kids", with_first_child), C.repname_surface(ni["repname"])),
+        "verb": F.col("verb"),
+        "loc": F.array_join(F.transform(places, lambda p: C.repname_surface(p["repname"])), ""),
     }
-    parsed = F.coalesce(F.col("root.parsed"), F.lit(False))
-    return grouped.select(
+    parsed = F.col("frame").isNotNull()
+    return s.select(
         "sent_id",
         *[F.coalesce(F.when(parsed, c), F.lit(C.EMPTY)).alias(name) for name, c in roles.items()],
     )

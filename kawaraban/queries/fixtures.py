@@ -449,8 +449,8 @@ SQL_TURNS = """turns AS (
        unnest(range(1, len(parts) + 1)) AS t(no))"""
 
 
-def parsed(sentences: DataFrame) -> DataFrame:
-    """phrases of sentences(sent_id, sentence, flavour): a stand-in for the external parser.
+def parsed_sentences(sentences: DataFrame) -> DataFrame:
+    """sent_id, phrases of sentences(sent_id, sentence, flavour): a stand-in for the external parser.
 
     Every word is a phrase.  ``flavour`` varies which phrases the frame names.
     """
@@ -472,53 +472,62 @@ def parsed(sentences: DataFrame) -> DataFrame:
         F.coalesce(cat("C/", word(ni), "/", ni, "/0/1"), F.lit("U/-/-/-/-")),
     )
     s = s.withColumn("frame", F.when(n % 11 != 0, frame))
-    s = s.select("sent_id", "flavour", "n", "w", "frame", F.posexplode("w").alias("i", "word"))
-
-    i, token = F.col("i"), F.col("word")
-    root = i == n - 1
-    verbal = i % 5 == 2
-    parent = F.when(root, -1).otherwise(F.least(i + 1 + i % 2, n - 1))
-    repname = F.when(i % 3 == 2, cat(token, "/x+", token, "/x")).otherwise(cat(token, "/x"))
-    case = F.when(flavour == 1, C.WO).otherwise(C.NI)
-    structure = cat(token, "/x:動:", case, "/C/", word(i - 1), "/0")
-    entries = F.array_compact(
-        F.array(
-            F.when(root & F.col("frame").isNotNull(), F.struct(F.lit(C.FRAME_FEATURE).alias("key"), F.col("frame").alias("value"))),
-            F.when(verbal, F.struct(F.lit(C.ARGUMENT_FEATURE).alias("key"), structure.alias("value"))),
-        )
-    )
-    return s.select(
-        "sent_id",
-        i.alias("bnst_id"),
-        parent.cast("int").alias("parent_id"),
-        token.alias("midasi"),
-        repname.alias("repname"),
-        repname.alias("normalized_repname"),
-        cat(token, "/x").alias("head_repname"),
-        cat(
-            F.when(i % 4 == 1, f"<{C.PLACE_MARK}>").otherwise(""),
-            F.when(verbal, C.VERBAL_MARK).otherwise(""),
-        ).alias("fstring"),
-        F.when(i % 7 == 3, F.create_map(F.lit(C.COUNTER_FEATURE), F.lit(C.BLOCK_COUNTER)))
-        .otherwise(F.expr("map()").cast("map<string,string>"))
-        .alias("features"),
-        F.array(
-            F.struct(
-                i.alias("tag_id"),
-                token.alias("midasi"),
-                repname.alias("normalized_repname"),
-                F.map_from_entries(entries).alias("features"),
-            )
-        ).alias("tags"),
-        F.array(
-            F.struct(
-                token.alias("surface"),
-                F.lit(C.NOUN).alias("pos"),
-                F.when(i % 3 == 0, C.PROPER).otherwise("普通名詞").alias("pos1"),
-                F.when(i % 6 == 0, C.REGION).otherwise("*").alias("pos2"),
+
+    def phrase(token: Column, i: Column) -> Column:
+        root = i == n - 1
+        verbal = i % 5 == 2
+        parent = F.when(root, -1).otherwise(F.least(i + 1 + i % 2, n - 1))
+        repname = F.when(i % 3 == 2, cat(token, "/x+", token, "/x")).otherwise(cat(token, "/x"))
+        case = F.when(flavour == 1, C.WO).otherwise(C.NI)
+        structure = cat(token, "/x:動:", case, "/C/", word(i - 1), "/0")
+        entries = F.array_compact(
+            F.array(
+                F.when(root & F.col("frame").isNotNull(), F.struct(F.lit(C.FRAME_FEATURE).alias("key"), F.col("frame").alias("value"))),
+                F.when(verbal, F.struct(F.lit(C.ARGUMENT_FEATURE).alias("key"), structure.alias("value"))),
             )
-        ).alias("morphs"),
-    )
+        )
+        return F.struct(
+            i.alias("bnst_id"),
+            parent.cast("int").alias("parent_id"),
+            token.alias("midasi"),
+            repname.alias("repname"),
+            repname.alias("normalized_repname"),
+            cat(token, "/x").alias("head_repname"),
+            cat(
+                F.when(i % 4 == 1, f"<{C.PLACE_MARK}>").otherwise(""),
+                F.when(verbal, C.VERBAL_MARK).otherwise(""),
+            ).alias("fstring"),
+            F.when(i % 7 == 3, F.create_map(F.lit(C.COUNTER_FEATURE), F.lit(C.BLOCK_COUNTER)))
+            .otherwise(F.expr("map()").cast("map<string,string>"))
+            .alias("features"),
+            F.array(
+                F.struct(
+                    i.alias("tag_id"),
+                    token.alias("midasi"),
+                    repname.alias("normalized_repname"),
+                    F.map_from_entries(entries).alias("features"),
+                )
+            ).alias("tags"),
+            F.array(
+                F.struct(
+                    token.alias("surface"),
+                    F.lit(C.NOUN).alias("pos"),
+                    F.when(i % 3 == 0, C.PROPER).otherwise("普通名詞").alias("pos1"),
+                    F.when(i % 6 == 0, C.REGION).otherwise("*").alias("pos2"),
+                )
+            ).alias("morphs"),
+        )
+
+    return s.select("sent_id", F.transform("w", phrase).alias("phrases"))
+
+
+def parsed(sentences: DataFrame) -> DataFrame:
+    """The same as one row per phrase."""
+    return parsed_sentences(sentences).select("sent_id", F.inline("phrases"))
+
+
+def d_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsed_sentences(turns(spark, sf_dir))
 
 
 def d_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:

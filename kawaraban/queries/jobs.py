@@ -10,7 +10,7 @@ from kawaraban.functions import text as T
 from kawaraban.operators.extract import property_items
 from kawaraban.operators.rows import order_by_doc
 from kawaraban.plans import english, refresh, tables as J
-from kawaraban.plans.roles import extract_roles
+from kawaraban.plans.roles import roles_of_sentences
 from kawaraban.queries import fixtures as X
 from kawaraban.queries.base import q, query, with_
 from kawaraban.queries.markup import _PAGES
@@ -118,7 +118,7 @@ def _stored_third(listing: DataFrame) -> DataFrame:
 def _roles_of(sentences: DataFrame) -> DataFrame:
     """Roles of sentences parsed by the stand-in for the external parser."""
     flavour = (F.length("sentence") % 3).cast("int")
-    return extract_roles(X.parsed(sentences.withColumn("flavour", flavour)))
+    return roles_of_sentences(X.parsed_sentences(sentences.withColumn("flavour", flavour)))
 
 
 _LISTED = f"""listed AS (

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from kawaraban.functions import frames as C
 from kawaraban.operators import phrases as PH
 from kawaraban.operators.joins import with_roles
-from kawaraban.plans.roles import extract_roles
+from kawaraban.plans.roles import extract_roles, roles_of_sentences
 from kawaraban.queries import fixtures as X
 from kawaraban.queries.base import query, table, with_
 
@@ -146,7 +146,13 @@ def children_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_([*_PHRASES, X.SQL_ROLES], "SELECT sent_id, ga, wo, ni, verb, loc FROM roles"))
 def roles_tuple(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract_roles(X.d_phrases(spark, sf_dir))
+    return roles_of_sentences(X.d_sentences(spark, sf_dir))
+
+
+@query(with_([*_PHRASES, X.SQL_ROLES], "SELECT sent_id, ga, wo, ni, verb, loc FROM roles"))
+def roles_of_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of a parse with one row per phrase, dealt out in any order."""
+    return extract_roles(X.d_phrases(spark, sf_dir).repartition("bnst_id"))
 
 
 @query(
@@ -162,5 +168,5 @@ def join_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     articles = table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", X.cat(F.col("conv_id"), "-", turn).alias("sent_id")
     )
-    roles = extract_roles(X.d_phrases(spark, sf_dir)).select("sent_id", "ga", "verb")
+    roles = roles_of_sentences(X.d_sentences(spark, sf_dir)).select("sent_id", "ga", "verb")
     return with_roles(articles, roles).drop("sent_id")

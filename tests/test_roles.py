@@ -1,10 +1,8 @@
 """Role rules on hand-made trees."""
 
-from pyspark.sql import functions as F
-
 from sorted_rows import rows
 from kawaraban.operators import phrases as PH
-from kawaraban.plans.roles import extract_roles
+from kawaraban.plans.roles import extract_roles, roles_of_sentences
 
 
 def phrase(sent, i, parent, word, repname=None, *, norm=None, head=None, fstring="", counter=None,
@@ -140,8 +138,17 @@ def test_roles_match_the_table_operators(spark):
     assert rows(PH.parent_of(targets, df).na.fill("none"), "midasi", "parent") == [("丙", "none"), ("乙", "丙"), ("甲", "丙")]
 
 
-def test_one_exchange(spark):
+def test_roles_are_expressions_over_a_row(spark):
     df = spark.createDataFrame([phrase("s", 0, -1, "x")], PH.PHRASE_SCHEMA)
     plan = extract_roles(df)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "Join" not in plan
-    assert F is not None
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "Window" not in plan
+    stored = spark.createDataFrame(PH.gathered(df).collect(), PH.gathered(df).schema)
+    plan = roles_of_sentences(stored)._jdf.queryExecution().executedPlan().toString()
+    assert not any(node in plan for node in ("Exchange", "Aggregate", "Window", "Join", "Sort"))
+
+
+def test_phrases_in_any_order(spark):
+    tree = [phrase("s", 0, 12, "甲", fstring="<地名>"), *[phrase("s", i, 0, f"k{i}") for i in range(1, 12)],
+            phrase("s", 12, -1, "丙", frame=frame("C/甲/0", word="丙"))]
+    assert roles(spark, *tree) == roles(spark, *reversed(tree))
+    assert roles(spark, *reversed(tree))["s"][0] == "".join(f"k{i}" for i in range(11, 0, -1)) + "甲"
