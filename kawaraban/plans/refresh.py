@@ -85,9 +85,15 @@ def refresh_property_table(
     (and rows whose date names no day).  A run that failed is run again: what it
     has stored is seen then.  Returns False where there is nothing new.
     """
-    stored = read_articles(spark, path, PROPERTY_SCHEMA)
     listing, rejected = property_tables(pages, year, today)
     save_rejected(rejected, f"{path}-rejected", today)
+    return add_listed(listing, path, roles_of, rule)
+
+
+def add_listed(listing: DataFrame, path: str, roles_of: RolesOf, rule: str = "pair") -> bool:
+    """Add the listing rows that the stored table lacks, with roles.  Returns False where there are none."""
+    spark = listing.sparkSession
+    stored = read_articles(spark, path, PROPERTY_SCHEMA)
     listing = staged(first_of_each(listing), "listed")
     if stored is None:
         stored = spark.createDataFrame([], PROPERTY_SCHEMA)

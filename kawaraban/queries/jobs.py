@@ -18,7 +18,8 @@ from kawaraban.queries.strings import _EN, _SQL_HEADING_DATE, _STRIP, _wide_sql
 from kawaraban.session import scratch_path, staged
 from kawaraban.sources import profiles as P
 from kawaraban.sources.pages import archive_urls
-from kawaraban.sources.tables import read_articles, read_daily
+from kawaraban.sources.tables import append_articles, read_articles, read_daily, with_days
+from kawaraban.streaming.landing import follow_property_rows, take_in_listings
 
 _TODAY = dt.date(2019, 3, 8)
 
@@ -278,3 +279,93 @@ def reanalyse(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("url").alias("Link"),
     )
     return J.reanalysed(stored, _roles_of)
+
+
+# --- the property table by streams ---------------------------------------------------------------
+@query(
+    with_(
+        [
+            X.D_ARTICLES,
+            _PAGES,
+            _LISTED,
+            f"""first AS (
+  SELECT l.* FROM listed l JOIN linked USING (doc_id) WHERE date_raw IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY date_raw, l.title
+    ORDER BY g % 2, {q(X.PROPERTY_LIST)} || g, CASE WHEN pickup THEN 0 ELSE 1 END, doc_id) = 1)""",
+            f"""analysed AS (
+  SELECT *, regexp_replace(split_part(summary, '。', 1), {q(T.WIDE_PAREN)}, '', 'g') AS sentence FROM first)""",
+            _SENTENCES,
+            *X.sql_phrases("sentences"),
+            X.SQL_ROLES,
+        ],
+        """SELECT date_raw AS "Date", title AS "Title", summary AS "Summary", url AS "Link",
+             coalesce(ga, '-') AS "ガ", coalesce(wo, '-') AS "ヲ", coalesce(ni, '-') AS "ニ",
+             coalesce(verb, '-') AS "Do", coalesce(loc, '-') AS "Loc"
+           FROM analysed LEFT JOIN roles ON roles.sent_id = md5(sentence)""",
+    )
+)
+def streamed_property(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages that land in two parts, the second with the first one's pages again; the streams end in between."""
+    pages = X.stored_site(spark, sf_dir, X.d_listing)
+    landing, listed, path, work = (scratch_path(spark, n) for n in ("landing", "rows", "streamed", "streams"))
+    for part in (pages.where("page_id % 2 = 0"), pages):
+        part.select("page_id", "url", "html").write.mode("append").parquet(landing)
+        take_in_listings(spark, landing, listed, f"{path}-rejected", f"{work}/pages", lambda: _TODAY, once=True).awaitTermination()
+        follow_property_rows(spark, listed, path, f"{work}/rows", _roles_of, once=True).awaitTermination()
+    return read_articles(spark, path, refresh.PROPERTY_SCHEMA).select(*refresh.PROPERTY_STORED)
+
+
+# --- other halves of the jobs -----------------------------------------------------------------------
+_MONTH_DAY = "'2019年' || lpad((1 + doc_id % 12)::VARCHAR, 2, '0') || '月07日'"
+
+
+@query(
+    with_(
+        [
+            X.D_ARTICLES,
+            f"""analysed AS (
+  SELECT *, regexp_replace({_wide_sql("split_part(body, '。', 1)")}, {q(T.WIDE_PAREN)}, '', 'g') AS sentence
+  FROM (SELECT {_MONTH_DAY} AS date_raw, title, url, replace(body, '.', '。') AS body FROM d_articles))""",
+            _SENTENCES,
+            *X.sql_phrases("sentences"),
+            X.SQL_ROLES,
+        ],
+        """SELECT date_raw AS "Date", title AS "Title", body AS "Summary", url AS "Link",
+             coalesce(ga, '-') AS "ガ", coalesce(wo, '-') AS "ヲ", coalesce(ni, '-') AS "ニ",
+             coalesce(verb, '-') AS "Do", coalesce(loc, '-') AS "Loc"
+           FROM analysed LEFT JOIN roles ON roles.sent_id = md5(sentence)""",
+    )
+)
+def redo_property(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored property table whose roles are made anew in place."""
+    day = X.cat("2019年", F.lpad((1 + F.col("doc_id") % 12).cast("string"), 2, "0"), "月07日")
+    stored = X.d_articles(spark, sf_dir).select(
+        day.alias("Date"),
+        F.col("title").alias("Title"),
+        F.replace(F.col("body"), F.lit("."), F.lit("。")).alias("Summary"),
+        F.col("url").alias("Link"),
+        *[F.lit("old").alias(c) for c in J.PROPERTY_ROLE_COLUMNS],
+    )
+    path = scratch_path(spark, "redone")
+    append_articles(with_days(stored), path, refresh.PROPERTY_STORED, by="day")
+    refresh.redo_property_table(spark, path, _roles_of)
+    return read_articles(spark, path, refresh.PROPERTY_SCHEMA).select(*refresh.PROPERTY_STORED)
+
+
+def _details_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article pages, of which every seventeenth was never stored."""
+    return X.d_detail(spark, sf_dir).where("page_id % 17 <> 0")
+
+
+@query(
+    with_(
+        [X.D_ARTICLES],
+        f"""SELECT NULL::VARCHAR AS "Date", {X.sql_escaped("title")} AS "Title", {X.sql_escaped("summary")} AS "Snippet",
+              {q(P.TECH_BASE)} || url AS link, NULL::VARCHAR AS honbun, 'Date,honbun' AS reason
+            FROM d_articles WHERE doc_id % 19 <> 0 AND doc_id % 17 = 0""",
+    )
+)
+def rejected_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed items of the tech archive whose article page is missing, with the reason."""
+    pages = X.stored_site(spark, sf_dir, X.tech_listing, _details_with_gaps)
+    return J.archive_tables(pages, _archive(spark, sf_dir, X.TECH_LIST + "%d"))[1]
