@@ -1,6 +1,7 @@
 """Whole answers by the definition, where a first holder, a sample or a name may be missing."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -91,6 +92,43 @@ def test_op2_learns_a_language_of_few_long_texts(spark, monkeypatch):
     assert {r["doc_id"]: r["lang_pred"] for r in langid.predict(asked, trees).collect()} == {1: "few", 2: "many", 3: "one"}
 
 
+@pytest.mark.parametrize("block", [3, 7, 40])
+def test_op2_scores_long_texts_by_blocks(block, monkeypatch):
+    """Runs over a block's edge count once, and a text's code length doesn't depend on the texts before it."""
+    texts = ["", "the quick brown fox " * 5, "q", "", "été à la plage " * 9, "zz", ""]
+    counts = Counter(("x", n, code) for *_, runs in langid.grams(pa.array(texts)) for n, (codes, _) in enumerate(runs, 1) for code in codes.tolist())
+    counts.update({("y", 1, 113): 2, ("y", 2, 113 << 8 | 117): 1})
+    table = pa.table({"lang": [k[0] for k in counts], "n": pa.array([k[1] for k in counts], pa.int32()), "code": [k[2] for k in counts], "count": list(counts.values())})
+    scorer = langid.Scorer(langid.Trees(table))
+    whole = scorer.lengths(pa.array(texts))
+    monkeypatch.setattr(langid, "BLOCK", block)
+    assert counts - Counter({("y", 1, 113): 2, ("y", 2, 113 << 8 | 117): 1}) == Counter(
+        ("x", n, code) for *_, runs in langid.grams(pa.array(texts)) for n, (codes, _) in enumerate(runs, 1) for code in codes.tolist()
+    )
+    got = scorer.lengths(pa.array(texts))
+    np.testing.assert_allclose(got, whole)
+    for i, text in enumerate(texts):
+        assert (scorer.lengths(pa.array([text]))[0] == got[i]).all()
+
+
+def test_op2_takes_little_memory_for_a_long_text(monkeypatch):
+    monkeypatch.setattr(langid, "BLOCK", 1 << 16)
+    table = pa.table({"lang": ["x"], "n": pa.array([1], pa.int32()), "code": [97], "count": [5]})
+    scorer = langid.Scorer(langid.Trees(table))
+    text = pa.array(["the quick brown fox " * 400_000])
+    tracemalloc.start()
+    scorer.lengths(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6 * text.nbytes
+
+
+def test_op2_learns_from_texts_shorter_than_a_context():
+    trees = langid.Trees(pa.table({"lang": ["x", "y"], "n": pa.array([1, 1], pa.int32()), "code": [97, 98], "count": [5, 5]}))
+    got = langid.Scorer(trees).lengths(pa.array(["aaaa", "bbbb"]))
+    assert got[0].argmin() == 0 and got[1].argmin() == 1
+
+
 def test_op5_items_without_id(spark, tables, monkeypatch):
     passage = [" ".join(f"q{k}_{j}" for j in range(15)) for k in range(4)]
     items = [(None, passage[0]), (None, passage[1]), (3, passage[2]), (None, passage[2]), (None, None), (None, "!")]
