@@ -17,7 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from kawaraban.plans.refresh import add_listed, refresh_property_table, save_rejected
 from kawaraban.plans.tables import RolesOf, property_tables
-from kawaraban.sources.tables import append_articles
+from kawaraban.sources.tables import append_articles, read_articles
 
 PAGE_SCHEMA = "page_id bigint, url string, html string"
 ROW_SCHEMA = "page_id string, sec int, kind int, pos int, date_raw string, title string, summary string, url string"
@@ -97,12 +97,14 @@ def follow_property_rows(
     row is that of its batch, so no row is ever too late: what the state no
     longer holds, or what a new checkpoint never held, is checked against the
     stored days that the rows name.  State grows with the distinct rows of
-    ``keep``, by executor.
+    ``keep``, by executor.  Where ``listed`` does not exist yet, it is made.
     """
 
     def add(batch: DataFrame, _: int) -> None:
         add_listed(batch.drop("taken"), path, roles_of)
 
+    if read_articles(spark, listed, ROW_SCHEMA) is None:
+        append_articles(spark.createDataFrame([], ROW_SCHEMA), listed)
     rows = spark.readStream.schema(ROW_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(listed)
     timed = rows.withColumn("taken", F.current_timestamp()).withWatermark("taken", keep)
     fresh = timed.dropDuplicatesWithinWatermark([f.name for f in rows.schema])

@@ -10,7 +10,7 @@ from kawaraban.plans.roles import extract_roles
 from kawaraban.queries import fixtures as X
 from kawaraban.session import scratch_path, shared_dir, staged
 from kawaraban.sources import pages as S, tables as T
-from kawaraban.streaming.landing import follow_property_listings, follow_property_rows, take_in_listings
+from kawaraban.streaming.landing import ROW_SCHEMA, follow_property_listings, follow_property_rows, take_in_listings
 
 SF = "/root/testdata/sf0.001"
 
@@ -281,3 +281,13 @@ def test_rows_seen_lately_are_dropped_by_state(spark, tmp_path, monkeypatch):
     # Without its state the query goes by the stored table.
     assert take_in(late.limit(0), "anew") > 0
     assert rows(T.read_articles(spark, path), "Date", "Title") == after
+
+
+def test_rows_may_be_followed_before_any_came(spark, tmp_path):
+    listed, path = str(tmp_path / "listed"), str(tmp_path / "table")
+    follow_property_rows(spark, listed, path, str(tmp_path / "rows"), _roles, once=True).awaitTermination()
+    assert T.read_articles(spark, path) is None
+    row = spark.createDataFrame([("u", 0, 0, 0, "2019年03月01日", "t", "s。", "v")], ROW_SCHEMA)
+    T.append_articles(row, listed)
+    follow_property_rows(spark, listed, path, str(tmp_path / "rows"), _roles, once=True).awaitTermination()
+    assert rows(T.read_articles(spark, path), "Date", "Title", "Link") == [("2019年03月01日", "t", "v")]
