@@ -449,18 +449,15 @@ SQL_TURNS = """turns AS (
        unnest(range(1, len(parts) + 1)) AS t(no))"""
 
 
-def parsed_sentences(sentences: DataFrame) -> DataFrame:
-    """sent_id, phrases of sentences(sent_id, sentence, flavour): a stand-in for the external parser.
-
-    Every word is a phrase.  ``flavour`` varies which phrases the frame names.
-    """
+def _worded(sentences: DataFrame) -> DataFrame:
+    """sent_id, flavour, w (words), n (their number), frame of sentences that have a word."""
     s = sentences.withColumn("w", F.regexp_extract_all("sentence", F.lit(WORD), F.lit(0)))
     s = s.withColumn("n", F.size("w")).where("n > 0")
-    n, w, flavour = F.col("n"), F.col("w"), F.col("flavour")
+    n, flavour = F.col("n"), F.col("flavour")
     long = (n > 8) & (flavour > 0)
 
     def word(i: Column) -> Column:
-        return F.get(w, i)
+        return F.get("w", i)
 
     ga = F.when(long, F.when(flavour == 1, 3).otherwise(5)).otherwise(0)
     wo = F.when(long, F.when(flavour == 1, 5).otherwise(3)).otherwise(F.least(F.lit(1), n - 1))
@@ -471,59 +468,72 @@ def parsed_sentences(sentences: DataFrame) -> DataFrame:
         "ガ/N/", word(ga), "/", ga, "/0/1;ヲ/C/", word(wo), "/", wo, "/0/1;ニ/",
         F.coalesce(cat("C/", word(ni), "/", ni, "/0/1"), F.lit("U/-/-/-/-")),
     )
-    s = s.withColumn("frame", F.when(n % 11 != 0, frame))
-
-    def phrase(token: Column, i: Column) -> Column:
-        root = i == n - 1
-        verbal = i % 5 == 2
-        parent = F.when(root, -1).otherwise(F.least(i + 1 + i % 2, n - 1))
-        repname = F.when(i % 3 == 2, cat(token, "/x+", token, "/x")).otherwise(cat(token, "/x"))
-        case = F.when(flavour == 1, C.WO).otherwise(C.NI)
-        structure = cat(token, "/x:動:", case, "/C/", word(i - 1), "/0")
-        entries = F.array_compact(
-            F.array(
-                F.when(root & F.col("frame").isNotNull(), F.struct(F.lit(C.FRAME_FEATURE).alias("key"), F.col("frame").alias("value"))),
-                F.when(verbal, F.struct(F.lit(C.ARGUMENT_FEATURE).alias("key"), structure.alias("value"))),
-            )
-        )
-        return F.struct(
-            i.alias("bnst_id"),
-            parent.cast("int").alias("parent_id"),
-            token.alias("midasi"),
-            repname.alias("repname"),
-            repname.alias("normalized_repname"),
-            cat(token, "/x").alias("head_repname"),
-            cat(
-                F.when(i % 4 == 1, f"<{C.PLACE_MARK}>").otherwise(""),
-                F.when(verbal, C.VERBAL_MARK).otherwise(""),
-            ).alias("fstring"),
-            F.when(i % 7 == 3, F.create_map(F.lit(C.COUNTER_FEATURE), F.lit(C.BLOCK_COUNTER)))
-            .otherwise(F.expr("map()").cast("map<string,string>"))
-            .alias("features"),
-            F.array(
-                F.struct(
-                    i.alias("tag_id"),
-                    token.alias("midasi"),
-                    repname.alias("normalized_repname"),
-                    F.map_from_entries(entries).alias("features"),
-                )
-            ).alias("tags"),
-            F.array(
-                F.struct(
-                    token.alias("surface"),
-                    F.lit(C.NOUN).alias("pos"),
-                    F.when(i % 3 == 0, C.PROPER).otherwise("普通名詞").alias("pos1"),
-                    F.when(i % 6 == 0, C.REGION).otherwise("*").alias("pos2"),
-                )
-            ).alias("morphs"),
+    return s.select("sent_id", "flavour", "w", "n", F.when(n % 11 != 0, frame).alias("frame"))
+
+
+def _phrase(token: Column, i: Column) -> list[Column]:
+    """The fields of word ``i`` of a worded sentence as a phrase."""
+    n, flavour = F.col("n"), F.col("flavour")
+    root = i == n - 1
+    verbal = i % 5 == 2
+    parent = F.when(root, -1).otherwise(F.least(i + 1 + i % 2, n - 1))
+    repname = F.when(i % 3 == 2, cat(token, "/x+", token, "/x")).otherwise(cat(token, "/x"))
+    case = F.when(flavour == 1, C.WO).otherwise(C.NI)
+    structure = cat(token, "/x:動:", case, "/C/", F.get("w", i - 1), "/0")
+    entries = F.array_compact(
+        F.array(
+            F.when(root & F.col("frame").isNotNull(), F.struct(F.lit(C.FRAME_FEATURE).alias("key"), F.col("frame").alias("value"))),
+            F.when(verbal, F.struct(F.lit(C.ARGUMENT_FEATURE).alias("key"), structure.alias("value"))),
         )
+    )
+    return [
+        i.alias("bnst_id"),
+        parent.cast("int").alias("parent_id"),
+        token.alias("midasi"),
+        repname.alias("repname"),
+        repname.alias("normalized_repname"),
+        cat(token, "/x").alias("head_repname"),
+        cat(
+            F.when(i % 4 == 1, f"<{C.PLACE_MARK}>").otherwise(""),
+            F.when(verbal, C.VERBAL_MARK).otherwise(""),
+        ).alias("fstring"),
+        F.when(i % 7 == 3, F.create_map(F.lit(C.COUNTER_FEATURE), F.lit(C.BLOCK_COUNTER)))
+        .otherwise(F.expr("map()").cast("map<string,string>"))
+        .alias("features"),
+        F.array(
+            F.struct(
+                i.alias("tag_id"),
+                token.alias("midasi"),
+                repname.alias("normalized_repname"),
+                F.map_from_entries(entries).alias("features"),
+            )
+        ).alias("tags"),
+        F.array(
+            F.struct(
+                token.alias("surface"),
+                F.lit(C.NOUN).alias("pos"),
+                F.when(i % 3 == 0, C.PROPER).otherwise("普通名詞").alias("pos1"),
+                F.when(i % 6 == 0, C.REGION).otherwise("*").alias("pos2"),
+            )
+        ).alias("morphs"),
+    ]
+
+
+def parsed_sentences(sentences: DataFrame) -> DataFrame:
+    """sent_id, phrases of sentences(sent_id, sentence, flavour): a stand-in for the external parser.
 
-    return s.select("sent_id", F.transform("w", phrase).alias("phrases"))
+    Every word is a phrase.  ``flavour`` varies which phrases the frame names.
+    """
+    return _worded(sentences).select("sent_id", F.transform("w", lambda token, i: F.struct(*_phrase(token, i))).alias("phrases"))
 
 
 def parsed(sentences: DataFrame) -> DataFrame:
-    """The same as one row per phrase."""
-    return parsed_sentences(sentences).select("sent_id", F.inline("phrases"))
+    """The same as one row per phrase.
+
+    Its fields are columns of the row, so Spark makes only those that are read.
+    """
+    words = _worded(sentences).select("*", F.posexplode("w").alias("_i", "_token"))
+    return words.select("sent_id", *_phrase(F.col("_token"), F.col("_i")))
 
 
 def d_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:

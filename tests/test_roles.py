@@ -1,8 +1,11 @@
 """Role rules on hand-made trees."""
 
+from pyspark.sql import functions as F
+
 from sorted_rows import rows
 from kawaraban.operators import phrases as PH
 from kawaraban.plans.roles import extract_roles, roles_of_sentences
+from kawaraban.queries import fixtures as X
 
 
 def phrase(sent, i, parent, word, repname=None, *, norm=None, head=None, fstring="", counter=None,
@@ -152,3 +155,24 @@ def test_phrases_in_any_order(spark):
             phrase("s", 12, -1, "丙", frame=frame("C/甲/0", word="丙"))]
     assert roles(spark, *tree) == roles(spark, *reversed(tree))
     assert roles(spark, *reversed(tree))["s"][0] == "".join(f"k{i}" for i in range(11, 0, -1)) + "甲"
+
+
+def _turns(spark, n=40):
+    text = "one two three four five six seven eight nine ten eleven. a b c d e. x"
+    rows = [(f"{i}-0-{k}", s, i % 3) for i in range(n) for k, s in enumerate(text.split("."))]
+    return spark.createDataFrame([*rows, ("none", "", 0), (None, "u v", 1)], "sent_id string, sentence string, flavour int")
+
+
+def test_phrase_rows_are_those_of_the_sentences(spark):
+    turns = _turns(spark)
+    whole = X.parsed_sentences(turns).select("sent_id", F.inline("phrases"))
+    rows = X.parsed(turns)
+    assert rows.schema.simpleString() == whole.schema.simpleString()
+    text = [F.to_json(F.struct("*")).alias("row")]
+    assert sorted(r["row"] for r in rows.select(*text).collect()) == sorted(r["row"] for r in whole.select(*text).collect())
+
+
+def test_only_the_phrase_fields_that_are_read_are_made(spark):
+    narrow = X.parsed(_turns(spark)).select("sent_id", "bnst_id", "midasi")
+    plan = narrow._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" in plan and not [f for f in ("map_from_entries", "transform", "inline", "named_struct") if f in plan]
