@@ -149,10 +149,15 @@ def roles_tuple(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roles_of_sentences(X.d_sentences(spark, sf_dir))
 
 
+def dealt_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases dealt out one by one: neither a sentence nor a phrase number lies in one task."""
+    return X.d_phrases(spark, sf_dir).repartition("sent_id", "bnst_id")
+
+
 @query(with_([*_PHRASES, X.SQL_ROLES], "SELECT sent_id, ga, wo, ni, verb, loc FROM roles"))
 def roles_of_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same of a parse with one row per phrase, dealt out in any order."""
-    return extract_roles(X.d_phrases(spark, sf_dir).repartition("bnst_id"))
+    return extract_roles(dealt_phrases(spark, sf_dir))
 
 
 @query(

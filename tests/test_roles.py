@@ -6,6 +6,7 @@ from sorted_rows import rows
 from kawaraban.operators import phrases as PH
 from kawaraban.plans.roles import extract_roles, roles_of_sentences
 from kawaraban.queries import fixtures as X
+from kawaraban.queries.sentences import dealt_phrases
 
 
 def phrase(sent, i, parent, word, repname=None, *, norm=None, head=None, fstring="", counter=None,
@@ -176,3 +177,14 @@ def test_only_the_phrase_fields_that_are_read_are_made(spark):
     narrow = X.parsed(_turns(spark)).select("sent_id", "bnst_id", "midasi")
     plan = narrow._jdf.queryExecution().optimizedPlan().toString()
     assert "posexplode" in plan and not [f for f in ("map_from_entries", "transform", "inline", "named_struct") if f in plan]
+
+
+def test_a_phrase_number_is_dealt_to_many_tasks(spark):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        first = dealt_phrases(spark, "/root/testdata/sf0.001").where("bnst_id = 0")
+        shares = [r["count"] for r in first.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(shares) > 1 and max(shares) < 0.5 * sum(shares)
