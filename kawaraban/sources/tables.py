@@ -58,14 +58,28 @@ def _load(reader: DataFrameReader, path: str) -> DataFrame | None:
         raise
 
 
+_DAY_COUNTS = "run bigint, day string, stored_lines bigint"
+
+
 def write_day_counts(counts: DataFrame, path: str) -> None:
-    """Keep day, stored_lines of refreshed days beside the table, days without an article (0) too."""
-    write_partitioned(counts.select("day", "stored_lines"), f"{path}-counts", "day")
+    """Keep day, stored_lines of refreshed days beside the table, days without an article (0) too.
+
+    Rows are added under the number of their run and replace those of earlier
+    runs when they are read, so the days need no folders here.
+    """
+    known = _load(counts.sparkSession.read.schema(_DAY_COUNTS), f"{path}-counts")
+    last = known.agg(F.max("run")).first()[0] if known is not None else None
+    run = F.lit((last or 0) + 1).cast("bigint").alias("run")
+    counts.select(run, "day", F.col("stored_lines").cast("bigint").alias("stored_lines")).write.mode("append").parquet(f"{path}-counts")
 
 
 def read_day_counts(spark: SparkSession, path: str) -> DataFrame | None:
     """day, stored_lines of all refreshed days; None where no day was refreshed yet."""
-    return _load(spark.read.schema("stored_lines bigint, day string"), f"{path}-counts")
+    found = _load(spark.read.schema(_DAY_COUNTS), f"{path}-counts")
+    if found is None:
+        return None
+    newest = F.max_by("stored_lines", "run").alias("stored_lines")
+    return found.groupBy("day").agg(newest).select("stored_lines", "day")
 
 
 def read_daily(spark: SparkSession, path: str, fmt: str = "text") -> DataFrame | None:

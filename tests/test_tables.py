@@ -159,6 +159,18 @@ def test_daily_corpus_is_stable(spark, tmp_path):
     assert not {d for d, _ in once if not d.isdigit()}
 
 
+def test_day_counts_take_no_folder_per_day(spark, tmp_path):
+    path = str(tmp_path / "corpus")
+    assert T.read_day_counts(spark, path) is None
+    counts = spark.range(300).selectExpr("cast(20160000 + id AS string) AS day", "id AS stored_lines")
+    T.write_day_counts(counts, path)
+    T.write_day_counts(counts.where("stored_lines < 10").withColumn("stored_lines", F.lit(0)), path)
+    made = list((tmp_path / "corpus-counts").rglob("*.parquet"))
+    assert len(made) < 50 and {f.parent for f in made} == {tmp_path / "corpus-counts"}
+    want = [(str(20160000 + i), 0 if i < 10 else i) for i in range(300)]
+    assert rows(T.read_day_counts(spark, path), "day", "stored_lines") == want
+
+
 def test_days_without_articles_are_not_fetched_for_ever(spark, tmp_path):
     path = str(tmp_path / "few")
     year = ("y", '<p><a href="https://www.reuters.com/d/20160101.html">d</a></p>')
