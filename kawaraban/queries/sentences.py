@@ -10,6 +10,7 @@ from kawaraban.operators.joins import with_roles
 from kawaraban.plans.roles import extract_roles, roles_of_sentences
 from kawaraban.queries import fixtures as X
 from kawaraban.queries.base import query, table, with_
+from kawaraban.sources.tables import rebalanced
 
 _PHRASES = [X.SQL_TURNS, *X.sql_phrases("turns")]
 
@@ -149,15 +150,15 @@ def roles_tuple(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roles_of_sentences(X.d_sentences(spark, sf_dir))
 
 
-def dealt_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Phrases dealt out one by one: neither a sentence nor a phrase number lies in one task."""
-    return X.d_phrases(spark, sf_dir).repartition("sent_id", "bnst_id")
+def dealt(phrases: DataFrame) -> DataFrame:
+    """Phrases by their numbers instead of their sentences; a number that too many have is split over tasks."""
+    return rebalanced(phrases, "bnst_id")
 
 
 @query(with_([*_PHRASES, X.SQL_ROLES], "SELECT sent_id, ga, wo, ni, verb, loc FROM roles"))
 def roles_of_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same of a parse with one row per phrase, dealt out in any order."""
-    return extract_roles(dealt_phrases(spark, sf_dir))
+    return extract_roles(dealt(X.d_phrases(spark, sf_dir)))
 
 
 @query(

@@ -1,12 +1,14 @@
 """Role rules on hand-made trees."""
 
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from sorted_rows import rows
 from kawaraban.operators import phrases as PH
 from kawaraban.plans.roles import extract_roles, roles_of_sentences
 from kawaraban.queries import fixtures as X
-from kawaraban.queries.sentences import dealt_phrases
+from kawaraban.queries.sentences import dealt
 
 
 def phrase(sent, i, parent, word, repname=None, *, norm=None, head=None, fstring="", counter=None,
@@ -180,11 +182,13 @@ def test_only_the_phrase_fields_that_are_read_are_made(spark):
 
 
 def test_a_phrase_number_is_dealt_to_many_tasks(spark):
-    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    phrases = X.parsed(_turns(spark, 400).repartition(8)).where("bnst_id = 0")
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
-        first = dealt_phrases(spark, "/root/testdata/sf0.001").where("bnst_id = 0")
-        shares = [r["count"] for r in first.groupBy(F.spark_partition_id()).count().collect()]
+        shares = Counter(r["task"] for r in dealt(phrases).withColumn("task", F.spark_partition_id()).collect())
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
-    assert len(shares) > 1 and max(shares) < 0.5 * sum(shares)
+        for key in settings:
+            spark.conf.unset(key)
+    assert shares.total() == 1201 and max(shares.values()) < 700
