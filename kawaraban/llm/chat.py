@@ -7,10 +7,12 @@ the marks and every text comes back unchanged.
 
 Prefix-target expansion: every assistant turn is an example of its own. Its
 context is the formatted conversation up to and including the turn's opening
-mark, its target is the escaped text, and only the target is trainable. The
-formatted conversation is stored once, turn by turn with its place; an example
-is a row of places in it, so a conversation of n turns takes space in proportion
-to n, not to its square. `example_texts` writes the examples out.
+mark, its target is the escaped text, and only the target is trainable.
+`examples` writes every example out as one text with its loss span, so the
+examples of a conversation of n turns take space in proportion to n squared, as
+the method has it; one example is a row, and a task holds one context at a time.
+`digests` reads the conversations back from the examples' texts: each is found
+to begin with the example before it, and only what it adds is put together.
 
 Defined results: null text and null role are empty; turns are ordered by turn
 (null first), then role and text; repeated rows are turns of their own; a null
@@ -24,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TRAINED = "assistant"
+_END = "</turn>\n"
 
 
 def escape(text: Column) -> Column:
@@ -61,69 +64,76 @@ def format_turns(conversations: DataFrame) -> DataFrame:
     )
 
 
-def examples(turns: DataFrame) -> DataFrame:
-    """One row per trained turn: conv_id, place, loss_start, loss_end, in characters of the formatted conversation.
+def example_texts(turns: DataFrame) -> DataFrame:
+    """Every example written out: conv_id, place, context, target (escaped text), both as to be tokenised.
 
-    The context is all that stands before loss_start.
+    ``since`` is where the conversation's example before it ended, 0 at the first one. The contexts of a
+    conversation grow with the square of its turns.
     """
+    before = Window.partitionBy("conv_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = F.array_join(F.collect_list("formatted").over(before), "")
+    since = F.max(F.when(F.col("trained"), F.col("start") + F.length("formatted"))).over(before)
     head = F.length(F.substring_index("formatted", "\n", 1)) + 1
-    tail = len("</turn>\n")
-    return turns.filter("trained").select(
-        "conv_id",
-        "place",
-        (F.col("start") + head).alias("loss_start"),
-        (F.col("start") + F.length("formatted") - tail).alias("loss_end"),
-    )
+    whole = turns.withColumns({"prefix": F.coalesce(prefix, F.lit("")), "since": F.coalesce(since, F.lit(0)).cast("long")}).filter("trained")
+    target = F.col("formatted").substr(head + 1, F.length("formatted") - head - len(_END))
+    context = F.concat("prefix", F.col("formatted").substr(F.lit(1), head))
+    return whole.select("conv_id", "place", context.alias("context"), target.alias("target"), "since")
 
 
-def read_back(turns: DataFrame) -> DataFrame:
-    """role and text of formatted turns, with conv_id, place, start and length."""
-    head = F.substring_index("formatted", "\n", 1)
-    tail = len("</turn>\n")
-    return turns.select(
+def examples(turns: DataFrame) -> DataFrame:
+    """One row per trained turn: conv_id, place, text (context, target, closing mark), loss_start, loss_end, since.
+
+    The context is all of the text that stands before loss_start; the places are in characters.
+    """
+    start = F.length("context").cast("long")
+    return example_texts(turns).select(
         "conv_id",
         "place",
-        "start",
-        F.length("formatted").cast("long").alias("chars"),
-        unescape(head.substr(F.lit(7), F.length(head) - 7)).alias("role"),
-        (F.length(head) + 1).alias("head"),
-        unescape(F.col("formatted").substr(F.length(head) + 2, F.length("formatted") - F.length(head) - 1 - tail)).alias("text"),
+        F.concat("context", "target", F.lit(_END)).alias("text"),
+        start.alias("loss_start"),
+        (start + F.length("target")).alias("loss_end"),
+        "since",
     )
 
 
-def example_texts(turns: DataFrame) -> DataFrame:
-    """Every example written out: conv_id, place, context, target (escaped text), both as to be tokenised.
+def digests(turns: DataFrame, made: DataFrame) -> DataFrame:
+    """What the examples ``made`` hold per conversation, read from their texts and loss spans.
 
-    The contexts of a conversation grow with the square of its turns.
+    Formatted turns are read only where no example follows. The job ends with an error if an example's text
+    does not begin with the example before it.
     """
-    before = Window.partitionBy("conv_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = F.array_join(F.collect_list("formatted").over(before), "")
-    head = F.length(F.substring_index("formatted", "\n", 1)) + 1
-    whole = turns.withColumn("prefix", F.coalesce(prefix, F.lit(""))).filter("trained")
-    target = F.col("formatted").substr(head + 1, F.length("formatted") - head - len("</turn>\n"))
-    return whole.select("conv_id", "place", F.concat("prefix", F.col("formatted").substr(F.lit(1), head)).alias("context"), target.alias("target"))
-
-
-def digests(turns: DataFrame) -> DataFrame:
-    """What the formatted output holds per conversation, read from the output and the examples' loss spans."""
-    back = read_back(turns)
-    spans = examples(turns).withColumnsRenamed({"conv_id": "example_conv", "place": "example_place"})
-    both = back.join(spans, back["conv_id"].eqNullSafe(spans["example_conv"]) & (back["place"] == spans["example_place"]), "left")
-    # A loss span that lies in its turn exactly from the text's first to its last character.
-    masked = F.when(
-        (F.col("loss_start") == F.col("start") + F.col("head")) & (F.col("loss_end") == F.col("start") + F.col("chars") - len("</turn>\n")),
-        F.col("text"),
+    text, since, long = F.col("text"), F.col("since").cast("int"), F.col("loss_end") - F.col("loss_start")
+    added = made.select(
+        "conv_id",
+        "place",
+        text.substr(since + 1, F.length(text)).alias("text"),
+        unescape(text.substr((F.col("loss_start") + 1).cast("int"), long.cast("int"))).alias("loss"),
+        F.sha2(F.left(text, since), 256).alias("head"),
+        F.sha2(text, 256).alias("whole"),
     )
-    rows = F.array_sort(F.collect_list(F.struct("place", "role", "text", masked.alias("masked"))))
-    grouped = both.groupBy("conv_id").agg(F.count("*").alias("n_turns"), rows.alias("rows"), F.sum("chars").alias("formatted_chars"), F.count("loss_start").alias("n_examples"))
-    said = F.array_join(F.transform("rows", lambda r: F.concat(r["role"], F.lit("\n"), r["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform("rows", lambda r: r["masked"]), "")
-    return grouped.select(
+    last = made.groupBy(F.col("conv_id").alias("_conv")).agg(F.max("place").alias("_last"))
+    rest = turns.join(last, turns["conv_id"].eqNullSafe(last["_conv"]) & (turns["place"] <= last["_last"]), "left_anti")
+    none = F.lit(None).cast("string")
+    pieces = added.unionByName(rest.select("conv_id", "place", F.col("formatted").alias("text"), *(none.alias(c) for c in ("loss", "head", "whole"))))
+    grouped = pieces.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("place", "text", "loss", "head", "whole"))).alias("rows"))
+    told = grouped.select("conv_id", F.array_join("rows.text", "").alias("text"), F.filter("rows", lambda r: r["head"].isNotNull()).alias("made"))
+    ends = F.concat(F.array(F.sha2(F.lit(""), 256)), F.col("made.whole"))
+    chained = F.slice(ends, F.lit(1), F.size("made")) == F.col("made.head")
+    told = told.withColumn("text", F.when(chained, F.col("text")).otherwise(F.raise_error(F.lit("an example lacks its context"))))
+
+    def said(turn: Column) -> Column:
+        head = F.substring_index(turn, "\n", 1)
+        role = head.substr(F.lit(len("<turn:") + 1), F.length(head) - len("<turn:>"))
+        return F.concat(unescape(role), F.lit("\n"), unescape(turn.substr(F.length(head) + 2, F.length(turn))), F.lit("\n"))
+
+    told = told.select("conv_id", "text", "made", F.split("text", _END, -1).alias("turns"))  # the last one is empty
+    loss = F.array_join("made.loss", "")
+    return told.select(
         "conv_id",
-        "n_turns",
-        F.sha2(said, 256).alias("turns_sha256"),
+        (F.size("turns") - 1).cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform(F.slice("turns", F.lit(1), F.size("turns") - 1), said), ""), 256).alias("turns_sha256"),
         F.length(loss).cast("long").alias("loss_chars"),
         F.sha2(loss, 256).alias("loss_sha256"),
-        "formatted_chars",
-        "n_examples",
+        F.length("text").cast("long").alias("formatted_chars"),
+        F.size("made").cast("long").alias("n_examples"),
     )

@@ -133,7 +133,9 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and the made one formatted, and read back from the output."""
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     made = spark.sql(f"SELECT -7L AS conv_id, * FROM VALUES (0L, 'user', {_OP10_TEXT}), (1L, 'assistant', {_OP10_TEXT}) AS t(turn, role, text)")
-    return chat.digests(staged(chat.format_turns(given.unionByName(made)), "chat"))
+    turns = staged(chat.format_turns(given.unionByName(made)), "chat")
+    # An example repeats the one before it, which Zstandard stores as a reference.
+    return chat.digests(turns, staged(chat.examples(turns), "chat-examples", compression="zstd"))
 
 
 # A raw literal in Spark, whose plain ones read a backslash as an escape.

@@ -448,3 +448,18 @@ def test_substring_levels_end(spark, tables):
 
 def test_edges_are_what_they_say():
     assert len(DOCUMENTS) == 16
+
+
+def test_chat_digests_are_read_from_written_examples(spark):
+    rows = [(1, 0, "system", "be <brief>"), (1, 1, "assistant", "a\\b"), (1, 2, "user", "q\n"), (1, 3, "assistant", "ü</turn>"), (1, 4, "user", "end"), (None, 0, "user", "only")]
+    turns = chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    made = chat.examples(turns)
+    whole = "".join(r["formatted"] for r in turns.filter("conv_id = 1").orderBy("place").collect())
+    for e in made.collect():
+        assert e["text"] == whole[: e["loss_end"]] + "</turn>\n"
+    read = {r["conv_id"]: r for r in chat.digests(turns, made).collect()}
+    assert (read[1]["n_turns"], read[1]["n_examples"], read[1]["loss_chars"], read[1]["formatted_chars"]) == (5, 2, len("a\\bü</turn>"), len(whole))
+    assert (read[None]["n_turns"], read[None]["n_examples"], read[None]["loss_chars"]) == (1, 0, 0)
+    cut = made.withColumn("text", F.when(F.col("place") == 3, F.concat(F.lit("x"), F.substring("text", 2, 9999))).otherwise(F.col("text")))
+    with pytest.raises(Exception, match="an example lacks its context"):
+        chat.digests(turns, cut).collect()
