@@ -5,10 +5,13 @@ overlap per kind. Beyond them, wide generators propose every run of characters
 around an `@` and every long run of digits and separators, the latter as each of
 the three kinds of numbers, so proposals overlap. Gradient-boosted trees score a
 proposal by its format and context (not by the test that makes a base match
-valid). They learn from the matches of the base patterns, valid or not, on a
-sample of at most about SAMPLE of them; on another sample of that size, a
-threshold per kind is set at the lowest score from which on at least PRECISION
-of the matches are valid. A kind with fewer than LEAST matches there gets none.
+valid). They learn from all matches of the base patterns, valid or not; matches
+with the same features are one row with their number as weight. (Spark's trees
+choose the values they may split at from 10,000 of these rows or more, and then
+count all rows.) Each match is also scored by trees that learned from the half of
+the matches it is not in; over these scores of all matches, a threshold per kind
+is set at the lowest score from which on at least PRECISION of the matches are
+valid. A kind with fewer than LEAST matches gets none.
 Proposals at or above their threshold are added, the best first, where they
 touch no base span and no better proposal. Base spans always stay.
 
@@ -27,7 +30,6 @@ from pyspark.sql import functions as F
 
 from kawaraban.session import staged
 
-SAMPLE = 20_000
 PRECISION = 0.95
 LEAST = 100
 
@@ -138,34 +140,42 @@ def features(kind: Column) -> dict[str, Column]:
     return {k: F.coalesce(v.cast("double"), F.lit(0.0)) for k, v in out.items()}
 
 
-def _scored(rows: DataFrame, model) -> DataFrame:
-    """rows with score, the model's probability that the match is what `kind` says."""
-    assembled = VectorAssembler(inputCols=list(features(F.col("kind"))), outputCol="features").transform(rows.withColumns(features(F.col("kind"))))
-    return model.transform(assembled).withColumn("score", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction", *features(F.col("kind")))
+def _names() -> list[str]:
+    return list(features(F.lit("")))
 
 
-def learn(matches: DataFrame, sample: int = SAMPLE):
-    """(model, thresholds by kind) from the base patterns' matches, or None if they are all valid or all invalid."""
-    labelled = matches.filter("NOT wide").withColumn("kind", F.col("what")).withColumn("label", F.col("valid").cast("double"))
-    n = labelled.agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).first()
-    if not n["n"] or n["low"] == n["high"]:
+def _by_model(rows: DataFrame, model) -> DataFrame:
+    """rows, which have the features, with score, the model's probability that the match is what `kind` says."""
+    assembled = VectorAssembler(inputCols=_names(), outputCol="features").transform(rows)
+    return model.transform(assembled).withColumn("score", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction", *_names())
+
+
+def _fitted(rows: DataFrame):
+    """Boosted trees from rows with features, label and weight; None if they are all valid or all invalid."""
+    if rows.select("label").distinct().count() < 2:
         return None
-    share = min(1.0, 2 * sample / n["n"])
-    drawn = F.pmod(F.xxhash64("row", "what", "start"), F.lit(1 << 30)) / float(1 << 30)
-    half = labelled.withColumn("drawn", drawn).filter(F.col("drawn") < share)
-    half = staged(half.withColumn("first", F.col("drawn") < share / 2), "pii-sample")
-    train = half.filter("first")
-    if train.select("label").distinct().count() < 2:
+    vectors = VectorAssembler(inputCols=_names(), outputCol="features").transform(rows)
+    trees = GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight", maxIter=12, maxDepth=4, maxBins=32, seed=7, stepSize=0.3)
+    return trees.fit(vectors.select("label", "weight", "features"))
+
+
+def learn(matches: DataFrame):
+    """(model, thresholds by kind) from all matches of the base patterns, or None if they, or those of a half, are all valid or all invalid."""
+    labelled = matches.filter("NOT wide").withColumn("kind", F.col("what")).withColumn("label", F.col("valid").cast("double"))
+    half = F.pmod(F.xxhash64("row", "what", "start"), F.lit(2)).alias("half")
+    rows = labelled.select("kind", "label", half, *(c.alias(n) for n, c in features(F.col("kind")).items()))
+    rows = staged(rows.groupBy(*rows.columns).agg(F.count("*").cast("double").alias("weight")), "pii-learned")
+    model = _fitted(rows)
+    others = [_fitted(rows.filter(F.col("half") != h)) for h in (0, 1)] if model else [None]
+    if None in others:
         return None
-    names = list(features(F.col("kind")))
-    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(train.withColumns(features(F.col("kind"))))
-    model = GBTClassifier(labelCol="label", featuresCol="features", maxIter=12, maxDepth=4, maxBins=32, seed=7, stepSize=0.3).fit(vectors.select("label", "features"))
-    held = _scored(half.filter("NOT first"), model)
-    steps = held.groupBy("kind", F.floor(F.col("score") * 100).alias("step")).agg(F.count("*").alias("n"), F.sum("label").alias("valid"))
+    held = _by_model(rows.filter("half = 0"), others[0]).unionByName(_by_model(rows.filter("half = 1"), others[1]))
+    steps = held.groupBy("kind", F.floor(F.col("score") * 100).alias("step")).agg(F.sum("weight").alias("n"), F.sum(F.col("label") * F.col("weight")).alias("valid"))
+    found = steps.collect()  # at most 101 steps of each kind
     thresholds: dict[str, float] = {}
-    for kind in KINDS:  # at most 101 steps of each
+    for kind in KINDS:
         total = good = 0
-        for r in sorted(steps.filter(F.col("kind") == kind).collect(), key=lambda r: -r["step"]):
+        for r in sorted((r for r in found if r["kind"] == kind), key=lambda r: -r["step"]):
             total, good = total + r["n"], good + r["valid"]
             if total >= LEAST and good >= PRECISION * total:
                 thresholds[kind] = r["step"] / 100
@@ -177,7 +187,7 @@ def added(matches: DataFrame, model, thresholds: dict[str, float]) -> DataFrame:
     kinds = F.when(F.col("what") == "address", F.array(F.lit("email"))).otherwise(F.array(*(F.lit(k) for k in KINDS[1:])))
     rows = matches.filter("wide").withColumn("kind", F.explode(kinds))
     least = F.coalesce(*(F.when(F.col("kind") == k, F.lit(t)) for k, t in thresholds.items()), F.lit(2.0))
-    rows = _scored(rows, model).filter(F.col("score") >= least).select("row", "kind", "start", "end", "score")
+    rows = _by_model(rows.withColumns(features(F.col("kind"))), model).filter(F.col("score") >= least).select("row", "kind", "start", "end", "score")
     base = matches.filter("valid").select(F.col("row").alias("row"), F.struct("start", "end").alias("span")).groupBy("row").agg(F.collect_list("span").alias("base"))
     ranked = rows.groupBy("row").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("cost"), "start", "end", "kind"))).alias("all"))
     touches = "exists(done, d -> d.start < x.end AND x.start < d.end)"

@@ -463,3 +463,13 @@ def test_chat_digests_are_read_from_written_examples(spark):
     cut = made.withColumn("text", F.when(F.col("place") == 3, F.concat(F.lit("x"), F.substring("text", 2, 9999))).otherwise(F.col("text")))
     with pytest.raises(Exception, match="an example lacks its context"):
         chat.digests(turns, cut).collect()
+
+
+def test_pii_thresholds_count_all_matches(spark):
+    texts = [(i, f"host 10.0.{i}.1 is up") for i in range(80)] + [(100 + i, f"version 999.{i}.3.4 came") for i in range(70)]
+    matches = pii.located(pii.proposals(spark.createDataFrame(texts, "doc_id long, text string")).localCheckpoint())
+    assert not pii.learn(matches)[1]  # 80 valid ones and 70 others
+    # 120 of that precision are enough, though neither half has 100.
+    many = [(i, f"host 10.{i // 90}.{i % 90}.1 is up") for i in range(120)] + texts[80:]
+    more = pii.located(pii.proposals(spark.createDataFrame(many, "doc_id long, text string")).localCheckpoint())
+    assert pii.learn(more)[1]["ip"] > 0.5
