@@ -50,12 +50,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str, **options: str) -> DataFrame:
+def staged(df: DataFrame, label: str, session: SparkSession | None = None, **options: str) -> DataFrame:
     """``df`` written to the shared folder and read back; ``options`` go to the Parquet writer.
 
     For a table several later steps read: it is computed once, its size is known
     to the planner, and a lost executor costs a read instead of the whole plan.
+    ``session`` is the one that reads it and runs these steps, if it is not that of ``df``.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return (session or df.sparkSession).read.schema(df.schema).parquet(path)

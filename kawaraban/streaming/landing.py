@@ -17,6 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from kawaraban.plans.refresh import add_listed, refresh_property_table, save_rejected
 from kawaraban.plans.tables import RolesOf, property_tables
+from kawaraban.session import staged
 from kawaraban.sources.tables import append_articles, read_articles
 
 PAGE_SCHEMA = "page_id bigint, url string, html string"
@@ -98,10 +99,16 @@ def follow_property_rows(
     longer holds, or what a new checkpoint never held, is checked against the
     stored days that the rows name.  State grows with the distinct rows of
     ``keep``, by executor.  Where ``listed`` does not exist yet, it is made.
+
+    Spark turns adaptive execution off in the session of a query with state, and
+    with it all rebalancing: each task would add a file to each day.  So a
+    batch is staged there and added by the session ``spark``.
     """
 
     def add(batch: DataFrame, _: int) -> None:
-        add_listed(batch.drop("taken"), path, roles_of)
+        fresh = staged(batch.drop("taken"), "fresh", spark)
+        if not fresh.isEmpty():
+            add_listed(fresh, path, roles_of)
 
     if read_articles(spark, listed, ROW_SCHEMA) is None:
         append_articles(spark.createDataFrame([], ROW_SCHEMA), listed)

@@ -303,3 +303,14 @@ def test_rows_may_be_followed_before_any_came(spark, tmp_path):
     T.append_articles(row, listed)
     follow_property_rows(spark, listed, path, str(tmp_path / "rows"), _roles, once=True).awaitTermination()
     assert rows(T.read_articles(spark, path), "Date", "Title", "Link") == [("2019年03月01日", "t", "v")]
+
+
+def test_rows_with_state_are_stored_in_few_files(spark, tmp_path):
+    listed, path = str(tmp_path / "listed"), str(tmp_path / "table")
+    made = [("u", 0, 0, i, f"2019年03月0{1 + i % 3}日", f"t{i}", f"s{i}。", "v") for i in range(60)]
+    T.append_articles(spark.createDataFrame(made, ROW_SCHEMA), listed)
+    follow_property_rows(spark, listed, path, str(tmp_path / "rows"), _roles, once=True).awaitTermination()
+    stored = T.read_articles(spark, path)
+    assert stored.count() == 60
+    # One file a day, not one for each task and day.
+    assert len(stored.inputFiles()) == 3
